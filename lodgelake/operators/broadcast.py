@@ -1,0 +1,28 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after its row count is checked against a bound; beyond
+the bound the join is left to the planner (sort-merge, which AQE may still turn
+into a broadcast from measured shuffle sizes).  The check is a bounded action:
+``limit(max_rows + 1).count()`` stops scanning once the bound is exceeded.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def broadcast_ok(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if broadcast_ok(df, max_rows) else df
+
+
+def static_broadcast(df: DataFrame, known_rows: int, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Broadcast a side whose row count is known by construction (e.g. a calendar)."""
+    return F.broadcast(df) if known_rows <= max_rows else df

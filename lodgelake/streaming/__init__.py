@@ -1,0 +1,6 @@
+"""Monthly drops as a stream.
+
+The reference has no streaming operator; its only incremental behaviour is the
+monthly snapshot merge.  ``monthly`` runs that merge from a Structured Streaming
+file source with ``foreachBatch``.
+"""
