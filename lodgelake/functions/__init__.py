@@ -8,6 +8,12 @@ from lodgelake.functions.cleaning import (  # noqa: F401
     lower_trim_after_nullif,
     normalise,
 )
-from lodgelake.functions.dates import date_id, month_end_exclusive, month_start  # noqa: F401
+from lodgelake.functions.dates import (  # noqa: F401
+    calendar_date_id,
+    date_from_id,
+    date_id,
+    month_end_exclusive,
+    month_start,
+)
 from lodgelake.functions.keys import scd_id, surrogate_key  # noqa: F401
 from lodgelake.functions.numeric import avg_exact, pct_change, ratio_pct, round_ratio  # noqa: F401

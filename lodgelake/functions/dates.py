@@ -23,3 +23,21 @@ def month_end_exclusive(c) -> Column:
 def date_id(c) -> Column:
     """``to_char(d, 'YYYYMMDD')::int``."""
     return F.date_format(col(c), DATE_ID_FORMAT).cast("int")
+
+
+def date_from_id(c) -> Column:
+    """Inverse of ``date_id`` by arithmetic (no string parsing): 20200507 -> 2020-05-07."""
+    k = col(c)
+    return F.make_date((k / 10000).cast("int"), ((k / 100).cast("int") % 100), k % 100)
+
+
+def calendar_date_id(c, bounds: tuple[str, str] | None) -> Column:
+    """The ``date_id`` a left join to a calendar over ``bounds`` would give: null outside.
+
+    ``bounds=None`` means the calendar was derived from (and so covers) these dates.
+    """
+    d = col(c).cast("date")
+    if bounds is None:
+        return date_id(d)
+    lo, hi = bounds
+    return F.when(d.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")), date_id(d))

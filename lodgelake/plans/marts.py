@@ -1,6 +1,6 @@
 """Gold marts (R27-R29): monthly panels with exact rates, prices and month-over-month change.
 
-Shape of each mart: fact ⟕ calendar (broadcast) ⟕ month versions (equi-join on
+Shape of each mart: fact ⟕ calendar (an expression on date_id) ⟕ month versions (equi-join on
 key and month) -> derived stays/revenue -> grouped aggregate (partial, map-side)
 -> exact median per group (separate distributed aggregate, joined back on the
 group keys) -> ``lag`` over the aggregated panel.
@@ -16,13 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodgelake.functions.dates import date_from_id
 from lodgelake.functions.numeric import avg_exact, pct_change, ratio_pct, round_ratio
-from lodgelake.operators.broadcast import bounded_broadcast
 from lodgelake.operators.dedup import asc
 from lodgelake.operators.joins import month_version_join
 from lodgelake.operators.lookup import lga_lookup_table, priority_lookup
 from lodgelake.operators.median import exact_median
-from lodgelake.plans.star import CALENDAR_MAX_ROWS, SUBURB_MAX_ROWS
 
 # Fixed value: a month has 30 bookable nights in the reference's stay estimate.
 NIGHTS = 30
@@ -39,11 +38,15 @@ def revenue_active(active: Column, availability: Column, price: Column) -> Colum
     return F.when(active, nights * price).otherwise(F.lit(0)).cast("decimal(14,2)")
 
 
-def _with_calendar(fact: DataFrame, dates: DataFrame, date_alias: str) -> DataFrame:
-    d = bounded_broadcast(dates.select(F.col("date_id").alias("_d_id"),
-                                       F.col("scraped_date").alias(date_alias), "month_start"),
-                          CALENDAR_MAX_ROWS)
-    return fact.join(d, fact["date_id"] == d["_d_id"], "left").drop("_d_id")
+def _with_calendar(fact: DataFrame, date_alias: str) -> DataFrame:
+    """``fact ⟕ dim_date on date_id`` as an expression.
+
+    Every ``date_id`` is the ``yyyyMMdd`` of a calendar day (or null outside the
+    calendar), so the day and its month follow by arithmetic -- the same values the
+    left join returns, with no join at all.
+    """
+    day = date_from_id("date_id")
+    return fact.withColumn(date_alias, day).withColumn("month_start", F.trunc(day, "MM"))
 
 
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,21 +71,22 @@ def _money(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast("double")
 
 
-def dm_listing_neighbourhood(fact: DataFrame, dates: DataFrame, hosts: DataFrame,
-                             suburbs: DataFrame) -> DataFrame:
-    """Month × listing neighbourhood."""
+def dm_listing_neighbourhood(fact: DataFrame, hosts: DataFrame, suburbs: DataFrame) -> DataFrame:
+    """Month × listing neighbourhood.
+
+    The panel is built on ``suburb_id`` and the name is attached at the end:
+    ``suburb_id`` is md5 of the name, one id per name, so grouping by id equals
+    grouping by name, and the dimension join then meets one row per (month, suburb)
+    instead of every fact row.
+    """
     base = fact.select("listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
                        "availability_30", "review_scores_rating", "number_of_reviews")
-    with_date = _with_calendar(base, dates, "scraped_date")
+    with_date = _with_calendar(base, "scraped_date")
     hj = month_version_join(with_date, hosts, "host_id", "scraped_date", ["host_is_superhost"])
     hj = hj.withColumn("host_is_superhost", F.coalesce("host_is_superhost", F.lit(False)))
-    s = bounded_broadcast(suburbs.select(F.col("suburb_id").alias("_s_id"),
-                                         F.col("suburb_name").alias("listing_neighbourhood")),
-                          SUBURB_MAX_ROWS)
-    ws = hj.join(s, hj["suburb_id"] == s["_s_id"], "left").drop("_s_id")
     active = F.col("has_availability")
-    derived = ws.select(
-        "listing_neighbourhood", "month_start", "listing_id", "host_id",
+    derived = hj.select(
+        "suburb_id", "month_start", "listing_id", "host_id",
         F.col("price").cast("decimal(14,2)").alias("price"),
         "has_availability", "availability_30",
         F.col("review_scores_rating").cast("decimal(6,2)").alias("review_scores_rating"),
@@ -90,7 +94,7 @@ def dm_listing_neighbourhood(fact: DataFrame, dates: DataFrame, hosts: DataFrame
         stays_active(active, F.col("availability_30")).alias("stays_active"),
         revenue_active(active, F.col("availability_30"), F.col("price")).alias("est_revenue_active"),
     )
-    per_listing = derived.groupBy("listing_neighbourhood", "month_start", "listing_id", "host_id").agg(
+    per_listing = derived.groupBy("suburb_id", "month_start", "listing_id", "host_id").agg(
         F.bool_or("has_availability").alias("was_active"),
         F.bool_or("host_is_superhost").alias("is_superhost"),
         avg_exact("price", where=active).cast("decimal(14,2)").alias("price_avg"),
@@ -98,10 +102,9 @@ def dm_listing_neighbourhood(fact: DataFrame, dates: DataFrame, hosts: DataFrame
         F.sum("stays_active").alias("stays"),
         F.sum("est_revenue_active").cast("decimal(14,2)").alias("revenue"),
     )
-    keys = ["month_start", "listing_neighbourhood"]
-    listing_active = F.count_distinct(F.when(F.col("was_active"), F.col("listing_id")))
+    keys = ["month_start", "suburb_id"]
     agg = per_listing.groupBy(*keys).agg(
-        listing_active.alias("n_active"),
+        F.count_distinct(F.when(F.col("was_active"), F.col("listing_id"))).alias("n_active"),
         F.count_distinct(F.when(~F.col("was_active"), F.col("listing_id"))).alias("n_inactive"),
         F.count_distinct("listing_id").alias("n_listings"),
         F.count_distinct("host_id").alias("distinct_hosts"),
@@ -114,8 +117,11 @@ def dm_listing_neighbourhood(fact: DataFrame, dates: DataFrame, hosts: DataFrame
         F.sum("revenue").alias("revenue"),
     )
     med = exact_median(per_listing, keys, "price_avg", out_col="median_price_active")
-    panel = _lagged(_join_on_keys(agg, med, keys), ["listing_neighbourhood"],
+    panel = _lagged(_join_on_keys(agg, med, keys), ["suburb_id"],
                     {"n_active": "pct_change_active_listings", "n_inactive": "pct_change_inactive_listings"})
+    # Both sides are per-suburb now; the planner/AQE picks the join from their real sizes.
+    names = suburbs.select(F.col("suburb_id").alias("_s_id"), F.col("suburb_name").alias("listing_neighbourhood"))
+    panel = panel.join(names, panel["suburb_id"] == names["_s_id"], "left")
     out = panel.select(
         "month_start", "listing_neighbourhood",
         _money(ratio_pct("n_active", "n_listings")).alias("active_listing_rate_pct"),
@@ -134,11 +140,11 @@ def dm_listing_neighbourhood(fact: DataFrame, dates: DataFrame, hosts: DataFrame
     return out.orderBy(asc("listing_neighbourhood"), asc("month_start"))
 
 
-def dm_host_neighbourhood(fact: DataFrame, dates: DataFrame, hosts: DataFrame, lga: DataFrame,
+def dm_host_neighbourhood(fact: DataFrame, hosts: DataFrame, lga: DataFrame,
                           override_rows: DataFrame, literal: bool = False) -> DataFrame:
     """Month × host LGA (suburb match, then LGA-name match, then override)."""
     base = fact.select("listing_id", "host_id", "date_id", "price", "has_availability", "availability_30")
-    with_date = _with_calendar(base, dates, "scraped_date")
+    with_date = _with_calendar(base, "scraped_date")
     hj = month_version_join(with_date, hosts, "host_id", "scraped_date", ["host_neighbourhood"])
     hj = hj.withColumn("host_neigh_norm", F.lower(F.trim("host_neighbourhood")))
     mapped = priority_lookup(hj, "host_neigh_norm", lga_lookup_table(lga, override_rows, literal=literal))
@@ -213,13 +219,12 @@ def _property_panel(rows: DataFrame, keys: Sequence[str], lag_partition: Sequenc
     ).orderBy(*[asc(k) for k in lag_partition], asc("month_start"))
 
 
-def dm_property_type(fact: DataFrame, dates: DataFrame, properties: DataFrame,
-                     hosts: DataFrame) -> DataFrame:
+def dm_property_type(fact: DataFrame, properties: DataFrame, hosts: DataFrame) -> DataFrame:
     """Month × property type × room type × accommodates, attributes as of each fact."""
     base = _with_calendar(
         fact.select("listing_id", "host_id", "date_id", "price", "has_availability", "availability_30",
                     "review_scores_rating"),
-        dates, "recorded_date")
+        "recorded_date")
     prop = month_version_join(base, properties, "listing_id", "recorded_date",
                               ["property_type", "room_type", "accommodates"])
     hj = month_version_join(prop, hosts, "host_id", "recorded_date", ["host_is_superhost"])

@@ -140,8 +140,8 @@ class RentalModel:
 
     @cached_property
     def fact_listings(self) -> DataFrame:
-        return self._table("fact_listings", star.fact_listings(self.silver_listing_for_fact, self.dim_date,
-                                                               self.dim_suburb))
+        bounds = None if self.calendar_bounds == "data" else tuple(self.calendar_bounds)
+        return self._table("fact_listings", star.fact_listings(self.silver_listing_for_fact, bounds))
 
     @cached_property
     def ref_lga(self) -> DataFrame:
@@ -162,16 +162,16 @@ class RentalModel:
 
     @cached_property
     def dm_listing_neighbourhood(self) -> DataFrame:
-        return marts.dm_listing_neighbourhood(self.fact_listings, self.dim_date, self.dim_host, self.dim_suburb)
+        return marts.dm_listing_neighbourhood(self.fact_listings, self.dim_host, self.dim_suburb)
 
     @cached_property
     def dm_host_neighbourhood(self) -> DataFrame:
-        return marts.dm_host_neighbourhood(self.fact_listings, self.dim_date, self.dim_host, self.ref_lga,
+        return marts.dm_host_neighbourhood(self.fact_listings, self.dim_host, self.ref_lga,
                                            self.lga_overrides, literal=self.literal)
 
     @cached_property
     def dm_property_type(self) -> DataFrame:
-        return marts.dm_property_type(self.fact_listings, self.dim_date, self.dim_property, self.dim_host)
+        return marts.dm_property_type(self.fact_listings, self.dim_property, self.dim_host)
 
     @cached_property
     def property_mart_core(self) -> DataFrame:

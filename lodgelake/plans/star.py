@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgelake.functions.dates import calendar_date_id
 from lodgelake.functions.keys import surrogate_key
-from lodgelake.operators.broadcast import bounded_broadcast
 from lodgelake.operators.dedup import asc
 from lodgelake.operators.scd2 import month_versions, scd2_replay
 from lodgelake.plans.silver import HOST_FEED_COLUMNS
@@ -16,9 +16,8 @@ HOST_ATTRIBUTES = ["host_name", "host_is_superhost", "host_neighbourhood", "host
 PROPERTY_ATTRIBUTES = ["property_type", "room_type", "accommodates"]
 FACT_COLUMNS = ["listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
                 "availability_30", "number_of_reviews", "review_scores_rating"]
-# Small-dimension bounds for the size-checked broadcast.
+# Row bound for broadcasting the suburb dimension.
 SUBURB_MAX_ROWS = 2_000_000
-CALENDAR_MAX_ROWS = 2_000_000
 
 
 def host_snapshot(feed: DataFrame) -> DataFrame:
@@ -52,28 +51,32 @@ def dim_suburb(listing: DataFrame) -> DataFrame:
     return names.select(surrogate_key("suburb_name").alias("suburb_id"), "suburb_name")
 
 
-def fact_listings(for_fact: DataFrame, dates: DataFrame, suburbs: DataFrame) -> DataFrame:
-    """Listing-month facts keyed to dim_date and dim_suburb (left joins keep every fact).
+def fact_listings(for_fact: DataFrame, calendar_bounds: tuple[str, str] | None = None) -> DataFrame:
+    """Listing-month facts with their ``date_id`` and ``suburb_id`` keys.
 
-    Both dimensions go through the size-checked broadcast, so the fact -- the big
-    side -- is never shuffled for them.
+    The reference left-joins ``dim_date`` on the date and ``dim_suburb`` on the name.
+    Both keys are functions of the joined value: a calendar row's ``date_id`` is its
+    ``yyyyMMdd`` (null outside the calendar bounds), and ``dim_suburb`` holds
+    ``md5`` of every normalised neighbourhood of ``silver_listing``, which contains
+    every name that reaches the fact (same cleaned rows, same normalisation).  So
+    the keys are computed as expressions: identical rows, no join, no shuffle and
+    no broadcast of anything that grows with the data.
+
+    ``calendar_bounds=None`` means the calendar covers the data (``"data"`` bounds).
     """
-    src = for_fact.where(F.col("listing_id").isNotNull()).select(
+    src = for_fact.where(F.col("listing_id").isNotNull())
+    name = F.lower(F.trim("listing_neighbourhood"))
+    return src.select(
         F.col("listing_id").cast("bigint").alias("listing_id"),
         F.col("host_id").cast("bigint").alias("host_id"),
-        F.col("scraped_date").cast("date").alias("scraped_date"),
-        F.lower(F.trim("listing_neighbourhood")).alias("listing_neighbourhood"),
+        F.when(name.isNotNull(), surrogate_key(name)).alias("suburb_id"),
+        calendar_date_id("scraped_date", calendar_bounds).alias("date_id"),
         F.col("price").cast("decimal(12,2)").alias("price"),
         F.col("has_availability").cast("boolean").alias("has_availability"),
         F.col("availability_30").cast("int").alias("availability_30"),
         F.col("number_of_reviews").cast("int").alias("number_of_reviews"),
         F.col("review_scores_rating").cast("decimal(5,2)").alias("review_scores_rating"),
     )
-    d = bounded_broadcast(dates.select(F.col("scraped_date").alias("_d_date"), "date_id"), CALENDAR_MAX_ROWS)
-    s = bounded_broadcast(suburbs.select(F.col("suburb_name").alias("_s_name"), "suburb_id"), SUBURB_MAX_ROWS)
-    out = (src.join(d, src["scraped_date"] == d["_d_date"], "left")
-              .join(s, F.col("listing_neighbourhood") == s["_s_name"], "left"))
-    return out.select(*FACT_COLUMNS)
 
 
 def ref_lga(lga: DataFrame) -> DataFrame:
