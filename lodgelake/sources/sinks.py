@@ -39,9 +39,9 @@ def table_path(root: str, run_id: str, name: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                max_records_per_file: int | None = None) -> DataFrame:
+                max_records_per_file: int | None = None, mode: str = "errorifexists") -> DataFrame:
     """Write ``df`` as parquet at a fresh ``path`` and return the written table."""
-    w = df.write.mode("errorifexists")
+    w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:
