@@ -45,8 +45,16 @@ def _one_per_timestamp(rows: DataFrame, key: str, updated_at: str, columns: Sequ
 
 
 def scd2_replay(feed: DataFrame, key: str, updated_at: str, columns: Sequence[str]) -> DataFrame:
-    """Full snapshot from every load at once (in-order semantics)."""
-    rows = _one_per_timestamp(feed.where(F.col(updated_at).isNotNull()), key, updated_at, columns)
+    """Full snapshot from every load at once (in-order semantics).
+
+    The feed is hash-partitioned on the key once: that partitioning satisfies the
+    per-(key, updated_at) de-duplication, the per-key ``lead`` and, when the
+    versions are consumed in the same plan, ``month_versions`` -- one shuffle for
+    the chain.  The feed holds one row per key and month, so even a hot key adds
+    only its months to a partition.
+    """
+    rows = _one_per_timestamp(feed.where(F.col(updated_at).isNotNull()).repartition(key),
+                              key, updated_at, columns)
     w = Window.partitionBy(key).orderBy(F.col("dbt_valid_from").asc())
     return _versions(rows, key, updated_at, columns).withColumn(
         "dbt_valid_to", F.lead("dbt_valid_from").over(w))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodgelake.operators.calendar import DEFAULT_BOUNDS, calendar, calendar_from_data, dim_date
 from lodgelake.operators.lookup import overrides
 from lodgelake.plans import bronze, marts, silver, star
+from lodgelake.session import ensure_checkpoint_dir
 
 Materializer = Callable[[str, DataFrame], DataFrame]
 
@@ -25,21 +26,31 @@ Materializer = Callable[[str, DataFrame], DataFrame]
 class RentalModel:
     def __init__(self, spark: SparkSession, sources: dict[str, DataFrame],
                  calendar_bounds: tuple[str, str] | str = DEFAULT_BOUNDS,
-                 literal: bool = False, materialize: Materializer | None = None):
+                 literal: bool = False, materialize: Materializer | None = None,
+                 checkpoint: tuple[str, ...] = ()):
         """
         sources: raw ``airbnb_raw``, ``lga_code``, ``lga_suburb``, ``census_g01``, ``census_g02``.
         calendar_bounds: (start, end) dates, or ``"data"`` for whole years covering the scrapes.
         literal: reproduce the reference's two defects (T1 superhost text test, T2 LGA fan-out).
         materialize: ``(name, df) -> df`` hook applied to every table-materialised relation.
+        checkpoint: relations to cut lineage at with a reliable ``checkpoint()`` (written to the
+            session's checkpoint folder) when nothing is materialised, so several consumers in
+            one lazy plan read it once instead of recomputing it.
         """
         self.spark = spark
         self.sources = sources
         self.calendar_bounds = calendar_bounds
         self.literal = literal
         self._materialize = materialize
+        self._checkpoint = set(checkpoint)
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
-        return self._materialize(name, df) if self._materialize else df
+        if self._materialize:
+            return self._materialize(name, df)
+        if name in self._checkpoint:
+            ensure_checkpoint_dir(self.spark)
+            return df.checkpoint(eager=True)
+        return df
 
     # bronze (R1-R5): pass-through copies of the sources
     @cached_property

@@ -22,8 +22,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def model(spark: SparkSession, sf_dir: str, literal: bool = False, month_from: str = "order") -> RentalModel:
+    """The model over the supplied tables; the cleaned scrape is checkpointed once, since
+    fact, snapshots and dimensions all start from it."""
     return RentalModel(spark, raw_sources(spark, sf_dir, month_from=month_from),
-                       calendar_bounds="data", literal=literal)
+                       calendar_bounds="data", literal=literal, checkpoint=("silver_airbnb_clean",))
 
 
 def _rel(name: str, **kw) -> Query:
