@@ -12,7 +12,7 @@ appearing stay open.
 * ``scd2_merge``: one incremental load against an existing snapshot.  Only the
   open versions meet the incoming rows (a join on the key); closed history passes
   through untouched.  The result goes to a new location (no transactional table
-  format is available), see ``sources.sinks.replace_table``.
+  format is available), see ``plans.incremental``.
 
 Per-key windows hold one row per key and month, so a hot key costs one row per
 month, never its raw rows.
@@ -66,6 +66,11 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, updated_at: st
 
     Re-applying the same load is a no-op; rows not newer than a key's open version
     (late months) are dropped, as dbt does.
+
+    ``current`` is the previous run's written snapshot (or a checkpoint of it).
+    Passing a lazily computed, key-partitioned plan instead can make Spark run the
+    unions below partition-wise over shuffles that AQE coalesced differently
+    (``spark.sql.unionOutputPartitioning``), which fails at execution.
     """
     out_cols = list(columns) + SCD_COLUMNS
     current = current.select(*out_cols)

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from lodgelake import oracle_sql as osql
 from lodgelake.operators.joins import month_version_join
+from lodgelake.operators.lookup import lga_lookup_table, priority_lookup
 from lodgelake.operators.scd2 import scd2_merge, scd2_replay
 from lodgelake.plans.model import RentalModel
+from lodgelake.session import ensure_checkpoint_dir
 from lodgelake.plans.silver import HOST_FEED_COLUMNS
 from lodgelake.sources.scrape_view import raw_sources
 
@@ -41,6 +43,7 @@ def host_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     Equals the full replay (in-order loads), which is what the oracle checks.
     """
     m = model(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
     feed = m.silver_host_for_snapshot.withColumn("_m", F.trunc("scraped_date", "MM"))
     last = feed.agg(F.max("_m")).first()[0]  # one scalar: the newest load month
     if last is None:
@@ -50,8 +53,9 @@ def host_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     older = feed.where(F.col("_m") < prev_month).select(*HOST_FEED_COLUMNS)
     prev = feed.where(F.col("_m") == prev_month).select(*HOST_FEED_COLUMNS)
     newest = feed.where(F.col("_m") == newest_month).select(*HOST_FEED_COLUMNS)
-    snap = scd2_replay(older, "host_id", "scraped_date", HOST_FEED_COLUMNS)
-    snap = scd2_merge(snap, prev, "host_id", "scraped_date", HOST_FEED_COLUMNS)
+    # each monthly run starts from the previous run's snapshot as written: a checkpoint here
+    snap = scd2_replay(older, "host_id", "scraped_date", HOST_FEED_COLUMNS).checkpoint()
+    snap = scd2_merge(snap, prev, "host_id", "scraped_date", HOST_FEED_COLUMNS).checkpoint()
     return scd2_merge(snap, newest, "host_id", "scraped_date", HOST_FEED_COLUMNS)
 
 
@@ -64,6 +68,15 @@ def fact_host_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
                               ["host_name", "host_is_superhost", "host_neighbourhood", "host_since"])
 
 
+def lga_priority_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every host version with its LGA (suburb > LGA name > override), multiplicities kept."""
+    m = model(spark, sf_dir)
+    hosts = m.dim_host.select("host_id", "record_start_date", "host_neighbourhood",
+                              F.lower(F.trim("host_neighbourhood")).alias("host_neigh_norm"))
+    table = lga_lookup_table(m.ref_lga, m.lga_overrides)
+    return priority_lookup(hosts, "host_neigh_norm", table).drop("host_neigh_norm")
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Data-quality checks (§5.2): one row per check with its violation count."""
     m = model(spark, sf_dir)
@@ -118,6 +131,21 @@ UNION ALL SELECT 'fact_rows_lost_by_dimension_joins',
        (SELECT count(*) FROM silver_listing_for_fact) - (SELECT count(*) FROM fact_listings)
 """
 
+LGA_LOOKUP_SQL_BODY = """
+, overrides AS (
+  SELECT 'unknown' AS key_norm, CAST(NULL AS VARCHAR) AS lga_code, 'Unknown' AS lga_name
+  UNION ALL SELECT 'overseas', CAST(NULL AS VARCHAR), 'Overseas'
+)
+SELECT h.host_id, h.record_start_date, h.host_neighbourhood,
+       CAST(coalesce(r_sub.lga_code, r_name.lga_code, o.lga_code) AS VARCHAR) AS host_neighbourhood_lga_code,
+       coalesce(r_sub.lga_name, r_name.lga_name, o.lga_name) AS host_neighbourhood_lga
+FROM dim_host h
+LEFT JOIN ref_lga r_sub ON lower(trim(h.host_neighbourhood)) = lower(trim(r_sub.lga_suburb))
+LEFT JOIN (SELECT DISTINCT lga_code, lga_name FROM ref_lga) r_name
+  ON r_sub.lga_code IS NULL AND lower(trim(h.host_neighbourhood)) = lower(trim(r_name.lga_name))
+LEFT JOIN overrides o ON lower(trim(h.host_neighbourhood)) = o.key_norm
+"""
+
 FACT_HOST_AS_OF_SQL_BODY = """
 SELECT f.listing_id, f.host_id, f.date_id, d.scraped_date, h.host_name, h.host_is_superhost,
        h.host_neighbourhood, h.host_since
@@ -158,6 +186,8 @@ def queries() -> dict[str, Query]:
     q["host_snapshot_merged"] = host_snapshot_merged
     q["fact_host_as_of"] = fact_host_as_of
     q["quality_report"] = quality_report
+    q["lga_priority_lookup"] = lga_priority_lookup
+    q["airbnb"] = _rel("airbnb")
     return q
 
 
@@ -175,4 +205,6 @@ def oracle_sql() -> dict[str, str]:
     o["host_snapshot_merged"] = osql.relation("host_snapshot")
     o["fact_host_as_of"] = _body(FACT_HOST_AS_OF_SQL_BODY)
     o["quality_report"] = _body(QUALITY_SQL_BODY)
+    o["lga_priority_lookup"] = osql._with_tail(LGA_LOOKUP_SQL_BODY)
+    o["airbnb"] = osql.relation("src_airbnb")
     return o

@@ -64,3 +64,14 @@ def test_stays_and_revenue(spark):
                     revenue_active(F.col("a"), F.col("av"), F.col("p")).alias("r")).collect()
     assert [r.s for r in out] == [0, 0, 25, 0, 25]
     assert [r.r for r in out] == [Decimal("0.00"), Decimal("0.00"), Decimal("262.50"), Decimal("0.00"), None]
+
+
+def test_median_hot_group_split_over_buckets(spark):
+    # one group holds most rows and many distinct values; unbucketed and bucketed agree
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string")))
+        .alias("g"),
+        ((F.col("id") * 7919) % 100003 / 100).cast("decimal(14,2)").alias("v"))
+    a = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=1).collect()}
+    b = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=32).collect()}
+    assert a == b and set(a) == {"hot", "g2", "g3", "g4"}

@@ -22,8 +22,9 @@ def test_replay_equals_in_order_merges(spark):
     jun = [(1, "a", d(2020, 6, 2))]                       # same attributes, later date: new version anyway
     jul = [(1, "c", d(2020, 7, 9)), (2, "b", d(2020, 7, 1))]
     full = scd2_replay(feed(spark, may + jun + jul), "host_id", "scraped_date", COLS)
-    snap = scd2_replay(feed(spark, may), "host_id", "scraped_date", COLS)
-    snap = scd2_merge(snap, feed(spark, jun), "host_id", "scraped_date", COLS)
+    # each monthly run reads the previous run's written snapshot: checkpoint in between
+    snap = scd2_replay(feed(spark, may), "host_id", "scraped_date", COLS).checkpoint()
+    snap = scd2_merge(snap, feed(spark, jun), "host_id", "scraped_date", COLS).checkpoint()
     snap = scd2_merge(snap, feed(spark, jul), "host_id", "scraped_date", COLS)
     assert rows_of(full) == rows_of(snap)
     assert rows_of(full)[0] == (1, "a", d(2020, 5, 2), d(2020, 5, 2), d(2020, 6, 2))
@@ -33,7 +34,7 @@ def test_replay_equals_in_order_merges(spark):
 
 def test_merge_is_idempotent_and_drops_late_months(spark):
     jun = [(1, "a", d(2020, 6, 2))]
-    snap = scd2_replay(feed(spark, jun), "host_id", "scraped_date", COLS)
+    snap = scd2_replay(feed(spark, jun), "host_id", "scraped_date", COLS).checkpoint()
     again = scd2_merge(snap, feed(spark, jun), "host_id", "scraped_date", COLS)
     assert rows_of(again) == rows_of(snap)
     late = scd2_merge(snap, feed(spark, [(1, "z", d(2020, 5, 2))]), "host_id", "scraped_date", COLS)
