@@ -64,3 +64,17 @@ def test_census_blank_codes(spark):
     assert [r.lga_code for r in silver_census_g01_clean(g01).collect()] == ["00000"]
     g02 = spark.createDataFrame([("  ", "1", "1", "1", "1", "1")], CENSUS_G02)
     assert silver_census_g02_clean(g02).count() == 0
+
+
+def test_host_same_date_rows_collapse(spark):
+    import datetime as dt
+    from lodgelake.plans.silver import silver_host
+    may = dt.date(2020, 5, 1)
+    rows = [raw_row(listing_id="9", host_id="1", scraped_date="2020-05-02", source_month=may,
+                    host_is_superhost="t", host_name="alice"),
+            raw_row(listing_id="9", host_id="1", scraped_date="2020-05-02", source_month=may,
+                    host_is_superhost="f", host_name="Bob")]
+    clean = silver_airbnb_clean(spark.createDataFrame(rows, AIRBNB_RAW))
+    out = silver_host(clean).collect()
+    assert len(out) == 1 and out[0].host_is_superhost is True and out[0].host_name == "alice"
+    assert silver_host(clean, literal=True).first().host_is_superhost is False
