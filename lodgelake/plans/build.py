@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgelake.plans.model import TABLES, RentalModel
-from lodgelake.sources.sinks import publish, table_path, write_table
+from lodgelake.sources.sinks import committed, publish, table_path, write_table
 
 PARTITIONS = {"airbnb": ["source_month"]}
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -28,14 +28,22 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, run_id: str | None = None,
           tables=TABLES, partition: bool = True, **model_kw) -> RentalModel:
-    """Write ``tables`` under ``root/<run_id>`` and publish them; returns the model over them."""
+    """Write ``tables`` under ``root/<run_id>`` and publish them; returns the model over them.
+
+    Re-running with the same ``run_id`` resumes: a table whose write committed in that
+    run is read back instead of recomputed, and one that did not commit is written
+    again into the run's own folder (never a table that anything reads).
+    """
     run_id = run_id or uuid.uuid4().hex[:12]
     written: dict[str, str] = {}
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
         path = table_path(root, run_id, name)
-        parts = PARTITIONS.get(name, []) if partition else []
-        out = write_table(df, path, parts, MAX_RECORDS_PER_FILE)
+        if committed(spark, path):
+            out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        else:
+            parts = PARTITIONS.get(name, []) if partition else []
+            out = write_table(df, path, parts, MAX_RECORDS_PER_FILE, mode="overwrite")
         written[name] = path
         return out
 

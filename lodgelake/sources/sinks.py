@@ -52,6 +52,15 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when a Spark write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").schema  # resolves the path only
+        return True
+    except Exception:  # AnalysisException: path does not exist
+        return False
+
+
 MANIFEST_SCHEMA = T.StructType([T.StructField("name", T.StringType(), False),
                                 T.StructField("path", T.StringType(), False)])
 
@@ -60,7 +69,7 @@ def publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, str])
     """Record this run's table locations (one small manifest) and make it current."""
     base = root.rstrip("/")
     (spark.createDataFrame(sorted(tables.items()), MANIFEST_SCHEMA).coalesce(1)
-     .write.mode("errorifexists").json(f"{base}/_manifests/{run_id}"))
+     .write.mode("overwrite").json(f"{base}/_manifests/{run_id}"))
     (spark.createDataFrame([(run_id,)], "run_id string").coalesce(1)
      .write.mode("overwrite").text(f"{base}/_current"))
 

@@ -74,6 +74,15 @@ def test_build_publishes_and_never_overwrites(spark, scratch):
     assert os.path.isdir(first["fact_listings"].replace("file:", ""))  # previous run left in place
 
 
+def test_build_resumes_a_run(spark, scratch):
+    tables = ["airbnb", "silver_airbnb_clean", "silver_listing_for_fact", "fact_listings"]
+    build(spark, raw_sources(spark, SF0001), scratch, run_id="r1", tables=tables[:2], calendar_bounds="data")
+    clean_files = sorted(os.listdir(f"{scratch}/r1/silver/silver_airbnb_clean"))
+    m = build(spark, raw_sources(spark, SF0001), scratch, run_id="r1", tables=tables, calendar_bounds="data")
+    assert sorted(os.listdir(f"{scratch}/r1/silver/silver_airbnb_clean")) == clean_files  # reused, not rewritten
+    assert m.fact_listings.count() == m.silver_listing_for_fact.count() > 0
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
