@@ -22,7 +22,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
     """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
     return F.broadcast(df) if broadcast_ok(df, max_rows) else df
 
-
-def static_broadcast(df: DataFrame, known_rows: int, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Broadcast a side whose row count is known by construction (e.g. a calendar)."""
-    return F.broadcast(df) if known_rows <= max_rows else df

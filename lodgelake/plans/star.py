@@ -16,8 +16,6 @@ HOST_ATTRIBUTES = ["host_name", "host_is_superhost", "host_neighbourhood", "host
 PROPERTY_ATTRIBUTES = ["property_type", "room_type", "accommodates"]
 FACT_COLUMNS = ["listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
                 "availability_30", "number_of_reviews", "review_scores_rating"]
-# Row bound for broadcasting the suburb dimension.
-SUBURB_MAX_ROWS = 2_000_000
 
 
 def host_snapshot(feed: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lodgelake.operators.scd2 import scd2_replay
 from lodgelake.plans.incremental import merge_month_snapshots
 from lodgelake.plans.model import RentalModel
 from lodgelake.plans.silver import HOST_FEED_COLUMNS

@@ -2,7 +2,6 @@ import datetime as dt
 import os
 
 import duckdb
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lodgelake.plans.build import build

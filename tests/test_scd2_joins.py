@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from lodgelake.operators.joins import month_version_join
 from lodgelake.operators.scd2 import month_versions, scd2_merge, scd2_replay
 

@@ -1,6 +1,4 @@
 """Results stay exact when one host holds a third of all rows and AQE splits skewed partitions."""
-import os
-
 import duckdb
 import pytest
 from pyspark.sql import functions as F
