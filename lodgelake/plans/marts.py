@@ -173,11 +173,13 @@ def dm_host_neighbourhood(fact: DataFrame, hosts: DataFrame, lga: DataFrame,
 PROPERTY_KEYS = ["month_start", "property_type", "room_type", "accommodates"]
 
 
-def _property_panel(rows: DataFrame, keys: Sequence[str], lag_partition: Sequence[str]) -> DataFrame:
+def _property_panel(rows: DataFrame, keys: Sequence[str], lag_partition: Sequence[str],
+                    median_rows: DataFrame | None = None) -> DataFrame:
     """Aggregate + median + lag shared by ``dm_property_type`` and ``property_mart_core``.
 
     ``rows``: keys, listing_id, host_id, price, has_availability, availability_30,
-    review_scores_rating, host_is_superhost.
+    review_scores_rating, host_is_superhost.  ``median_rows`` (keys, price,
+    has_availability) may skip joins that only add columns the median does not use.
     """
     active = F.col("has_availability")
     derived = rows.select(
@@ -198,7 +200,8 @@ def _property_panel(rows: DataFrame, keys: Sequence[str], lag_partition: Sequenc
         F.sum("stays_active").alias("total_stays_active"),
         avg_exact("est_revenue_active", where=active).alias("avg_est_revenue_per_active_listing"),
     )
-    med = exact_median(derived, keys, "price", out_col="median_price_active", where=active)
+    med = exact_median(derived if median_rows is None else median_rows, keys, "price",
+                       out_col="median_price_active", where=active)
     panel = _lagged(_join_on_keys(agg, med, keys), lag_partition,
                     {"listings_active": "pct_change_active_listings_mom",
                      "listings_inactive": "pct_change_inactive_listings_mom"})
@@ -229,7 +232,10 @@ def dm_property_type(fact: DataFrame, properties: DataFrame, hosts: DataFrame) -
                               ["property_type", "room_type", "accommodates"])
     hj = month_version_join(prop, hosts, "host_id", "recorded_date", ["host_is_superhost"])
     hj = hj.withColumn("host_is_superhost", F.coalesce("host_is_superhost", F.lit(False)))
-    return _property_panel(hj, PROPERTY_KEYS, ["property_type", "room_type", "accommodates"])
+    # host versions are unique per (host, month), so the host join keeps the row count:
+    # the median reads the rows before it and skips that join
+    return _property_panel(hj, PROPERTY_KEYS, ["property_type", "room_type", "accommodates"],
+                           median_rows=prop)
 
 
 def property_mart_core(for_fact: DataFrame) -> DataFrame:
