@@ -47,8 +47,9 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.
-    Only when it is unset (tests, local runs) is a fresh local folder created.
+    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is
+    (unset there is an error).  Only a ``local[...]`` session without it (tests, local
+    runs) gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
+                           "(a machine-local folder is not visible to other executors)")
     local = tempfile.mkdtemp(prefix="lodgelake-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
