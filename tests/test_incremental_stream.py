@@ -56,3 +56,16 @@ def test_stream_of_monthly_drops(spark, scratch):
     assert snapshot_rows(merged) == snapshot_rows(replay)
     landed = spark.read.schema(AIRBNB_RAW).parquet(f"{scratch}/wh/bronze/airbnb")
     assert landed.count() == raw.count()
+
+
+def test_landing_a_month_twice_is_idempotent(spark, scratch):
+    from lodgelake.plans.incremental import land_month
+    raw = raw_sources(spark, SF0001)["airbnb_raw"]
+    months = [r[0] for r in raw.select("source_month").distinct().orderBy("source_month").collect()][:2]
+    bronze = f"{scratch}/bronze/airbnb"
+    for m in months + months[:1]:  # the first month lands twice
+        land_month(raw.where(F.col("source_month") == F.lit(m)), bronze)
+    landed = spark.read.schema(AIRBNB_RAW).parquet(bronze)
+    want = raw.where(F.col("source_month").isin(months)).count()
+    assert landed.count() == want
+    assert landed.select("source_month").distinct().count() == 2
