@@ -75,3 +75,16 @@ def test_median_hot_group_split_over_buckets(spark):
     a = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=1).collect()}
     b = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=32).collect()}
     assert a == b and set(a) == {"hot", "g2", "g3", "g4"}
+
+
+def test_lookup_beyond_the_broadcast_bound(spark, monkeypatch):
+    import lodgelake.operators.lookup as lookup
+    hosts = spark.createDataFrame([(k,) for k in ["bondi", "pyrmont", "overseas", "nowhere", None]], "k string")
+    table = lga_lookup_table(ref_lga(spark), overrides(spark))
+    broadcast = priority_lookup(hosts, "k", table)
+    assert "ResolvedHint (strategy=broadcast)" in broadcast._jdf.queryExecution().analyzed().toString()
+    small = sorted(map(repr, (tuple(r) for r in broadcast.collect())))
+    monkeypatch.setattr(lookup, "LOOKUP_MAX_ROWS", 1)  # the table no longer passes the size check
+    plan_joined = priority_lookup(hosts, "k", table)
+    assert "ResolvedHint (strategy=broadcast)" not in plan_joined._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(repr, (tuple(r) for r in plan_joined.collect()))) == small

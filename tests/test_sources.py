@@ -14,3 +14,13 @@ def test_csv_source_read_with_explicit_schema(spark, scratch):
     a = sorted(map(repr, (tuple(r) for r in silver_airbnb_clean(raw).collect())))
     b = sorted(map(repr, (tuple(r) for r in silver_airbnb_clean(back).collect())))
     assert a == b and len(a) > 0
+
+
+def test_month_load_prunes_bronze_partitions(spark, scratch):
+    from lodgelake.plans.build import build
+    m = build(spark, raw_sources(spark, SF0001), scratch, run_id="r", tables=["airbnb"], calendar_bounds="data")
+    month = [r[0] for r in m.airbnb.select("source_month").distinct().orderBy("source_month").collect()][-1]
+    one = silver_airbnb_clean(m.airbnb, months=[month.isoformat()])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_month" in plan and "source_month#" in plan
+    assert one.count() == silver_airbnb_clean(m.airbnb).where(f"source_month = date'{month.isoformat()}'").count()
