@@ -18,6 +18,7 @@ from lodgelake.operators.scd2 import scd2_merge, scd2_replay
 from lodgelake.plans.model import RentalModel
 from lodgelake.session import ensure_checkpoint_dir
 from lodgelake.plans.silver import HOST_FEED_COLUMNS
+from lodgelake.plans.star import PROPERTY_SNAPSHOT_COLUMNS
 from lodgelake.sources.scrape_view import raw_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,26 +38,35 @@ def _rel(name: str, **kw) -> Query:
     return run
 
 
-def host_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _merged_snapshot(spark: SparkSession, sf_dir: str, feed_name: str, key: str, columns) -> DataFrame:
     """SCD2 merge: replay every month but the last two, then merge those two loads in turn.
 
     Equals the full replay (in-order loads), which is what the oracle checks.
     """
     m = model(spark, sf_dir)
     ensure_checkpoint_dir(spark)
-    feed = m.silver_host_for_snapshot.withColumn("_m", F.trunc("scraped_date", "MM"))
+    feed = getattr(m, feed_name).select(*columns).withColumn("_m", F.trunc("scraped_date", "MM"))
     last = feed.agg(F.max("_m")).first()[0]  # one scalar: the newest load month
     if last is None:
-        return scd2_replay(feed.select(*HOST_FEED_COLUMNS), "host_id", "scraped_date", HOST_FEED_COLUMNS)
+        return scd2_replay(feed.select(*columns), key, "scraped_date", columns)
     newest_month = F.lit(last)
     prev_month = F.add_months(newest_month, -1)
-    older = feed.where(F.col("_m") < prev_month).select(*HOST_FEED_COLUMNS)
-    prev = feed.where(F.col("_m") == prev_month).select(*HOST_FEED_COLUMNS)
-    newest = feed.where(F.col("_m") == newest_month).select(*HOST_FEED_COLUMNS)
+    older = feed.where(F.col("_m") < prev_month).select(*columns)
+    prev = feed.where(F.col("_m") == prev_month).select(*columns)
+    newest = feed.where(F.col("_m") == newest_month).select(*columns)
     # each monthly run starts from the previous run's snapshot as written: a checkpoint here
-    snap = scd2_replay(older, "host_id", "scraped_date", HOST_FEED_COLUMNS).checkpoint()
-    snap = scd2_merge(snap, prev, "host_id", "scraped_date", HOST_FEED_COLUMNS).checkpoint()
-    return scd2_merge(snap, newest, "host_id", "scraped_date", HOST_FEED_COLUMNS)
+    snap = scd2_replay(older, key, "scraped_date", columns).checkpoint()
+    snap = scd2_merge(snap, prev, key, "scraped_date", columns).checkpoint()
+    return scd2_merge(snap, newest, key, "scraped_date", columns)
+
+
+def host_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_snapshot(spark, sf_dir, "silver_host_for_snapshot", "host_id", HOST_FEED_COLUMNS)
+
+
+def property_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_snapshot(spark, sf_dir, "silver_property_for_snapshot", "listing_id",
+                            PROPERTY_SNAPSHOT_COLUMNS)
 
 
 def fact_host_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +194,7 @@ def queries() -> dict[str, Query]:
     q["month_guard"] = _rel("silver_airbnb_clean", month_from="ship")
     q["silver_host_literal"] = _rel("silver_host", literal=True)
     q["host_snapshot_merged"] = host_snapshot_merged
+    q["property_snapshot_merged"] = property_snapshot_merged
     q["fact_host_as_of"] = fact_host_as_of
     q["quality_report"] = quality_report
     q["lga_priority_lookup"] = lga_priority_lookup
@@ -203,6 +214,7 @@ def oracle_sql() -> dict[str, str]:
     o["month_guard"] = osql.relation("silver_airbnb_clean", month_from="ship")
     o["silver_host_literal"] = osql.relation("silver_host", literal=True)
     o["host_snapshot_merged"] = osql.relation("host_snapshot")
+    o["property_snapshot_merged"] = osql.relation("property_snapshot")
     o["fact_host_as_of"] = _body(FACT_HOST_AS_OF_SQL_BODY)
     o["quality_report"] = _body(QUALITY_SQL_BODY)
     o["lga_priority_lookup"] = osql._with_tail(LGA_LOOKUP_SQL_BODY)
