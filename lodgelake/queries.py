@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgelake import oracle_sql as osql
+from lodgelake.functions.dates import date_from_id
 from lodgelake.operators.joins import month_version_join
 from lodgelake.operators.lookup import lga_lookup_table, priority_lookup
 from lodgelake.operators.scd2 import scd2_merge, scd2_replay
@@ -72,8 +73,9 @@ def property_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_host_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-in-time join: each fact with the host version valid on its date."""
     m = model(spark, sf_dir)
-    d = F.broadcast(m.dim_date.select("date_id", "scraped_date"))
-    facts = m.fact_listings.select("listing_id", "host_id", "date_id").join(d, "date_id", "left")
+    # the calendar lookup is the arithmetic inverse of date_id (see marts._with_calendar)
+    facts = m.fact_listings.select("listing_id", "host_id", "date_id").withColumn(
+        "scraped_date", date_from_id("date_id"))
     return month_version_join(facts, m.dim_host, "host_id", "scraped_date",
                               ["host_name", "host_is_superhost", "host_neighbourhood", "host_since"])
 
