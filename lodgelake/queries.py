@@ -184,6 +184,11 @@ RELATIONS = [
 ]
 
 
+# bronze copies of the lookup and census sources (R2-R5) and the published census tables
+BRONZE_LOOKUPS = ["lga_code", "lga_suburb", "census_g01", "census_g02"]
+REF_CENSUS = {"ref_census_g01": "silver_census_g01_clean", "ref_census_g02": "silver_census_g02_clean"}
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "property_mart_core": _rel("property_mart_core"),
@@ -201,6 +206,8 @@ def queries() -> dict[str, Query]:
     q["quality_report"] = quality_report
     q["lga_priority_lookup"] = lga_priority_lookup
     q["airbnb"] = _rel("airbnb")
+    for name in BRONZE_LOOKUPS + list(REF_CENSUS):
+        q[name] = _rel(name)
     return q
 
 
@@ -221,4 +228,8 @@ def oracle_sql() -> dict[str, str]:
     o["quality_report"] = _body(QUALITY_SQL_BODY)
     o["lga_priority_lookup"] = osql._with_tail(LGA_LOOKUP_SQL_BODY)
     o["airbnb"] = osql.relation("src_airbnb")
+    for name in BRONZE_LOOKUPS:
+        o[name] = osql.relation(f"src_{name}")
+    for name, silver_name in REF_CENSUS.items():
+        o[name] = osql.relation(silver_name)
     return o
