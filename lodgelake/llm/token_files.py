@@ -20,60 +20,111 @@ sequence or a batch runs on over as many as it needs.  Only the id and text colu
 
 from __future__ import annotations
 
-import re
+import functools
+import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import local_path, scratch, shuffle_parts
 
-#: A task keeps the ids of at most so many different pieces.
-CACHE_PIECES = 400_000
-_CUT = re.compile(r"(?<=\S)(?= )")
-_ODD_BLANK = re.compile(r"\s ")
+#: A worker process keeps the ids of at most so many different pieces, over all its tasks.
+CACHE_PIECES = 1_000_000
+#: Texts are encoded in slices of about so many bytes (a longer text is one slice).
+SLICE_BYTES = 16 << 20
+
+
+def piece_cuts(data: np.ndarray) -> np.ndarray:
+    """Marks the bytes of UTF-8 text that the byte-level pre-tokenizer always starts a token at.
+
+    Its pattern never goes on from a non-space character to white space, nor from a letter to a
+    punctuation mark, and takes a single line break between two other characters by itself.  Only
+    cases that single bytes decide are marked; a boundary left unmarked makes a longer piece, no
+    other result.
+    """
+    n = len(data)
+    cut = np.zeros(n, dtype=bool)
+    if n < 2:
+        return cut
+    prev, this = data[:-1], data[1:]
+    visible = (prev > 0x20) & (prev < 0x7F)
+    letter = ((data | 0x20) >= 0x61) & ((data | 0x20) <= 0x7A)
+    cut[1:] = (this == 0x20) & visible
+    # the last byte of a two-byte character with lead C3 to DF, none of which is white space
+    cut[2:] |= (this[1:] == 0x20) & (prev[1:] >= 0x80) & (data[:-2] >= 0xC3) & (data[:-2] <= 0xDF)
+    mark = (this == 0x2E) | (this == 0x2C) | ((this >= 0x21) & (this <= 0x26)) | (this == 0x2A) | (this == 0x7C)
+    cut[1:] |= mark & letter[:-1]
+    line = (this[:-1] == 0x0A) & visible[:-1] & letter[2:]
+    cut[1:-1] |= line
+    cut[2:] |= line
+    return cut
 
 
 class PieceEncoder:
     """Ids of whole texts by a ``tokenizers`` file; equal pieces are encoded once."""
 
     def __init__(self, path: str, dtype: str = "<u2"):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = dtype
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.pieces) + len(pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        new = list(pieces - self.pieces.keys())
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        found = list(map(self.known.get, pieces))
+        new = [i for i, x in enumerate(found) if x is None]
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known.clear()
         for at in range(0, len(new), 20_000):
             part = new[at:at + 20_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.pieces[p] = np.array(e.ids, dtype=self.dtype).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for t in texts:
-            if t[:1] == " " or _ODD_BLANK.search(t):
-                cut.append(_CUT.split(t))
-            else:
-                cut.append(t.replace(" ", "\0 ").split("\0") if "\0" not in t else _CUT.split(t))
-        need = set().union(*cut) if cut else set()
-        need.discard("")
-        known = self.pieces
-        if not need <= known.keys():
-            self._learn(need)
-            if not need <= known.keys():  # the cache was emptied
-                self._learn(need)
-        known[""] = b""
-        get = known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+            texts = [pieces[i].decode() for i in part]
+            for i, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                found[i] = self.known[pieces[i]] = array(self.code, e.ids).tobytes()
+        return found
+
+    @property
+    def code(self) -> str:
+        return "H" if self.dtype == "<u2" else "I"
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none) and where each text's ids start; one entry more than texts."""
+        texts = pc.fill_null(texts, "").cast(pa.large_binary())
+        ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        first, last = int(ends[0]), int(ends[-1])
+        if last == first:
+            return np.zeros(0, dtype=self.dtype), np.zeros(len(texts) + 1, dtype=np.int64)
+        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[first:last]
+        ends = ends - first
+        cut = piece_cuts(data)
+        cut[ends[:-1][ends[:-1] < len(data)]] = True
+        starts = np.flatnonzero(cut)
+        offsets = np.append(starts, len(data)).astype(np.int64)
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        ids = self._ids(pieces.dictionary.to_pylist())
+        size = np.dtype(self.dtype).itemsize
+        n_ids = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // size
+        flat = np.frombuffer(b"".join(ids), dtype=self.dtype)
+        piece_n = n_ids[which]
+        upto = np.append(0, np.cumsum(piece_n))
+        at = np.repeat((np.cumsum(n_ids) - n_ids)[which] - upto[:-1], piece_n)
+        at += np.arange(len(at))
+        return flat[at], upto[np.searchsorted(starts, ends)]
+
+
+@functools.lru_cache(maxsize=1)
+def worker_encoder(path: str, dtype: str) -> PieceEncoder:
+    """One encoder for each Python worker process, so its pieces serve all of its tasks."""
+    return PieceEncoder(path, dtype)
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -178,6 +229,16 @@ class TokenFile:
             yield reader.get_batch(i)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about SLICE_BYTES of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    group = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 0,
                       seq_len: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
     """Write ``docs`` and return the list of files in id order: name, first id, ids, documents.
@@ -195,12 +256,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
         writer = encoder = None
         for batch in batches:
             if writer is None:
-                writer, encoder = TokenFileWriter(folder, seq_len, dtype), PieceEncoder(tokenizer, dtype)
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                for doc_id, x in zip(part.column(0).to_pylist(), ids):
-                    writer.add(doc_id, x + end)
+                writer, encoder = TokenFileWriter(folder, seq_len, dtype), worker_encoder(tokenizer, dtype)
+            for part in slices(batch):
+                ids, starts = encoder.encode(part.column(1))
+                for i, doc_id in enumerate(part.column(0).to_pylist()):
+                    writer.add(doc_id, ids[starts[i]:starts[i + 1]].tobytes() + end)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({
