@@ -51,3 +51,37 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
        CAST(NULL AS INTEGER) AS grown_shard
 FROM placed
 """
+
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATION = f"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}'), []) AS w
+    FROM documents
+), item AS (
+    SELECT item_id,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}'), []) AS w
+    FROM benchmark
+), windows AS (
+    SELECT item_id, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS p
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)
+), lengths AS (
+    SELECT DISTINCT n FROM windows
+), places AS (
+    SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS p
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, lengths WHERE len(w) >= n)
+), occurs AS (
+    SELECT r, n, i, item_id FROM places JOIN windows USING (n, p)
+), hit AS (
+    SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM occurs) GROUP BY r
+), named AS (
+    SELECT r, count(DISTINCT item_id) AS n_items,
+           coalesce(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)), '') AS ids
+    FROM occurs GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

@@ -13,14 +13,29 @@ from pyspark.sql import functions as F
 
 from lodgelake.llm import oracles
 from lodgelake.llm.common import documents
+from lodgelake.llm.decontaminate import contamination
 from lodgelake.llm.mixing import mix_sizes
 from lodgelake.llm.sharding import shard_by_bytes
+from lodgelake.llm.simhash import near_duplicates
 from lodgelake.llm.token_files import read_documents, write_token_files
 from lodgelake.llm.vector_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 13-word windows of benchmark items."""
+    found = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 3-word shingles and the components that 3 or fewer differing bits link."""
+    found = near_duplicates(documents(spark, sf_dir), width=3, distance=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each query's five highest integer inner products over all vectors."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
@@ -50,8 +65,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_top_k, op5_sharding, op9_token_files, op10_mixing)}
+    return {f.__name__: f for f in (op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op9_token_files, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_top_k": oracles.TOP_K, "op5_sharding": oracles.SHARDING}
+    return {"op2_decontamination": oracles.DECONTAMINATION, "op4_top_k": oracles.TOP_K, "op5_sharding": oracles.SHARDING}
