@@ -77,6 +77,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = dtype
         self.known: dict[bytes, bytes] = {}
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         found = list(map(self.known.get, pieces))
@@ -104,6 +105,12 @@ class PieceEncoder:
         data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[first:last]
         ends = ends - first
         cut = piece_cuts(data)
+        whole = data.tobytes()
+        for token in self.added:  # found in a text before it is cut, so none is cut apart
+            at = whole.find(token)
+            while at >= 0:
+                cut[at + 1:at + len(token)] = False
+                at = whole.find(token, at + 1)
         cut[ends[:-1][ends[:-1] < len(data)]] = True
         starts = np.flatnonzero(cut)
         offsets = np.append(starts, len(data)).astype(np.int64)
