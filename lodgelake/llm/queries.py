@@ -15,6 +15,7 @@ from lodgelake.llm import oracles
 from lodgelake.llm.common import documents
 from lodgelake.llm.decontaminate import contamination
 from lodgelake.llm.mixing import mix_sizes
+from lodgelake.llm.quality import scores
 from lodgelake.llm.sharding import shard_by_bytes
 from lodgelake.llm.simhash import near_duplicates
 from lodgelake.llm.token_files import read_documents, write_token_files
@@ -49,6 +50,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learnt from the labels that are not held out."""
+    return scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Whole texts as token ids in Arrow files of equal-length sequences, read back."""
     if tokenizer is None:
@@ -65,7 +71,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op9_token_files, op10_mixing)}
+    return {f.__name__: f for f in (op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op7_quality, op9_token_files, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
