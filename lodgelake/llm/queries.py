@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelake.llm import oracles
+from lodgelake.llm import lm_score, oracles
 from lodgelake.llm.common import documents
 from lodgelake.llm.decontaminate import contamination
 from lodgelake.llm.mixing import mix_sizes
@@ -55,6 +55,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probability of every whole text."""
+    return lm_score.scores(documents(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Whole texts as token ids in Arrow files of equal-length sequences, read back."""
     if tokenizer is None:
@@ -71,7 +76,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op7_quality, op9_token_files, op10_mixing)}
+    return {f.__name__: f for f in (op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op7_quality, op8_lm_score, op9_token_files, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
