@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelake.llm import lm_score, oracles
+from lodgelake.llm import lm_score, oracles, substring_dedup
 from lodgelake.llm.common import documents
 from lodgelake.llm.decontaminate import contamination
 from lodgelake.llm.mixing import mix_sizes
@@ -24,6 +24,11 @@ from lodgelake.llm.vector_search import top_k
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that 200-byte strings repeated anywhere cover, removed."""
+    return substring_dedup.digest(documents(spark, sf_dir), length=200)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 13-word windows of benchmark items."""
     found = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20)
@@ -76,7 +81,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op7_quality, op8_lm_score, op9_token_files, op10_mixing)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op7_quality, op8_lm_score, op9_token_files, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
