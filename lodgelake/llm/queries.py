@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelake.llm import lm_score, oracles, substring_dedup
+from lodgelake.llm import line_chunks, lm_score, oracles, substring_dedup
 from lodgelake.llm.common import documents
 from lodgelake.llm.decontaminate import contamination
 from lodgelake.llm.mixing import mix_sizes
@@ -55,6 +55,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of multi-line chunks."""
+    return line_chunks.digest(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text, learnt from the labels that are not held out."""
     return scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
@@ -81,7 +86,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op7_quality, op8_lm_score, op9_token_files, op10_mixing)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op6_line_dedup, op7_quality, op8_lm_score, op9_token_files, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

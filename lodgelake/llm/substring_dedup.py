@@ -17,8 +17,7 @@ anchors, so a shard holds whole groups of strings with one anchor hash:
 5. Repeated strings go back to their occurrences and are united per document.
 
 Texts are not shuffled: each scan partition looks its own rows up in a table on shared storage that is
-laid out by scan partition.  So ``docs`` must be a table scan (or anything that gives the same partitions
-again); every lookup checks the size of its text and fails rather than cut a wrong one.
+laid out by scan partition (``lookups.py``), so ``docs`` must be a table scan.
 
 Defined cases: null text is empty text; texts shorter than ``length`` lose nothing; repeated rows are separate
 texts and lose what they share; a null id is kept; an empty table gives no rows; only the id and text
@@ -28,18 +27,17 @@ columns are read, so other names cannot clash.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.anchors import runs
-from lodgelake.llm.common import local_path, scratch, shuffle_parts, written
+from lodgelake.llm.common import shuffle_parts, written
+from lodgelake.llm.lookups import beside_texts, lay_out, numbered
 from lodgelake.llm.suffix_array import permuted_lcp, suffix_array
 
 #: Bytes of an anchor.
@@ -48,14 +46,6 @@ GRAM = 64
 SLICE_BYTES, SHARD_BYTES = 4 << 20, 1 << 20
 #: Pieces of one anchor that are sorted together; beyond, its strings are dealt one by one.
 HOT_PIECES = 4000
-#: Scan partitions whose lookups share a folder.
-FOLDER = 16
-_PART = 33  # bits of a row number below its scan partition
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").cast("binary").alias("t"))
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,60 +81,6 @@ def text_runs(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(cut, "key long, piece long, row long, start int, n int")
 
 
-def _lookup(df: DataFrame, name: str) -> str:
-    """Write rows with a ``row`` column in folders by scan partition; returns the path."""
-    path = scratch(df.sparkSession, name)
-    (df.withColumn("folder", F.shiftright("row", _PART) / FOLDER).withColumn("folder", F.floor("folder"))
-     .repartitionByRange(shuffle_parts(df.sparkSession), "folder", "row").sortWithinPartitions("folder", "row")
-     .write.partitionBy("folder").parquet(path))
-    return path
-
-
-def _with_lookup(rows: DataFrame, path: str, schema: str,
-                 one: Callable[[int, int | None, bytes, list[tuple]], Iterator[tuple]], columns: list[str], every: bool) -> DataFrame:
-    """Run ``one(row, doc_id, text, looked-up tuples)`` where each text lies; with ``every`` also where nothing is found."""
-    local = local_path(path)
-
-    def read(part: int) -> dict[int, list[tuple]]:
-        fs, at = (pafs.LocalFileSystem(), local) if local else pafs.FileSystem.from_uri(path)
-        folder = f"{at}/folder={part // FOLDER}"
-        found: dict[int, list[tuple]] = {}
-        if fs.get_file_info(folder).type == pafs.FileType.NotFound:
-            return found
-        for info in fs.get_file_info(pafs.FileSelector(folder)):
-            if info.base_name.startswith(("_", ".")):
-                continue
-            with fs.open_input_file(info.path) as f:
-                table = pq.read_table(f, columns=["row", "size", *columns],
-                                      filters=[("row", ">=", part << _PART), ("row", "<", (part + 1) << _PART)])
-            for row, *values in zip(*(c.to_pylist() for c in table.columns)):
-                found.setdefault(row, []).append(tuple(values))
-        return found
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = None
-        for batch in batches:
-            out = []
-            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if found is None:
-                    found = read(row >> _PART)
-                got = found.get(row, [])
-                text = text or b""
-                if any(x[0] != len(text) for x in got):
-                    raise RuntimeError("the documents came in another order than before; pass a table scan")
-                if got or every:
-                    out.extend(one(row, doc_id, text, [x[1:] for x in got]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), types)], names=names)
-
-    fields = [f.strip().split(" ", 1) for f in schema.split(", ")]
-    names = [n for n, _ in fields]
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(),
-             "array<struct<first:int,last:int>>": pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))}
-    types = [kinds[k] for _, k in fields]
-    return rows.mapInArrow(run, schema)
-
-
 SPANS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
 FOUND = "key long, piece long, n int, spans array<struct<at:int,n:int>>"
 
@@ -253,7 +189,7 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _repeats(docs: DataFrame, length: int, id_col: str, text_col: str, one, schema: str) -> DataFrame:
-    rows = _rows(docs, id_col, text_col)
+    rows = numbered(docs, id_col, text_col)
     sizes = rows.select("row", F.coalesce(F.octet_length("t"), F.lit(0)).alias("size"))
     every = text_runs(rows, length)
     keys = written(every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "repeated-anchors")
@@ -264,13 +200,13 @@ def _repeats(docs: DataFrame, length: int, id_col: str, text_col: str, one, sche
     alone = pieces.join(kinds.where("kinds = 1"), "key").select("key", "piece", "n", F.array(F.struct(F.lit(0).alias("at"), "n")).alias("spans"))
 
     several = pieces.join(kinds.where("kinds > 1"), "key").join(sizes, "row")
-    cuts = _lookup(several.groupBy("row", "size").agg(F.collect_list(F.struct("key", "piece", "n", "often", "kinds", "start")).alias("cuts")), "cuts")
+    cuts = lay_out(several.groupBy("row", "size").agg(F.collect_list(F.struct("key", "piece", "n", "often", "kinds", "start")).alias("cuts")), "cuts")
 
     def bytes_of(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         for c in got[0][0]:
             yield c["key"], c["piece"], c["n"], c["often"], c["kinds"], text[c["start"]:c["start"] + c["n"] + length - 1]
 
-    held = written(_with_lookup(rows, cuts, "key long, piece long, n int, often long, kinds long, bytes binary", bytes_of, ["cuts"], False), "piece-bytes")
+    held = written(beside_texts(rows, cuts, "key long, piece long, n int, often long, kinds long, bytes binary", bytes_of, ["cuts"], False), "piece-bytes")
     found = alone.unionByName(_sorted_shards(held.where(F.col("kinds") <= HOT_PIECES), length)).unionByName(
         _counted_strings(held.where(F.col("kinds") > HOT_PIECES), length))
     first = F.col("start") + F.col("s.at")
@@ -278,4 +214,4 @@ def _repeats(docs: DataFrame, length: int, id_col: str, text_col: str, one, sche
              .select("row", "start", F.explode("spans").alias("s"))
              .groupBy("row").agg(F.collect_list(F.struct(first.alias("first"), (first + F.col("s.n") + (length - 1)).alias("last"))).alias("spans"))
              .join(sizes, "row"))
-    return _with_lookup(rows, _lookup(spans, "spans"), schema, one, ["spans"], True)
+    return beside_texts(rows, lay_out(spans, "spans"), schema, one, ["spans"], True)
