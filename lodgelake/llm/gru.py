@@ -160,9 +160,8 @@ def text_scores(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, l
         for t in range(t0, min(t0 + WINDOW, last)):
             n = lanes.active(t)
             at = lanes.start[:n] + t
-            h = h[:n]
-            h[lanes.begins[at]] = 0
-            h, _ = step(p, rows[lanes.inputs[at]], h)
+            before = np.where(lanes.begins[at][:, None], np.float32(0), h[:n])
+            h, _ = step(p, rows[lanes.inputs[at]], before)
             states.append(h)
             places.append(at)
         at = np.concatenate(places)
