@@ -80,7 +80,7 @@ def _certain(hist: DataFrame) -> DataFrame:
 def _ranked(seed: int) -> tuple[Column, Column]:
     u = (F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 11).cast("double") + 0.5) / float(2 ** 53)
     p = F.col("lam") * F.col("size")
-    q = (u / (1 - u)) / (p / (1 - p))
+    q = F.try_divide(u / (1 - u), F.try_divide(p, 1 - p))  # null where size or lambda is 0
     return q, F.floor(F.log2(q) * BUCKETS_PER_OCTAVE).cast("long")
 
 
