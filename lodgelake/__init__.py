@@ -7,7 +7,6 @@ Layers (all lazy DataFrames unless written by ``plans.build``):
 * ``operators`` -- DataFrame -> DataFrame operators: top-per-group, calendar, SCD2,
                    point-in-time join, priority lookup, exact median, size-checked broadcast
 * ``plans``     -- the bronze / silver / snapshot / star / mart relations wired together
-* ``streaming`` -- monthly drops fed through Structured Streaming into the SCD2 merge
 """
 
 __version__ = "0.1.0"

@@ -12,7 +12,6 @@ from lodgelake.functions.dates import (  # noqa: F401
     calendar_date_id,
     date_from_id,
     date_id,
-    month_end_exclusive,
     month_start,
 )
 from lodgelake.functions.keys import scd_id, surrogate_key  # noqa: F401

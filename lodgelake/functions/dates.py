@@ -15,11 +15,6 @@ def month_start(c) -> Column:
     return F.trunc(col(c).cast("date"), "MM")
 
 
-def month_end_exclusive(c) -> Column:
-    """First day of the following month (``date_trunc('month', d) + interval '1 month'``)."""
-    return F.add_months(month_start(c), 1)
-
-
 def date_id(c) -> Column:
     """``to_char(d, 'YYYYMMDD')::int``."""
     return F.date_format(col(c), DATE_ID_FORMAT).cast("int")

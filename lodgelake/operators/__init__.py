@@ -1,6 +1,5 @@
 """DataFrame -> DataFrame operators built from Spark's DataFrame API."""
 
-from lodgelake.operators.broadcast import bounded_broadcast  # noqa: F401
 from lodgelake.operators.calendar import calendar, calendar_from_data, dim_date  # noqa: F401
 from lodgelake.operators.dedup import earliest_per_group, latest_per_group, top_per_group  # noqa: F401
 from lodgelake.operators.joins import month_version_join  # noqa: F401

@@ -7,8 +7,10 @@ key × months blow-up, worst on a hot key.  Versions built by
 ``scd2.month_versions`` always cover exactly one calendar month, so the month
 of ``at`` is added as a second equi-key: each fact row meets at most the one
 version of its month, the shuffle spreads a hot key over its months, and AQE can
-split a still-skewed (key, month) partition.  The original range predicate stays
-as a residual, so the result equals the range join for such versions.
+split a still-skewed (key, month) partition.  Facts without a key can match nothing;
+they are spread over the partitions by their other join columns instead of meeting in
+one per month.  The original range predicate stays as a residual, so the result equals
+the range join for such versions.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from lodgelake.functions.dates import month_start
 
 OPEN_END = "9999-12-31"
+NULL_SPREAD = 1024  # partitions that facts without a key are dealt over, at most
 
 
 def month_version_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
@@ -31,10 +34,13 @@ def month_version_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
     version_key = version_key or key
     v = versions.select(F.col(version_key).alias("_pit_key"), F.col(start).alias("_pit_start"),
                         F.col(end).alias("_pit_end"), *attributes)
-    f = facts.withColumn("_pit_month", month_start(at).cast("timestamp_ntz"))
+    spread = (-1 - F.pmod(F.xxhash64(*[c for c in facts.columns if c != key]), F.lit(NULL_SPREAD))).cast("bigint")
+    f = (facts.withColumn("_pit_month", month_start(at).cast("timestamp_ntz"))
+         .withColumn("_pit_by", F.coalesce(F.col(key).cast("bigint"), spread)))
     at_ts = F.col(at).cast("timestamp_ntz")
-    cond = ((F.col(key) == F.col("_pit_key"))
+    cond = ((F.col("_pit_by") == F.col("_pit_key"))
+            & F.col(key).isNotNull()
             & (F.col("_pit_month") == F.col("_pit_start"))
             & (at_ts >= F.col("_pit_start"))
             & (at_ts < F.coalesce(F.col("_pit_end"), F.lit(OPEN_END).cast("timestamp_ntz"))))
-    return f.join(v, cond, how).drop("_pit_key", "_pit_start", "_pit_end", "_pit_month")
+    return f.join(v, cond, how).drop("_pit_key", "_pit_start", "_pit_end", "_pit_month", "_pit_by")

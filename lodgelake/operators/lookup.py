@@ -3,8 +3,8 @@
 The reference left-joins the reference table three times: by suburb, then by LGA
 name only where the suburb missed, then an override list, and coalesces the three.
 All three lookups depend only on the key, so the priority is resolved once on the
-small side into a single (key -> code, name) table and the facts take one
-broadcast left join.  Multiplicities are kept: a suburb in two LGAs yields two
+small side into a single (key -> code, name) table and the facts take one left
+join, whose strategy the planner and AQE choose from measured sizes.  Multiplicities are kept: a suburb in two LGAs yields two
 rows, as in the reference.
 
 ``literal=False`` (default) reduces the by-name lookup to distinct (code, name),
@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgelake.operators.broadcast import bounded_broadcast
 
 # The reference's inline override relation.
 OVERRIDES = [("unknown", None, "Unknown"), ("overseas", None, "Overseas")]
@@ -28,7 +27,6 @@ OVERRIDE_SCHEMA = T.StructType([
     T.StructField("lga_code", T.StringType(), True),
     T.StructField("lga_name", T.StringType(), True),
 ])
-LOOKUP_MAX_ROWS = 5_000_000
 
 
 def overrides(spark: SparkSession) -> DataFrame:
@@ -55,5 +53,4 @@ def priority_lookup(df: DataFrame, key_col: str, table: DataFrame,
     """Left-join ``df`` to a resolved lookup table on ``key_col`` (null keys match nothing)."""
     t = table.select("lookup_key", F.col("lga_code").cast("string").alias(code_col),
                      F.col("lga_name").alias(name_col))
-    t = bounded_broadcast(t, LOOKUP_MAX_ROWS)
     return df.join(t, df[key_col] == t["lookup_key"], "left").drop("lookup_key")

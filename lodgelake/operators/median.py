@@ -5,21 +5,19 @@ memory and returns a double.  Here:
 
 1. pre-aggregate to (group, value) -> count: partial aggregation before the
    shuffle, which is keyed by value too, so a hot group is spread out;
-2. split every group into ``buckets`` value ranges, with boundaries from
-   ``percentile_approx`` (a mergeable sketch, itself a partial aggregate).  The
-   running count is then computed per (group, bucket), so a group that holds a
-   third of all rows is sorted by ``buckets`` tasks, not one.  A bucket's offset
-   is the count of the buckets below it: a per-group prefix sum over at most
-   ``buckets`` rows;
-3. the values at 0-based positions floor((n-1)/2) and floor(n/2) are picked and
-   averaged exactly in decimal, then rounded half away from zero.
+2. cut every group into ``buckets`` value ranges, with boundaries from
+   ``percentile_approx`` (a mergeable sketch, itself a partial aggregate), and count
+   the rows of each;
+3. the counts tell which bucket holds position floor((n-1)/2) and which holds
+   floor(n/2); only the values of those one or two buckets are put in order;
+4. the two values are averaged exactly in decimal and rounded half away from zero.
 
 Boundaries only balance the work; the positions come from exact counts, so the
 result is exact whatever the sketch returns.  It equals
 ``round(percentile_cont(0.5) ... ::numeric, scale)`` without the double round
-trip (T15).  The boundary and offset tables have one row per group (and bucket);
-their joins are left to AQE, which broadcasts them from their measured size and
-otherwise splits the hot group's side of the sort-merge join (skew join).
+trip (T15).  The group is one struct column throughout: a struct is never null, so
+groups with null keys join like any other and one partitioning by it serves the
+joins and the ordering.
 """
 
 from __future__ import annotations
@@ -36,15 +34,6 @@ DEFAULT_BUCKETS = 16
 SKETCH_ACCURACY = 1000
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_k_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*[f"_k_{k}" for k in keys])
-
-
 def exact_median(df: DataFrame, group_cols: Sequence[str], value, out_col: str = "median",
                  scale: int = 2, value_scale: int = 2, where: Column | None = None,
                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -52,37 +41,34 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value, out_col: str =
     v = col(value)
     if where is not None:
         v = F.when(where, v)
-    counted = (df.select(*g, v.alias("_v"))
+    counted = (df.select(F.struct(*g).alias("_g"), v.alias("_v"))
                .where(F.col("_v").isNotNull())
-               .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-
+               .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
-        bounds = counted.groupBy(*g).agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_b"))
-        with_b = _null_safe_join(counted, bounds, g)
-        with_b = with_b.withColumn("_bk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
+        bounds = counted.groupBy("_g").agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_b"))
+        counted = counted.join(bounds, "_g").withColumn(
+            "_bk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
     else:
-        with_b = counted.withColumn("_bk", F.lit(0))
-
-    per_bucket = with_b.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
-    w_groups = Window.partitionBy(*g)
-    w_below = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*g, "_bk",
-                                F.coalesce(F.sum("_bc").over(w_below), F.lit(0)).alias("_off"),
-                                F.sum("_bc").over(w_groups).alias("_n"))
-    ranked = _null_safe_join(with_b, offsets, g + ["_bk"])
-    running = (Window.partitionBy(*g, "_bk").orderBy("_v")
+        counted = counted.withColumn("_bk", F.lit(0))
+
+    per_bucket = counted.groupBy("_g", "_bk").agg(F.sum("_c").alias("_bc"))
+    groups = per_bucket.groupBy("_g").agg(F.sum("_bc").alias("_n"),
+                                          F.collect_list(F.struct("_bk", "_bc")).alias("_all"))  # at most ``buckets``
+    below = F.aggregate(F.filter("_all", lambda b: b["_bk"] < F.col("_bk")), F.lit(0).cast("bigint"),
+                        lambda a, b: a + b["_bc"])
+    own = F.filter("_all", lambda b: b["_bk"] == F.col("_bk"))[0]["_bc"]
+    lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    near = (counted.join(groups, "_g").withColumn("_off", below)
+            .where((F.col("_off") <= hi) & (lo < F.col("_off") + own)))
+    running = (Window.partitionBy("_g", "_bk").orderBy("_v")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = ranked.withColumn("_upto", F.col("_off") + F.sum("_c").over(running))
-
-    lo_pos = F.floor((F.col("_n") - 1) / 2)
-    hi_pos = F.floor(F.col("_n") / 2)
+    ranked = near.withColumn("_upto", F.col("_off") + F.sum("_c").over(running))
 
-    def covers(pos: Column) -> Column:
-        return (F.col("_upto") - F.col("_c") <= pos) & (pos < F.col("_upto"))
+    def at(pos: Column) -> Column:
+        return F.max(F.when((F.col("_upto") - F.col("_c") <= pos) & (pos < F.col("_upto")), F.col("_v")))
 
-    picked = ranked.groupBy(*g).agg(
-        F.max(F.when(covers(lo_pos), F.col("_v"))).alias("_lo"),
-        F.max(F.when(covers(hi_pos), F.col("_v"))).alias("_hi"))
-    return picked.select(*g, round_ratio(F.col("_lo") + F.col("_hi"), F.lit(2), scale=scale,
-                                         num_scale=value_scale).alias(out_col))
+    picked = ranked.groupBy("_g").agg(at(lo).alias("_lo"), at(hi).alias("_hi"))
+    return picked.select(*[F.col("_g").getField(c).alias(c) for c in g],
+                         round_ratio(F.col("_lo") + F.col("_hi"), F.lit(2), scale=scale,
+                                     num_scale=value_scale).alias(out_col))

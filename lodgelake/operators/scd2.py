@@ -10,8 +10,8 @@ appearing stay open.
   one pass -- one version per distinct (key, updated_at) and
   ``dbt_valid_to = lead(updated_at)``.  Deterministic; accepts loads in any order.
 * ``scd2_merge``: one incremental load against an existing snapshot.  Only the
-  open versions meet the incoming rows (a join on the key); closed history passes
-  through untouched.  The result goes to a new location (no transactional table
+  open versions meet the incoming rows (a join on the key); closed versions keep their
+  values and are copied.  The result goes to a new location (no transactional table
   format is available), see ``plans.incremental``.
 
 Per-key windows hold one row per key and month, so a hot key costs one row per

@@ -8,7 +8,8 @@ Marts stay views (lazy DataFrames over the written star tables).
 Layout choices for scale:
 
 * the bronze scrape (the monthly landing table) is partitioned by ``source_month``,
-  so a monthly run prunes whole directories (``silver_airbnb_clean(months=...)``);
+  so a monthly run prunes whole directories (``silver_airbnb_clean(months=...)``), and
+  clustered by it before the write, so a month has as many files as its size asks for;
 * every other table is written as the plan produces it (AQE-sized partitions);
   ``maxRecordsPerFile`` bounds file sizes.
 """
@@ -20,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgelake.plans.model import TABLES, RentalModel
-from lodgelake.sources.sinks import committed, publish, table_path, write_table
+from lodgelake.sources.sinks import committed_attempt, new_attempt, publish, write_table
 
 PARTITIONS = {"airbnb": ["source_month"]}
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -32,18 +33,18 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, run_id:
 
     Re-running with the same ``run_id`` resumes: a table whose write committed in that
     run is read back instead of recomputed, and one that did not commit is written
-    again into the run's own folder (never a table that anything reads).
+    again, to a new folder of the run.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     written: dict[str, str] = {}
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
-        path = table_path(root, run_id, name)
-        if committed(spark, path):
+        path = committed_attempt(spark, root, run_id, name)
+        if path:
             out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
         else:
-            parts = PARTITIONS.get(name, []) if partition else []
-            out = write_table(df, path, parts, MAX_RECORDS_PER_FILE, mode="overwrite")
+            path = new_attempt(root, run_id, name)
+            out = write_table(df, path, PARTITIONS.get(name, []) if partition else [], MAX_RECORDS_PER_FILE)
         written[name] = path
         return out
 

@@ -1,13 +1,13 @@
 """Entry point B: one monthly load.
 
-* ``land_month`` puts a month's raw scrape into the month-partitioned bronze table
-  with dynamic partition overwrite, so only that month's folder is replaced and
-  re-landing a month is idempotent.
-* ``merge_month_snapshots`` applies the month to the published snapshots: the
-  month's rows are cleaned and reduced to the host / property feeds, merged into
-  the current snapshot versions (``scd2_merge``: only open versions meet the new
-  rows), written to this run's folder and published with the rest of the
-  previous run's tables.  Silver / star / marts are full refreshes (``build``).
+* ``land_month`` puts one drop of a month's raw scrape into bronze.  The table is partitioned by
+  month and drop, and a drop replaces only itself: landing it again changes nothing, and further
+  drops of the same month are added.  ``read_landed`` gives the rows of all drops.
+* ``merge_month_snapshots`` applies a load to the published snapshots: the load's rows are cleaned
+  and reduced to the host / property feeds, merged into the current versions (``scd2_merge``),
+  written to fresh folders and published.  A load whose run id is already published is left alone,
+  so a batch that is executed again after publishing, or after any failure before it, gives the same
+  state.  Silver / star / marts are full refreshes (``build``).
 """
 
 from __future__ import annotations
@@ -15,43 +15,48 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodgelake.operators.scd2 import scd2_merge, scd2_replay
 from lodgelake.plans.model import RentalModel
 from lodgelake.plans.silver import HOST_FEED_COLUMNS
 from lodgelake.plans.star import PROPERTY_SNAPSHOT_COLUMNS
-from lodgelake.sources.sinks import current_tables, publish, table_path, write_table
+from lodgelake.sources.schemas import AIRBNB_RAW
+from lodgelake.sources.sinks import current, current_tables, manifests, new_attempt, publish, write_table
 
 
-def land_month(raw_month: DataFrame, bronze_path: str) -> None:
-    (raw_month.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source_month")
-     .parquet(bronze_path))
+def land_month(raw: DataFrame, bronze_path: str, drop: str) -> None:
+    """Land one drop of raw rows; ``drop`` names it among its months' drops."""
+    (raw.withColumn("drop", F.lit(drop)).hint("rebalance", "source_month")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source_month", "drop").parquet(bronze_path))
+
+
+def read_landed(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """The raw rows of all landed drops."""
+    return spark.read.schema(AIRBNB_RAW).parquet(bronze_path).select(*AIRBNB_RAW.fieldNames())
 
 
 def merge_month_snapshots(spark: SparkSession, root: str, month_sources: dict[str, DataFrame],
                           run_id: str | None = None, literal: bool = False) -> dict[str, str]:
     """Merge one load into ``host_snapshot`` / ``property_snapshot``; returns the published tables."""
     run_id = run_id or uuid.uuid4().hex[:12]
-    previous = current_tables(spark, root)
+    if any(done == run_id for _, done in manifests(spark, root)):
+        return current_tables(spark, root)
+    number, previous = current(spark, root)
     month = RentalModel(spark, month_sources, literal=literal)
     feeds = [
-        ("host_snapshot", month.silver_host_for_snapshot.select(*HOST_FEED_COLUMNS), "host_id",
-         HOST_FEED_COLUMNS),
-        ("property_snapshot", month.silver_property_for_snapshot.select(*PROPERTY_SNAPSHOT_COLUMNS),
-         "listing_id", PROPERTY_SNAPSHOT_COLUMNS),
+        ("host_snapshot", month.silver_host_for_snapshot, "host_id", HOST_FEED_COLUMNS),
+        ("property_snapshot", month.silver_property_for_snapshot, "listing_id", PROPERTY_SNAPSHOT_COLUMNS),
     ]
     tables = dict(previous)
     for name, feed, key, cols in feeds:
+        feed = feed.select(*cols)
         if name in previous:
             snap = scd2_merge(spark.read.parquet(previous[name]), feed, key, "scraped_date", cols)
         else:
             snap = scd2_replay(feed, key, "scraped_date", cols)
-        path = table_path(root, run_id, name)
-        # this run's own folder: a retried batch may overwrite its partial output;
-        # the inputs come from earlier runs and are never written here
-        write_table(snap, path, mode="overwrite")
-        tables[name] = path
-    publish(spark, root, run_id, tables)
+        tables[name] = new_attempt(root, run_id, name)
+        write_table(snap, tables[name])
+    publish(spark, root, run_id, tables, after=number)
     return tables

@@ -5,8 +5,8 @@ key and month) -> derived stays/revenue -> grouped aggregate (partial, map-side)
 -> exact median per group (separate distributed aggregate, joined back on the
 group keys) -> ``lag`` over the aggregated panel.
 
-Measures are exact decimals internally (see ``functions.numeric``) and are
-published as ``double`` (rates, money) or ``bigint`` (counts).
+The calendar itself is not read: its day and month follow from ``date_id``.  Measures are
+exact decimals throughout (see ``functions.numeric``); counts are ``bigint``.
 """
 
 from __future__ import annotations
@@ -67,8 +67,31 @@ def _lagged(df: DataFrame, partition: Sequence[str], measures: dict[str, str]) -
     return df
 
 
-def _money(c) -> Column:
-    return (c if isinstance(c, Column) else F.col(c)).cast("double")
+# Published types: money and review averages as the warehouse has them; percentages and the
+# warehouse's unbounded numerics in a type that cannot overflow.
+MONEY, SCORE, WIDE = "decimal(14,2)", "decimal(6,2)", "decimal(18,2)"
+
+
+def _as(c, kind: str) -> Column:
+    return (c if isinstance(c, Column) else F.col(c)).cast(kind)
+
+
+def _host_counts(rows: DataFrame, keys: Sequence[str], superhost: str) -> DataFrame:
+    """Distinct hosts and superhosts per group: one row per (group, host) first, then plain counts."""
+    per_host = rows.groupBy(*keys, "host_id").agg(F.bool_or(superhost).alias("_s"))
+    return per_host.groupBy(*keys).agg(
+        F.count("host_id").alias("distinct_hosts"),
+        F.count(F.when(F.col("_s"), F.col("host_id"))).alias("n_superhosts"))
+
+
+def _sum_count(name: str, value: Column | str) -> list[Column]:
+    """The two parts of an exact average, kept apart until the last level."""
+    v = F.col(value) if isinstance(value, str) else value
+    return [F.sum(v).alias(f"{name}_sum"), F.count(v).alias(f"{name}_n")]
+
+
+def _average(name: str) -> Column:
+    return round_ratio(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
 
 
 def dm_listing_neighbourhood(fact: DataFrame, hosts: DataFrame, suburbs: DataFrame) -> DataFrame:
@@ -77,65 +100,62 @@ def dm_listing_neighbourhood(fact: DataFrame, hosts: DataFrame, suburbs: DataFra
     The panel is built on ``suburb_id`` and the name is attached at the end:
     ``suburb_id`` is md5 of the name, one id per name, so grouping by id equals
     grouping by name, and the dimension join then meets one row per (month, suburb)
-    instead of every fact row.
+    instead of every fact row.  Listings and hosts are counted from one row per
+    (group, listing) and (group, host), so no row is copied per distinct count.
     """
-    base = fact.select("listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
-                       "availability_30", "review_scores_rating", "number_of_reviews")
-    with_date = _with_calendar(base, "scraped_date")
-    hj = month_version_join(with_date, hosts, "host_id", "scraped_date", ["host_is_superhost"])
-    hj = hj.withColumn("host_is_superhost", F.coalesce("host_is_superhost", F.lit(False)))
+    facts = _with_calendar(fact.select("listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
+                                       "availability_30", "review_scores_rating"), "scraped_date")
+    facts = month_version_join(facts, hosts, "host_id", "scraped_date", ["host_is_superhost"])
     active = F.col("has_availability")
-    derived = hj.select(
-        "suburb_id", "month_start", "listing_id", "host_id",
-        F.col("price").cast("decimal(14,2)").alias("price"),
-        "has_availability", "availability_30",
-        F.col("review_scores_rating").cast("decimal(6,2)").alias("review_scores_rating"),
-        "host_is_superhost",
-        stays_active(active, F.col("availability_30")).alias("stays_active"),
-        revenue_active(active, F.col("availability_30"), F.col("price")).alias("est_revenue_active"),
-    )
-    per_listing = derived.groupBy("suburb_id", "month_start", "listing_id", "host_id").agg(
-        F.bool_or("has_availability").alias("was_active"),
-        F.bool_or("host_is_superhost").alias("is_superhost"),
-        avg_exact("price", where=active).cast("decimal(14,2)").alias("price_avg"),
-        avg_exact("review_scores_rating", where=active).cast("decimal(6,2)").alias("review_avg"),
-        F.sum("stays_active").alias("stays"),
-        F.sum("est_revenue_active").cast("decimal(14,2)").alias("revenue"),
-    )
+    measured = facts.select(
+        "suburb_id", "month_start", "listing_id", "host_id", "has_availability",
+        F.col("price").cast(MONEY).alias("price"),
+        F.col("review_scores_rating").cast(SCORE).alias("review"),
+        F.coalesce("host_is_superhost", F.lit(False)).alias("superhost"),
+        stays_active(active, F.col("availability_30")).alias("stays"),
+        revenue_active(active, F.col("availability_30"), F.col("price")).alias("revenue"))
     keys = ["month_start", "suburb_id"]
-    agg = per_listing.groupBy(*keys).agg(
-        F.count_distinct(F.when(F.col("was_active"), F.col("listing_id"))).alias("n_active"),
-        F.count_distinct(F.when(~F.col("was_active"), F.col("listing_id"))).alias("n_inactive"),
-        F.count_distinct("listing_id").alias("n_listings"),
-        F.count_distinct("host_id").alias("distinct_hosts"),
-        F.count_distinct(F.when(F.col("is_superhost"), F.col("host_id"))).alias("n_superhosts"),
-        F.min("price_avg").alias("min_price_active"),
-        F.max("price_avg").alias("max_price_active"),
-        avg_exact("price_avg").alias("avg_price_active"),
-        avg_exact("review_avg").alias("avg_review_score_active"),
-        F.sum("stays").alias("total_stays_active"),
-        F.sum("revenue").alias("revenue"),
-    )
-    med = exact_median(per_listing, keys, "price_avg", out_col="median_price_active")
-    panel = _lagged(_join_on_keys(agg, med, keys), ["suburb_id"],
+    per_pair = measured.groupBy(*keys, "listing_id", "host_id").agg(
+        F.bool_or("has_availability").alias("was_active"),
+        F.bool_or("superhost").alias("was_superhost"),
+        avg_exact("price", where=active).cast(MONEY).alias("price_avg"),
+        avg_exact("review", where=active).cast(SCORE).alias("review_avg"),
+        F.sum("stays").alias("stays"),
+        F.sum("revenue").cast(MONEY).alias("revenue"))
+    # a listing may have several rows in a month (in the null month): one flag for each state
+    per_listing = per_pair.groupBy(*keys, "listing_id").agg(
+        F.bool_or("was_active").alias("any_active"), F.bool_or(~F.col("was_active")).alias("any_inactive"),
+        F.min("price_avg").alias("price_min"), F.max("price_avg").alias("price_max"),
+        *_sum_count("price", "price_avg"), *_sum_count("review", "review_avg"),
+        F.sum("stays").alias("stays"), F.sum("revenue").alias("revenue"))
+    listings = per_listing.groupBy(*keys).agg(
+        F.count(F.when(F.col("any_active"), F.col("listing_id"))).alias("n_active"),
+        F.count(F.when(F.col("any_inactive"), F.col("listing_id"))).alias("n_inactive"),
+        F.count("listing_id").alias("n_listings"),
+        F.min("price_min").alias("min_price_active"), F.max("price_max").alias("max_price_active"),
+        _average("price").alias("avg_price_active"), _average("review").alias("avg_review_score_active"),
+        F.sum("stays").alias("total_stays_active"), F.sum("revenue").alias("revenue"))
+    panel = _join_on_keys(listings, _host_counts(per_pair, keys, "was_superhost"), keys)
+    panel = _join_on_keys(panel, exact_median(per_pair, keys, "price_avg", out_col="median_price_active"), keys)
+    panel = _lagged(panel, ["suburb_id"],
                     {"n_active": "pct_change_active_listings", "n_inactive": "pct_change_inactive_listings"})
     # Both sides are per-suburb now; the planner/AQE picks the join from their real sizes.
     names = suburbs.select(F.col("suburb_id").alias("_s_id"), F.col("suburb_name").alias("listing_neighbourhood"))
     panel = panel.join(names, panel["suburb_id"] == names["_s_id"], "left")
     out = panel.select(
         "month_start", "listing_neighbourhood",
-        _money(ratio_pct("n_active", "n_listings")).alias("active_listing_rate_pct"),
+        _as(ratio_pct("n_active", "n_listings"), WIDE).alias("active_listing_rate_pct"),
         F.col("distinct_hosts").cast("bigint").alias("distinct_hosts"),
-        _money(ratio_pct("n_superhosts", "distinct_hosts")).alias("superhost_rate_pct"),
-        _money("min_price_active").alias("min_price_active"),
-        _money("max_price_active").alias("max_price_active"),
-        _money("avg_price_active").alias("avg_price_active"),
-        _money("median_price_active").alias("median_price_active"),
-        _money("avg_review_score_active").alias("avg_review_score_active"),
+        _as(ratio_pct("n_superhosts", "distinct_hosts"), WIDE).alias("superhost_rate_pct"),
+        _as("min_price_active", MONEY).alias("min_price_active"),
+        _as("max_price_active", MONEY).alias("max_price_active"),
+        _as("avg_price_active", MONEY).alias("avg_price_active"),
+        _as("median_price_active", MONEY).alias("median_price_active"),
+        _as("avg_review_score_active", SCORE).alias("avg_review_score_active"),
         F.col("total_stays_active").cast("bigint").alias("total_stays_active"),
-        _money(round_ratio("revenue", "n_active")).alias("avg_est_revenue_per_active_listing"),
-        _money("pct_change_active_listings").alias("pct_change_active_listings"),
-        _money("pct_change_inactive_listings").alias("pct_change_inactive_listings"),
+        _as(round_ratio("revenue", "n_active"), MONEY).alias("avg_est_revenue_per_active_listing"),
+        _as("pct_change_active_listings", WIDE).alias("pct_change_active_listings"),
+        _as("pct_change_inactive_listings", WIDE).alias("pct_change_inactive_listings"),
     )
     return out.orderBy(asc("listing_neighbourhood"), asc("month_start"))
 
@@ -149,24 +169,22 @@ def dm_host_neighbourhood(fact: DataFrame, hosts: DataFrame, lga: DataFrame,
     hj = hj.withColumn("host_neigh_norm", F.lower(F.trim("host_neighbourhood")))
     mapped = priority_lookup(hj, "host_neigh_norm", lga_lookup_table(lga, override_rows, literal=literal))
     active = F.col("has_availability")
-    derived = mapped.select(
-        "host_neighbourhood_lga", "host_neighbourhood_lga_code", "month_start", "listing_id", "host_id",
-        "has_availability",
-        revenue_active(active, F.col("availability_30"), F.col("price").cast("decimal(14,2)"))
-        .alias("est_revenue_active"))
-    per_listing = derived.groupBy("host_neighbourhood_lga", "host_neighbourhood_lga_code", "month_start",
-                                  "listing_id", "host_id").agg(
-        F.bool_or("has_availability").alias("was_active"),
-        F.sum("est_revenue_active").cast("decimal(14,2)").alias("revenue"))
-    agg = per_listing.groupBy("month_start", "host_neighbourhood_lga", "host_neighbourhood_lga_code").agg(
-        F.count_distinct("host_id").alias("distinct_hosts"),
-        F.count_distinct(F.when(F.col("was_active"), F.col("listing_id"))).alias("n_active"),
-        F.sum("revenue").alias("revenue"))
-    out = agg.select(
-        "month_start", "host_neighbourhood_lga", "host_neighbourhood_lga_code",
-        F.col("distinct_hosts").cast("bigint").alias("distinct_hosts"),
-        _money(round_ratio("revenue", "n_active")).alias("est_revenue_per_active_listing"),
-        _money(round_ratio("revenue", "distinct_hosts")).alias("est_revenue_per_host"))
+    keys = ["month_start", "host_neighbourhood_lga", "host_neighbourhood_lga_code"]
+    measured = mapped.select(
+        *keys, "listing_id", "host_id", "has_availability",
+        revenue_active(active, F.col("availability_30"), F.col("price").cast(MONEY)).alias("revenue"))
+    per_pair = measured.groupBy(*keys, "listing_id", "host_id").agg(
+        F.bool_or("has_availability").alias("was_active"), F.sum("revenue").cast(MONEY).alias("revenue"))
+    per_listing = per_pair.groupBy(*keys, "listing_id").agg(
+        F.bool_or("was_active").alias("any_active"), F.sum("revenue").alias("revenue"))
+    listings = per_listing.groupBy(*keys).agg(
+        F.count(F.when(F.col("any_active"), F.col("listing_id"))).alias("n_active"), F.sum("revenue").alias("revenue"))
+    hosts_in = per_pair.select(*keys, "host_id").distinct().groupBy(*keys).agg(F.count("host_id").alias("distinct_hosts"))
+    panel = _join_on_keys(listings, hosts_in, keys)
+    out = panel.select(
+        *keys, F.col("distinct_hosts").cast("bigint").alias("distinct_hosts"),
+        _as(round_ratio("revenue", "n_active"), MONEY).alias("est_revenue_per_active_listing"),
+        _as(round_ratio("revenue", "distinct_hosts"), MONEY).alias("est_revenue_per_host"))
     return out.orderBy(asc("host_neighbourhood_lga"), asc("month_start"))
 
 
@@ -182,43 +200,41 @@ def _property_panel(rows: DataFrame, keys: Sequence[str], lag_partition: Sequenc
     has_availability) may skip joins that only add columns the median does not use.
     """
     active = F.col("has_availability")
-    derived = rows.select(
-        *keys, "listing_id", "host_id", "price", "has_availability", "review_scores_rating",
-        "host_is_superhost",
-        stays_active(active, F.col("availability_30")).alias("stays_active"),
-        revenue_active(active, F.col("availability_30"), F.col("price")).alias("est_revenue_active"))
-    agg = derived.groupBy(*keys).agg(
-        F.count_distinct("listing_id").alias("listings_total"),
-        F.count_distinct(F.when(active, F.col("listing_id"))).alias("listings_active"),
-        F.count_distinct(F.when(~active, F.col("listing_id"))).alias("listings_inactive"),
-        F.count_distinct("host_id").alias("distinct_hosts"),
-        F.count_distinct(F.when(F.col("host_is_superhost"), F.col("host_id"))).alias("superhost_hosts"),
-        F.min(F.when(active, F.col("price"))).alias("min_price_active"),
-        F.max(F.when(active, F.col("price"))).alias("max_price_active"),
-        avg_exact("price", where=active).alias("avg_price_active"),
-        avg_exact("review_scores_rating", where=active).alias("avg_review_score_active"),
-        F.sum("stays_active").alias("total_stays_active"),
-        avg_exact("est_revenue_active", where=active).alias("avg_est_revenue_per_active_listing"),
-    )
-    med = exact_median(derived if median_rows is None else median_rows, keys, "price",
+    measured = rows.select(
+        *keys, "listing_id", "host_id", "has_availability", "host_is_superhost",
+        F.when(active, F.col("price")).alias("price"),
+        F.when(active, F.col("review_scores_rating")).alias("review"),
+        stays_active(active, F.col("availability_30")).alias("stays"),
+        F.when(active, revenue_active(active, F.col("availability_30"), F.col("price"))).alias("revenue"))
+    per_listing = measured.groupBy(*keys, "listing_id").agg(
+        F.bool_or("has_availability").alias("any_active"), F.bool_or(~active).alias("any_inactive"),
+        F.min("price").alias("price_min"), F.max("price").alias("price_max"),
+        *_sum_count("price", "price"), *_sum_count("review", "review"), *_sum_count("revenue", "revenue"),
+        F.sum("stays").alias("stays"))
+    listings = per_listing.groupBy(*keys).agg(
+        F.count("listing_id").alias("listings_total"),
+        F.count(F.when(F.col("any_active"), F.col("listing_id"))).alias("listings_active"),
+        F.count(F.when(F.col("any_inactive"), F.col("listing_id"))).alias("listings_inactive"),
+        F.min("price_min").alias("min_price_active"), F.max("price_max").alias("max_price_active"),
+        _average("price").alias("avg_price_active"), _average("review").alias("avg_review_score_active"),
+        _average("revenue").alias("avg_est_revenue_per_active_listing"),
+        F.sum("stays").alias("total_stays_active"))
+    panel = _join_on_keys(listings, _host_counts(measured, keys, "host_is_superhost"), keys)
+    med = exact_median(rows if median_rows is None else median_rows, keys, "price",
                        out_col="median_price_active", where=active)
-    panel = _lagged(_join_on_keys(agg, med, keys), lag_partition,
+    panel = _lagged(_join_on_keys(panel, med, keys), lag_partition,
                     {"listings_active": "pct_change_active_listings_mom",
                      "listings_inactive": "pct_change_inactive_listings_mom"})
     return panel.select(
         *keys,
-        _money(ratio_pct("listings_active", "listings_total")).alias("active_listings_rate_pct"),
+        _as(ratio_pct("listings_active", "listings_total"), WIDE).alias("active_listings_rate_pct"),
         F.col("distinct_hosts").cast("bigint").alias("distinct_hosts"),
-        _money(ratio_pct("superhost_hosts", "distinct_hosts")).alias("superhost_rate_pct"),
+        _as(ratio_pct("n_superhosts", "distinct_hosts"), WIDE).alias("superhost_rate_pct"),
         F.col("total_stays_active").cast("bigint").alias("total_stays_active"),
-        _money("min_price_active").alias("min_price_active"),
-        _money("max_price_active").alias("max_price_active"),
-        _money("avg_price_active").alias("avg_price_active"),
-        _money("median_price_active").alias("median_price_active"),
-        _money("avg_review_score_active").alias("avg_review_score_active"),
-        _money("avg_est_revenue_per_active_listing").alias("avg_est_revenue_per_active_listing"),
-        _money("pct_change_active_listings_mom").alias("pct_change_active_listings_mom"),
-        _money("pct_change_inactive_listings_mom").alias("pct_change_inactive_listings_mom"),
+        *[_as(c, WIDE).alias(c) for c in (
+            "min_price_active", "max_price_active", "avg_price_active", "median_price_active",
+            "avg_review_score_active", "avg_est_revenue_per_active_listing",
+            "pct_change_active_listings_mom", "pct_change_inactive_listings_mom")],
     ).orderBy(*[asc(k) for k in lag_partition], asc("month_start"))
 
 
@@ -239,7 +255,7 @@ def dm_property_type(fact: DataFrame, properties: DataFrame, hosts: DataFrame) -
 
 
 def property_mart_core(for_fact: DataFrame) -> DataFrame:
-    """Minimum slice: latest listing-month rows -> month × type × room panel.
+    """Example outside the model: latest listing-month rows -> month × type × room panel.
 
     Attributes come straight from the latest scrape of the month (no history join);
     superhost is the row's own flag.

@@ -6,6 +6,7 @@ the model on them; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,21 +16,24 @@ from lodgelake import oracle_sql as osql
 from lodgelake.functions.dates import date_from_id
 from lodgelake.operators.joins import month_version_join
 from lodgelake.operators.lookup import lga_lookup_table, priority_lookup
-from lodgelake.operators.scd2 import scd2_merge, scd2_replay
+from lodgelake.plans.incremental import merge_month_snapshots
 from lodgelake.plans.model import RentalModel
 from lodgelake.session import ensure_checkpoint_dir
-from lodgelake.plans.silver import HOST_FEED_COLUMNS
-from lodgelake.plans.star import PROPERTY_SNAPSHOT_COLUMNS
 from lodgelake.sources.scrape_view import raw_sources
+from lodgelake.sources.sinks import read_current
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def model(spark: SparkSession, sf_dir: str, literal: bool = False, month_from: str = "order") -> RentalModel:
-    """The model over the supplied tables; the cleaned scrape is checkpointed once, since
-    fact, snapshots and dimensions all start from it."""
-    return RentalModel(spark, raw_sources(spark, sf_dir, month_from=month_from),
-                       calendar_bounds="data", literal=literal, checkpoint=("silver_airbnb_clean",))
+#: A calendar shorter than the scrapes: facts outside it have no date and meet in the null month.
+SHORT_CALENDAR = ("1996-03-01", "1997-10-15")
+
+
+def model(spark: SparkSession, sf_dir: str, literal: bool = False, month_from: str = "order",
+          bounds: tuple[str, str] | str = "data") -> RentalModel:
+    """The model over the supplied tables, lazily: each query is one plan over pruned scans and
+    writes nothing.  Production runs write every table once (``plans.build``)."""
+    return RentalModel(spark, raw_sources(spark, sf_dir, month_from=month_from), calendar_bounds=bounds, literal=literal)
 
 
 def _rel(name: str, **kw) -> Query:
@@ -39,35 +43,29 @@ def _rel(name: str, **kw) -> Query:
     return run
 
 
-def _merged_snapshot(spark: SparkSession, sf_dir: str, feed_name: str, key: str, columns) -> DataFrame:
-    """SCD2 merge: replay every month but the last two, then merge those two loads in turn.
-
-    Equals the full replay (in-order loads), which is what the oracle checks.
-    """
-    m = model(spark, sf_dir)
-    ensure_checkpoint_dir(spark)
-    feed = getattr(m, feed_name).select(*columns).withColumn("_m", F.trunc("scraped_date", "MM"))
-    last = feed.agg(F.max("_m")).first()[0]  # one scalar: the newest load month
+def _merged_snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The monthly load as it runs in production: all months but the last two are loaded at once,
+    then one month after another is merged into the published snapshots, each run written, published
+    and read back.  The last load is executed twice.  Equals the replay of all months."""
+    sources = raw_sources(spark, sf_dir)
+    raw = sources["airbnb_raw"]
+    root = f"{ensure_checkpoint_dir(spark)}/snapshots-{uuid.uuid4().hex}"
+    last = raw.agg(F.max("source_month")).first()[0]  # one scalar: the newest load month
     if last is None:
-        return scd2_replay(feed.select(*columns), key, "scraped_date", columns)
-    newest_month = F.lit(last)
-    prev_month = F.add_months(newest_month, -1)
-    older = feed.where(F.col("_m") < prev_month).select(*columns)
-    prev = feed.where(F.col("_m") == prev_month).select(*columns)
-    newest = feed.where(F.col("_m") == newest_month).select(*columns)
-    # each monthly run starts from the previous run's snapshot as written: a checkpoint here
-    snap = scd2_replay(older, key, "scraped_date", columns).checkpoint()
-    snap = scd2_merge(snap, prev, key, "scraped_date", columns).checkpoint()
-    return scd2_merge(snap, newest, key, "scraped_date", columns)
+        return getattr(RentalModel(spark, sources), name)
+    newest, before = F.lit(last), F.add_months(F.lit(last), -1)
+    month = F.col("source_month")
+    for run_id, rows in (("history", month < before), ("before", month == before), ("newest", month == newest), ("newest", month == newest)):
+        merge_month_snapshots(spark, root, {**sources, "airbnb_raw": raw.where(rows)}, run_id=run_id)
+    return read_current(spark, root, name)
 
 
 def host_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_snapshot(spark, sf_dir, "silver_host_for_snapshot", "host_id", HOST_FEED_COLUMNS)
+    return _merged_snapshot(spark, sf_dir, "host_snapshot")
 
 
 def property_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_snapshot(spark, sf_dir, "silver_property_for_snapshot", "listing_id",
-                            PROPERTY_SNAPSHOT_COLUMNS)
+    return _merged_snapshot(spark, sf_dir, "property_snapshot")
 
 
 def fact_host_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,12 +97,12 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     def check(name: str, df: DataFrame) -> DataFrame:
         return df.select(F.lit(name).alias("check_name"), F.col("n").cast("bigint").alias("violations"))
 
-    n = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
+    def unmatched(keys: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+        return keys.where(F.col(key).isNotNull()).join(dim.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n"))
 
-    def lost(before: DataFrame, after: DataFrame) -> DataFrame:
-        """count(before) - count(after) as one aggregate over both inputs."""
-        return (before.select(F.lit(1).alias("w")).unionByName(after.select(F.lit(-1).alias("w")))
-                .agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n")))
+    dates = m.dim_date.where(F.col("scraped_date").between(*[F.lit(d).cast("date") for d in SHORT_CALENDAR]))
+    lost = (m.airbnb.select(F.lit(1).alias("w")).unionByName(m.silver_airbnb_clean.select(F.lit(-1).alias("w")))
+            .agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n")))
     checks = [
         check("silver_host_duplicate_host_date", dup(m.silver_host, ["host_id", "scraped_date"])),
         check("listing_for_fact_duplicate_listing_month",
@@ -113,10 +111,11 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         check("dim_property_duplicate_listing_month", dup(m.dim_property, ["listing_id", "record_start_date"])),
         check("host_snapshot_open_versions_over_one",
               dup(m.host_snapshot.where(F.col("dbt_valid_to").isNull()), ["host_id"])),
-        check("fact_rows_without_date", n(m.fact_listings.where(F.col("date_id").isNull()))),
-        check("fact_rows_without_suburb", n(m.fact_listings.where(F.col("suburb_id").isNull()))),
-        check("scrape_rows_dropped_by_cleaning", lost(m.airbnb, m.silver_airbnb_clean)),
-        check("fact_rows_lost_by_dimension_joins", lost(m.silver_listing_for_fact, m.fact_listings)),
+        check("dim_date_duplicate_date", dup(m.dim_date, ["date_id"])),
+        check("dim_suburb_duplicate_suburb", dup(m.dim_suburb, ["suburb_id"])),
+        check("fact_dates_outside_short_calendar", unmatched(m.fact_listings.select("date_id"), dates, "date_id")),
+        check("fact_suburbs_not_in_dim_suburb", unmatched(m.fact_listings.select("suburb_id"), m.dim_suburb, "suburb_id")),
+        check("scrape_rows_dropped_by_cleaning", lost),
     ]
     out = checks[0]
     for c in checks[1:]:
@@ -135,38 +134,32 @@ UNION ALL SELECT 'dim_property_duplicate_listing_month',
        (SELECT count(*) FROM (SELECT listing_id, record_start_date FROM dim_property GROUP BY ALL HAVING count(*) > 1))
 UNION ALL SELECT 'host_snapshot_open_versions_over_one',
        (SELECT count(*) FROM (SELECT host_id FROM host_snapshot WHERE dbt_valid_to IS NULL GROUP BY ALL HAVING count(*) > 1))
-UNION ALL SELECT 'fact_rows_without_date', (SELECT count(*) FROM fact_listings WHERE date_id IS NULL)
-UNION ALL SELECT 'fact_rows_without_suburb', (SELECT count(*) FROM fact_listings WHERE suburb_id IS NULL)
+UNION ALL SELECT 'dim_date_duplicate_date',
+       (SELECT count(*) FROM (SELECT date_id FROM dim_date GROUP BY ALL HAVING count(*) > 1))
+UNION ALL SELECT 'dim_suburb_duplicate_suburb',
+       (SELECT count(*) FROM (SELECT suburb_id FROM dim_suburb GROUP BY ALL HAVING count(*) > 1))
+UNION ALL SELECT 'fact_dates_outside_short_calendar',
+       (SELECT count(*) FROM fact_listings JOIN dim_date USING (date_id)
+        WHERE NOT scraped_date BETWEEN DATE '{first}' AND DATE '{last}')
+UNION ALL SELECT 'fact_suburbs_not_in_dim_suburb',
+       (SELECT count(*) FROM fact_listings WHERE suburb_id NOT IN (SELECT suburb_id FROM dim_suburb))
 UNION ALL SELECT 'scrape_rows_dropped_by_cleaning',
        (SELECT count(*) FROM src_airbnb) - (SELECT count(*) FROM silver_airbnb_clean)
-UNION ALL SELECT 'fact_rows_lost_by_dimension_joins',
-       (SELECT count(*) FROM silver_listing_for_fact) - (SELECT count(*) FROM fact_listings)
-"""
+""".format(first=SHORT_CALENDAR[0], last=SHORT_CALENDAR[1])
 
-LGA_LOOKUP_SQL_BODY = """
-, overrides AS (
-  SELECT 'unknown' AS key_norm, CAST(NULL AS VARCHAR) AS lga_code, 'Unknown' AS lga_name
-  UNION ALL SELECT 'overseas', CAST(NULL AS VARCHAR), 'Overseas'
-)
-SELECT h.host_id, h.record_start_date, h.host_neighbourhood,
-       CAST(coalesce(r_sub.lga_code, r_name.lga_code, o.lga_code) AS VARCHAR) AS host_neighbourhood_lga_code,
-       coalesce(r_sub.lga_name, r_name.lga_name, o.lga_name) AS host_neighbourhood_lga
-FROM dim_host h
-LEFT JOIN ref_lga r_sub ON lower(trim(h.host_neighbourhood)) = lower(trim(r_sub.lga_suburb))
-LEFT JOIN (SELECT DISTINCT lga_code, lga_name FROM ref_lga) r_name
-  ON r_sub.lga_code IS NULL AND lower(trim(h.host_neighbourhood)) = lower(trim(r_name.lga_name))
-LEFT JOIN overrides o ON lower(trim(h.host_neighbourhood)) = o.key_norm
+LGA_LOOKUP_SQL_BODY = f"""
+, {osql.lga_of_neighbourhood()}
+SELECT host_id, record_start_date, host_neighbourhood,
+       CAST(placed.lga_code AS VARCHAR) AS host_neighbourhood_lga_code, placed.lga_name AS host_neighbourhood_lga
+FROM dim_host LEFT JOIN placed ON placed.place = lower(trim(host_neighbourhood))
 """
 
 FACT_HOST_AS_OF_SQL_BODY = """
-SELECT f.listing_id, f.host_id, f.date_id, d.scraped_date, h.host_name, h.host_is_superhost,
-       h.host_neighbourhood, h.host_since
-FROM fact_listings f
-LEFT JOIN dim_date d ON d.date_id = f.date_id
-LEFT JOIN dim_host h
-  ON h.host_id = f.host_id
- AND CAST(d.scraped_date AS TIMESTAMP) >= h.record_start_date
- AND CAST(d.scraped_date AS TIMESTAMP) < coalesce(h.record_end_date, TIMESTAMP '9999-12-31')
+SELECT listing_id, facts.host_id, facts.date_id, cal.scraped_date, version.host_name, version.host_is_superhost,
+       version.host_neighbourhood, version.host_since
+FROM fact_listings facts LEFT JOIN dim_date cal USING (date_id)
+LEFT JOIN dim_host version ON version.host_id = facts.host_id
+  AND cal.scraped_date >= version.record_start_date AND cal.scraped_date < version.record_end_date
 """
 
 
@@ -191,13 +184,18 @@ REF_CENSUS = {"ref_census_g01": "silver_census_g01_clean", "ref_census_g02": "si
 
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
-        "property_mart_core": _rel("property_mart_core"),
+        "property_mart_core": _rel("property_mart_core"),  # an example, no relation of the model
         "dm_property_type": _rel("dm_property_type"),
         "dm_listing_neighbourhood": _rel("dm_listing_neighbourhood"),
         "dm_host_neighbourhood": _rel("dm_host_neighbourhood"),
         "dm_host_neighbourhood_literal": _rel("dm_host_neighbourhood", literal=True),
     }
     q.update({name: _rel(name) for name in RELATIONS})
+    q["dm_listing_neighbourhood_literal"] = _rel("dm_listing_neighbourhood", literal=True)
+    q["dm_property_type_literal"] = _rel("dm_property_type", literal=True)
+    q["fact_listings_short_calendar"] = _rel("fact_listings", bounds=SHORT_CALENDAR)
+    q["dm_property_type_short_calendar"] = _rel("dm_property_type", bounds=SHORT_CALENDAR)
+    q["dm_listing_neighbourhood_short_calendar"] = _rel("dm_listing_neighbourhood", bounds=SHORT_CALENDAR)
     q["month_guard"] = _rel("silver_airbnb_clean", month_from="ship")
     q["silver_host_literal"] = _rel("silver_host", literal=True)
     q["host_snapshot_merged"] = host_snapshot_merged
@@ -220,6 +218,11 @@ def oracle_sql() -> dict[str, str]:
         "dm_host_neighbourhood_literal": osql.mart_host_neighbourhood(literal=True),
     }
     o.update({name: osql.relation(name) for name in RELATIONS})
+    o["dm_listing_neighbourhood_literal"] = osql.mart_listing_neighbourhood(literal=True)
+    o["dm_property_type_literal"] = osql.mart_property_type(literal=True)
+    o["fact_listings_short_calendar"] = osql.relation("fact_listings", bounds=SHORT_CALENDAR)
+    o["dm_property_type_short_calendar"] = osql.mart_property_type(bounds=SHORT_CALENDAR)
+    o["dm_listing_neighbourhood_short_calendar"] = osql.mart_listing_neighbourhood(bounds=SHORT_CALENDAR)
     o["month_guard"] = osql.relation("silver_airbnb_clean", month_from="ship")
     o["silver_host_literal"] = osql.relation("silver_host", literal=True)
     o["host_snapshot_merged"] = osql.relation("host_snapshot")

@@ -4,13 +4,12 @@ No rental data is supplied, so the raw monthly scrape is a view over
 ``lineitem ⋈ orders ⋈ part ⋈ customer ⋈ supplier`` (plus nation/region), one scrape
 row per line item, every value rendered as raw text the way a CSV scrape arrives.
 The LGA lookups come from region/nation and the census tables are per-region
-aggregates of ``customer``, so every source grows with the data.
+aggregates of ``customer``.  The scrape and the census inputs grow with the data; the
+two LGA lookups have as many rows as region and nation at any scale.
 
 Scale notes: ``lineitem ⋈ orders`` is the big-big join (sort-merge on orderkey);
-``part``, ``customer`` and ``supplier`` grow with the scale factor, so they are
-left to the planner/AQE (broadcast when their real size is small, sort-merge
-beyond); only ``nation``/``region`` go through the size-checked broadcast, checked
-once when the tables are loaded.
+every other join is left to the planner and AQE (broadcast when the measured size is
+small, sort-merge beyond).
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelake.operators.broadcast import bounded_broadcast
 from lodgelake.sources.schemas import (
     AIRBNB_RAW,
     CENSUS_G01_AGE_BANDS,
@@ -37,17 +35,8 @@ HOST_SINCE_ORIGIN = "2008-01-01"
 ACCTBAL_BANDS = [-1000, 0, 1000, 2000, 3000, 4000, 5000, 6000, 7000, 8000, 9000, 10001]
 
 
-# Row bound for the lookup tables nation/region (fixed-size in the TPC-H scheme).
-LOOKUP_MAX_ROWS = 100_000
-
-
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """Read the tables; nation and region come back size-checked for broadcast."""
-    t = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
-    for small in ("nation", "region"):
-        if small in t:
-            t[small] = bounded_broadcast(t[small], LOOKUP_MAX_ROWS)
-    return t
+    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
 def cents_text(cents: Column) -> Column:
@@ -150,16 +139,41 @@ def airbnb_raw(t: dict[str, DataFrame], month_from: str = "order") -> DataFrame:
 
 
 def lga_code(t: dict[str, DataFrame]) -> DataFrame:
+    """Region codes and names, plus rows with a blank code or name, which cleaning drops."""
     r = t["region"]
-    return r.select((F.lit(10050) + F.col("r_regionkey") * 100).cast("string").alias("lga_code"),
-                    F.col("r_name").alias("lga_name")).select(*LGA_CODE.fieldNames())
+    code = (F.lit(10050) + F.col("r_regionkey") * 100).cast("string")
+    return (r.select(code.alias("lga_code"), F.col("r_name").alias("lga_name"))
+            .unionByName(r.select(F.lit(" ").alias("lga_code"), F.col("r_name").alias("lga_name")))
+            .unionByName(r.select(F.col("r_regionkey").cast("string").alias("lga_code"), F.lit("").alias("lga_name")))
+            .select(*LGA_CODE.fieldNames()))
 
 
 def lga_suburb(t: dict[str, DataFrame]) -> DataFrame:
-    region = t["region"].select("r_regionkey", "r_name")
-    return (t["nation"].join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("r_name").alias("lga_name"), F.col("n_name").alias("suburb_name"))
-            .select(*LGA_SUBURB.fieldNames()))
+    """Nations under their regions; every tenth nation lies in two, one name per region has no code,
+    some names are white space only (kept as '') or empty (dropped)."""
+    region, nation = t["region"].select("r_regionkey", "r_name"), t["nation"]
+    other = (F.col("n_regionkey") + 1) % 5 == F.col("r_regionkey")
+    name, suburb = F.col("r_name").alias("lga_name"), F.col("n_name").alias("suburb_name")
+    parts = [
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(name, suburb),
+        nation.where("n_nationkey % 10 = 0").join(region, other).select(name, suburb),
+        region.select(F.concat(F.lit("no code "), "r_name").alias("lga_name"), F.concat(F.lit("suburb of "), "r_name").alias("suburb_name")),
+        nation.where("n_nationkey % 10 = 1").select(F.lit(" ").alias("lga_name"), F.concat("n_name", F.lit(" heights")).alias("suburb_name")),
+        region.select(name, F.lit("").alias("suburb_name")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*LGA_SUBURB.fieldNames())
+
+
+def _odd_census_rows(t: dict[str, DataFrame], columns) -> DataFrame:
+    """A null, a blank and short codes (padded by cleaning), with one count and nulls."""
+    code = (F.when(F.col("n_regionkey") == 0, F.lit(None)).when(F.col("n_regionkey") == 1, F.lit(" "))
+            .otherwise(F.concat(F.lit("LGA"), F.col("n_regionkey").cast("string"))))
+    counted = t["nation"].groupBy("n_regionkey").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    return counted.select(code.alias("lga_code_2016"), F.col("n").alias(columns[0]),
+                          *[F.lit(None).cast("string").alias(c) for c in columns[1:]])
 
 
 def _region_customers(t: dict[str, DataFrame]) -> DataFrame:
@@ -178,8 +192,9 @@ def census_g01(t: dict[str, DataFrame]) -> DataFrame:
         n = F.count(F.when((F.col("c_acctbal") >= lo) & (F.col("c_acctbal") < hi), 1))
         aggs.append(F.nullif(n, F.lit(0)).cast("string").alias(name))
     out = _region_customers(t).groupBy("n_regionkey").agg(*aggs)
-    return out.select(F.concat(F.lit("LGA"), (F.lit(10050) + F.col("n_regionkey") * 100).cast("string"))
-                      .alias("lga_code_2016"), *CENSUS_G01_COUNTS, *CENSUS_G01_AGE_BANDS)
+    out = out.select(F.concat(F.lit("LGA"), (F.lit(10050) + F.col("n_regionkey") * 100).cast("string"))
+                     .alias("lga_code_2016"), *CENSUS_G01_COUNTS, *CENSUS_G01_AGE_BANDS)
+    return out.unionByName(_odd_census_rows(t, [*CENSUS_G01_COUNTS, *CENSUS_G01_AGE_BANDS]))
 
 
 def census_g02(t: dict[str, DataFrame]) -> DataFrame:
@@ -189,7 +204,7 @@ def census_g02(t: dict[str, DataFrame]) -> DataFrame:
         F.sum(cents).alias("s"), F.count(F.lit(1)).alias("n"), F.max(cents).alias("mx"),
         F.count_distinct("c_nationkey").alias("nn"))
     per = F.expr("s div n")
-    return g.select(
+    out = g.select(
         F.concat(F.lit("LGA"), (F.lit(10050) + F.col("n_regionkey") * 100).cast("string")).alias("lga_code_2016"),
         cents_text(F.expr("s div n div 100")).alias("median_age_persons"),
         cents_text(F.col("nn") * 100 + F.lit(50)).alias("average_household_size"),
@@ -197,6 +212,7 @@ def census_g02(t: dict[str, DataFrame]) -> DataFrame:
         cents_text(per).alias("median_rent_weekly"),
         cents_text(per * 2).alias("median_tot_prsnl_inc_weekly"),
     ).select(*CENSUS_G02.fieldNames())
+    return out.unionByName(_odd_census_rows(t, CENSUS_G02.fieldNames()[1:]))
 
 
 def raw_sources(spark: SparkSession, sf_dir: str, month_from: str = "order") -> dict[str, DataFrame]:

@@ -1,19 +1,21 @@
-"""Sinks (S7-S10): table writes that never overwrite their own input.
-
-Each run writes every table to its own location ``<root>/<run_id>/<layer>/<name>``
-and downstream relations read that location back: a written parquet table cuts
-the lineage (a lost executor re-reads files instead of recomputing the whole
-chain), and a table is never overwritten while something still reads it (T17).
-A run is published after all its tables are written: a small manifest
-``<root>/_manifests/<run_id>`` (table -> location) and a one-line pointer
-``<root>/_current`` naming the run, so a failed run leaves the previous one in place.
-
-``root`` must be shared storage on a cluster (e.g. the folder named by
-``spark.checkpoint.dir``), never a machine-local temporary folder.
+"""Sinks (S7-S10): table writes and publishing that survive retries.
+
+Every write goes to a folder of its own, ``<root>/<run_id>/<layer>/<name>/<attempt>``, never over
+another one, so nothing that a manifest names or a job reads is ever replaced (T17), whatever is
+retried.  A written table cuts the lineage: a lost executor re-reads files.
+
+A run is published by one new manifest folder ``<root>/_manifests/<number>-<run_id>`` (table ->
+location, one small file).  Numbers rise by one; the newest manifest whose write committed is the
+current state.  Nothing is deleted or overwritten: two publishers that want the same number cannot
+both commit it, a failed publisher leaves the previous manifest current, and an unreadable or empty
+manifest is an error, never "nothing published yet".
+
+``root`` must be shared storage on a cluster, never a machine-local temporary folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,8 @@ LAYER = {
     "census_g02": "bronze",
     "host_snapshot": "snapshots", "property_snapshot": "snapshots",
 }
+MANIFEST_SCHEMA = T.StructType([T.StructField("name", T.StringType(), False),
+                                T.StructField("path", T.StringType(), False)])
 
 
 def layer_of(name: str) -> str:
@@ -35,13 +39,47 @@ def layer_of(name: str) -> str:
 
 
 def table_path(root: str, run_id: str, name: str) -> str:
+    """The folder of a run's table; each attempt to write it has a folder inside."""
     return f"{root.rstrip('/')}/{run_id}/{layer_of(name)}/{name}"
 
 
+def new_attempt(root: str, run_id: str, name: str) -> str:
+    return f"{table_path(root, run_id, name)}/{uuid.uuid4().hex[:12]}"
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, [] if it does not exist; any other fault is raised."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when a Spark write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
+    fs, p = _folder(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return bool(fs.exists(p))
+
+
+def committed_attempt(spark: SparkSession, root: str, run_id: str, name: str) -> str | None:
+    """An attempt at a run's table that committed, if there is one."""
+    base = table_path(root, run_id, name)
+    return next((f"{base}/{a}" for a in _children(spark, base) if committed(spark, f"{base}/{a}")), None)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                max_records_per_file: int | None = None, mode: str = "errorifexists") -> DataFrame:
-    """Write ``df`` as parquet at a fresh ``path`` and return the written table."""
-    w = df.write.mode(mode)
+                max_records_per_file: int | None = None) -> DataFrame:
+    """Write ``df`` as parquet at a fresh ``path`` and return the written table.
+
+    Rows of a partition value are brought together first (sizes balanced by AQE), so files number
+    about values x size, not tasks x values.
+    """
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:
@@ -52,39 +90,57 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def committed(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
-    try:
-        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").schema  # resolves the path only
-        return True
-    except Exception:  # AnalysisException: path does not exist
-        return False
-
+def manifests(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, run id) of every committed manifest, oldest first."""
+    base = f"{root.rstrip('/')}/_manifests"
+    found = [name.split("-", 1) for name in _children(spark, base) if committed(spark, f"{base}/{name}")]
+    return sorted((int(number), run_id) for number, run_id in found)
+
+
+def publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, str], after: int | None = None) -> int:
+    """Make ``tables`` the current state; returns the manifest's number.
+
+    ``after`` is the number that the tables were made from: if another run has published since, this
+    raises instead of hiding that run's tables.
+    """
+    if not tables:
+        raise ValueError("a manifest must name at least one table")
+    known = manifests(spark, root)
+    newest = known[-1][0] if known else 0
+    if after is not None and newest != after:
+        raise RuntimeError(f"manifest {newest} was published after {after}, which run {run_id!r} started from")
+    path = f"{root.rstrip('/')}/_manifests/{newest + 1:012d}-{run_id}"
+    spark.createDataFrame(sorted(tables.items()), MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(path)
+    same = [m for m in manifests(spark, root) if m[0] == newest + 1]
+    if len(same) > 1 and same[0][1] != run_id:
+        raise RuntimeError(f"run {same[0][1]!r} published manifest {newest + 1} at the same time")
+    return newest + 1
+
+
+def read_manifest(spark: SparkSession, root: str, number: int, run_id: str) -> dict[str, str]:
+    path = f"{root.rstrip('/')}/_manifests/{number:012d}-{run_id}"
+    rows = spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path).collect()
+    if not rows or any(r["name"] is None or r["path"] is None for r in rows):
+        raise RuntimeError(f"manifest {path} is empty or damaged")
+    return {r["name"]: r["path"] for r in rows}
 
-MANIFEST_SCHEMA = T.StructType([T.StructField("name", T.StringType(), False),
-                                T.StructField("path", T.StringType(), False)])
 
+def current(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """Number and tables of the newest manifest; (0, {}) only if none was ever published.
 
-def publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, str]) -> None:
-    """Record this run's table locations (one small manifest) and make it current."""
-    base = root.rstrip("/")
-    (spark.createDataFrame(sorted(tables.items()), MANIFEST_SCHEMA).coalesce(1)
-     .write.mode("overwrite").json(f"{base}/_manifests/{run_id}"))
-    (spark.createDataFrame([(run_id,)], "run_id string").coalesce(1)
-     .write.mode("overwrite").text(f"{base}/_current"))
+    Of two manifests of one number the first by run id counts; the other publisher was told.
+    """
+    known = manifests(spark, root)
+    if not known:
+        return 0, {}
+    number = known[-1][0]
+    run_id = next(r for n, r in known if n == number)
+    return number, read_manifest(spark, root, number, run_id)
 
 
 def current_tables(spark: SparkSession, root: str) -> dict[str, str]:
-    """name -> location of the current run's tables ({} before the first run)."""
-    base = root.rstrip("/")
-    try:
-        run = spark.read.text(f"{base}/_current").take(1)
-    except Exception:  # nothing published yet
-        return {}
-    if not run:
-        return {}
-    rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{base}/_manifests/{run[0][0]}").collect()
-    return {r["name"]: r["path"] for r in rows}
+    """name -> location of the current state's tables ({} before the first run)."""
+    return current(spark, root)[1]
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -77,14 +77,22 @@ def test_median_hot_group_split_over_buckets(spark):
     assert a == b and set(a) == {"hot", "g2", "g3", "g4"}
 
 
-def test_lookup_beyond_the_broadcast_bound(spark, monkeypatch):
-    import lodgelake.operators.lookup as lookup
+def test_lookup_starts_no_job_and_holds_without_broadcasts(spark):
     hosts = spark.createDataFrame([(k,) for k in ["bondi", "pyrmont", "overseas", "nowhere", None]], "k string")
-    table = lga_lookup_table(ref_lga(spark), overrides(spark))
-    broadcast = priority_lookup(hosts, "k", table)
-    assert "ResolvedHint (strategy=broadcast)" in broadcast._jdf.queryExecution().analyzed().toString()
-    small = sorted(map(repr, (tuple(r) for r in broadcast.collect())))
-    monkeypatch.setattr(lookup, "LOOKUP_MAX_ROWS", 1)  # the table no longer passes the size check
-    plan_joined = priority_lookup(hosts, "k", table)
-    assert "ResolvedHint (strategy=broadcast)" not in plan_joined._jdf.queryExecution().analyzed().toString()
-    assert sorted(map(repr, (tuple(r) for r in plan_joined.collect()))) == small
+    looked_up = priority_lookup(hosts, "k", lga_lookup_table(ref_lga(spark), overrides(spark)))
+    assert "broadcast" not in looked_up._jdf.queryExecution().analyzed().toString()
+    small = sorted(map(repr, (tuple(r) for r in looked_up.collect())))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = priority_lookup(hosts, "k", lga_lookup_table(ref_lga(spark), overrides(spark)))
+        assert sorted(map(repr, (tuple(r) for r in again.collect()))) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_median_orders_only_the_middle_buckets(spark):
+    df = spark.range(64000).select(F.lit(None).cast("string").alias("g"), (F.col("id") / 100).cast("decimal(14,2)").alias("v"))
+    med = exact_median(df, ["g"], "v")
+    assert med.collect()[0].asDict() == {"g": None, "median": Decimal("320.00")}
+    plan = med._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" in plan and "Expand" not in plan

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import duckdb
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lodgelake.plans.build import build
@@ -76,12 +77,40 @@ def test_build_publishes_and_never_overwrites(spark, scratch):
 def test_build_resumes_a_run(spark, scratch):
     tables = ["airbnb", "silver_airbnb_clean", "silver_listing_for_fact", "fact_listings"]
     build(spark, raw_sources(spark, SF0001), scratch, run_id="r1", tables=tables[:2], calendar_bounds="data")
-    clean_files = sorted(os.listdir(f"{scratch}/r1/silver/silver_airbnb_clean"))
+    clean_files = sorted(os.listdir(f"{scratch}/r1/silver/silver_airbnb_clean"))  # one attempt
     m = build(spark, raw_sources(spark, SF0001), scratch, run_id="r1", tables=tables, calendar_bounds="data")
     assert sorted(os.listdir(f"{scratch}/r1/silver/silver_airbnb_clean")) == clean_files  # reused, not rewritten
     assert m.fact_listings.count() == m.silver_listing_for_fact.count() > 0
 
 
+def test_mart_plans_copy_no_rows_per_distinct_count(spark):
+    m = RentalModel(spark, raw_sources(spark, SF0001), calendar_bounds="data")
+    for mart in (m.dm_property_type, m.dm_listing_neighbourhood, m.dm_host_neighbourhood):
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "Cartesian" not in plan
+
+
+def test_registered_queries_start_no_job_and_read_pruned_columns(spark):
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    df = entry.queries()["dim_suburb"](spark, SF0001)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before <= 7  # schemas of the tables only
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" not in plan and "p_size" not in plan
+
+
+def test_marts_hold_when_a_third_of_the_facts_have_no_host(spark):
+    rows = [(i, 7 + i % 5, "2020-05-02", "t", "t") for i in range(40)]
+    src = scrape(spark, rows)
+    blank = src["airbnb_raw"].withColumn("host_id", F.when(F.col("listing_id").cast("int") % 3 == 0, F.lit(" ")).otherwise(F.col("host_id")))
+    m = RentalModel(spark, {**src, "airbnb_raw": blank}, calendar_bounds="data")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        row = m.dm_property_type.collect()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (row.distinct_hosts, row.superhost_rate_pct, row.active_listings_rate_pct) == (5, 100, 100)
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
