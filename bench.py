@@ -4,7 +4,7 @@ Prints one JSON line: {"metric", "value" (total seconds), "unit", "queries", "sf
 
 * ``build_star``   -- raw scrape view -> bronze -> silver -> snapshots -> star, every
                       table written as parquet and read back (the production flow);
-* ``dm_*``, ``property_mart_core`` -- marts over the written star tables (views);
+* ``dm_*`` -- marts over the written star tables (views);
 * ``e2e_dm_property_type`` -- the registered lazy query, raw tables to mart in one plan
   (reported separately under ``lazy_end_to_end``, not in ``value``).
 
@@ -46,7 +46,7 @@ def main() -> None:
     rows: dict[str, int] = {}
     model, times["build_star"] = timed(
         lambda: build(spark, raw_sources(spark, sf_dir), root, calendar_bounds="data"))
-    for name in ["dm_property_type", "dm_listing_neighbourhood", "dm_host_neighbourhood", "property_mart_core"]:
+    for name in ["dm_property_type", "dm_listing_neighbourhood", "dm_host_neighbourhood"]:
         result, times[name] = timed(lambda n=name: getattr(model, n).collect())
         rows[name] = len(result)
     result, e2e = timed(lambda: registry.queries()["dm_property_type"](spark, sf_dir).collect())

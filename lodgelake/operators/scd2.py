@@ -10,8 +10,8 @@ appearing stay open.
   one pass -- one version per distinct (key, updated_at) and
   ``dbt_valid_to = lead(updated_at)``.  Deterministic; accepts loads in any order.
 * ``scd2_merge``: one incremental load against an existing snapshot.  Only the
-  open versions meet the incoming rows (a join on the key); closed versions keep their
-  values and are copied.  The result goes to a new location (no transactional table
+  open versions meet the incoming rows (a join on the key, ``scd2_advance``); closed versions
+  stay as they are, and the monthly load does not even read them.  The result goes to a new location (no transactional table
   format is available), see ``plans.incremental``.
 
 Per-key windows hold one row per key and month, so a hot key costs one row per
@@ -60,6 +60,21 @@ def scd2_replay(feed: DataFrame, key: str, updated_at: str, columns: Sequence[st
         "dbt_valid_to", F.lead("dbt_valid_from").over(w))
 
 
+def scd2_advance(open_: DataFrame, incoming: DataFrame, key: str, updated_at: str,
+                 columns: Sequence[str]) -> DataFrame:
+    """Open versions after one load: those it closed, and those that are open now."""
+    out_cols = list(columns) + SCD_COLUMNS
+    open_from = open_.groupBy(key).agg(F.max("dbt_valid_from").alias("_open_from"))
+    fresh = (incoming.where(F.col(updated_at).isNotNull())
+             .join(open_from, key, "left")
+             .where(F.col("_open_from").isNull() | (F.col(updated_at) > F.col("_open_from")))
+             .drop("_open_from"))
+    fresh = _versions(_one_per_timestamp(fresh, key, updated_at, columns), key, updated_at, columns)
+    touched = open_.select(*out_cols).drop("dbt_valid_to").unionByName(fresh)
+    w = Window.partitionBy(key).orderBy(F.col("dbt_valid_from").asc())
+    return touched.withColumn("dbt_valid_to", F.lead("dbt_valid_from").over(w)).select(*out_cols)
+
+
 def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, updated_at: str,
                columns: Sequence[str]) -> DataFrame:
     """Apply one load to a snapshot; returns the complete new snapshot.
@@ -72,20 +87,10 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, updated_at: st
     unions below partition-wise over shuffles that AQE coalesced differently
     (``spark.sql.unionOutputPartitioning``), which fails at execution.
     """
-    out_cols = list(columns) + SCD_COLUMNS
-    current = current.select(*out_cols)
-    open_ = current.where(F.col("dbt_valid_to").isNull())
+    current = current.select(*columns, *SCD_COLUMNS)
     closed = current.where(F.col("dbt_valid_to").isNotNull())
-    open_from = open_.groupBy(key).agg(F.max("dbt_valid_from").alias("_open_from"))
-    fresh = (incoming.where(F.col(updated_at).isNotNull())
-             .join(open_from, key, "left")
-             .where(F.col("_open_from").isNull() | (F.col(updated_at) > F.col("_open_from")))
-             .drop("_open_from"))
-    fresh = _versions(_one_per_timestamp(fresh, key, updated_at, columns), key, updated_at, columns)
-    touched = open_.drop("dbt_valid_to").unionByName(fresh)
-    w = Window.partitionBy(key).orderBy(F.col("dbt_valid_from").asc())
-    reopened = touched.withColumn("dbt_valid_to", F.lead("dbt_valid_from").over(w))
-    return closed.unionByName(reopened.select(*out_cols))
+    open_ = current.where(F.col("dbt_valid_to").isNull())
+    return closed.unionByName(scd2_advance(open_, incoming, key, updated_at, columns))
 
 
 def month_versions(snapshot: DataFrame, key: str, attributes: Sequence[str],

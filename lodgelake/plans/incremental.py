@@ -4,8 +4,9 @@
   month and drop, and a drop replaces only itself: landing it again changes nothing, and further
   drops of the same month are added.  ``read_landed`` gives the rows of all drops.
 * ``merge_month_snapshots`` applies a load to the published snapshots: the load's rows are cleaned
-  and reduced to the host / property feeds, merged into the current versions (``scd2_merge``),
-  written to fresh folders and published.  A load whose run id is already published is left alone,
+  and reduced to the host / property feeds and meet the open versions (``scd2_advance``).
+  Versions that the load closes become a new part of the closed history, whose earlier parts are
+  neither read nor written again; the open versions are written anew, and all is published.  A load whose run id is already published is left alone,
   so a batch that is executed again after publishing, or after any failure before it, gives the same
   state.  Silver / star / marts are full refreshes (``build``).
 """
@@ -17,12 +18,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelake.operators.scd2 import scd2_merge, scd2_replay
+from lodgelake.operators.scd2 import scd2_advance, scd2_merge, scd2_replay
 from lodgelake.plans.model import RentalModel
 from lodgelake.plans.silver import HOST_FEED_COLUMNS
 from lodgelake.plans.star import PROPERTY_SNAPSHOT_COLUMNS
 from lodgelake.sources.schemas import AIRBNB_RAW
-from lodgelake.sources.sinks import current, current_tables, manifests, new_attempt, publish, write_table
+from lodgelake.sources.sinks import current, current_tables, manifests, new_attempt, publish, write_open_and_closed
 
 
 def land_month(raw: DataFrame, bronze_path: str, drop: str) -> None:
@@ -52,11 +53,18 @@ def merge_month_snapshots(spark: SparkSession, root: str, month_sources: dict[st
     tables = dict(previous)
     for name, feed, key, cols in feeds:
         feed = feed.select(*cols)
-        if name in previous:
-            snap = scd2_merge(spark.read.parquet(previous[name]), feed, key, "scraped_date", cols)
+        before = tables.pop(f"{name}/open", None)
+        whole = tables.pop(name, None)  # a full snapshot that ``build`` wrote
+        if before:
+            rows = scd2_advance(spark.read.parquet(before), feed, key, "scraped_date", cols)
+        elif whole:
+            rows = scd2_merge(spark.read.parquet(whole), feed, key, "scraped_date", cols)
         else:
-            snap = scd2_replay(feed, key, "scraped_date", cols)
-        tables[name] = new_attempt(root, run_id, name)
-        write_table(snap, tables[name])
+            rows = scd2_replay(feed, key, "scraped_date", cols)
+        open_, closed = write_open_and_closed(rows, new_attempt(root, run_id, name))
+        if open_:
+            tables[f"{name}/open"] = open_
+        if closed:
+            tables[f"{name}/closed/{number + 1:012d}"] = closed
     publish(spark, root, run_id, tables, after=number)
     return tables

@@ -143,8 +143,21 @@ def current_tables(spark: SparkSession, root: str) -> dict[str, str]:
     return current(spark, root)[1]
 
 
+def parts_of(tables: dict[str, str], name: str) -> list[str]:
+    """Locations of a table: its own, or those of its parts (``name/...``)."""
+    return [path for key, path in sorted(tables.items()) if key == name or key.startswith(f"{name}/")]
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = current_tables(spark, root).get(name)
-    if path is None:
+    paths = parts_of(current_tables(spark, root), name)
+    if not paths:
         raise FileNotFoundError(f"no published table {name!r} under {root}")
-    return spark.read.parquet(path)
+    return spark.read.parquet(*paths)
+
+
+def write_open_and_closed(df: DataFrame, path: str) -> tuple[str | None, str | None]:
+    """Write versions to one fresh folder, open and closed ones apart; returns both locations (None: no rows)."""
+    (df.withColumn("is_open", df["dbt_valid_to"].isNull()).hint("rebalance", "is_open")
+     .write.partitionBy("is_open").parquet(path))
+    found = _children(df.sparkSession, path)
+    return tuple(f"{path}/is_open={x}" if f"is_open={x}" in found else None for x in ("true", "false"))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodgelake.plans import incremental
+from lodgelake.plans.build import build
 from lodgelake.plans.incremental import land_month, merge_month_snapshots, read_landed
 from lodgelake.plans.model import RentalModel
 from lodgelake.plans.silver import HOST_FEED_COLUMNS
@@ -55,6 +56,25 @@ def test_same_run_twice_leaves_history(spark, scratch):
     assert snapshot_rows(read_current(spark, scratch, "host_snapshot")) == snapshot_rows(replay)
 
 
+def test_closed_history_is_not_written_again(spark, scratch):
+    src, older, newest = loads(spark)
+    merge_month_snapshots(spark, scratch, older, run_id="a")
+    first = current_tables(spark, scratch)
+    merge_month_snapshots(spark, scratch, newest, run_id="b")
+    second = current_tables(spark, scratch)
+    closed = {k: v for k, v in first.items() if "/closed/" in k}
+    assert closed and closed.items() <= second.items()
+    assert second["host_snapshot/open"] != first["host_snapshot/open"]
+
+
+def test_merge_starts_from_a_built_snapshot(spark, scratch):
+    src, older, newest = loads(spark)
+    build(spark, older, scratch, run_id="full", tables=["host_snapshot", "property_snapshot"], calendar_bounds="data")
+    merge_month_snapshots(spark, scratch, newest, run_id="b")
+    replay = RentalModel(spark, src, calendar_bounds="data").host_snapshot
+    assert snapshot_rows(read_current(spark, scratch, "host_snapshot")) == snapshot_rows(replay)
+
+
 def test_failure_between_write_and_publish_then_retry(spark, scratch, monkeypatch):
     src, older, newest = loads(spark)
     merge_month_snapshots(spark, scratch, older, run_id="a")
