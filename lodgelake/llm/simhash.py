@@ -8,7 +8,8 @@ fingerprints are one class, so copies never meet one another again.
 Trie self-join.  Two fingerprints within ``distance`` bits agree in at least one of ``distance + 1``
 equal bands, so each band in turn is put at the top of the trie: below a node of those top bits the
 budget is still whole, and only such nodes are paired with themselves.  Every class goes to its node
-of each band, and a task walks the subtries of its nodes level by level with pairs of subtries: both
+of each band.  A node of more than ``HOT_NODE`` classes (many near copies of one text) is dealt once more
+in the same way, by bands of its remaining bits, so its classes spread over many tasks.  A task walks the subtries of its nodes level by level with pairs of subtries: both
 children of a pair are paired, a differing bit costs one of the budget, and a pair is dropped when the
 budget is spent or when all that hangs below it is already one component.  The walk runs with budgets
 1, 2, ... so that dense groups of near copies have joined before the wide budgets start; a task gives
@@ -38,6 +39,8 @@ from lodgelake.llm.common import shuffle_parts, written
 SLICE_SHINGLES = 100_000
 #: Pairs of subtries walked at once, and links held before they are merged into components.
 PAIR_BLOCK, LINK_BLOCK = 500_000, 1_000_000
+#: Classes of a node beyond which it is dealt by further bands.
+HOT_NODE = 100_000
 #: Classes of whole nodes that a task walks at once (a larger node is walked by itself).
 CHUNK_ROWS = 500_000
 
@@ -196,16 +199,33 @@ def links_of_bands(classes: DataFrame, distance: int) -> DataFrame:
         return classes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
     bands = distance + 1
     edges = [64 * i // bands for i in range(bands + 1)]
-    band_of = F.explode(F.array(*[F.struct(
-        F.lit(i).alias("band"),
-        F.shiftrightunsigned(F.shiftleft(F.col("fp"), edges[i]), 64 - (edges[i + 1] - edges[i])).alias("top")) for i in range(bands)]))
-    dealt = (classes.select("fp", band_of.alias("_n")).select("fp", "_n.band", "_n.top")
-             .repartition(shuffle_parts(classes.sparkSession), "band", "top").sortWithinPartitions("band", "top"))
 
-    def join_chunk(band: np.ndarray, top: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def bits(x, a: int, b: int):
+        return F.shiftrightunsigned(F.shiftleft(x, a), 64 - (b - a))
+
+    fp = F.col("fp")
+    nodes = classes.select("fp", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("band"), bits(fp, edges[i], edges[i + 1]).alias("top")) for i in range(bands)])).alias("_n")
+    ).select("fp", "_n.band", "_n.top")
+    hot = written(nodes.groupBy("band", "top").count().where(F.col("count") > HOT_NODE).select("band", "top", F.lit(True).alias("hot")), "hot-nodes")
+    # below a hot node: bands of the bits that follow its own, the whole turned so that they come first
+    cases = []
+    for i in range(bands):
+        turn, rest = edges[i + 1] % 64, 64 - (edges[i + 1] - edges[i])
+        turned = (F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, 64 - turn))) if turn else fp
+        cuts = [rest * k // bands for k in range(bands + 1)]
+        cases.append(F.array(*[F.struct(F.lit(k).alias("sub"), bits(turned, cuts[k], cuts[k + 1]).alias("under")) for k in range(bands)]))
+    below = F.when(F.col("hot"), F.element_at(F.array(*cases), F.col("band") + 1)).otherwise(
+        F.array(F.struct(F.lit(-1).alias("sub"), F.lit(0).cast("long").alias("under"))))
+    dealt = (nodes.join(hot, ["band", "top"], "left").select("fp", "band", "top", F.explode(below).alias("_u"))
+             .select("fp", "band", "top", "_u.sub", "_u.under")
+             .repartition(shuffle_parts(classes.sparkSession), "band", "top", "sub", "under")
+             .sortWithinPartitions("band", "top", "sub", "under"))
+
+    def join_chunk(band: np.ndarray, node: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in np.unique(band):
             pick = band == i
-            own, keys = top[pick], fp[pick].view(np.uint64)
+            own, keys = node[pick], fp[pick].view(np.uint64)
             width, turn = edges[i + 1] - edges[i], np.uint64(edges[i + 1] % 64)
             # turned so that the band is at the bottom, then shifted out: the bits still to walk
             turned = (keys << turn) | (keys >> (np.uint64(64) - turn)) if turn else keys
@@ -224,16 +244,26 @@ def links_of_bands(classes: DataFrame, distance: int) -> DataFrame:
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        n = 0
+        n, number, last_key = 0, 0, None
         for batch in batches:
-            held.append(tuple(batch.column(c).to_numpy() for c in (1, 2, 0)))
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(c).to_numpy() for c in range(1, 5)]
+            # rows come sorted by node: number the nodes as they change
+            new = np.zeros(batch.num_rows, dtype=np.int64)
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            new[:1] = last_key != tuple(c[0] for c in columns)
+            node = number + np.cumsum(new)
+            number, last_key = int(node[-1]), tuple(c[-1] for c in columns)
+            held.append((columns[0], node, batch.column(0).to_numpy()))
             n += batch.num_rows
             if n >= CHUNK_ROWS:
-                band, top, fp = (np.concatenate(x) for x in zip(*held))
-                last = int(np.flatnonzero((band == band[-1]) & (top == top[-1]))[0])
+                band, node, fp = (np.concatenate(x) for x in zip(*held))
+                last = int(np.searchsorted(node, node[-1]))
                 if last:
-                    yield from join_chunk(band[:last], top[:last], fp[:last])
-                held, n = [(band[last:], top[last:], fp[last:])], n - last
+                    yield from join_chunk(band[:last], node[:last], fp[:last])
+                held, n = [(band[last:], node[last:], fp[last:])], n - last
         if held:
             yield from join_chunk(*(np.concatenate(x) for x in zip(*held)))
 

@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
+from lodgelake.llm import simhash
 from lodgelake.llm.simhash import SubtrieJoin, components, keep_one, links_of_bands, near_duplicates
 
 
@@ -50,7 +52,9 @@ def test_subtrie_join_equals_all_pairs():
         assert labels.tolist() == brute(far)
 
 
-def test_links_span_components(spark):
+@pytest.mark.parametrize("hot", [100_000, 2])
+def test_links_span_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT_NODE", hot)  # 2: most nodes with pairs are dealt once more
     rng = random.Random(5)
     prints = clustered(rng, 400)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
