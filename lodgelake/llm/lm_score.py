@@ -116,7 +116,12 @@ class Vocabulary:
         total = counts.agg(F.sum("c"), F.count("*")).first()
         self.n, self.v = int(total[0] or 0), int(total[1] or 0)
         words = counts.where(F.length("token") > 0)
-        head = words.orderBy(F.col("c").desc(), "token").limit(HEAD).toArrow()
+        # whole classes of counts from the top, as many as fit: no sort of all tokens in one task
+        level = F.floor(F.log2("c") * 16).cast("int")
+        classes = sorted((r["l"], r["n"]) for r in words.groupBy(level.alias("l")).agg(F.count("*").alias("n")).collect())
+        room = np.cumsum([n for _, n in classes[::-1]]) <= HEAD
+        lowest = [l for l, _ in classes[::-1]][int(room.sum()) - 1] if room.any() else None
+        head = words.where(level >= lowest if lowest is not None else F.lit(False)).toArrow().sort_by([("c", "descending"), ("token", "ascending")])
         self.tokens = head.column("token").combine_chunks() if head.num_rows else pa.array([], pa.binary())
         self.c = head.column("c").to_numpy().astype(np.int64)
         end = counts.where(F.length("token") == 0).first()
@@ -164,20 +169,24 @@ def training_stretches(training: DataFrame, sent) -> DataFrame:
             symbols, lengths = with_ends(vocabulary.symbols(t)[0], t.counts)
             starts = np.cumsum(lengths) - lengths
             draw = part.column(0).to_numpy().view(np.uint64)
-            rounds, out = [], []
+            rounds, owners, out = [], [], []
             for s, n, u in zip(starts.tolist(), lengths.tolist(), draw.tolist()):
                 for k in range(-(-n // EVERY)):
                     room = max(0, min(EVERY, n - k * EVERY) - STRETCH)
                     a = s + k * EVERY + (u >> 8) % (room + 1)
                     out.append(symbols[a:min(a + STRETCH, s + n)].astype(np.int32))
                     rounds.append((u + k) % ROUNDS)
+                    owners.append(u - (1 << 63))
             if out:
                 ends = np.append(0, np.cumsum(list(map(len, out)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(rounds, pa.int32()), pa.ListArray.from_arrays(ends, np.concatenate(out))],
-                                                 names=["round", "symbols"])
-
-    dealt = training.select(F.xxhash64("doc_id").alias("u"), "t").mapInArrow(cut, "round int, symbols array<int>")
-    return written(dealt.repartition(shuffle_parts(training.sparkSession), F.xxhash64("symbols")), "stretches")
+                yield pa.RecordBatch.from_arrays([pa.array(rounds, pa.int32()), pa.array(owners), pa.ListArray.from_arrays(ends, np.concatenate(out))],
+                                                 names=["round", "u", "symbols"])
+
+    dealt = training.select(F.xxhash64("doc_id").alias("u"), "t").mapInArrow(cut, "round int, u long, symbols array<int>")
+    # by text and id, so copies of one text are spread as well
+    # and in one order, so that reruns train alike
+    return written(dealt.repartition(shuffle_parts(training.sparkSession), F.xxhash64("u", "symbols"))
+                   .sortWithinPartitions("u", "symbols"), "stretches")
 
 
 def _averaged(parts: DataFrame) -> dict[str, np.ndarray] | None:
