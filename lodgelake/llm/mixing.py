@@ -3,7 +3,7 @@
 Targets.  Sources in code-point order (null last) take the weights in turn and share all words
 by weight; a source stops at ``max_copies`` times its own words and the excess is dealt again by
 weight until none is above.  That fixpoint is found in one pass over the sources ordered by
-(limit / weight).
+(limit / weight): one row per source, never documents, is ordered in one task.
 
 Copies.  A source with target t and size S gives each of its documents floor(t / S) certain whole
 copies.  The rest, R = t - floor(t / S) * S words, is drawn as one further copy per document with
@@ -13,9 +13,10 @@ certain (and lambda is set anew for the others); every other document gets the r
     q = (u / (1 - u)) / (p / (1 - p)),      p = lambda * size, u = hash of its id
 
 and the smallest q are taken until their words are as near R as a whole document allows - a sample
-of fixed size in words.  The cut is found from a histogram of q per source and an exact order inside
-the one bucket where the sum passes R, so no source is ever sorted in one task, and the result is a
-few numbers per source that every document is compared with where it lies.
+of fixed size in words.  The cut is found from a coarse histogram of q per source, a fine one inside the
+coarse bucket where the sum passes R, and an exact order inside that fine bucket, so no source is ever
+sorted in one task, and the result is a few numbers per source that every document is compared with where
+it lies.
 
 Defined cases: null or blank texts have size 0 and are taken 0 times beyond the certain copies
 (0 words either way); a null source is a source of its own, ordered last; rows that repeat an id
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from lodgelake.llm.common import WORD, key_of, written
 
-#: Histogram buckets of q per doubling; one bucket holds about 1/10,000 of a source's documents.
-BUCKETS_PER_OCTAVE = 4096
+#: Buckets of q per doubling, coarse and fine; a fine one holds about a millionth of a source's documents.
+COARSE, FINE = 64, 64 * 4096
 
 
 def word_count(text_col: str) -> Column:
@@ -81,7 +82,7 @@ def _ranked(seed: int) -> tuple[Column, Column]:
     u = (F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 11).cast("double") + 0.5) / float(2 ** 53)
     p = F.col("lam") * F.col("size")
     q = F.try_divide(u / (1 - u), F.try_divide(p, 1 - p))  # null where size or lambda is 0
-    return q, F.floor(F.log2(q) * BUCKETS_PER_OCTAVE).cast("long")
+    return q, F.floor(F.log2(q) * FINE).cast("long")
 
 
 def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_copies: int = 3, seed: int = 17,
@@ -103,12 +104,12 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_copie
     ranked = (sizes.where("size > 0").join(lam, "_key")
               .where("(sure_size is null or size < sure_size) and lam > 0")
               .withColumn("_q", q).withColumn("_b", bucket))
-    sums = ranked.groupBy("_key", "_b").agg(F.sum("size").alias("_words"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy("_key").orderBy("_b")
-    crossing = (sums.withColumn("_cum", F.sum("_words").over(upto)).where("_cum >= rest")
-                .groupBy("_key").agg(F.min(F.struct("_b", (F.col("_cum") - F.col("_words")).alias("_before"))).alias("_x"))
-                .select("_key", F.col("_x._b").alias("cut_b"), F.col("_x._before").alias("_before")))
-    crossing = written(crossing, "mix-crossing")
+    coarse = F.floor(F.col("_b") / (FINE // COARSE))
+    first = _crossing(ranked.select("_key", coarse.alias("_b"), "size", "rest"), F.lit(0))
+    first = written(first.select("_key", F.col("_x._b").alias("_wide"), F.col("_x._before").alias("_start")), "mix-coarse")
+    inner = ranked.join(first, "_key").where(coarse == F.col("_wide"))
+    crossing = _crossing(inner.select("_key", "_b", "size", "rest", "_start"), F.col("_start"))
+    crossing = written(crossing.select("_key", F.col("_x._b").alias("cut_b"), F.col("_x._before").alias("_before")), "mix-fine")
     inside = Window.partitionBy("_key").orderBy("_q", F.col("doc_id").asc_nulls_first())
     cut = (ranked.join(crossing, (ranked["_key"] == crossing["_key"]) & (ranked["_b"] == crossing["cut_b"])).drop(crossing["_key"])
            .withColumn("_middle", F.col("_before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -120,6 +121,14 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_copie
     return sizes, written(plan, "mix-plan")
 
 
+def _crossing(rows: DataFrame, start: Column) -> DataFrame:
+    """Per source the bucket ``_b`` where the words, counted on from ``start``, first reach the rest (_x: bucket, words before)."""
+    sums = rows.groupBy("_key", "_b").agg(F.sum("size").alias("_words"), F.first("rest").alias("rest"), F.max(start).alias("_from"))
+    upto = Window.partitionBy("_key").orderBy("_b")
+    return (sums.withColumn("_cum", F.col("_from") + F.sum("_words").over(upto)).where("_cum >= rest").groupBy("_key")
+            .agg(F.min(F.struct("_b", (F.col("_cum") - F.col("_words")).alias("_before"))).alias("_x")))
+
+
 def copies(seed: int = 17) -> Column:
     """Whole copies of a document, over its columns doc_id, size and the plan columns of its source."""
     q, bucket = _ranked(seed)
