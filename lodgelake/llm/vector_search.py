@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import written
@@ -68,9 +68,9 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.stack([rows[rank < k], cols[rank < k]])
 
 
-def _merge_lists(parts: DataFrame, k: int, fan_in: int, n_shards: int) -> DataFrame:
+def _merge_lists(parts: DataFrame, k: int, fan_in: int) -> DataFrame:
     """Tree of top-k merges: shards meet ``fan_in`` at a time until one list per query is left."""
-    from pyspark.sql import Window
+    n_shards = (parts.agg(F.max("shard")).first()[0] or 0) + 1
     while True:
         last = n_shards <= fan_in
         group = ["query_id"] if last else ["query_id", "shard"]
@@ -145,10 +145,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
 
         return rows.mapInArrow(shard, SCHEMA)
 
-    n_shards = max(1, rows.rdd.getNumPartitions())
     done = None
     for ids, vs in blocks():
         # one block at a time: its lists are on shared storage before the next block is sent
-        part = written(_merge_lists(search(ids, vs), k, fan_in, n_shards), "topk-block")
+        part = written(_merge_lists(written(search(ids, vs), "topk-lists"), k, fan_in), "topk-block")
         done = part if done is None else done.unionByName(part)
     return done if done is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
