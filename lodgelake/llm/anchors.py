@@ -47,10 +47,11 @@ def runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np
     if len(data) < length:
         return nothing, nothing, nothing, nothing
     h = gram_hashes(data, gram)
-    bits = np.uint64(max(1, int(len(data)).bit_length()))
+    # upper half: hash, lower half: place; the same halves for any data, so equal strings choose alike
+    half = np.uint64(32)
     place = np.arange(len(data), dtype=np.uint64)
-    least = window_minimum(((h >> bits) << bits) | place, length - gram + 1)[:len(data) - length + 1]
-    anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    least = window_minimum(((h >> half) << half) | place, length - gram + 1)[:len(data) - length + 1]
+    anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
     size = np.diff(ends)
     text = np.repeat(np.arange(len(size)), size)[:len(anchor)]
     whole = np.arange(len(anchor)) + length <= ends[text + 1]
