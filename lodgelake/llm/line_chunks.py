@@ -1,24 +1,29 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by chunks of lines that start at every line.
 
-Lines are hashed, and a rolling hash over the last ``CONTEXT`` line hashes decides after which lines a chunk
-ends, so boundaries depend on nearby lines only: text put in or taken out elsewhere shifts no other
-boundary, and a block that documents share is cut alike in all of them.  Chunks of at least two non-blank
-lines are counted by hash over the whole corpus; the bytes of those that repeat are then compared, and of
-each set of equal chunks only the first in table order stays.
+``passages``: a chunk starts at every non-blank line and ends with the next non-blank line, so chunks overlap
+and every run of two or more non-blank lines is made of whole chunks, wherever it lies.  Chunks are counted by
+hash over the whole corpus; the bytes of those that repeat are then compared, and of each set of equal chunks
+all but the first in table order go: what is removed is the union of their lines.  So a later copy of a run
+goes whole, and of every line that is in the corpus the first stays.
+
+``chunks`` cuts a text into chunks that do not overlap: a rolling hash over the last ``CONTEXT`` line hashes
+decides after which lines a chunk ends.  With ``cut=chunks`` a shared run loses only the chunks that lie in it
+whole, so short runs mostly stay.
 
 Counts are folded per task before they move.  Texts stay where they lie (``lookups.py``): only the bytes of
 chunks whose hash repeats travel, to be compared.
 
 Defined cases: null text is empty text (one empty line, nothing to remove); a text without line breaks is a
-single line and stays; there is no longest chunk, so many equal lines in a row are either one chunk or many
-chunks of one line, which stay; repeated rows are separate texts, the first of them stays whole; a null id
-is kept; an empty table gives no rows; other columns are not read.
+single line and stays; blank lines inside a chunk belong to it and are compared, those before and after a run
+stay; a chunk that overlaps the first of its kind (equal lines in a row) is no copy of it, so of many equal lines
+the first two stay; repeated rows are separate texts, all but the first lose their runs; a null id is kept;
+an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,19 +60,36 @@ def chunks(text: bytes) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def passages(text: bytes) -> list[tuple[int, int, int, int]]:
+    """(start, end, lines, 2) of every two non-blank lines that follow one another, with blank lines between them."""
+    out = []
+    at = 0
+    before = None  # start and number of the last non-blank line
+    for i, line in enumerate(text.split(b"\n")):
+        start, at = at, min(at + len(line) + 1, len(text))
+        if line.strip():
+            if before is not None:
+                out.append((before[0], at, i - before[1] + 1, 2))
+            before = start, i
+    return out
+
+
+Cut = Callable[[bytes], list[tuple[int, int, int, int]]]
+
+
 def chunk_bytes(text: bytes, start: int, end: int) -> bytes:
     """What is compared: the chunk's lines without the last line break."""
     return text[start:end - 1] if text[end - 1:end] == b"\n" else text[start:end]
 
 
-def _hashed(rows: DataFrame) -> DataFrame:
+def _hashed(rows: DataFrame, pieces: Cut) -> DataFrame:
     """(a, b, row, start, last, size): 128-bit hash and place of every multi-line chunk."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_intdigest
         for batch in batches:
             out = []
             for row, text in zip(batch.column("row").to_pylist(), batch.column("t").to_pylist()):
-                for start, end, _, filled in chunks(text) if text else ():
+                for start, end, _, filled in pieces(text) if text else ():
                     if filled > 1:
                         h = xxh3_128_intdigest(chunk_bytes(text, start, end))
                         out.append(((h >> 64) - (1 << 63), (h & _MASK) - (1 << 63), row, start, end, len(text)))
@@ -79,19 +101,18 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(cut, "a long, b long, row long, start int, last int, size int")
 
 
-def _removed(docs: DataFrame, one, schema: str, id_col: str, text_col: str) -> DataFrame:
+def _removed(docs: DataFrame, one, schema: str, id_col: str, text_col: str, pieces: Cut) -> DataFrame:
     rows = numbered(docs, id_col, text_col)
-    hashed = _hashed(rows)
+    hashed = _hashed(rows, pieces)
     again = written(hashed.groupBy("a", "b").agg(F.count("*").alias("c")).where("c > 1").select("a", "b"), "repeated-chunks")
     places = hashed.join(again, ["a", "b"]).groupBy("row", "size").agg(F.collect_list(F.struct("start", "last")).alias("places"))
     path = lay_out(places, "chunk-places")
 
     def compare(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
-        seen: set[bytes] = set()
+        seen: dict[bytes, int] = {}  # ends of the first of their kind in this text
         for start, end in sorted((x["start"], x["last"]) for x in got[0][0]):
             b = chunk_bytes(text, start, end)
-            yield row, len(text), start, end, int(b in seen), b
-            seen.add(b)
+            yield row, len(text), start, end, int(seen.setdefault(b, end) <= start), b
 
     held = written(beside_texts(rows, path, "row long, size int, start int, last int, later int, bytes binary", compare, ["places"], False), "chunk-bytes")
     # equal bytes, not equal hashes, decide
@@ -101,29 +122,40 @@ def _removed(docs: DataFrame, one, schema: str, id_col: str, text_col: str) -> D
     return beside_texts(rows, lay_out(gone, "chunks-gone"), schema, one, ["gone"], True)
 
 
-def _kept(text: bytes, got: list[tuple]) -> tuple[list[tuple[int, int, int, int]], bytes]:
+def _kept(text: bytes, got: list[tuple], pieces: Cut) -> tuple[list[tuple[int, int, int, int]], bytes]:
     """The removed chunks of a text and what is left of it."""
     gone = {(x["start"], x["last"]) for x in got[0][0]} if got else set()
-    cut = chunks(text) if gone else []
-    left = b"".join(text[a:b] for a, b, _, _ in cut if (a, b) not in gone) if gone else text
-    return [c for c in cut if (c[0], c[1]) in gone], left
+    cut = [c for c in pieces(text) if (c[0], c[1]) in gone] if gone else []
+    left, at = [], 0
+    for start, end, _, _ in cut:
+        left.append(text[at:start])
+        at = max(at, end)
+    return cut, b"".join([*left, text[at:]])
+
+
+def _lines(text: bytes, cut: list[tuple[int, int, int, int]]) -> int:
+    """Lines in the union of chunks."""
+    total = at = 0
+    for start, end, lines, _ in cut:
+        total += lines if start >= at else text.count(b"\n", at, end) + (text[end - 1:end] != b"\n")
+        at = end
+    return total
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: Cut = chunks) -> DataFrame:
     """doc_id and the text without later copies of multi-line chunks, for every row."""
     def one(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
-        yield doc_id, _kept(text, got)[1].decode()
+        yield doc_id, _kept(text, got, cut)[1].decode()
 
-    return _removed(docs, one, "doc_id long, text string", id_col, text_col)
+    return _removed(docs, one, "doc_id long, text string", id_col, text_col, cut)
 
 
-def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: Cut = chunks) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed chunks, n_removed_lines, n_removed_bytes and kept_sha256 of every row."""
     def one(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
-        gone, left = _kept(text, got)
-        cut = chunks(text)
-        yield (doc_id, sum(c[2] for c in cut), len(cut), len(gone), sum(c[2] for c in gone), len(text) - len(left),
+        gone, left = _kept(text, got, cut)
+        yield (doc_id, text.count(b"\n") + 1, len(cut(text)), len(gone), _lines(text, gone), len(text) - len(left),
                hashlib.sha256(left).hexdigest())
 
     return _removed(docs, one, "doc_id long, n_lines long, n_chunks long, n_removed long, n_removed_lines long, "
-                               "n_removed_bytes long, kept_sha256 string", id_col, text_col)
+                               "n_removed_bytes long, kept_sha256 string", id_col, text_col, cut)

@@ -56,8 +56,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without later copies of multi-line chunks."""
-    return line_chunks.digest(documents(spark, sf_dir))
+    """Every document without later copies of runs of two or more non-blank lines."""
+    return line_chunks.digest(documents(spark, sf_dir), cut=line_chunks.passages)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
