@@ -7,8 +7,8 @@ symbol costs one class row and one short word row instead of the whole vocabular
 
 Texts run in lanes side by side.  A lane takes one text after another; its state starts at zero with each
 text and is carried from window to window, so a text of any length is scored whole while only one window
-of states is held.  Training runs over stretches in the same way and cuts gradients at window ends
-(truncated backpropagation).
+of states is held.  Training runs over whole texts in the same way, with the state carried, and only cuts
+gradients at window ends (truncated backpropagation).
 """
 
 from __future__ import annotations
@@ -130,7 +130,8 @@ class Lanes:
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray, n_lanes: int):
         starts = np.cumsum(lengths) - lengths
         lanes = lanes_of(lengths, n_lanes)
-        order = np.array([i for lane in lanes for i in lane], dtype=np.int64)
+        # in a lane texts come as given, not longest first: training would end on short texts only
+        order = np.array([i for lane in lanes for i in sorted(lane)], dtype=np.int64)
         n = lengths[order]
         self.place = np.repeat(starts[order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         self.targets = symbols[self.place]
@@ -170,7 +171,7 @@ def text_scores(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, l
 
 
 def train(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
-    """One pass of truncated backpropagation with per-weight step sizes over stretches of text."""
+    """One pass of truncated backpropagation with per-weight step sizes over whole texts."""
     p = {k: v.copy() for k, v in p.items()}
     squares = {k: np.full_like(v, 1e-4) for k, v in p.items()}
     lanes = Lanes(symbols, lengths, TRAIN_LANES)

@@ -3,11 +3,11 @@
 1. Every training text's tokens are counted (a partial count per slice of text, then a shuffle by
    token); the full table stays on shared storage.  Its ``HEAD`` most frequent tokens, a fixed number,
    are sent to the tasks; counts of all other tokens meet their documents in a join.
-2. The gated recurrent model of ``gru.py`` starts at the token counts.  Every training text gives a
-   stretch of ``STRETCH`` tokens out of each ``EVERY``, at a place its id draws, so all of them take part
-   and training grows with the corpus.  In each round every partition trains from the common weights on
-   its share and the weights are averaged in a tree (one set of weights per partition moves, weighted
-   by tokens).
+2. The gated recurrent model of ``gru.py`` starts at the token counts and learns from every token of every
+   training text, once: texts run whole, from their start to their end, in consecutive windows with the
+   state carried; only gradients are cut at window ends.  A text's id draws its round.  In each round every
+   partition trains from the common weights on its share and the weights are averaged in a tree (one set of
+   weights per partition moves, weighted by tokens).
 3. Each text is scored whole.  A frequent word's probability is class x word from the model; a rare
    word's is that of its rare class (last byte and script) x its smoothed share of the class's counts.
 
@@ -38,8 +38,10 @@ HEAD, WORDS, GROUPS = 1_000_000, 2000, 32
 #: Rare classes: last byte modulo ENDINGS, with or without characters beyond ASCII.
 ENDINGS = 24
 N_RARE = 2 * ENDINGS
-#: Tokens of a training stretch, and of the part of a text that gives one stretch.
-STRETCH, EVERY, ROUNDS = 64, 512, 2
+#: Rounds of training between which weights are averaged; each takes its share of the texts.
+ROUNDS = 2
+#: Tokens of whole texts that are trained on at once (a longer text by itself).
+SLICE_TOKENS = 1 << 20
 #: Bytes of text that a task works on at once (a longer text is worked on by itself).
 SLICE_BYTES = 8 << 20
 #: Weight sets that meet in one averaging task.
@@ -160,33 +162,35 @@ def with_ends(symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return out, lengths
 
 
-def training_stretches(training: DataFrame, sent) -> DataFrame:
-    """(round, symbols) of every training text's stretches, dealt evenly over the partitions."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def training_texts(training: DataFrame, sent) -> DataFrame:
+    """(round, u, symbols) of every training text, whole and with its end, dealt evenly over the partitions."""
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = sent.value
         for part in slices(batches, 1):
             t = Tokens(part.column(1))
             symbols, lengths = with_ends(vocabulary.symbols(t)[0], t.counts)
-            starts = np.cumsum(lengths) - lengths
-            draw = part.column(0).to_numpy().view(np.uint64)
-            rounds, owners, out = [], [], []
-            for s, n, u in zip(starts.tolist(), lengths.tolist(), draw.tolist()):
-                for k in range(-(-n // EVERY)):
-                    room = max(0, min(EVERY, n - k * EVERY) - STRETCH)
-                    a = s + k * EVERY + (u >> 8) % (room + 1)
-                    out.append(symbols[a:min(a + STRETCH, s + n)].astype(np.int32))
-                    rounds.append((u + k) % ROUNDS)
-                    owners.append(u - (1 << 63))
-            if out:
-                ends = np.append(0, np.cumsum(list(map(len, out)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(rounds, pa.int32()), pa.array(owners), pa.ListArray.from_arrays(ends, np.concatenate(out))],
-                                                 names=["round", "u", "symbols"])
-
-    dealt = training.select(F.xxhash64("doc_id").alias("u"), "t").mapInArrow(cut, "round int, u long, symbols array<int>")
+            u = part.column(0).to_numpy().view(np.uint64)
+            ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array((u % ROUNDS).astype(np.int32)), part.column(0), pa.ListArray.from_arrays(ends, symbols.astype(np.int32))],
+                                             names=["round", "u", "symbols"])
+
+    dealt = training.select(F.xxhash64("doc_id").alias("u"), "t").mapInArrow(encode, "round int, u long, symbols array<int>")
     # by text and id, so copies of one text are spread as well
     # and in one order, so that reruns train alike
     return written(dealt.repartition(shuffle_parts(training.sparkSession), F.xxhash64("u", "symbols"))
-                   .sortWithinPartitions("u", "symbols"), "stretches")
+                   .sortWithinPartitions("u", "symbols"), "training-texts")
+
+
+def whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and lengths of whole texts, about SLICE_TOKENS at a time."""
+    for batch in batches:
+        column = batch.column(0)
+        ends = column.offsets.to_numpy().astype(np.int64)
+        group = (ends[:-1] - ends[0]) // SLICE_TOKENS
+        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                yield column.slice(a, b - a).flatten().to_numpy().astype(np.int64), np.diff(ends[a:b + 1])
 
 
 def _averaged(parts: DataFrame) -> dict[str, np.ndarray] | None:
@@ -227,24 +231,21 @@ def _averaged(parts: DataFrame) -> dict[str, np.ndarray] | None:
 def fit(training: DataFrame, vocabulary: Vocabulary, sent) -> dict[str, np.ndarray]:
     """The model's weights after ROUNDS of averaged training over all training texts."""
     weights = gru.initial(vocabulary.layout, vocabulary.word_counts, vocabulary.rare_n)
-    stretches = training_stretches(training, sent)
+    texts = training_texts(training, sent)
     for k in range(ROUNDS):
         start = training.sparkSession.sparkContext.broadcast(weights)
 
         def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
             layout, p, n = sent.value.layout, start.value, 0
-            for b in batches:
-                column = b.column(0)
-                lengths = np.diff(column.offsets.to_numpy()).astype(np.int64)
-                if len(lengths):
-                    p = gru.train(p, layout, column.flatten().to_numpy().astype(np.int64), lengths)
-                    n += int(lengths.sum())
+            for symbols, lengths in whole_texts(batches):
+                p = gru.train(p, layout, symbols, lengths)
+                n += int(lengths.sum())
             if n:
                 yield pa.RecordBatch.from_pydict({"slot": pa.array([TaskContext.get().partitionId()], pa.int32()),
                                                   "w": [float(n)], "p": [pickle.dumps(p)]})
 
-        found = _averaged(stretches.where(F.col("round") == k).select("symbols").mapInArrow(local, "slot int, w double, p binary"))
+        found = _averaged(texts.where(F.col("round") == k).select("symbols").mapInArrow(local, "slot int, w double, p binary"))
         weights = found or weights
     return weights
 
