@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import documents, written
-from lodgelake.llm.decontaminate import clean
+from lodgelake.llm.decontaminate import clean_rows
 from lodgelake.llm.mixing import mix
 from lodgelake.llm.quality import accepted
 from lodgelake.llm.sharding import shard_by_bytes
@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth or more of their words in 13-word benchmark windows go."""
-    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20)
+    return clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -321,3 +321,15 @@ def clean(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20)
     bad = (contamination(docs, items, window, share).where("contaminated")
            .select(F.col("doc_id").alias("_bad")).distinct())
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
+    """The rows that are not contaminated, columns as they came.
+
+    Every row is judged by its own text, whatever its id: a verdict goes back by a 64-bit hash of id and text, so
+    only rows with the same text share one.
+    """
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    bad = (contamination(docs.select(key.alias("doc_id"), "text"), items, window, share).where("contaminated")
+           .select(F.col("doc_id").alias("_bad")).distinct())
+    return docs.join(bad, key == bad["_bad"], "left_anti")
