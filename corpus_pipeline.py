@@ -15,7 +15,7 @@ from lodgelake.llm.decontaminate import clean_rows
 from lodgelake.llm.mixing import mix
 from lodgelake.llm.quality import accepted
 from lodgelake.llm.sharding import shard_by_bytes
-from lodgelake.llm.simhash import keep_one
+from lodgelake.llm.simhash import keep_first
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: 3-word shingles, at most 3 differing bits."""
-    return keep_one(docs, width=3, distance=3)
+    return keep_first(docs, width=3, distance=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

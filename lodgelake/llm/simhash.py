@@ -326,3 +326,24 @@ def keep_one(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
     found = rows.where("_id is not null").join(ids.withColumnRenamed("doc_id", "_keep"), F.col("_id") == F.col("_keep"))
     found = found.select("_row").unionByName(rows.where("_id is null").select("_row"))
     return found.select(*[F.col("_row").getField(c).alias(c) for c in names])
+
+
+def keep_first(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
+    """One row of each component, the first by (id, nulls last, row number); columns as they came.
+
+    Rows are numbered by scan partition and place, so ids may be null or repeat.  ``docs`` must be a table scan;
+    every kept row is checked against the length of its text, and a mismatch fails.
+    """
+    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(-1))
+    names = docs.columns
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*names).alias("_all"), size.alias("_now"))
+    numbers = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("id"), size.alias("size")), "rows")
+    found = near_duplicates(docs.select(F.monotonically_increasing_id().alias("row"), "text"), width, distance, "row")
+    # the least row number names a component: row numbers are never null and never repeat
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    kept = (found.select(F.col("doc_id").alias("row"), "component_id").join(numbers, "row")
+            .groupBy("component_id").agg(F.min_by(F.struct("row", "size"), order).alias("_k")).select("_k.*"))
+    both = rows.join(kept, F.col("_row") == F.col("row"))
+    same = F.when(F.col("_now") == F.col("size"), F.lit(True)).otherwise(
+        F.raise_error(F.lit("the documents came in another order than before; pass a table scan")).cast("boolean"))
+    return both.where(same).select(*[F.col("_all").getField(c).alias(c) for c in names])
