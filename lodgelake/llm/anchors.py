@@ -43,14 +43,18 @@ def runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np
 
     ``data`` holds the texts one after another, ``ends`` their bounds; starts count from the text's own.
     """
+    return runs_of(gram_hashes(data, gram) if len(data) >= length else np.zeros(len(data), dtype=np.uint64), ends, length, gram)
+
+
+def runs_of(h: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same over symbols of any kind, given the hash ``h`` of the ``gram`` symbols from each position."""
     nothing = np.zeros(0, dtype=np.int64)
-    if len(data) < length:
+    if len(h) < length:
         return nothing, nothing, nothing, nothing
-    h = gram_hashes(data, gram)
     # upper half: hash, lower half: place; the same halves for any data, so equal strings choose alike
     half = np.uint64(32)
-    place = np.arange(len(data), dtype=np.uint64)
-    least = window_minimum(((h >> half) << half) | place, length - gram + 1)[:len(data) - length + 1]
+    place = np.arange(len(h), dtype=np.uint64)
+    least = window_minimum(((h >> half) << half) | place, length - gram + 1)[:len(h) - length + 1]
     anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
     size = np.diff(ends)
     text = np.repeat(np.arange(len(size)), size)[:len(anchor)]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import written
-from lodgelake.llm.lookups import beside_texts, lay_out, numbered
+from lodgelake.llm.lookups import ROW, beside_texts, lay_out, numbered
 
 #: Lines that a boundary depends on, and lines to a chunk on average.
 CONTEXT, AVERAGE = 2, 4
@@ -95,10 +95,10 @@ def _hashed(rows: DataFrame, pieces: Cut) -> DataFrame:
                         out.append(((h >> 64) - (1 << 63), (h & _MASK) - (1 << 63), row, start, end, len(text)))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 3, *[pa.int32()] * 3))],
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), ROW, *[pa.int32()] * 3))],
                     names=["a", "b", "row", "start", "last", "size"])
 
-    return rows.mapInArrow(cut, "a long, b long, row long, start int, last int, size int")
+    return rows.mapInArrow(cut, "a long, b long, row struct<file:long,at:long>, start int, last int, size int")
 
 
 def _removed(docs: DataFrame, one, schema: str, id_col: str, text_col: str, pieces: Cut) -> DataFrame:
@@ -108,13 +108,13 @@ def _removed(docs: DataFrame, one, schema: str, id_col: str, text_col: str, piec
     places = hashed.join(again, ["a", "b"]).groupBy("row", "size").agg(F.collect_list(F.struct("start", "last")).alias("places"))
     path = lay_out(places, "chunk-places")
 
-    def compare(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
+    def compare(row: dict, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         seen: dict[bytes, int] = {}  # ends of the first of their kind in this text
         for start, end in sorted((x["start"], x["last"]) for x in got[0][0]):
             b = chunk_bytes(text, start, end)
             yield row, len(text), start, end, int(seen.setdefault(b, end) <= start), b
 
-    held = written(beside_texts(rows, path, "row long, size int, start int, last int, later int, bytes binary", compare, ["places"], False), "chunk-bytes")
+    held = written(beside_texts(rows, path, "row struct<file:long,at:long>, size int, start int, last int, later int, bytes binary", compare, ["places"], False), "chunk-bytes")
     # equal bytes, not equal hashes, decide
     first = held.groupBy("bytes").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).where("c > 1")
     gone = (held.join(first, "bytes").where("row <> first_row or later = 1")
@@ -144,7 +144,7 @@ def _lines(text: bytes, cut: list[tuple[int, int, int, int]]) -> int:
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: Cut = chunks) -> DataFrame:
     """doc_id and the text without later copies of multi-line chunks, for every row."""
-    def one(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
+    def one(row: dict, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         yield doc_id, _kept(text, got, cut)[1].decode()
 
     return _removed(docs, one, "doc_id long, text string", id_col, text_col, cut)
@@ -152,7 +152,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: Cut = chunks) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed chunks, n_removed_lines, n_removed_bytes and kept_sha256 of every row."""
-    def one(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
+    def one(row: dict, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         gone, left = _kept(text, got, cut)
         yield (doc_id, text.count(b"\n") + 1, len(cut(text)), len(gone), _lines(text, gone), len(text) - len(left),
                hashlib.sha256(left).hexdigest())

@@ -1,85 +1,117 @@
 """Decisions brought to the texts instead of texts to the decisions.
 
-Rows of a table scan are numbered by scan partition and place.  What an operator finds out about a row is
-written to shared storage in folders by scan partition, and the next scan reads, in each task, the few rows
-that concern its own texts.  So a corpus is scanned several times but never shuffled.
+Rows of a table scan are named by file and place in the file, which no scan changes however Spark cuts the
+files into partitions.  What an operator finds out about a row is written to shared storage, sorted by that
+name, and the next scan reads, batch by batch, the few rows that concern its own texts.  So a corpus is
+scanned several times but never shuffled.
 
-The scan must give the same partitions each time, as a table does.  Every lookup carries the size of its
-text, and a task fails rather than apply it to another one.
+``docs`` must be a table of files.  Every lookup carries the size of its text, and a task fails rather than
+apply it to another one (a file that was replaced between two scans).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import local_path, scratch, shuffle_parts
 
-#: Scan partitions whose lookups share a folder.
-FOLDER = 16
-_PART = 33  # bits of a row number below its scan partition
+#: Folders that the lookups of all files are dealt over.
+FOLDERS = 512
+#: Bytes of text (and of what is made of it) held before a batch of results is handed on.
+SLICE_BYTES = 4 << 20
+ROW = pa.struct([("file", pa.int64()), ("at", pa.int64())])
+
+
+def row_name(docs: DataFrame) -> Column:
+    """Struct (file, at): the hashed path of a row's file and the row's place in it."""
+    meta = docs.metadataColumn("_metadata")
+    return F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("at"))
 
 
 def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, t): texts as bytes with the number of their row, scan partition first."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+    """(row, doc_id, t): texts as bytes with the name of their row."""
+    return docs.select(row_name(docs).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").cast("binary").alias("t"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their texts hold about ``size`` bytes (one longer text is a batch)."""
+    for batch in batches:
+        n = pc.fill_null(pc.binary_length(batch.column("t")), 0).to_numpy(zero_copy_only=False)
+        group = (np.cumsum(n) - n) // size
+        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def lay_out(df: DataFrame, name: str) -> str:
-    """Write rows with a ``row`` column in folders by scan partition; returns the path."""
+    """Write rows with a ``row`` column in folders by file, sorted by row; returns the path."""
     path = scratch(df.sparkSession, name)
-    (df.withColumn("folder", F.shiftright("row", _PART) / FOLDER).withColumn("folder", F.floor("folder"))
-     .repartitionByRange(shuffle_parts(df.sparkSession), "folder", "row").sortWithinPartitions("folder", "row")
+    (df.withColumn("file", F.col("row.file")).withColumn("at", F.col("row.at")).drop("row")
+     .withColumn("folder", F.pmod("file", F.lit(FOLDERS)))
+     .repartitionByRange(shuffle_parts(df.sparkSession), "folder", "file", "at").sortWithinPartitions("folder", "file", "at")
      .write.partitionBy("folder").parquet(path))
     return path
 
 
 def beside_texts(rows: DataFrame, path: str, schema: str,
-                 one: Callable[[int, int | None, bytes, list[tuple]], Iterator[tuple]], columns: list[str], every: bool) -> DataFrame:
+                 one: Callable[[dict, int | None, bytes, list[tuple]], Iterator[tuple]], columns: list[str], every: bool) -> DataFrame:
     """Run ``one(row, doc_id, text, looked-up tuples)`` where each text lies; with ``every`` also where nothing is found."""
     local = local_path(path)
 
-    def read(part: int) -> dict[int, list[tuple]]:
+    def files_of(folder: int) -> tuple[pafs.FileSystem, list[str]]:
         fs, at = (pafs.LocalFileSystem(), local) if local else pafs.FileSystem.from_uri(path)
-        folder = f"{at}/folder={part // FOLDER}"
-        found: dict[int, list[tuple]] = {}
-        if fs.get_file_info(folder).type == pafs.FileType.NotFound:
-            return found
-        for info in fs.get_file_info(pafs.FileSelector(folder)):
-            if info.base_name.startswith(("_", ".")):
-                continue
-            with fs.open_input_file(info.path) as f:
-                table = pq.read_table(f, columns=["row", "size", *columns],
-                                      filters=[("row", ">=", part << _PART), ("row", "<", (part + 1) << _PART)])
-            for row, *values in zip(*(c.to_pylist() for c in table.columns)):
-                found.setdefault(row, []).append(tuple(values))
+        at = f"{at}/folder={folder}"
+        if fs.get_file_info(at).type == pafs.FileType.NotFound:
+            return fs, []
+        return fs, [i.path for i in fs.get_file_info(pafs.FileSelector(at)) if not i.base_name.startswith(("_", "."))]
+
+    def read(file: int, first: int, last: int, folders: dict[int, tuple]) -> dict[tuple, list[tuple]]:
+        folder = file % FOLDERS
+        if folder not in folders:
+            folders[folder] = files_of(folder)
+        fs, paths = folders[folder]
+        found: dict[tuple, list[tuple]] = {}
+        for p in paths:
+            with fs.open_input_file(p) as f:
+                table = pq.read_table(f, columns=["at", "size", *columns],
+                                      filters=[("file", "=", file), ("at", ">=", first), ("at", "<=", last)])
+            for at, *values in zip(*(c.to_pylist() for c in table.columns)):
+                found.setdefault((file, at), []).append(tuple(values))
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = None
+        folders: dict[int, tuple] = {}
         for batch in batches:
-            out = []
-            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if found is None:
-                    found = read(row >> _PART)
-                got = found.get(row, [])
-                text = text or b""
-                if any(x[0] != len(text) for x in got):
-                    raise RuntimeError("the documents came in another order than before; pass a table scan")
-                if got or every:
-                    out.extend(one(row, doc_id, text, [x[1:] for x in got]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), types)], names=names)
+            file, at = (batch.column("row").field(k).to_numpy() for k in (0, 1))
+            found: dict[tuple, list[tuple]] = {}
+            for f in np.unique(file).tolist():
+                places = at[file == f]
+                found.update(read(f, int(places.min()), int(places.max()), folders))
+            for part in slices(iter([batch])):
+                out = []
+                for row, doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
+                    got = found.get((row["file"], row["at"]), [])
+                    text = text or b""
+                    if any(x[0] != len(text) for x in got):
+                        raise RuntimeError("a file of the documents was replaced between two scans")
+                    if got or every:
+                        out.extend(one(row, doc_id, text, [x[1:] for x in got]))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), types)], names=names)
 
     fields = [f.strip().split(" ", 1) for f in schema.split(", ")]
     names = [n for n, _ in fields]
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(),
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(), "struct<file:long,at:long>": ROW,
              "array<struct<first:int,last:int>>": pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))}
     types = [kinds[k] for _, k in fields]
     return rows.mapInArrow(run, schema)

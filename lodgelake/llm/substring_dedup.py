@@ -16,8 +16,8 @@ anchors, so a shard holds whole groups of strings with one anchor hash:
    single strings dealt by a 128-bit hash of all their bytes, and counted.
 5. Repeated strings go back to their occurrences and are united per document.
 
-Texts are not shuffled: each scan partition looks its own rows up in a table on shared storage that is
-laid out by scan partition (``lookups.py``), so ``docs`` must be a table scan.
+Texts are not shuffled: each task looks its own rows up in a table on shared storage that is laid out by
+file (``lookups.py``), so ``docs`` must be a table of files.
 
 Defined cases: null text is empty text; texts shorter than ``length`` lose nothing; repeated rows are separate
 texts and lose what they share; a null id is kept; an empty table gives no rows; only the id and text
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lodgelake.llm.anchors import runs
 from lodgelake.llm.common import shuffle_parts, written
-from lodgelake.llm.lookups import beside_texts, lay_out, numbered
+from lodgelake.llm.lookups import beside_texts, lay_out, numbered, slices
 from lodgelake.llm.suffix_array import permuted_lcp, suffix_array
 
 #: Bytes of an anchor.
@@ -48,21 +48,11 @@ SLICE_BYTES, SHARD_BYTES = 2 << 20, 1 << 20
 HOT_PIECES = 4000
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column("t")), 0).to_numpy(zero_copy_only=False)
-        group = (np.cumsum(size) - size) // SLICE_BYTES
-        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            if b > a:
-                yield batch.slice(a, b - a)
-
-
 def text_runs(rows: DataFrame, length: int) -> DataFrame:
     """(key, piece, row, start, n): runs of ``n`` strings from ``start`` with anchor hash ``key``."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
-        for part in _slices(batches):
+        for part in slices(batches, SLICE_BYTES):
             texts = pc.fill_null(part.column("t"), b"").cast(pa.large_binary())
             ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
             if ends[-1] == ends[0]:
@@ -78,7 +68,7 @@ def text_runs(rows: DataFrame, length: int) -> DataFrame:
                 [pa.array(key), pa.array(piece), part.column("row").take(pa.array(text)), pa.array(start.astype(np.int32)),
                  pa.array(n.astype(np.int32))], names=["key", "piece", "row", "start", "n"])
 
-    return rows.mapInArrow(cut, "key long, piece long, row long, start int, n int")
+    return rows.mapInArrow(cut, "key long, piece long, row struct<file:long,at:long>, start int, n int")
 
 
 SPANS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
@@ -156,7 +146,7 @@ def _counted_strings(pieces: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text",
                    schema: str = "doc_id long, n_bytes long, spans array<struct<first:int,last:int>>, kept binary") -> DataFrame:
     """doc_id, n_bytes, spans (half-open byte ranges to remove, maximal) and the kept bytes of every row."""
-    def one(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
+    def one(row: dict, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         spans = united(got[0][0] if got else [])
         yield doc_id, len(text), [{"first": a, "last": b} for a, b in spans], without(text, spans)
 
@@ -165,7 +155,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
 def digest(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the kept bytes of every row."""
-    def one(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
+    def one(row: dict, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         spans = united(got[0][0] if got else [])
         yield doc_id, len(text), sum(b - a for a, b in spans), len(spans), hashlib.sha256(without(text, spans)).hexdigest()
 
@@ -191,18 +181,18 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _repeats(docs: DataFrame, length: int, id_col: str, text_col: str, one, schema: str) -> DataFrame:
     rows = numbered(docs, id_col, text_col)
     sizes = rows.select("row", F.coalesce(F.octet_length("t"), F.lit(0)).alias("size"))
-    every = text_runs(rows, length)
+    every = written(text_runs(rows, length), "runs")
     keys = written(every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "repeated-anchors")
     runs_ = written(every.join(keys, "key"), "repeated-runs")
     pieces = written(runs_.groupBy("key", "piece", "n").agg(
-        F.count("*").alias("often"), F.first("row").alias("row"), F.first("start").alias("start")), "pieces")
+        F.count("*").alias("often"), F.min(F.struct("row", "start")).alias("at")).select("key", "piece", "n", "often", "at.*"), "pieces")
     kinds = pieces.groupBy("key").agg(F.count("*").alias("kinds"))
     alone = pieces.join(kinds.where("kinds = 1"), "key").select("key", "piece", "n", F.array(F.struct(F.lit(0).alias("at"), "n")).alias("spans"))
 
     several = pieces.join(kinds.where("kinds > 1"), "key").join(sizes, "row")
     cuts = lay_out(several.groupBy("row", "size").agg(F.collect_list(F.struct("key", "piece", "n", "often", "kinds", "start")).alias("cuts")), "cuts")
 
-    def bytes_of(row: int, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
+    def bytes_of(row: dict, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         for c in got[0][0]:
             yield c["key"], c["piece"], c["n"], c["often"], c["kinds"], text[c["start"]:c["start"] + c["n"] + length - 1]
 
