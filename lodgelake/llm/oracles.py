@@ -85,3 +85,76 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
+
+SUBSTRINGS = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS place,
+           coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+), windows AS (
+    SELECT r, place, i, array_to_string(w[i:i + 49], ' ') AS p
+    FROM (SELECT r, place, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)
+), earliest AS (
+    SELECT p, min(place) AS least FROM windows GROUP BY p
+), gone AS (
+    SELECT DISTINCT r, unnest(range(i, i + 50)) AS k FROM windows JOIN earliest USING (p) WHERE least < place
+), words AS (
+    SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM doc
+), kept AS (
+    SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY k) AS text FROM words ANTI JOIN gone USING (r, k) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+SPELLING = """
+WITH RECURSIVE steps(x, c, k) AS (
+    SELECT range, range, 0 FROM range(256)
+    UNION ALL
+    SELECT x, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc_table AS (
+    SELECT list(c ORDER BY x) AS t FROM steps WHERE k = 8
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-z\\x{00C0}-\\x{00FF}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS c, string_split(hex(encode(concat(doc_id, ':', run))), '') AS h
+    FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run
+), octets AS (
+    SELECT doc_id, run, c, list_prepend(4294967295::BIGINT, list_transform(range(1, len(h) // 2 + 1), lambda i:
+               (16 * (strpos('0123456789ABCDEF', h[2 * i - 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i]) - 1)::BIGINT)) AS b
+    FROM counted
+), hashed AS (
+    SELECT doc_id, run, c, xor(list_reduce(b, lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS h
+    FROM octets, crc_table
+), results AS (
+    SELECT CASE WHEN doc_id IS NOT NULL AND h % 199 = 0
+                THEN left(run, CAST(h % length(run) AS BIGINT)) || substring(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, c
+    FROM hashed
+), lexicon AS (
+    SELECT word, CAST(sum(c) AS BIGINT) AS n FROM results WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+), shorter AS (
+    SELECT word, n, i, left(word, i - 1) || substring(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM lexicon)
+), pairs AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS m FROM shorter a JOIN shorter b USING (i, rest) WHERE a.word <> b.word
+    UNION
+    SELECT s.word, s.n, l.word, l.n FROM shorter s JOIN lexicon l ON l.word = s.rest
+    UNION
+    SELECT l.word, l.n, s.word, s.n FROM shorter s JOIN lexicon l ON l.word = s.rest
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(other)) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+), formed AS (
+    SELECT l.word, l.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * l.n THEN other END AS form, CASE WHEN m >= 5 * l.n THEN m END AS form_n
+    FROM lexicon l LEFT JOIN ranked r ON r.word = l.word AND r.k = 1
+), chain(word, last) AS (
+    SELECT word, word FROM formed
+    UNION ALL
+    SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.last WHERE formed.form IS NOT NULL
+), ends AS (
+    SELECT chain.word, chain.last AS root FROM chain JOIN formed ON formed.word = chain.last WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM formed JOIN ends USING (word)
+"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelake.llm import line_chunks, lm_score, oracles, substring_dedup
+from lodgelake.llm import line_chunks, lm_score, oracles, periodic_runs, spelling, substring_dedup, window_dedup
 from lodgelake.llm.common import documents
 from lodgelake.llm.decontaminate import contamination
 from lodgelake.llm.mixing import mix_sizes
@@ -85,9 +85,34 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the documents with its near words, the word it is a variant of and that word's root."""
+    return spelling.variants(spelling.vocabulary(documents(spark, sf_dir), min_length=6, min_count=5, rewrite=spelling.planted_slip), ratio=5)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word windows that a document of a smaller id holds as well."""
+    found = window_dedup.without_repeats(documents(spark, sf_dir), width=50)
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"])
+    return found.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the digest of its text without their repetitions."""
+    found = periodic_runs.periodic_runs(documents(spark, sf_dir), min_length=12, rewrite=periodic_runs.planted_tail)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", periodic_runs.longest("runs")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op6_line_dedup, op7_quality, op8_lm_score, op9_token_files, op10_mixing)}
+    return {f.__name__: f for f in (
+        op1_substring_dedup, op2_decontamination, op3_simhash, op4_top_k, op5_sharding, op6_line_dedup, op7_quality, op8_lm_score,
+        op9_token_files, op10_mixing, op11_spelling, op12_substring_dedup, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": oracles.DECONTAMINATION, "op4_top_k": oracles.TOP_K, "op5_sharding": oracles.SHARDING}
+    return {"op2_decontamination": oracles.DECONTAMINATION, "op4_top_k": oracles.TOP_K, "op5_sharding": oracles.SHARDING,
+            "op11_spelling": oracles.SPELLING, "op12_substring_dedup": oracles.SUBSTRINGS}
