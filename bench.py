@@ -17,8 +17,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -39,13 +39,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cores=cpus)
     shared = ensure_checkpoint_dir(spark)
-    local = shared.startswith("file:") or shared.startswith("/")
-    root = tempfile.mkdtemp(prefix="lodgelake-bench-", dir="/tmp") if local else f"{shared}/bench-warehouse"
+    root = f"{shared}/bench-{uuid.uuid4().hex}"
 
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     model, times["build_star"] = timed(
-        lambda: build(spark, raw_sources(spark, sf_dir), root, calendar_bounds="data"))
+        lambda: build(spark, raw_sources(spark, sf_dir), f"bench_{uuid.uuid4().hex}", root, calendar_bounds="data"))
     for name in ["dm_property_type", "dm_listing_neighbourhood", "dm_host_neighbourhood"]:
         result, times[name] = timed(lambda n=name: getattr(model, n).collect())
         rows[name] = len(result)

@@ -15,6 +15,8 @@ built-in expression, so aggregates using it still run partial (map-side) aggrega
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,28 @@ def round_ratio(num, den, scale: int = 2, num_scale: int = 2) -> Column:
     return ((q + bump) / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
 
 
+def cents(x, scale: int = 2) -> Column:
+    """A decimal of ``scale`` fractional digits as a whole number of its smallest units."""
+    return (col(x) * F.lit(10 ** scale)).cast("bigint")
+
+
+def from_cents(x, scale: int = 2) -> Column:
+    """The decimal that ``cents`` came from."""
+    return (col(x).cast(_INT) * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
+
+
+def cents_ratio(num, den, scale: int = 2) -> Column:
+    """``round(num / nullif(den, 0), scale)`` of a whole number of cents ``num``."""
+    return from_cents(round_ratio(col(num).cast(_INT), den, scale=0, num_scale=0), scale)
+
+
+def mean_cents(total, n) -> Column:
+    """``total / n`` in whole cents, half away from zero, for sums that fit a long; null when ``n`` is 0."""
+    t, d = col(total), F.nullif(col(n), F.lit(0))
+    half_up = F.call_function("div", F.abs(t) * 2 + d, d * 2)
+    return F.when(t < 0, -half_up).otherwise(half_up)
+
+
 def avg_exact(x, scale: int = 2, num_scale: int = 2, where=None) -> Column:
     """``round(avg(x) [filter (where cond)], scale)`` as an aggregate expression.
 

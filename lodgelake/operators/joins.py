@@ -30,17 +30,24 @@ def month_version_join(facts: DataFrame, versions: DataFrame, key: str, at: str,
                        attributes: Sequence[str], version_key: str | None = None,
                        start: str = "record_start_date", end: str = "record_end_date",
                        how: str = "left") -> DataFrame:
-    """Attach ``attributes`` of the version of ``facts[key]`` valid at ``facts[at]``."""
+    """Attach ``attributes`` of the version of ``facts[key]`` valid at ``facts[at]``.
+
+    Where both sides have a ``month`` column (the partition column of the stored tables), it is the join's
+    month, so restricting one side's months prunes the other side's files too; else the month is that
+    of ``at`` and of the version's start.
+    """
     version_key = version_key or key
+    stored = "month" in facts.columns and "month" in versions.columns
     v = versions.select(F.col(version_key).alias("_pit_key"), F.col(start).alias("_pit_start"),
-                        F.col(end).alias("_pit_end"), *attributes)
+                        F.col(end).alias("_pit_end"), *attributes,
+                        (F.col("month") if stored else F.col(start).cast("date")).alias("_pit_of"))
     spread = (-1 - F.pmod(F.xxhash64(*[c for c in facts.columns if c != key]), F.lit(NULL_SPREAD))).cast("bigint")
-    f = (facts.withColumn("_pit_month", month_start(at).cast("timestamp_ntz"))
+    f = (facts.withColumn("_pit_month", F.col("month") if stored else month_start(at))
          .withColumn("_pit_by", F.coalesce(F.col(key).cast("bigint"), spread)))
     at_ts = F.col(at).cast("timestamp_ntz")
     cond = ((F.col("_pit_by") == F.col("_pit_key"))
             & F.col(key).isNotNull()
-            & (F.col("_pit_month") == F.col("_pit_start"))
+            & (F.col("_pit_month") == F.col("_pit_of"))
             & (at_ts >= F.col("_pit_start"))
             & (at_ts < F.coalesce(F.col("_pit_end"), F.lit(OPEN_END).cast("timestamp_ntz"))))
-    return f.join(v, cond, how).drop("_pit_key", "_pit_start", "_pit_end", "_pit_month", "_pit_by")
+    return f.join(v, cond, how).drop("_pit_key", "_pit_start", "_pit_end", "_pit_of", "_pit_month", "_pit_by")

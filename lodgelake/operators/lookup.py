@@ -15,7 +15,7 @@ and the host's revenue is counted once per suburb.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,12 +39,12 @@ def lga_lookup_table(ref_lga: DataFrame, override_rows: DataFrame, literal: bool
     by_name = ref_lga.select(F.lower(F.trim("lga_name")).alias("lookup_key"), "lga_code", "lga_name")
     if not literal:
         by_name = by_name.distinct()
-    suburb_keys = by_suburb.select("lookup_key").distinct()
-    by_name = by_name.join(suburb_keys, "lookup_key", "left_anti")
-    named_keys = suburb_keys.unionByName(by_name.select("lookup_key")).distinct()
-    by_override = (override_rows.select(F.col("key_norm").alias("lookup_key"), "lga_code", "lga_name")
-                   .join(named_keys, "lookup_key", "left_anti"))
-    return by_suburb.unionByName(by_name).unionByName(by_override)
+    by_override = override_rows.select(F.col("key_norm").alias("lookup_key"), "lga_code", "lga_name")
+    answers = [df.withColumn("_rank", F.lit(rank)) for rank, df in enumerate((by_suburb, by_name, by_override))]
+    every = answers[0].unionByName(answers[1]).unionByName(answers[2]).where("lookup_key is not null")
+    # a key keeps the answers of the first kind that knows it: one window, one shuffle of the lookup rows
+    best = F.min("_rank").over(Window.partitionBy("lookup_key"))
+    return every.withColumn("_best", best).where("_rank = _best").drop("_rank", "_best")
 
 
 def priority_lookup(df: DataFrame, key_col: str, table: DataFrame,

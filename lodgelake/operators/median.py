@@ -1,23 +1,20 @@
-"""Exact continuous median per group (``percentile_cont(0.5)``), distributed.
+"""Exact continuous median per group (``percentile_cont(0.5)``) by digit selection.
 
 Spark's ``percentile`` keeps a value->count map of a whole group in one task's
-memory and returns a double.  Here:
-
-1. pre-aggregate to (group, value) -> count: partial aggregation before the
-   shuffle, which is keyed by value too, so a hot group is spread out;
-2. cut every group into ``buckets`` value ranges, with boundaries from
-   ``percentile_approx`` (a mergeable sketch, itself a partial aggregate), and count
-   the rows of each;
-3. the counts tell which bucket holds position floor((n-1)/2) and which holds
-   floor(n/2); only the values of those one or two buckets are put in order;
-4. the two values are averaged exactly in decimal and rounded half away from zero.
-
-Boundaries only balance the work; the positions come from exact counts, so the
-result is exact whatever the sketch returns.  It equals
-``round(percentile_cont(0.5) ... ::numeric, scale)`` without the double round
-trip (T15).  The group is one struct column throughout: a struct is never null, so
-groups with null keys join like any other and one partitioning by it serves the
-joins and the ordering.
+memory and returns a double.  Here values are whole cents, and
+
+1. (group, value) -> count: partial aggregation before the shuffle, which is keyed by the
+   value too, so a hot group is spread out;
+2. (group, leading digits) -> rows and the (value, count) list of that digit range.  Leading digits
+   are those of a floating-point number of ``DIGIT_BITS`` bits: a group has at most some
+   ten thousand ranges whatever its prices, and a range holds values that differ by a 512th;
+3. a running count over a group's ranges tells which range holds position floor((n-1)/2)
+   and which holds floor(n/2), and only the lists of those one or two are put in order;
+4. the two values are averaged exactly and rounded half away from zero.
+
+Nothing is joined and nothing is approximated.  It equals ``round(percentile_cont(0.5) ...
+::numeric, scale)`` without the double round trip (T15).  ``leading_digits``, ``value_list`` and
+``middle`` are the parts, for aggregates that carry other measures along.
 """
 
 from __future__ import annotations
@@ -28,47 +25,60 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgelake.functions._col import col
-from lodgelake.functions.numeric import round_ratio
+from lodgelake.functions.numeric import cents, cents_ratio
+
+#: Bits of a value's magnitude that name its digit range.
+DIGIT_BITS = 10
+
+
+def leading_digits(value) -> Column:
+    """Number of the digit range of a whole number; greater values never have smaller numbers."""
+    v = col(value)
+    size = F.abs(v)
+    shift = F.greatest(F.length(F.bin(size)) - DIGIT_BITS, F.lit(0))
+    digits = shift * (1 << (DIGIT_BITS - 1)) + F.call_function("shiftright", size, shift)
+    return F.when(v < 0, -digits).otherwise(digits)
+
+
+def value_list(value, n) -> Column:
+    """Aggregate: the (value, count) pairs of a digit range; null values are left out."""
+    v, c = col(value), col(n)
+    return F.collect_list(F.when(v.isNotNull(), F.struct(v.cast("bigint").alias("v"), c.cast("bigint").alias("c"))))
 
-DEFAULT_BUCKETS = 16
-SKETCH_ACCURACY = 1000
+
+def _nth(values: Column, k: Column) -> Column:
+    """The value at place ``k`` (from 0) of a (value, count) list in order of value."""
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("v"))
+
+    def step(a: Column, x: Column) -> Column:
+        upto = a["seen"] + x["c"]
+        return F.struct(upto.alias("seen"), F.when((a["seen"] <= k) & (k < upto), x["v"]).otherwise(a["v"]).alias("v"))
+
+    return F.aggregate(F.array_sort(values), start, step)["v"]
+
+
+def middle(group: Sequence[str], digits: str, n: str, values: str) -> tuple[Column, Column]:
+    """The lower and upper middle value of each group, in the row of the digit range that holds it, else null."""
+    whole = Window.partitionBy(*group)
+    rows = F.coalesce(F.col(n), F.lit(0)).cast("bigint")
+    upto = F.sum(rows).over(whole.orderBy(digits).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.sum(rows).over(whole)
+
+    def at(place: Column) -> Column:
+        first = upto - rows
+        return F.when((first <= place) & (place < upto), _nth(F.col(values), place - first))
+
+    return at(F.call_function("div", total - 1, F.lit(2))), at(F.call_function("div", total, F.lit(2)))
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value, out_col: str = "median",
-                 scale: int = 2, value_scale: int = 2, where: Column | None = None,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 scale: int = 2, where: Column | None = None) -> DataFrame:
+    """Median of a decimal of ``scale`` fractional digits, rounded to as many; null values do not count."""
     g = list(group_cols)
-    v = col(value)
-    if where is not None:
-        v = F.when(where, v)
-    counted = (df.select(F.struct(*g).alias("_g"), v.alias("_v"))
-               .where(F.col("_v").isNotNull())
-               .groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        bounds = counted.groupBy("_g").agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("_b"))
-        counted = counted.join(bounds, "_g").withColumn(
-            "_bk", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
-    else:
-        counted = counted.withColumn("_bk", F.lit(0))
-
-    per_bucket = counted.groupBy("_g", "_bk").agg(F.sum("_c").alias("_bc"))
-    groups = per_bucket.groupBy("_g").agg(F.sum("_bc").alias("_n"),
-                                          F.collect_list(F.struct("_bk", "_bc")).alias("_all"))  # at most ``buckets``
-    below = F.aggregate(F.filter("_all", lambda b: b["_bk"] < F.col("_bk")), F.lit(0).cast("bigint"),
-                        lambda a, b: a + b["_bc"])
-    own = F.filter("_all", lambda b: b["_bk"] == F.col("_bk"))[0]["_bc"]
-    lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-    near = (counted.join(groups, "_g").withColumn("_off", below)
-            .where((F.col("_off") <= hi) & (lo < F.col("_off") + own)))
-    running = (Window.partitionBy("_g", "_bk").orderBy("_v")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = near.withColumn("_upto", F.col("_off") + F.sum("_c").over(running))
-
-    def at(pos: Column) -> Column:
-        return F.max(F.when((F.col("_upto") - F.col("_c") <= pos) & (pos < F.col("_upto")), F.col("_v")))
-
-    picked = ranked.groupBy("_g").agg(at(lo).alias("_lo"), at(hi).alias("_hi"))
-    return picked.select(*[F.col("_g").getField(c).alias(c) for c in g],
-                         round_ratio(F.col("_lo") + F.col("_hi"), F.lit(2), scale=scale,
-                                     num_scale=value_scale).alias(out_col))
+    v = col(value) if where is None else F.when(where, col(value))
+    counted = (df.select(*g, cents(v, scale).alias("_v")).where(F.col("_v").isNotNull())
+               .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ranges = counted.groupBy(*g, leading_digits("_v").alias("_d")).agg(F.sum("_c").alias("_n"), value_list("_v", "_c").alias("_values"))
+    low, high = middle(g, "_d", "_n", "_values")
+    return (ranges.select(*g, low.alias("_low"), high.alias("_high")).groupBy(*g)
+            .agg(cents_ratio(F.max("_low") + F.max("_high"), F.lit(2), scale).alias(out_col)))

@@ -11,8 +11,7 @@ appearing stay open.
   ``dbt_valid_to = lead(updated_at)``.  Deterministic; accepts loads in any order.
 * ``scd2_merge``: one incremental load against an existing snapshot.  Only the
   open versions meet the incoming rows (a join on the key, ``scd2_advance``); closed versions
-  stay as they are, and the monthly load does not even read them.  The result goes to a new location (no transactional table
-  format is available), see ``plans.incremental``.
+  stay as they are, and the monthly load does not even read them (``plans.incremental``).
 
 Per-key windows hold one row per key and month, so a hot key costs one row per
 month, never its raw rows.
@@ -62,17 +61,23 @@ def scd2_replay(feed: DataFrame, key: str, updated_at: str, columns: Sequence[st
 
 def scd2_advance(open_: DataFrame, incoming: DataFrame, key: str, updated_at: str,
                  columns: Sequence[str]) -> DataFrame:
-    """Open versions after one load: those it closed, and those that are open now."""
+    """Open versions after one load: those it closed, and those that are open now.
+
+    The open versions meet nothing but joins on the key, and no union of them is sorted or partitioned again:
+    where both sides are tables bucketed by the key, the plan has no exchange at all.
+    """
     out_cols = list(columns) + SCD_COLUMNS
     open_from = open_.groupBy(key).agg(F.max("dbt_valid_from").alias("_open_from"))
     fresh = (incoming.where(F.col(updated_at).isNotNull())
              .join(open_from, key, "left")
              .where(F.col("_open_from").isNull() | (F.col(updated_at) > F.col("_open_from")))
              .drop("_open_from"))
-    fresh = _versions(_one_per_timestamp(fresh, key, updated_at, columns), key, updated_at, columns)
-    touched = open_.select(*out_cols).drop("dbt_valid_to").unionByName(fresh)
     w = Window.partitionBy(key).orderBy(F.col("dbt_valid_from").asc())
-    return touched.withColumn("dbt_valid_to", F.lead("dbt_valid_from").over(w)).select(*out_cols)
+    fresh = (_versions(_one_per_timestamp(fresh, key, updated_at, columns), key, updated_at, columns)
+             .withColumn("dbt_valid_to", F.lead("dbt_valid_from").over(w)))
+    first_new = fresh.groupBy(key).agg(F.min("dbt_valid_from").alias("_closed_at"))
+    kept = open_.join(first_new, key, "left").withColumn("dbt_valid_to", F.col("_closed_at"))
+    return kept.select(*out_cols).unionByName(fresh.select(*out_cols))
 
 
 def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, updated_at: str,

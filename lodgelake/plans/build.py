@@ -1,15 +1,16 @@
 """Full build (entry point A): write every table layer in dependency order.
 
-Each table-materialised relation of ``RentalModel`` is written once to this run's
-location and read back, so every downstream relation starts from files (lineage
-cut, restartable after executor loss) and no table is recomputed per consumer.
-Marts stay views (lazy DataFrames over the written star tables).
+Each table-materialised relation of ``RentalModel`` is written once as a catalog table of this run and read back, so
+every downstream relation starts from files (lineage cut, restartable after executor loss) and no table is recomputed
+per consumer.  Row counts and quality violations are observed by the writes.  Marts stay views (lazy
+DataFrames over the written star tables) unless ``plans.refresh`` stores them.
 
 Layout choices for scale:
 
-* the bronze scrape (the monthly landing table) is partitioned by ``source_month``,
-  so a monthly run prunes whole directories (``silver_airbnb_clean(months=...)``), and
-  clustered by it before the write, so a month has as many files as its size asks for;
+* the bronze scrape (the monthly landing table) is partitioned by ``source_month``, so a monthly run prunes whole
+  directories (``silver_airbnb_clean(months=...)``);
+* facts, host versions and property versions are partitioned by ``month`` and sorted by their join key inside a
+  file, so a panel of some months lists only those months' files on both sides of its joins;
 * every other table is written as the plan produces it (AQE-sized partitions);
   ``maxRecordsPerFile`` bounds file sizes.
 """
@@ -20,36 +21,55 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodgelake.plans import checks
 from lodgelake.plans.model import TABLES, RentalModel
-from lodgelake.sources.sinks import committed_attempt, new_attempt, publish, write_table
+from lodgelake.sources.sinks import checked_name, create_database, layer_of, publish_views, write_table
 
-PARTITIONS = {"airbnb": ["source_month"]}
+#: table -> (partition columns, sort columns inside a file)
+LAYOUT = {
+    "airbnb": (["source_month"], []),
+    "fact_listings": (["month"], ["host_id", "listing_id"]),
+    "dim_host": (["month"], ["host_id"]),
+    "dim_property": (["month"], ["listing_id"]),
+}
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, run_id: str | None = None,
-          tables=TABLES, partition: bool = True, **model_kw) -> RentalModel:
-    """Write ``tables`` under ``root/<run_id>`` and publish them; returns the model over them.
+def run_table(database: str, run_id: str, name: str) -> str:
+    return f"{database}_{layer_of(name)}__{run_id}.{name}"
 
-    Re-running with the same ``run_id`` resumes: a table whose write committed in that
-    run is read back instead of recomputed, and one that did not commit is written
-    again, to a new folder of the run.
+
+def build(spark: SparkSession, sources: dict[str, DataFrame], database: str, root: str, run_id: str | None = None,
+          tables=TABLES, check_calendar: tuple[str, str] | None = None, **model_kw) -> RentalModel:
+    """Write ``tables`` of a run, publish them as views of ``database``'s layers; returns the model over them.
+
+    Re-running with the same ``run_id`` resumes: a table that the catalog has is read instead of recomputed, and
+    one whose write failed is written again, to a new folder.  ``model.observed`` holds the metrics of the
+    tables that were written.
     """
-    run_id = run_id or uuid.uuid4().hex[:12]
-    written: dict[str, str] = {}
+    run_id = checked_name(run_id or uuid.uuid4().hex[:12])
+    root = root.rstrip("/")
+    done: dict[str, str] = {}
+    observed: dict[str, dict] = {}
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
-        path = committed_attempt(spark, root, run_id, name)
-        if path:
-            out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        table = run_table(checked_name(database), run_id, name)
+        if spark.catalog.tableExists(table):
+            out = spark.table(table).select(*df.columns)
         else:
-            path = new_attempt(root, run_id, name)
-            out = write_table(df, path, PARTITIONS.get(name, []) if partition else [], MAX_RECORDS_PER_FILE)
-        written[name] = path
+            create_database(spark, table.split(".")[0], f"{root}/{run_id}/{layer_of(name)}")
+            suburbs = spark.table(done["dim_suburb"]) if "dim_suburb" in done else None
+            rows = checks.checked(name, df, suburbs, check_calendar)
+            partition_by, sort_by = LAYOUT.get(name, ([], []))
+            out, observed[name] = write_table(rows, table, f"{root}/{run_id}/{layer_of(name)}/{name}", partition_by, sort_by,
+                                              MAX_RECORDS_PER_FILE, checks.metrics(rows))
+        done[name] = table
         return out
 
     model = RentalModel(spark, sources, materialize=materialize, **model_kw)
     for name in tables:
         getattr(model, name)
-    publish(spark, root, run_id, written)
+    publish_views(spark, database, root, done)
+    model.observed = observed
+    model.tables = done
     return model

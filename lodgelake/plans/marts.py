@@ -1,12 +1,20 @@
 """Gold marts (R27-R29): monthly panels with exact rates, prices and month-over-month change.
 
-Shape of each mart: fact ⟕ calendar (an expression on date_id) ⟕ month versions (equi-join on
-key and month) -> derived stays/revenue -> grouped aggregate (partial, map-side)
--> exact median per group (separate distributed aggregate, joined back on the
-group keys) -> ``lag`` over the aggregated panel.
-
-The calendar itself is not read: its day and month follow from ``date_id``.  Measures are
-exact decimals throughout (see ``functions.numeric``); counts are ``bigint``.
+Every mart is built in two parts.
+
+* The *panel* is month-local: facts of a month meet the versions of that month (equi-join on key and
+  month, the partition columns of both tables), and the joined rows are aggregated in one chain.
+  Listings, hosts and prices of a group are *facets* of its rows: a row is copied narrow once per facet, and
+  one partial aggregate per (group, facet, id) folds the copies before they move.  The second level
+  counts ids and keeps the digit ranges of prices, the third adds up a group and picks its median
+  (``operators.median``).  So distinct counts, sums and the median share one scan of the facts, one
+  frame and one chain of exchanges, and nothing is joined back.
+* The *mart* adds the change against the previous present month (``lag`` over the panel, one row
+  per group and month), names, published types and the order.
+
+``months`` (a DataFrame of dates) restricts a panel to some months: a semi-join that Spark turns
+into partition pruning on both sides of the version join.  Money is added up in whole cents (``functions.numeric``);
+counts are ``bigint``.
 """
 
 from __future__ import annotations
@@ -17,15 +25,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgelake.functions.dates import date_from_id
-from lodgelake.functions.numeric import avg_exact, pct_change, ratio_pct, round_ratio
+from lodgelake.functions.numeric import cents, cents_ratio, from_cents, mean_cents, pct_change, ratio_pct
 from lodgelake.operators.dedup import asc
 from lodgelake.operators.joins import month_version_join
 from lodgelake.operators.lookup import lga_lookup_table, priority_lookup
-from lodgelake.operators.median import exact_median
+from lodgelake.operators.median import leading_digits, middle, value_list
 
 # Fixed value: a month has 30 bookable nights in the reference's stay estimate.
 NIGHTS = 30
 
+FIRST_DAY = "0001-01-01"  # of Spark's dates
+
+# Facets of a panel's rows, and the parts that the ids of a group's listings and hosts are counted in.
+LISTING, HOST, PRICE = 0, 1, 2
+ID_PARTS = 64
+
 
 def stays_active(active: Column, availability: Column) -> Column:
     """``case when active then greatest(0, 30 - availability_30) else 0 end`` (null flag -> 0)."""
@@ -35,36 +49,34 @@ def stays_active(active: Column, availability: Column) -> Column:
 def revenue_active(active: Column, availability: Column, price: Column) -> Column:
     """Stays times price when active, else 0; null price gives null (skipped by sums)."""
     nights = F.greatest(F.lit(0), F.lit(NIGHTS) - availability)
-    return F.when(active, nights * price).otherwise(F.lit(0)).cast("decimal(14,2)")
+    return F.when(active, nights * price).otherwise(F.lit(0))
 
 
-def _with_calendar(fact: DataFrame, date_alias: str) -> DataFrame:
-    """``fact ⟕ dim_date on date_id`` as an expression.
+def _of_months(df: DataFrame, months: DataFrame | None) -> DataFrame:
+    """Rows of the given months (column ``month``, a date each); of a month-partitioned table only their files are listed.
+
+    Spark prunes partitions at run time only by a side with a comparison in it: hence the bound below all dates.
+    """
+    if months is None:
+        return df
+    some = months.select("month").where(F.col("month") >= F.lit(FIRST_DAY).cast("date")).distinct()
+    return df.join(F.broadcast(some), "month", "left_semi")
+
+
+def _dated(fact: DataFrame) -> DataFrame:
+    """Facts with the day (``on_day``) and month (``month_start``) of their calendar row.
 
     Every ``date_id`` is the ``yyyyMMdd`` of a calendar day (or null outside the
     calendar), so the day and its month follow by arithmetic -- the same values the
     left join returns, with no join at all.
     """
     day = date_from_id("date_id")
-    return fact.withColumn(date_alias, day).withColumn("month_start", F.trunc(day, "MM"))
-
-
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Null-safe equi-join of two per-group results (group keys may be null)."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+    return fact.withColumn("on_day", day).withColumn("month_start", F.when(F.col("date_id").isNotNull(), F.col("month")))
 
 
-def _lagged(df: DataFrame, partition: Sequence[str], measures: dict[str, str]) -> DataFrame:
-    w = Window.partitionBy(*partition).orderBy(asc("month_start"))
-    for src, out in measures.items():
-        df = df.withColumn(out, pct_change(F.col(src), F.lag(src).over(w)))
-    return df
+def _changes(panel: DataFrame, group: Sequence[str], measures: dict[str, str]) -> DataFrame:
+    by_month = Window.partitionBy(*group).orderBy(asc("month_start"))
+    return panel.withColumns({out: pct_change(F.col(src), F.lag(src).over(by_month)) for src, out in measures.items()})
 
 
 # Published types: money and review averages as the warehouse has them; percentages and the
@@ -76,193 +88,174 @@ def _as(c, kind: str) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast(kind)
 
 
-def _host_counts(rows: DataFrame, keys: Sequence[str], superhost: str) -> DataFrame:
-    """Distinct hosts and superhosts per group: one row per (group, host) first, then plain counts."""
-    per_host = rows.groupBy(*keys, "host_id").agg(F.bool_or(superhost).alias("_s"))
-    return per_host.groupBy(*keys).agg(
-        F.count("host_id").alias("distinct_hosts"),
-        F.count(F.when(F.col("_s"), F.col("host_id"))).alias("n_superhosts"))
-
-
-def _sum_count(name: str, value: Column | str) -> list[Column]:
-    """The two parts of an exact average, kept apart until the last level."""
-    v = F.col(value) if isinstance(value, str) else value
-    return [F.sum(v).alias(f"{name}_sum"), F.count(v).alias(f"{name}_n")]
-
-
-def _average(name: str) -> Column:
-    return round_ratio(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
-
-
-def dm_listing_neighbourhood(fact: DataFrame, hosts: DataFrame, suburbs: DataFrame) -> DataFrame:
-    """Month × listing neighbourhood.
-
-    The panel is built on ``suburb_id`` and the name is attached at the end:
-    ``suburb_id`` is md5 of the name, one id per name, so grouping by id equals
-    grouping by name, and the dimension join then meets one row per (month, suburb)
-    instead of every fact row.  Listings and hosts are counted from one row per
-    (group, listing) and (group, host), so no row is copied per distinct count.
-    """
-    facts = _with_calendar(fact.select("listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
-                                       "availability_30", "review_scores_rating"), "scraped_date")
-    facts = month_version_join(facts, hosts, "host_id", "scraped_date", ["host_is_superhost"])
+def _facets(rows: DataFrame, keys: Sequence[str], ids: Sequence[Column], flags: dict[str, dict[int, Column]],
+            sums: dict[str, Column]) -> DataFrame:
+    """One row per (keys, facet, id): ``ids[k]`` is the id in facet k, ``flags`` are any-of per facet, ``sums`` belong
+    to the listings; ``rows_n`` counts the rows.  Rows without a price are no part of the price facet."""
+    facet = F.col("facet")
+
+    def pick(by_facet: dict[int, Column]) -> Column:
+        out = None
+        for k, c in by_facet.items():
+            out = F.when(facet == k, c) if out is None else out.when(facet == k, c)
+        return out
+
+    copied = rows.withColumn("facet", F.explode(F.array(*[F.lit(k) for k in range(len(ids))])))
+    narrow = copied.select(*keys, "facet", pick({k: c.cast("bigint") for k, c in enumerate(ids)}).alias("id"),
+                           *[pick(by_facet).alias(name) for name, by_facet in flags.items()],
+                           *[F.when(facet == LISTING, c).alias(name) for name, c in sums.items()])
+    return narrow.where((facet != PRICE) | F.col("id").isNotNull()).groupBy(*keys, "facet", "id").agg(
+        *[F.bool_or(name).alias(name) for name in flags],
+        *[part for name in sums for part in (F.sum(name).alias(name), F.count(name).alias(f"{name}_n"))],
+        F.count(F.lit(1)).alias("rows_n"))
+
+
+def _ids(facet: int, flag: str | None = None) -> Column:
+    """Number of the group's ids in a facet, of those with a flag only."""
+    chosen = F.col("facet") == facet if flag is None else (F.col("facet") == facet) & F.col(flag)
+    return F.count(F.when(chosen, F.col("id")))
+
+
+def _big(name: str) -> Column:
+    return F.sum(F.col(name).cast("decimal(38,0)"))
+
+
+def _grouped(facets: DataFrame, keys: Sequence[str], counts: dict[str, Column], sums: Sequence[str]) -> DataFrame:
+    """The groups of a panel: ``counts`` and ``sums`` (with their numbers of terms), and price statistics in cents."""
+    part = F.when(F.col("facet") == PRICE, leading_digits("id")).otherwise(F.pmod(F.hash("id"), F.lit(ID_PARTS)))
+    price = F.when(F.col("facet") == PRICE, F.col("id"))
+    parts = facets.groupBy(*keys, "facet", part.alias("part")).agg(
+        *[c.alias(name) for name, c in counts.items()],
+        *[c for name in sums for c in (_big(name).alias(name), F.sum(f"{name}_n").alias(f"{name}_n"))],
+        F.min(price).alias("price_min"), F.max(price).alias("price_max"),
+        F.sum(price.cast("decimal(38,0)") * F.col("rows_n")).cast("decimal(38,0)").alias("price_sum"),
+        F.sum(F.when(price.isNotNull(), F.col("rows_n"))).alias("price_n"),
+        value_list(price, "rows_n").alias("prices"))
+    # facets in order put the prices last; other facets have no rows to count there
+    placed = parts.withColumn("place", F.struct("facet", "part"))
+    low, high = middle(keys, "place", "price_n", "prices")
+    each = placed.select(*keys, *counts, *sums, *[f"{s}_n" for s in sums], "price_min", "price_max", "price_sum", "price_n",
+                         low.alias("price_low"), high.alias("price_high"))
+    return each.groupBy(*keys).agg(
+        *[F.sum(name).alias(name) for name in counts],
+        *[c for name in sums for c in (F.sum(name).alias(name), F.sum(f"{name}_n").alias(f"{name}_n"))],
+        F.min("price_min").alias("price_min"), F.max("price_max").alias("price_max"), F.sum("price_sum").alias("price_sum"),
+        F.sum("price_n").alias("price_n"), (F.max("price_low") + F.max("price_high")).alias("price_middles"))
+
+
+LISTING_MART_KEYS = ["month_start", "suburb_id"]
+
+
+def listing_panel(fact: DataFrame, hosts: DataFrame, months: DataFrame | None = None) -> DataFrame:
+    """Month x listing suburb (by id: ``suburb_id`` is md5 of the name, one id per name)."""
+    facts = _dated(_of_months(fact.select("month", "listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
+                                          "availability_30", "review_scores_rating"), months))
+    facts = month_version_join(facts, _of_months(hosts, months), "host_id", "on_day", ["host_is_superhost"])
     active = F.col("has_availability")
     measured = facts.select(
-        "suburb_id", "month_start", "listing_id", "host_id", "has_availability",
-        F.col("price").cast(MONEY).alias("price"),
-        F.col("review_scores_rating").cast(SCORE).alias("review"),
+        *LISTING_MART_KEYS, "listing_id", "host_id", "has_availability",
+        F.when(active, cents("price")).alias("price"), F.when(active, cents("review_scores_rating")).alias("review"),
         F.coalesce("host_is_superhost", F.lit(False)).alias("superhost"),
         stays_active(active, F.col("availability_30")).alias("stays"),
-        revenue_active(active, F.col("availability_30"), F.col("price")).alias("revenue"))
-    keys = ["month_start", "suburb_id"]
-    per_pair = measured.groupBy(*keys, "listing_id", "host_id").agg(
-        F.bool_or("has_availability").alias("was_active"),
-        F.bool_or("superhost").alias("was_superhost"),
-        avg_exact("price", where=active).cast(MONEY).alias("price_avg"),
-        avg_exact("review", where=active).cast(SCORE).alias("review_avg"),
-        F.sum("stays").alias("stays"),
-        F.sum("revenue").cast(MONEY).alias("revenue"))
-    # a listing may have several rows in a month (in the null month): one flag for each state
-    per_listing = per_pair.groupBy(*keys, "listing_id").agg(
-        F.bool_or("was_active").alias("any_active"), F.bool_or(~F.col("was_active")).alias("any_inactive"),
-        F.min("price_avg").alias("price_min"), F.max("price_avg").alias("price_max"),
-        *_sum_count("price", "price_avg"), *_sum_count("review", "review_avg"),
+        revenue_active(active, F.col("availability_30"), cents("price")).alias("revenue"))
+    pairs = measured.groupBy(*LISTING_MART_KEYS, "listing_id", "host_id").agg(
+        F.bool_or("has_availability").alias("was_active"), F.bool_or("superhost").alias("was_superhost"),
+        mean_cents(F.sum("price"), F.count("price")).alias("price"), mean_cents(F.sum("review"), F.count("review")).alias("review"),
         F.sum("stays").alias("stays"), F.sum("revenue").alias("revenue"))
-    listings = per_listing.groupBy(*keys).agg(
-        F.count(F.when(F.col("any_active"), F.col("listing_id"))).alias("n_active"),
-        F.count(F.when(F.col("any_inactive"), F.col("listing_id"))).alias("n_inactive"),
-        F.count("listing_id").alias("n_listings"),
-        F.min("price_min").alias("min_price_active"), F.max("price_max").alias("max_price_active"),
-        _average("price").alias("avg_price_active"), _average("review").alias("avg_review_score_active"),
-        F.sum("stays").alias("total_stays_active"), F.sum("revenue").alias("revenue"))
-    panel = _join_on_keys(listings, _host_counts(per_pair, keys, "was_superhost"), keys)
-    panel = _join_on_keys(panel, exact_median(per_pair, keys, "price_avg", out_col="median_price_active"), keys)
-    panel = _lagged(panel, ["suburb_id"],
-                    {"n_active": "pct_change_active_listings", "n_inactive": "pct_change_inactive_listings"})
+    # a listing may have several rows in a month (in the null month): one flag for each state
+    facets = _facets(pairs, LISTING_MART_KEYS, [F.col("listing_id"), F.col("host_id"), F.col("price")],
+                     {"flag": {LISTING: F.col("was_active"), HOST: F.col("was_superhost")}, "idle": {LISTING: ~F.col("was_active")}},
+                     {c: F.col(c) for c in ("review", "stays", "revenue")})
+    return _grouped(facets, LISTING_MART_KEYS, {
+        "n_listings": _ids(LISTING), "n_active": _ids(LISTING, "flag"), "n_inactive": _ids(LISTING, "idle"),
+        "n_hosts": _ids(HOST), "n_superhosts": _ids(HOST, "flag")}, ["review", "stays", "revenue"])
+
+
+def dm_listing_neighbourhood(panel: DataFrame, suburbs: DataFrame) -> DataFrame:
+    """Month x listing neighbourhood, from its panel; the name is attached to one row per group."""
+    panel = _changes(panel, ["suburb_id"], {"n_active": "pct_change_active_listings", "n_inactive": "pct_change_inactive_listings"})
     # Both sides are per-suburb now; the planner/AQE picks the join from their real sizes.
-    names = suburbs.select(F.col("suburb_id").alias("_s_id"), F.col("suburb_name").alias("listing_neighbourhood"))
-    panel = panel.join(names, panel["suburb_id"] == names["_s_id"], "left")
-    out = panel.select(
+    names = suburbs.select("suburb_id", F.col("suburb_name").alias("listing_neighbourhood"))
+    return panel.join(names, "suburb_id", "left").select(
         "month_start", "listing_neighbourhood",
         _as(ratio_pct("n_active", "n_listings"), WIDE).alias("active_listing_rate_pct"),
-        F.col("distinct_hosts").cast("bigint").alias("distinct_hosts"),
-        _as(ratio_pct("n_superhosts", "distinct_hosts"), WIDE).alias("superhost_rate_pct"),
-        _as("min_price_active", MONEY).alias("min_price_active"),
-        _as("max_price_active", MONEY).alias("max_price_active"),
-        _as("avg_price_active", MONEY).alias("avg_price_active"),
-        _as("median_price_active", MONEY).alias("median_price_active"),
-        _as("avg_review_score_active", SCORE).alias("avg_review_score_active"),
-        F.col("total_stays_active").cast("bigint").alias("total_stays_active"),
-        _as(round_ratio("revenue", "n_active"), MONEY).alias("avg_est_revenue_per_active_listing"),
+        F.col("n_hosts").cast("bigint").alias("distinct_hosts"),
+        _as(ratio_pct("n_superhosts", "n_hosts"), WIDE).alias("superhost_rate_pct"),
+        _as(from_cents("price_min"), MONEY).alias("min_price_active"),
+        _as(from_cents("price_max"), MONEY).alias("max_price_active"),
+        _as(cents_ratio("price_sum", "price_n"), MONEY).alias("avg_price_active"),
+        _as(cents_ratio("price_middles", F.lit(2)), MONEY).alias("median_price_active"),
+        _as(cents_ratio("review", "review_n"), SCORE).alias("avg_review_score_active"),
+        F.col("stays").cast("bigint").alias("total_stays_active"),
+        _as(cents_ratio("revenue", "n_active"), MONEY).alias("avg_est_revenue_per_active_listing"),
         _as("pct_change_active_listings", WIDE).alias("pct_change_active_listings"),
         _as("pct_change_inactive_listings", WIDE).alias("pct_change_inactive_listings"),
-    )
-    return out.orderBy(asc("listing_neighbourhood"), asc("month_start"))
-
-
-def dm_host_neighbourhood(fact: DataFrame, hosts: DataFrame, lga: DataFrame,
-                          override_rows: DataFrame, literal: bool = False) -> DataFrame:
-    """Month × host LGA (suburb match, then LGA-name match, then override)."""
-    base = fact.select("listing_id", "host_id", "date_id", "price", "has_availability", "availability_30")
-    with_date = _with_calendar(base, "scraped_date")
-    hj = month_version_join(with_date, hosts, "host_id", "scraped_date", ["host_neighbourhood"])
-    hj = hj.withColumn("host_neigh_norm", F.lower(F.trim("host_neighbourhood")))
-    mapped = priority_lookup(hj, "host_neigh_norm", lga_lookup_table(lga, override_rows, literal=literal))
+    ).orderBy(asc("listing_neighbourhood"), asc("month_start"))
+
+
+HOST_MART_KEYS = ["month_start", "host_neighbourhood_lga", "host_neighbourhood_lga_code"]
+
+
+def host_panel(fact: DataFrame, hosts: DataFrame, lga: DataFrame, override_rows: DataFrame, literal: bool = False,
+               months: DataFrame | None = None) -> DataFrame:
+    """Month x host LGA (suburb match, then LGA-name match, then override)."""
+    facts = _dated(_of_months(fact.select("month", "listing_id", "host_id", "date_id", "price", "has_availability", "availability_30"), months))
+    facts = month_version_join(facts, _of_months(hosts, months), "host_id", "on_day", ["host_neighbourhood"])
+    placed = priority_lookup(facts.withColumn("neighbourhood", F.lower(F.trim("host_neighbourhood"))), "neighbourhood",
+                             lga_lookup_table(lga, override_rows, literal=literal))
     active = F.col("has_availability")
-    keys = ["month_start", "host_neighbourhood_lga", "host_neighbourhood_lga_code"]
-    measured = mapped.select(
-        *keys, "listing_id", "host_id", "has_availability",
-        revenue_active(active, F.col("availability_30"), F.col("price").cast(MONEY)).alias("revenue"))
-    per_pair = measured.groupBy(*keys, "listing_id", "host_id").agg(
-        F.bool_or("has_availability").alias("was_active"), F.sum("revenue").cast(MONEY).alias("revenue"))
-    per_listing = per_pair.groupBy(*keys, "listing_id").agg(
-        F.bool_or("was_active").alias("any_active"), F.sum("revenue").alias("revenue"))
-    listings = per_listing.groupBy(*keys).agg(
-        F.count(F.when(F.col("any_active"), F.col("listing_id"))).alias("n_active"), F.sum("revenue").alias("revenue"))
-    hosts_in = per_pair.select(*keys, "host_id").distinct().groupBy(*keys).agg(F.count("host_id").alias("distinct_hosts"))
-    panel = _join_on_keys(listings, hosts_in, keys)
-    out = panel.select(
-        *keys, F.col("distinct_hosts").cast("bigint").alias("distinct_hosts"),
-        _as(round_ratio("revenue", "n_active"), MONEY).alias("est_revenue_per_active_listing"),
-        _as(round_ratio("revenue", "distinct_hosts"), MONEY).alias("est_revenue_per_host"))
-    return out.orderBy(asc("host_neighbourhood_lga"), asc("month_start"))
-
-
-PROPERTY_KEYS = ["month_start", "property_type", "room_type", "accommodates"]
-
-
-def _property_panel(rows: DataFrame, keys: Sequence[str], lag_partition: Sequence[str],
-                    median_rows: DataFrame | None = None) -> DataFrame:
-    """Aggregate + median + lag shared by ``dm_property_type`` and ``property_mart_core``.
-
-    ``rows``: keys, listing_id, host_id, price, has_availability, availability_30,
-    review_scores_rating, host_is_superhost.  ``median_rows`` (keys, price,
-    has_availability) may skip joins that only add columns the median does not use.
-    """
+    facets = _facets(placed, HOST_MART_KEYS, [F.col("listing_id"), F.col("host_id")], {"flag": {LISTING: active}},
+                     {"revenue": revenue_active(active, F.col("availability_30"), cents("price"))})
+    return facets.groupBy(*HOST_MART_KEYS).agg(
+        _ids(LISTING, "flag").alias("n_active"), _ids(HOST).alias("n_hosts"), _big("revenue").alias("revenue"))
+
+
+def dm_host_neighbourhood(panel: DataFrame) -> DataFrame:
+    """Month x host LGA, from its panel."""
+    return panel.select(
+        *HOST_MART_KEYS, F.col("n_hosts").cast("bigint").alias("distinct_hosts"),
+        _as(cents_ratio("revenue", "n_active"), MONEY).alias("est_revenue_per_active_listing"),
+        _as(cents_ratio("revenue", "n_hosts"), MONEY).alias("est_revenue_per_host"),
+    ).orderBy(asc("host_neighbourhood_lga"), asc("month_start"))
+
+
+PROPERTY_GROUP = ["property_type", "room_type", "accommodates"]
+PROPERTY_KEYS = ["month_start", *PROPERTY_GROUP]
+
+
+def property_panel(fact: DataFrame, properties: DataFrame, hosts: DataFrame, months: DataFrame | None = None) -> DataFrame:
+    """Month x property type x room type x accommodates, attributes as of each fact."""
+    facts = _dated(_of_months(fact.select("month", "listing_id", "host_id", "date_id", "price", "has_availability", "availability_30",
+                                          "review_scores_rating"), months))
+    facts = month_version_join(facts, _of_months(properties, months), "listing_id", "on_day", PROPERTY_GROUP)
+    facts = month_version_join(facts, _of_months(hosts, months), "host_id", "on_day", ["host_is_superhost"])
     active = F.col("has_availability")
-    measured = rows.select(
-        *keys, "listing_id", "host_id", "has_availability", "host_is_superhost",
-        F.when(active, F.col("price")).alias("price"),
-        F.when(active, F.col("review_scores_rating")).alias("review"),
-        stays_active(active, F.col("availability_30")).alias("stays"),
-        F.when(active, revenue_active(active, F.col("availability_30"), F.col("price"))).alias("revenue"))
-    per_listing = measured.groupBy(*keys, "listing_id").agg(
-        F.bool_or("has_availability").alias("any_active"), F.bool_or(~active).alias("any_inactive"),
-        F.min("price").alias("price_min"), F.max("price").alias("price_max"),
-        *_sum_count("price", "price"), *_sum_count("review", "review"), *_sum_count("revenue", "revenue"),
-        F.sum("stays").alias("stays"))
-    listings = per_listing.groupBy(*keys).agg(
-        F.count("listing_id").alias("listings_total"),
-        F.count(F.when(F.col("any_active"), F.col("listing_id"))).alias("listings_active"),
-        F.count(F.when(F.col("any_inactive"), F.col("listing_id"))).alias("listings_inactive"),
-        F.min("price_min").alias("min_price_active"), F.max("price_max").alias("max_price_active"),
-        _average("price").alias("avg_price_active"), _average("review").alias("avg_review_score_active"),
-        _average("revenue").alias("avg_est_revenue_per_active_listing"),
-        F.sum("stays").alias("total_stays_active"))
-    panel = _join_on_keys(listings, _host_counts(measured, keys, "host_is_superhost"), keys)
-    med = exact_median(rows if median_rows is None else median_rows, keys, "price",
-                       out_col="median_price_active", where=active)
-    panel = _lagged(_join_on_keys(panel, med, keys), lag_partition,
-                    {"listings_active": "pct_change_active_listings_mom",
-                     "listings_inactive": "pct_change_inactive_listings_mom"})
+    facets = _facets(
+        facts, PROPERTY_KEYS, [F.col("listing_id"), F.col("host_id"), F.when(active, cents("price"))],
+        {"flag": {LISTING: active, HOST: F.coalesce("host_is_superhost", F.lit(False))}, "idle": {LISTING: ~active}},
+        {"review": F.when(active, cents("review_scores_rating")), "stays": stays_active(active, F.col("availability_30")),
+         "revenue": F.when(active, revenue_active(active, F.col("availability_30"), cents("price")))})
+    return _grouped(facets, PROPERTY_KEYS, {
+        "n_listings": _ids(LISTING), "n_active": _ids(LISTING, "flag"), "n_inactive": _ids(LISTING, "idle"),
+        "n_hosts": _ids(HOST), "n_superhosts": _ids(HOST, "flag")}, ["review", "stays", "revenue"])
+
+
+def dm_property_type(panel: DataFrame) -> DataFrame:
+    """Month x property type x room type x accommodates, from its panel."""
+    panel = _changes(panel, PROPERTY_GROUP, {"n_active": "pct_change_active_listings_mom", "n_inactive": "pct_change_inactive_listings_mom"})
+    measures = {
+        "min_price_active": from_cents("price_min"), "max_price_active": from_cents("price_max"),
+        "avg_price_active": cents_ratio("price_sum", "price_n"), "median_price_active": cents_ratio("price_middles", F.lit(2)),
+        "avg_review_score_active": cents_ratio("review", "review_n"),
+        "avg_est_revenue_per_active_listing": cents_ratio("revenue", "revenue_n"),
+        "pct_change_active_listings_mom": F.col("pct_change_active_listings_mom"),
+        "pct_change_inactive_listings_mom": F.col("pct_change_inactive_listings_mom"),
+    }
     return panel.select(
-        *keys,
-        _as(ratio_pct("listings_active", "listings_total"), WIDE).alias("active_listings_rate_pct"),
-        F.col("distinct_hosts").cast("bigint").alias("distinct_hosts"),
-        _as(ratio_pct("n_superhosts", "distinct_hosts"), WIDE).alias("superhost_rate_pct"),
-        F.col("total_stays_active").cast("bigint").alias("total_stays_active"),
-        *[_as(c, WIDE).alias(c) for c in (
-            "min_price_active", "max_price_active", "avg_price_active", "median_price_active",
-            "avg_review_score_active", "avg_est_revenue_per_active_listing",
-            "pct_change_active_listings_mom", "pct_change_inactive_listings_mom")],
-    ).orderBy(*[asc(k) for k in lag_partition], asc("month_start"))
-
-
-def dm_property_type(fact: DataFrame, properties: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Month × property type × room type × accommodates, attributes as of each fact."""
-    base = _with_calendar(
-        fact.select("listing_id", "host_id", "date_id", "price", "has_availability", "availability_30",
-                    "review_scores_rating"),
-        "recorded_date")
-    prop = month_version_join(base, properties, "listing_id", "recorded_date",
-                              ["property_type", "room_type", "accommodates"])
-    hj = month_version_join(prop, hosts, "host_id", "recorded_date", ["host_is_superhost"])
-    hj = hj.withColumn("host_is_superhost", F.coalesce("host_is_superhost", F.lit(False)))
-    # host versions are unique per (host, month), so the host join keeps the row count:
-    # the median reads the rows before it and skips that join
-    return _property_panel(hj, PROPERTY_KEYS, ["property_type", "room_type", "accommodates"],
-                           median_rows=prop)
-
-
-def property_mart_core(for_fact: DataFrame) -> DataFrame:
-    """Example outside the model: latest listing-month rows -> month × type × room panel.
-
-    Attributes come straight from the latest scrape of the month (no history join);
-    superhost is the row's own flag.
-    """
-    rows = for_fact.select(
-        "month_start", "property_type", "room_type", "listing_id", "host_id", "price",
-        "has_availability", "availability_30", "review_scores_rating",
-        F.coalesce("host_is_superhost", F.lit(False)).alias("host_is_superhost"))
-    return _property_panel(rows, ["month_start", "property_type", "room_type"],
-                           ["property_type", "room_type"])
+        *PROPERTY_KEYS,
+        _as(ratio_pct("n_active", "n_listings"), WIDE).alias("active_listings_rate_pct"),
+        F.col("n_hosts").cast("bigint").alias("distinct_hosts"),
+        _as(ratio_pct("n_superhosts", "n_hosts"), WIDE).alias("superhost_rate_pct"),
+        F.col("stays").cast("bigint").alias("total_stays_active"),
+        *[_as(c, WIDE).alias(name) for name, c in measures.items()],
+    ).orderBy(*[asc(k) for k in PROPERTY_GROUP], asc("month_start"))

@@ -127,22 +127,37 @@ class RentalModel:
         return self._table("dim_date", dim_date(days))
 
     @cached_property
-    def dim_host(self) -> DataFrame:
+    def host_versions(self) -> DataFrame:
+        """``dim_host`` with the month that it is stored by."""
         return self._table("dim_host", star.dim_host(self.host_snapshot))
 
     @cached_property
-    def dim_property(self) -> DataFrame:
+    def dim_host(self) -> DataFrame:
+        return self.host_versions.select(*star.DIM_HOST_COLUMNS)
+
+    @cached_property
+    def property_versions(self) -> DataFrame:
+        """``dim_property`` with the month that it is stored by."""
         return self._table("dim_property", star.dim_property(self.property_snapshot))
 
+    @cached_property
+    def dim_property(self) -> DataFrame:
+        return self.property_versions.select(*star.DIM_PROPERTY_COLUMNS)
+
     @cached_property
     def dim_suburb(self) -> DataFrame:
         return self._table("dim_suburb", star.dim_suburb(self.silver_listing))
 
     @cached_property
-    def fact_listings(self) -> DataFrame:
+    def listing_facts(self) -> DataFrame:
+        """``fact_listings`` with the month that it is stored by."""
         bounds = None if self.calendar_bounds == "data" else tuple(self.calendar_bounds)
         return self._table("fact_listings", star.fact_listings(self.silver_listing_for_fact, bounds))
 
+    @cached_property
+    def fact_listings(self) -> DataFrame:
+        return self.listing_facts.select(*star.FACT_COLUMNS)
+
     @cached_property
     def ref_lga(self) -> DataFrame:
         return self._table("ref_lga", star.ref_lga(self.silver_lga))
@@ -160,22 +175,26 @@ class RentalModel:
     def lga_overrides(self) -> DataFrame:
         return overrides(self.spark)
 
+    def listing_panel(self, months: DataFrame | None = None) -> DataFrame:
+        return marts.listing_panel(self.listing_facts, self.host_versions, months)
+
+    def host_panel(self, months: DataFrame | None = None) -> DataFrame:
+        return marts.host_panel(self.listing_facts, self.host_versions, self.ref_lga, self.lga_overrides, self.literal, months)
+
+    def property_panel(self, months: DataFrame | None = None) -> DataFrame:
+        return marts.property_panel(self.listing_facts, self.property_versions, self.host_versions, months)
+
     @cached_property
     def dm_listing_neighbourhood(self) -> DataFrame:
-        return marts.dm_listing_neighbourhood(self.fact_listings, self.dim_host, self.dim_suburb)
+        return marts.dm_listing_neighbourhood(self.listing_panel(), self.dim_suburb)
 
     @cached_property
     def dm_host_neighbourhood(self) -> DataFrame:
-        return marts.dm_host_neighbourhood(self.fact_listings, self.dim_host, self.ref_lga,
-                                           self.lga_overrides, literal=self.literal)
+        return marts.dm_host_neighbourhood(self.host_panel())
 
     @cached_property
     def dm_property_type(self) -> DataFrame:
-        return marts.dm_property_type(self.fact_listings, self.dim_property, self.dim_host)
-
-    @cached_property
-    def property_mart_core(self) -> DataFrame:
-        return marts.property_mart_core(self.silver_listing_for_fact)
+        return marts.dm_property_type(self.property_panel())
 
 
 TABLES = [

@@ -14,6 +14,10 @@ from lodgelake.plans.silver import HOST_FEED_COLUMNS
 PROPERTY_SNAPSHOT_COLUMNS = ["listing_id", "property_type", "room_type", "accommodates", "scraped_date"]
 HOST_ATTRIBUTES = ["host_name", "host_is_superhost", "host_neighbourhood", "host_since"]
 PROPERTY_ATTRIBUTES = ["property_type", "room_type", "accommodates"]
+DIM_HOST_COLUMNS = ["host_id", *HOST_ATTRIBUTES, "record_start_date", "record_end_date"]
+DIM_PROPERTY_COLUMNS = ["listing_id", *PROPERTY_ATTRIBUTES, "record_start_date", "record_end_date"]
+#: The tables of facts and versions carry their month beside the model's columns: they are stored by it.
+VERSION_MONTH = "cast(record_start_date as date) as month"
 FACT_COLUMNS = ["listing_id", "host_id", "suburb_id", "date_id", "price", "has_availability",
                 "availability_30", "number_of_reviews", "review_scores_rating"]
 
@@ -30,16 +34,14 @@ def property_snapshot(feed: DataFrame) -> DataFrame:
 
 
 def dim_host(snapshot: DataFrame) -> DataFrame:
-    """One host version per calendar month of its snapshot date."""
-    return month_versions(snapshot, "host_id", HOST_ATTRIBUTES).select(
-        "host_id", *HOST_ATTRIBUTES, "record_start_date", "record_end_date")
+    """One host version per calendar month of its snapshot date, and that month."""
+    return month_versions(snapshot, "host_id", HOST_ATTRIBUTES).selectExpr(*DIM_HOST_COLUMNS, VERSION_MONTH)
 
 
 def dim_property(snapshot: DataFrame) -> DataFrame:
-    """One property version per month; ties go to the smallest (type, room)."""
+    """One property version per month, and that month; ties go to the smallest (type, room)."""
     return month_versions(snapshot, "listing_id", PROPERTY_ATTRIBUTES,
-                          order=[asc("property_type"), asc("room_type")]).select(
-        "listing_id", *PROPERTY_ATTRIBUTES, "record_start_date", "record_end_date")
+                          order=[asc("property_type"), asc("room_type")]).selectExpr(*DIM_PROPERTY_COLUMNS, VERSION_MONTH)
 
 
 def dim_suburb(listing: DataFrame) -> DataFrame:
@@ -60,7 +62,8 @@ def fact_listings(for_fact: DataFrame, calendar_bounds: tuple[str, str] | None =
     the keys are computed as expressions: identical rows, no join, no shuffle and
     no broadcast of anything that grows with the data.
 
-    ``calendar_bounds=None`` means the calendar covers the data (``"data"`` bounds).
+    ``calendar_bounds=None`` means the calendar covers the data (``"data"`` bounds).  ``month`` is the
+    month of the scrape, also for facts outside the calendar.
     """
     src = for_fact.where(F.col("listing_id").isNotNull())
     name = F.lower(F.trim("listing_neighbourhood"))
@@ -74,6 +77,7 @@ def fact_listings(for_fact: DataFrame, calendar_bounds: tuple[str, str] | None =
         F.col("availability_30").cast("int").alias("availability_30"),
         F.col("number_of_reviews").cast("int").alias("number_of_reviews"),
         F.col("review_scores_rating").cast("decimal(5,2)").alias("review_scores_rating"),
+        F.col("month_start").alias("month"),
     )
 
 

@@ -20,7 +20,6 @@ from lodgelake.plans.incremental import merge_month_snapshots
 from lodgelake.plans.model import RentalModel
 from lodgelake.session import ensure_checkpoint_dir
 from lodgelake.sources.scrape_view import raw_sources
-from lodgelake.sources.sinks import read_current
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,19 +44,19 @@ def _rel(name: str, **kw) -> Query:
 
 def _merged_snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The monthly load as it runs in production: all months but the last two are loaded at once,
-    then one month after another is merged into the published snapshots, each run written, published
+    then one month after another is merged into the published snapshots, each run written to bucketed tables, published
     and read back.  The last load is executed twice.  Equals the replay of all months."""
     sources = raw_sources(spark, sf_dir)
     raw = sources["airbnb_raw"]
-    root = f"{ensure_checkpoint_dir(spark)}/snapshots-{uuid.uuid4().hex}"
+    database = f"snapshots_{uuid.uuid4().hex}"
     last = raw.agg(F.max("source_month")).first()[0]  # one scalar: the newest load month
     if last is None:
         return getattr(RentalModel(spark, sources), name)
     newest, before = F.lit(last), F.add_months(F.lit(last), -1)
     month = F.col("source_month")
     for run_id, rows in (("history", month < before), ("before", month == before), ("newest", month == newest), ("newest", month == newest)):
-        merge_month_snapshots(spark, root, {**sources, "airbnb_raw": raw.where(rows)}, run_id=run_id)
-    return read_current(spark, root, name)
+        merge_month_snapshots(spark, database, ensure_checkpoint_dir(spark), {**sources, "airbnb_raw": raw.where(rows)}, run_id=run_id)
+    return spark.table(f"{database}.{name}")
 
 
 def host_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +70,7 @@ def property_snapshot_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_host_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-in-time join: each fact with the host version valid on its date."""
     m = model(spark, sf_dir)
-    # the calendar lookup is the arithmetic inverse of date_id (see marts._with_calendar)
+    # the calendar lookup is the arithmetic inverse of date_id
     facts = m.fact_listings.select("listing_id", "host_id", "date_id").withColumn(
         "scraped_date", date_from_id("date_id"))
     return month_version_join(facts, m.dim_host, "host_id", "scraped_date",
@@ -82,9 +81,9 @@ def lga_priority_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every host version with its LGA (suburb > LGA name > override), multiplicities kept."""
     m = model(spark, sf_dir)
     hosts = m.dim_host.select("host_id", "record_start_date", "host_neighbourhood",
-                              F.lower(F.trim("host_neighbourhood")).alias("host_neigh_norm"))
+                              F.lower(F.trim("host_neighbourhood")).alias("neighbourhood"))
     table = lga_lookup_table(m.ref_lga, m.lga_overrides)
-    return priority_lookup(hosts, "host_neigh_norm", table).drop("host_neigh_norm")
+    return priority_lookup(hosts, "neighbourhood", table).drop("neighbourhood")
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +183,6 @@ REF_CENSUS = {"ref_census_g01": "silver_census_g01_clean", "ref_census_g02": "si
 
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
-        "property_mart_core": _rel("property_mart_core"),  # an example, no relation of the model
         "dm_property_type": _rel("dm_property_type"),
         "dm_listing_neighbourhood": _rel("dm_listing_neighbourhood"),
         "dm_host_neighbourhood": _rel("dm_host_neighbourhood"),
@@ -211,7 +209,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     o = {
-        "property_mart_core": osql.mart_property_core(),
         "dm_property_type": osql.mart_property_type(),
         "dm_listing_neighbourhood": osql.mart_listing_neighbourhood(),
         "dm_host_neighbourhood": osql.mart_host_neighbourhood(),

@@ -1,33 +1,31 @@
-"""Sinks (S7-S10): table writes and publishing that survive retries.
+"""Sinks (S7-S10): catalog tables written by Spark's own committer.
 
-Every write goes to a folder of its own, ``<root>/<run_id>/<layer>/<name>/<attempt>``, never over
-another one, so nothing that a manifest names or a job reads is ever replaced (T17), whatever is
-retried.  A written table cuts the lineage: a lost executor re-reads files.
+A table enters the catalog only after its files were committed, so ``tableExists`` is what tells a finished
+write from a failed one, and every attempt has a folder of its own.  Layers are databases
+(``<database>_bronze``, ``_silver``, ``_snapshots``, ``_gold``); a run's tables lie in ``<layer>__<run>`` and the
+names without a run are views over the published run's tables, replaced one by one after all of them are written.
 
-A run is published by one new manifest folder ``<root>/_manifests/<number>-<run_id>`` (table ->
-location, one small file).  Numbers rise by one; the newest manifest whose write committed is the
-current state.  Nothing is deleted or overwritten: two publishers that want the same number cannot
-both commit it, a failed publisher leaves the previous manifest current, and an unreadable or empty
-manifest is an error, never "nothing published yet".
+Metrics come from the write itself: ``DataFrame.observe`` counts rows and violations while they are written.
 
-``root`` must be shared storage on a cluster, never a machine-local temporary folder.
+The root must be shared storage on a cluster, and the session's catalog a lasting one (a metastore) if other
+sessions are to see the tables.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 LAYER = {
     "airbnb": "bronze", "lga_code": "bronze", "lga_suburb": "bronze", "census_g01": "bronze",
     "census_g02": "bronze",
     "host_snapshot": "snapshots", "property_snapshot": "snapshots",
 }
-MANIFEST_SCHEMA = T.StructType([T.StructField("name", T.StringType(), False),
-                                T.StructField("path", T.StringType(), False)])
+LAYERS = ("bronze", "silver", "snapshots", "gold")
 
 
 def layer_of(name: str) -> str:
@@ -38,126 +36,59 @@ def layer_of(name: str) -> str:
     return "gold"
 
 
-def table_path(root: str, run_id: str, name: str) -> str:
-    """The folder of a run's table; each attempt to write it has a folder inside."""
-    return f"{root.rstrip('/')}/{run_id}/{layer_of(name)}/{name}"
+def checked_name(name: str) -> str:
+    """``name`` if it can be part of a table's or database's name."""
+    if not re.fullmatch(r"[A-Za-z0-9_]+", name):
+        raise ValueError(f"use letters, digits and underscores only: {name!r}")
+    return name
 
 
-def new_attempt(root: str, run_id: str, name: str) -> str:
-    return f"{table_path(root, run_id, name)}/{uuid.uuid4().hex[:12]}"
+def create_database(spark: SparkSession, name: str, location: str) -> str:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {checked_name(name)} LOCATION '{location}'")
+    return name
 
 
-def _folder(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in ``path``, [] if it does not exist; any other fault is raised."""
-    fs, p = _folder(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-
-
-def committed(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
-    fs, p = _folder(spark, f"{path.rstrip('/')}/_SUCCESS")
-    return bool(fs.exists(p))
-
-
-def committed_attempt(spark: SparkSession, root: str, run_id: str, name: str) -> str | None:
-    """An attempt at a run's table that committed, if there is one."""
-    base = table_path(root, run_id, name)
-    return next((f"{base}/{a}" for a in _children(spark, base) if committed(spark, f"{base}/{a}")), None)
+def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+    """Rows of a partition value brought together (sizes balanced by AQE), so files number about values x size
+    and not tasks x values, and sorted inside a file."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    return df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                max_records_per_file: int | None = None) -> DataFrame:
-    """Write ``df`` as parquet at a fresh ``path`` and return the written table.
+def write_table(df: DataFrame, table: str, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+                max_records_per_file: int | None = None, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    """Write ``df`` as the new catalog table ``table`` under a fresh folder of ``path``.
 
-    Rows of a partition value are brought together first (sizes balanced by AQE), so files number
-    about values x size, not tasks x values.
+    Returns the written table and the metrics (name -> aggregate) observed while it was written.
     """
-    w = (df.hint("rebalance", *partition_by) if partition_by else df).write
+    columns = [c for c in df.columns if not c.startswith("_check_")]
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in (metrics or {}).items()]).select(*columns)
+    writer = laid_out(observed, partition_by, sort_by).write.format("parquet").option("path", f"{path}/{uuid.uuid4().hex[:12]}")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
-        w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    w.parquet(path)
-    # read back with the known schema: no footer inference; partition columns
-    # are still discovered from the directory names
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def manifests(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(number, run id) of every committed manifest, oldest first."""
-    base = f"{root.rstrip('/')}/_manifests"
-    found = [name.split("-", 1) for name in _children(spark, base) if committed(spark, f"{base}/{name}")]
-    return sorted((int(number), run_id) for number, run_id in found)
-
-
-def publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, str], after: int | None = None) -> int:
-    """Make ``tables`` the current state; returns the manifest's number.
-
-    ``after`` is the number that the tables were made from: if another run has published since, this
-    raises instead of hiding that run's tables.
-    """
-    if not tables:
-        raise ValueError("a manifest must name at least one table")
-    known = manifests(spark, root)
-    newest = known[-1][0] if known else 0
-    if after is not None and newest != after:
-        raise RuntimeError(f"manifest {newest} was published after {after}, which run {run_id!r} started from")
-    path = f"{root.rstrip('/')}/_manifests/{newest + 1:012d}-{run_id}"
-    spark.createDataFrame(sorted(tables.items()), MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").json(path)
-    same = [m for m in manifests(spark, root) if m[0] == newest + 1]
-    if len(same) > 1 and same[0][1] != run_id:
-        raise RuntimeError(f"run {same[0][1]!r} published manifest {newest + 1} at the same time")
-    return newest + 1
-
-
-def read_manifest(spark: SparkSession, root: str, number: int, run_id: str) -> dict[str, str]:
-    path = f"{root.rstrip('/')}/_manifests/{number:012d}-{run_id}"
-    rows = spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(path).collect()
-    if not rows or any(r["name"] is None or r["path"] is None for r in rows):
-        raise RuntimeError(f"manifest {path} is empty or damaged")
-    return {r["name"]: r["path"] for r in rows}
-
-
-def current(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
-    """Number and tables of the newest manifest; (0, {}) only if none was ever published.
-
-    Of two manifests of one number the first by run id counts; the other publisher was told.
-    """
-    known = manifests(spark, root)
-    if not known:
-        return 0, {}
-    number = known[-1][0]
-    run_id = next(r for n, r in known if n == number)
-    return number, read_manifest(spark, root, number, run_id)
-
-
-def current_tables(spark: SparkSession, root: str) -> dict[str, str]:
-    """name -> location of the current state's tables ({} before the first run)."""
-    return current(spark, root)[1]
-
-
-def parts_of(tables: dict[str, str], name: str) -> list[str]:
-    """Locations of a table: its own, or those of its parts (``name/...``)."""
-    return [path for key, path in sorted(tables.items()) if key == name or key.startswith(f"{name}/")]
-
-
-def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    paths = parts_of(current_tables(spark, root), name)
-    if not paths:
-        raise FileNotFoundError(f"no published table {name!r} under {root}")
-    return spark.read.parquet(*paths)
-
-
-def write_open_and_closed(df: DataFrame, path: str) -> tuple[str | None, str | None]:
-    """Write versions to one fresh folder, open and closed ones apart; returns both locations (None: no rows)."""
-    (df.withColumn("is_open", df["dbt_valid_to"].isNull()).hint("rebalance", "is_open")
-     .write.partitionBy("is_open").parquet(path))
-    found = _children(df.sparkSession, path)
-    return tuple(f"{path}/is_open={x}" if f"is_open={x}" in found else None for x in ("true", "false"))
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table).select(*columns), seen.get
+
+
+def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
+    """Replace the partitions of ``table`` that ``df`` has rows for, and no others."""
+    spark = df.sparkSession
+    columns = spark.table(table).columns
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        laid_out(df.select(*columns), partition_by, sort_by).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def publish_views(spark: SparkSession, database: str, root: str, tables: dict[str, str]) -> None:
+    """Name the tables of a run: ``<database>_<layer>.<name>`` becomes a view of ``tables[name]``."""
+    for layer in {layer_of(name) for name in tables}:
+        create_database(spark, f"{database}_{layer}", f"{root}/published/{layer}")
+    for name, table in tables.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}_{layer_of(name)}.{name} AS SELECT * FROM {table}")

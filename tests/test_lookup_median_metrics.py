@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lodgelake.operators.lookup import lga_lookup_table, overrides, priority_lookup
-from lodgelake.operators.median import exact_median
+from lodgelake.operators.median import exact_median, leading_digits
 from lodgelake.plans.marts import revenue_active, stays_active
 
 
@@ -66,15 +66,32 @@ def test_stays_and_revenue(spark):
     assert [r.r for r in out] == [Decimal("0.00"), Decimal("0.00"), Decimal("262.50"), Decimal("0.00"), None]
 
 
-def test_median_hot_group_split_over_buckets(spark):
-    # one group holds most rows and many distinct values; unbucketed and bucketed agree
+def test_median_of_a_hot_group_without_broadcasts(spark):
+    """One group holds most rows and many distinct values; no step joins, and values spread over many digit ranges."""
     df = spark.range(20000).select(
         F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string")))
         .alias("g"),
-        ((F.col("id") * 7919) % 100003 / 100).cast("decimal(14,2)").alias("v"))
-    a = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=1).collect()}
-    b = {r.g: r.median for r in exact_median(df, ["g"], "v", buckets=32).collect()}
-    assert a == b and set(a) == {"hot", "g2", "g3", "g4"}
+        (F.pow(F.col("id") * 7919 % 100003, F.lit(2)) / 100).cast("decimal(14,2)").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        med = exact_median(df, ["g"], "v")
+        got = {r.g: r.median for r in med.collect()}
+        plan = med._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_group = {}
+    for r in df.collect():
+        by_group.setdefault(r.g, []).append(r.v)
+    assert {g: statistics.median(v).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP) for g, v in by_group.items()} == got
+    assert "Join" not in plan and "approx" not in plan
+
+
+def test_leading_digits_keep_order(spark):
+    values = sorted({s * (2 ** k + d) for k in range(0, 50) for d in (-1, 0, 1, 3) for s in (1, -1)})
+    rows = spark.createDataFrame([(v,) for v in values], "v bigint").select("v", leading_digits("v").alias("d")).orderBy("v").collect()
+    digits = [r.d for r in rows]
+    assert digits == sorted(digits)
+    assert all(r.v == r.d for r in rows if abs(r.v) < 1024)
 
 
 def test_lookup_starts_no_job_and_holds_without_broadcasts(spark):
@@ -90,9 +107,8 @@ def test_lookup_starts_no_job_and_holds_without_broadcasts(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_median_orders_only_the_middle_buckets(spark):
+def test_median_of_null_group_and_no_expand(spark):
     df = spark.range(64000).select(F.lit(None).cast("string").alias("g"), (F.col("id") / 100).cast("decimal(14,2)").alias("v"))
     med = exact_median(df, ["g"], "v")
     assert med.collect()[0].asDict() == {"g": None, "median": Decimal("320.00")}
-    plan = med._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" in plan and "Expand" not in plan
+    assert "Expand" not in med._jdf.queryExecution().executedPlan().toString()

@@ -1,14 +1,18 @@
 import datetime as dt
 import os
+import uuid
 
 import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lodgelake import queries as registry
+from lodgelake.plans import checks
 from lodgelake.plans.build import build
+from lodgelake.plans.checks import violations
 from lodgelake.plans.model import RentalModel
 from lodgelake.sources.schemas import AIRBNB_RAW, LGA_CODE, LGA_SUBURB, CENSUS_G01, CENSUS_G02
-from lodgelake.sources.sinks import current_tables, read_current
+from lodgelake.sources.sinks import write_table
 from lodgelake.sources.scrape_view import raw_sources
 from tools.oracle_check import digest
 
@@ -64,25 +68,46 @@ def test_fact_outside_calendar_gets_null_date(spark):
 
 
 def test_build_publishes_and_never_overwrites(spark, scratch):
-    tables = ["airbnb", "silver_airbnb_clean", "silver_listing_for_fact", "fact_listings"]
-    m1 = build(spark, raw_sources(spark, SF0001), scratch, run_id="r1", tables=tables, calendar_bounds="data")
-    first = current_tables(spark, scratch)
-    assert set(first) == set(tables) and all("/r1/" in p for p in first.values())
-    build(spark, raw_sources(spark, SF0001), scratch, run_id="r2", tables=tables, calendar_bounds="data")
-    assert all("/r2/" in p for p in current_tables(spark, scratch).values())
-    assert read_current(spark, scratch, "fact_listings").count() == m1.fact_listings.count()
-    assert os.path.isdir(first["fact_listings"].replace("file:", ""))  # previous run left in place
+    tables, database = ["airbnb", "silver_airbnb_clean", "silver_listing_for_fact", "fact_listings"], f"t_{uuid.uuid4().hex}"
+    m1 = build(spark, raw_sources(spark, SF0001), database, scratch, run_id="r1", tables=tables, calendar_bounds="data")
+    assert set(m1.tables) == set(tables) and all("__r1." in t for t in m1.tables.values())
+    m2 = build(spark, raw_sources(spark, SF0001), database, scratch, run_id="r2", tables=tables, calendar_bounds="data")
+    assert m1.observed["airbnb"]["rows"] == spark.table(f"{database}_bronze.airbnb").count() == m2.observed["airbnb"]["rows"] > 0
+    published = spark.table(f"{database}_gold.fact_listings")
+    assert all("/r2/" in f for f in published.inputFiles()) and published.count() == m1.fact_listings.count()
+    assert all("/r1/" in f for f in spark.table(m1.tables["fact_listings"]).inputFiles())  # previous run left in place
 
 
 def test_build_resumes_a_run(spark, scratch):
-    tables = ["airbnb", "silver_airbnb_clean", "silver_listing_for_fact", "fact_listings"]
-    build(spark, raw_sources(spark, SF0001), scratch, run_id="r1", tables=tables[:2], calendar_bounds="data")
-    clean_files = sorted(os.listdir(f"{scratch}/r1/silver/silver_airbnb_clean"))  # one attempt
-    m = build(spark, raw_sources(spark, SF0001), scratch, run_id="r1", tables=tables, calendar_bounds="data")
-    assert sorted(os.listdir(f"{scratch}/r1/silver/silver_airbnb_clean")) == clean_files  # reused, not rewritten
+    tables, database = ["airbnb", "silver_airbnb_clean", "silver_listing_for_fact", "fact_listings"], f"t_{uuid.uuid4().hex}"
+    build(spark, raw_sources(spark, SF0001), database, scratch, run_id="r1", tables=tables[:2], calendar_bounds="data")
+    os.makedirs(f"{scratch}/r1/silver/silver_listing_for_fact/left_by_a_failed_attempt")
+    m = build(spark, raw_sources(spark, SF0001), database, scratch, run_id="r1", tables=tables, calendar_bounds="data")
+    assert set(m.observed) == set(tables[2:])  # the others were read, not written
     assert m.fact_listings.count() == m.silver_listing_for_fact.count() > 0
 
 
+def test_writes_count_what_the_quality_query_counts(spark, scratch):
+    """Row counts and violations come from the writes and equal those of the query, which scans the tables."""
+    m = build(spark, raw_sources(spark, SF0001), f"t_{uuid.uuid4().hex}", scratch, run_id="r1", calendar_bounds="data", check_calendar=registry.SHORT_CALENDAR)
+    want = {r.check_name: r.violations for r in registry.quality_report(spark, SF0001).collect()}
+    assert violations(m.observed) == want
+    assert all(m.observed[t]["rows"] == spark.table(m.tables[t]).count() for t in ("silver_host", "dim_host", "fact_listings"))
+
+
+def test_writes_see_duplicates(spark, scratch):
+    rows = spark.createDataFrame([(1, 10), (1, 10), (1, 10), (2, 10), (None, 5), (None, 5)], "host_id long, scraped_date int")
+    checked_rows = checks.checked("silver_host", rows, None, None)
+    table, seen = write_table(checked_rows, f"default.t_{uuid.uuid4().hex}", f"{scratch}/t", metrics=checks.metrics(checked_rows))
+    assert seen == {"rows": 6, "silver_host_duplicate_host_date": 2} and table.columns == rows.columns
+
+
+def test_default_calendar_has_the_published_days(spark):
+    m = RentalModel(spark, scrape(spark, [(1, 7, "2020-05-02", "t", "t")]))
+    assert m.dim_date.count() == 4383
+    assert tuple(m.dim_date.agg(F.min("date_id"), F.max("date_id")).first()) == (20190101, 20301231)
+
+
 def test_mart_plans_copy_no_rows_per_distinct_count(spark):
     m = RentalModel(spark, raw_sources(spark, SF0001), calendar_bounds="data")
     for mart in (m.dm_property_type, m.dm_listing_neighbourhood, m.dm_host_neighbourhood):

@@ -1,3 +1,5 @@
+import uuid
+
 from lodgelake.plans.silver import silver_airbnb_clean
 from lodgelake.sources.raw import read_source
 from lodgelake.sources.scrape_view import raw_sources
@@ -18,7 +20,7 @@ def test_csv_source_read_with_explicit_schema(spark, scratch):
 
 def test_month_load_prunes_bronze_partitions(spark, scratch):
     from lodgelake.plans.build import build
-    m = build(spark, raw_sources(spark, SF0001), scratch, run_id="r", tables=["airbnb"], calendar_bounds="data")
+    m = build(spark, raw_sources(spark, SF0001), f"t_{uuid.uuid4().hex}", scratch, run_id="r", tables=["airbnb"], calendar_bounds="data")
     month = [r[0] for r in m.airbnb.select("source_month").distinct().orderBy("source_month").collect()][-1]
     one = silver_airbnb_clean(m.airbnb, months=[month.isoformat()])
     plan = one._jdf.queryExecution().executedPlan().toString()
