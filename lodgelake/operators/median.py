@@ -6,8 +6,8 @@ memory and returns a double.  Here values are whole cents, and
 1. (group, value) -> count: partial aggregation before the shuffle, which is keyed by the
    value too, so a hot group is spread out;
 2. (group, leading digits) -> rows and the (value, count) list of that digit range.  Leading digits
-   are those of a floating-point number of ``DIGIT_BITS`` bits: a group has at most some
-   ten thousand ranges whatever its prices, and a range holds values that differ by a 512th;
+   are those of a floating-point number of ``DIGIT_BITS`` bits: a group has at most a few
+   thousand ranges whatever its prices, and a range holds values that differ by a 128th;
 3. a running count over a group's ranges tells which range holds position floor((n-1)/2)
    and which holds floor(n/2), and only the lists of those one or two are put in order;
 4. the two values are averaged exactly and rounded half away from zero.
@@ -28,7 +28,7 @@ from lodgelake.functions._col import col
 from lodgelake.functions.numeric import cents, cents_ratio
 
 #: Bits of a value's magnitude that name its digit range.
-DIGIT_BITS = 10
+DIGIT_BITS = 8
 
 
 def leading_digits(value) -> Column:

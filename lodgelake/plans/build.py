@@ -18,11 +18,12 @@ Layout choices for scale:
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgelake.plans import checks
-from lodgelake.plans.model import TABLES, RentalModel
+from lodgelake.plans.model import TABLES, WAVES, RentalModel
 from lodgelake.sources.sinks import checked_name, create_database, layer_of, publish_views, write_table
 
 #: table -> (partition columns, sort columns inside a file)
@@ -33,6 +34,8 @@ LAYOUT = {
     "dim_property": (["month"], ["listing_id"]),
 }
 MAX_RECORDS_PER_FILE = 5_000_000
+#: Tables written at the same time.
+THREADS = 4
 
 
 def run_table(database: str, run_id: str, name: str) -> str:
@@ -67,8 +70,10 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], database: str, roo
         return out
 
     model = RentalModel(spark, sources, materialize=materialize, **model_kw)
-    for name in tables:
-        getattr(model, name)
+    with ThreadPoolExecutor(max_workers=THREADS) as pool:
+        for wave in WAVES:
+            # the tables of a wave are independent jobs: Spark shares the executors among them
+            list(pool.map(lambda name: getattr(model, name), [name for name in wave if name in tables]))
     publish_views(spark, database, root, done)
     model.observed = observed
     model.tables = done

@@ -36,9 +36,8 @@ NIGHTS = 30
 
 FIRST_DAY = "0001-01-01"  # of Spark's dates
 
-# Facets of a panel's rows, and the parts that the ids of a group's listings and hosts are counted in.
+# Facets of a panel's rows.
 LISTING, HOST, PRICE = 0, 1, 2
-ID_PARTS = 64
 
 
 def stays_active(active: Column, availability: Column) -> Column:
@@ -122,7 +121,7 @@ def _big(name: str) -> Column:
 
 def _grouped(facets: DataFrame, keys: Sequence[str], counts: dict[str, Column], sums: Sequence[str]) -> DataFrame:
     """The groups of a panel: ``counts`` and ``sums`` (with their numbers of terms), and price statistics in cents."""
-    part = F.when(F.col("facet") == PRICE, leading_digits("id")).otherwise(F.pmod(F.hash("id"), F.lit(ID_PARTS)))
+    part = F.when(F.col("facet") == PRICE, leading_digits("id")).otherwise(F.lit(0))
     price = F.when(F.col("facet") == PRICE, F.col("id"))
     parts = facets.groupBy(*keys, "facet", part.alias("part")).agg(
         *[c.alias(name) for name, c in counts.items()],

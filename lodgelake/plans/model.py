@@ -197,14 +197,14 @@ class RentalModel:
         return marts.dm_property_type(self.property_panel())
 
 
-TABLES = [
-    "airbnb", "lga_code", "lga_suburb", "census_g01", "census_g02",
-    "silver_airbnb_clean", "silver_host", "silver_listing", "silver_listing_for_fact",
-    "silver_lga_code_clean", "silver_lga_suburb_clean", "silver_lga",
-    "silver_census_g01_clean", "silver_census_g02_clean",
-    "host_snapshot", "property_snapshot",
-    "dim_date", "dim_host", "dim_property", "dim_suburb", "fact_listings", "ref_lga",
-    "ref_census_g01", "ref_census_g02",
+#: Tables in waves: those of one wave depend on earlier ones only.
+WAVES = [
+    ["airbnb", "lga_code", "lga_suburb", "census_g01", "census_g02"],
+    ["silver_airbnb_clean", "silver_lga_code_clean", "silver_lga_suburb_clean", "silver_census_g01_clean", "silver_census_g02_clean"],
+    ["silver_host", "silver_listing", "silver_listing_for_fact", "silver_lga", "ref_census_g01", "ref_census_g02"],
+    ["host_snapshot", "property_snapshot", "dim_date", "dim_suburb", "ref_lga"],
+    ["dim_host", "dim_property", "fact_listings"],
 ]
+TABLES = [name for wave in WAVES for name in wave]
 VIEWS = ["silver_host_for_snapshot", "silver_property_for_snapshot",
          "dm_listing_neighbourhood", "dm_host_neighbourhood", "dm_property_type"]

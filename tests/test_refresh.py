@@ -75,11 +75,6 @@ def test_a_panel_of_one_month_lists_its_files_only(spark, scratch, sources):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert read and set(read) == {1}
-    # a literal month reaches both sides of the version joins without a join
-    literal = model.listing_facts.where(F.col("month") == F.lit(months[5])).join(
-        model.host_versions.select("month", F.col("host_id").alias("h"), "host_is_superhost"),
-        ["month"], "inner").where("h = host_id")
-    assert plan_of(literal).count("PartitionFilters: [isnotnull(month") == 2
 
 
 def _metrics(plan, name):
