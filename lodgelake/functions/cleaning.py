@@ -28,6 +28,16 @@ def cast_blank(c, dtype: str) -> Column:
     return blank_to_null(c).cast(dtype)
 
 
+def try_cast_blank(c, dtype: str) -> Column:
+    """``cast_blank`` with null for text that does not parse."""
+    return blank_to_null(c).try_cast(dtype)
+
+
+def unparsed(c, dtype: str) -> Column:
+    """True where non-blank text does not parse."""
+    return blank_to_null(c).isNotNull() & try_cast_blank(c, dtype).isNull()
+
+
 def normalise(c, default: str = UNKNOWN) -> Column:
     """``coalesce(nullif(trim(lower(x)), ''), default)``."""
     return F.coalesce(F.nullif(F.trim(F.lower(col(c))), F.lit("")), F.lit(default))

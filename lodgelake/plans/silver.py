@@ -6,9 +6,9 @@ Every function is DataFrame -> DataFrame.  Cleaning is one narrow projection
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.functions.cleaning import (
@@ -19,6 +19,8 @@ from lodgelake.functions.cleaning import (
     flag_to_bool,
     lower_trim_after_nullif,
     normalise,
+    try_cast_blank,
+    unparsed,
 )
 from lodgelake.functions.dates import month_start
 from lodgelake.operators.dedup import earliest_per_group, latest_per_group
@@ -50,39 +52,71 @@ HOST_FEED_COLUMNS = ["host_id", "host_name", "host_is_superhost", "host_neighbou
                      "scraped_date"]
 
 
+#: Typed columns of the scrape: text that does not parse fails the load, or is set aside with its row.
+TYPED = {"listing_id": "bigint", "host_id": "bigint", "scrape_id": "bigint", "scraped_date": "date", "accommodates": "int",
+         "price": "decimal(12,2)", "availability_30": "int", "number_of_reviews": "int", **{c: "decimal(5,2)" for c in REVIEW_COLUMNS}}
+CLEAN_COLUMNS = ["listing_id", "host_id", "scrape_id", "scraped_date", "host_name", "host_is_superhost", "host_neighbourhood", "host_since",
+                 "listing_neighbourhood", "property_type", "room_type", "accommodates", "price", "has_availability", "availability_30",
+                 "number_of_reviews", *REVIEW_COLUMNS, "source_file", "source_month"]
+
+
+def _cleaned(airbnb: DataFrame, months: Sequence[str] | None, cast: Callable, extra: Sequence[Column] = ()) -> DataFrame:
+    """Rows with a key, typed by ``cast`` and normalised, and what ``extra`` adds."""
+    src = airbnb
+    if months:
+        src = src.where(F.col("source_month").isin([F.lit(m).cast("date") for m in months]))
+    keyed = src.where(blank_to_null("listing_id").isNotNull() | blank_to_null("host_id").isNotNull())
+    made = {
+        **{c: cast(c, dtype) for c, dtype in TYPED.items()},
+        "host_name": blank_to_null("host_name"), "host_is_superhost": flag_to_bool("host_is_superhost"),
+        "host_neighbourhood": normalise("host_neighbourhood"), "host_since": blank_to_null("host_since"),
+        "listing_neighbourhood": normalise("listing_neighbourhood"), "property_type": normalise("property_type"),
+        "room_type": normalise("room_type"), "has_availability": flag_to_bool("has_availability"),
+    }
+    return keyed.select(*[made.get(c, F.col(c)).alias(c) for c in CLEAN_COLUMNS], *extra)
+
+
+def _strict(c: str, dtype: str) -> Column:
+    return F.col(c).cast(dtype) if dtype == "date" else cast_blank(c, dtype)
+
+
 def silver_airbnb_clean(airbnb: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
     """Cast and normalise, drop keyless rows, keep rows scraped in their load month.
 
+    Non-blank text that does not parse fails the load; ``silver_airbnb_judged`` sets it aside instead.
     ``months`` restricts to given load months (``'YYYY-MM-01'``) as a literal
     predicate on ``source_month``, which prunes partitions of a month-partitioned
     source; the column-to-column month guard itself cannot prune anything.
     """
-    src = airbnb
-    if months:
-        src = src.where(F.col("source_month").isin([F.lit(m).cast("date") for m in months]))
-    keyed = src.where(blank_to_null("listing_id").isNotNull() | blank_to_null("host_id").isNotNull())
-    clean = keyed.select(
-        cast_blank("listing_id", "bigint").alias("listing_id"),
-        cast_blank("host_id", "bigint").alias("host_id"),
-        cast_blank("scrape_id", "bigint").alias("scrape_id"),
-        F.col("scraped_date").cast("date").alias("scraped_date"),
-        blank_to_null("host_name").alias("host_name"),
-        flag_to_bool("host_is_superhost").alias("host_is_superhost"),
-        normalise("host_neighbourhood").alias("host_neighbourhood"),
-        blank_to_null("host_since").alias("host_since"),
-        normalise("listing_neighbourhood").alias("listing_neighbourhood"),
-        normalise("property_type").alias("property_type"),
-        normalise("room_type").alias("room_type"),
-        cast_blank("accommodates", "int").alias("accommodates"),
-        cast_blank("price", "decimal(12,2)").alias("price"),
-        flag_to_bool("has_availability").alias("has_availability"),
-        cast_blank("availability_30", "int").alias("availability_30"),
-        cast_blank("number_of_reviews", "int").alias("number_of_reviews"),
-        *[cast_blank(c, "decimal(5,2)").alias(c) for c in REVIEW_COLUMNS],
-        F.col("source_file"),
-        F.col("source_month"),
-    )
-    return clean.where(month_start("scraped_date") == F.col("source_month"))
+    return _cleaned(airbnb, months, _strict).where(month_start("scraped_date") == F.col("source_month"))
+
+
+def silver_airbnb_judged(airbnb: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
+    """The same rows with ``errors``, the (column, raw text) pairs that do not parse; [] in clean rows.
+
+    One pass over the source gives both kinds of rows: ``clean_rows`` and ``rejected_values`` take them apart, and
+    ``sources.sinks.write_table`` partitioned by ``rejected`` writes both at once.
+    """
+    wrong = F.filter(F.array(*[F.when(unparsed(c, dtype), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("raw_text")))
+                               for c, dtype in TYPED.items()]), lambda e: e.isNotNull())
+    keys = F.struct(*[F.col(c).alias(c) for c in REJECT_KEYS])
+    judged = _cleaned(airbnb, months, try_cast_blank, [wrong.alias("errors"), keys.alias("raw")])
+    rejected = F.size("errors") > 0
+    return judged.withColumn("rejected", rejected).where(rejected | (month_start("scraped_date") == F.col("source_month")))
+
+
+REJECT_KEYS = ["listing_id", "host_id", "scrape_id", "scraped_date"]
+
+
+def clean_rows(judged: DataFrame) -> DataFrame:
+    """The rows without errors, as ``silver_airbnb_clean`` has them."""
+    return judged.where(~F.col("rejected")).select(*CLEAN_COLUMNS)
+
+
+def rejected_values(judged: DataFrame) -> DataFrame:
+    """One row per value that does not parse: raw keys of its row, source, column and raw text."""
+    return judged.where("rejected").select("raw.*", "source_file", "source_month", F.explode("errors").alias("e")).select(
+        *REJECT_KEYS, "source_file", "source_month", "e.column_name", "e.raw_text")
 
 
 def silver_host(clean: DataFrame, literal: bool = False) -> DataFrame:

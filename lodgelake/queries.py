@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from lodgelake import oracle_sql as osql
 from lodgelake.functions.dates import date_from_id
+from lodgelake.operators.as_of import as_of_join
 from lodgelake.operators.joins import month_version_join
 from lodgelake.operators.lookup import lga_lookup_table, priority_lookup
+from lodgelake.plans import silver
+from lodgelake.plans.build import build
+from lodgelake.plans.checks import violations
 from lodgelake.plans.incremental import merge_month_snapshots
-from lodgelake.plans.model import RentalModel
+from lodgelake.plans.model import TABLES, RentalModel
 from lodgelake.session import ensure_checkpoint_dir
+from lodgelake.sources.raw import read_sources
 from lodgelake.sources.scrape_view import raw_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +82,56 @@ def fact_host_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
                               ["host_name", "host_is_superhost", "host_neighbourhood", "host_since"])
 
 
+def fact_host_version_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each fact with the host version of the snapshot itself that holds on its date, whatever the version's length."""
+    m = model(spark, sf_dir)
+    facts = m.fact_listings.select("listing_id", "host_id", "date_id").withColumn("scraped_date", date_from_id("date_id"))
+    # a day after the scrape, so that versions of other months are asked for as well
+    facts = facts.withColumn("asked_date", F.date_add("scraped_date", 45))
+    return as_of_join(facts, m.host_snapshot, "host_id", "asked_date", ["dbt_valid_from", "dbt_valid_to", "host_name", "host_neighbourhood"])
+
+
+def _with_bad_numbers(airbnb: DataFrame) -> DataFrame:
+    """The scrape with some numbers that do not parse."""
+    fourth = F.col("number_of_reviews") == "4"
+    return (airbnb.withColumn("price", F.when(fourth & (F.col("room_type") == "R"), F.concat(F.lit("about "), "price")).otherwise(F.col("price")))
+            .withColumn("accommodates", F.when(fourth & (F.col("accommodates") == "3"), F.lit("three")).otherwise(F.col("accommodates")))
+            .withColumn("scraped_date", F.when(fourth & (F.col("accommodates") == "2"), F.lit("some day")).otherwise(F.col("scraped_date"))))
+
+
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the scrape that do not parse, set aside with the keys of their rows."""
+    return silver.rejected_values(silver.silver_airbnb_judged(_with_bad_numbers(model(spark, sf_dir).airbnb)))
+
+
+def silver_airbnb_clean_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean rows of a scrape whose bad rows are set aside."""
+    return silver.clean_rows(silver.silver_airbnb_judged(_with_bad_numbers(model(spark, sf_dir).airbnb)))
+
+
+def _built(spark: SparkSession, sf_dir: str, tables: list[str]) -> tuple[RentalModel, str]:
+    """The whole way of a load: sources as CSV text, read with their schemas, built table by table, published by layer."""
+    database = f"rental_{uuid.uuid4().hex}"
+    root = f"{ensure_checkpoint_dir(spark)}/{database}"
+    for name, df in raw_sources(spark, sf_dir).items():
+        (df.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(f"{root}/raw/{name}"))
+    return build(spark, read_sources(spark, f"{root}/raw", "csv"), database, f"{root}/tables", tables=tables,
+                 check_calendar=SHORT_CALENDAR, calendar_bounds="data"), database
+
+
+def built_fact_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published fact table of the gold layer after a load from CSV."""
+    m, database = _built(spark, sf_dir, ["airbnb", "silver_airbnb_clean", "silver_listing_for_fact", "fact_listings"])
+    return spark.table(f"{database}_gold.fact_listings").select(*m.fact_listings.columns)
+
+
+def built_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report as the writes of a full load counted it: no table is scanned again."""
+    m, _ = _built(spark, sf_dir, TABLES)
+    return spark.createDataFrame(sorted(violations(m.observed).items()), "check_name string, violations bigint")
+
+
 def lga_priority_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every host version with its LGA (suburb > LGA name > override), multiplicities kept."""
     m = model(spark, sf_dir)
@@ -153,6 +208,33 @@ SELECT host_id, record_start_date, host_neighbourhood,
 FROM dim_host LEFT JOIN placed ON placed.place = lower(trim(host_neighbourhood))
 """
 
+FACT_HOST_VERSION_SQL_BODY = """
+SELECT listing_id, facts.host_id, facts.date_id, cal.scraped_date, CAST(cal.scraped_date + 45 AS DATE) AS asked_date,
+       version.dbt_valid_from, version.dbt_valid_to, version.host_name, version.host_neighbourhood
+FROM fact_listings facts LEFT JOIN dim_date cal USING (date_id)
+LEFT JOIN host_snapshot version ON version.host_id = facts.host_id
+  AND cal.scraped_date + 45 >= version.dbt_valid_from AND (version.dbt_valid_to IS NULL OR cal.scraped_date + 45 < version.dbt_valid_to)
+"""
+
+REJECTS_SQL_BODY = """
+, bad AS (
+  SELECT listing_id, host_id, scrape_id, source_file, source_month, price, accommodates,
+         number_of_reviews = '4' AND room_type = 'R' AND trim(price) <> '' AS bad_price,
+         number_of_reviews = '4' AND accommodates = '3' AS bad_size,
+         number_of_reviews = '4' AND accommodates = '2' AS bad_date,
+         CASE WHEN number_of_reviews = '4' AND accommodates = '2' THEN 'some day' ELSE scraped_date END AS scraped_date
+  FROM src_airbnb WHERE trim(listing_id) <> '' OR trim(host_id) <> ''
+)
+SELECT listing_id, host_id, scrape_id, scraped_date, source_file, source_month, 'price' AS column_name, 'about ' || price AS raw_text FROM bad WHERE bad_price
+UNION ALL SELECT listing_id, host_id, scrape_id, scraped_date, source_file, source_month, 'accommodates', 'three' FROM bad WHERE bad_size
+UNION ALL SELECT listing_id, host_id, scrape_id, scraped_date, source_file, source_month, 'scraped_date', scraped_date FROM bad WHERE bad_date
+"""
+
+LENIENT_SQL_BODY = """
+SELECT * FROM silver_airbnb_clean
+WHERE NOT (number_of_reviews = 4 AND ((room_type = 'r' AND price IS NOT NULL) OR accommodates IN (2, 3)))
+"""
+
 FACT_HOST_AS_OF_SQL_BODY = """
 SELECT listing_id, facts.host_id, facts.date_id, cal.scraped_date, version.host_name, version.host_is_superhost,
        version.host_neighbourhood, version.host_since
@@ -199,6 +281,11 @@ def queries() -> dict[str, Query]:
     q["host_snapshot_merged"] = host_snapshot_merged
     q["property_snapshot_merged"] = property_snapshot_merged
     q["fact_host_as_of"] = fact_host_as_of
+    q["fact_host_version_as_of"] = fact_host_version_as_of
+    q["silver_rejects"] = silver_rejects
+    q["silver_airbnb_clean_lenient"] = silver_airbnb_clean_lenient
+    q["built_fact_listings"] = built_fact_listings
+    q["built_quality_report"] = built_quality_report
     q["quality_report"] = quality_report
     q["lga_priority_lookup"] = lga_priority_lookup
     q["airbnb"] = _rel("airbnb")
@@ -225,6 +312,11 @@ def oracle_sql() -> dict[str, str]:
     o["host_snapshot_merged"] = osql.relation("host_snapshot")
     o["property_snapshot_merged"] = osql.relation("property_snapshot")
     o["fact_host_as_of"] = _body(FACT_HOST_AS_OF_SQL_BODY)
+    o["fact_host_version_as_of"] = _body(FACT_HOST_VERSION_SQL_BODY)
+    o["silver_rejects"] = osql._with_tail(REJECTS_SQL_BODY)
+    o["silver_airbnb_clean_lenient"] = _body(LENIENT_SQL_BODY)
+    o["built_fact_listings"] = osql.relation("fact_listings")
+    o["built_quality_report"] = _body(QUALITY_SQL_BODY)
     o["quality_report"] = _body(QUALITY_SQL_BODY)
     o["lga_priority_lookup"] = osql._with_tail(LGA_LOOKUP_SQL_BODY)
     o["airbnb"] = osql.relation("src_airbnb")
