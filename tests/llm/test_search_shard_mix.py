@@ -1,9 +1,12 @@
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from lodgelake.llm import mixing
 from lodgelake.llm.mixing import mix, mix_sizes
 from lodgelake.llm.sharding import shard_by_bytes
 from lodgelake.llm.vector_search import top_k
@@ -17,9 +20,9 @@ def brute_top(rows, k, every):
     usable = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v, *_ in rows
               if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q, v in {i: v for i, v in sorted(usable, key=lambda x: (x[0], x[1]), reverse=True)}.items():
+    for at, (q, v) in enumerate(usable):
         if q % every == 0:
-            found = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q and len(w) == len(v))
+            found = sorted((-sum(a * b for a, b in zip(v, w)), i) for j, (i, w) in enumerate(usable) if j != at and len(w) == len(v))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
     return sorted(out)
 
@@ -30,6 +33,8 @@ def test_top_k_equals_brute_force(spark):
     rows += [(7, [0.25] * 4, 0, "", "", ""), (201, None, 0, "", "", ""), (None, [1.0] * 4, 0, "", "", ""), (202, [1.0, None, 0.0, 0.0], 0, "", "", ""),
              (204, [float("nan"), 1.0, 1.0, 1.0], 0, "", "", ""), (206, [float("inf")] * 4, 0, "", "", ""), (208, [1.0, 2.0], 0, "", "", ""),
              (210, [2.0, 2.0], 0, "", "", ""), (212, [], 0, "", "", ""), (214, [1e6] * 4, 0, "", "", "")]
+    # rows that repeat an id, with and without its vector: only a query's own row is barred
+    rows += [(4, [9.0, 1.0, 0.0, 0.0], 0, "", "", ""), (4, [9.0, 1.0, 0.0, 0.0], 1, "", "", ""), (4, [8.0, 8.0, 0.0, 0.0], 0, "", "", ""), (50, [7.5] * 4, 0, "", "", ""), (50, [7.5] * 4, 0, "", "", "")]
     df = vectors(spark, rows)
     want = brute_top(rows, 5, 2)
     for block, tile in ((8192, 2048), (7, 5)):
@@ -135,3 +140,40 @@ def test_awkward_documents_are_mixed_with_their_columns(awkward):
     mixed = mix(awkward)
     assert mixed.columns == awkward.columns
     assert mixed.count() == sum(r["copies"] for r in plan)
+
+
+def test_rows_without_or_with_one_id_draw_for_themselves(spark, scratch):
+    """Equal rows and rows that share an id meet their source's target as unique ones do."""
+    rows = [(None, "w " * 10, "a", "x") for _ in range(3000)] + [(i, "w " * 10, "b", "x") for i in range(3000)]
+    rows += [(7, f"{i} " * 10, "c", "x") for i in range(3000)] + [(8, "w " * 10, "d", str(i % 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _c string").repartition(5)
+    taken, want = defaultdict(int), {}
+    got = mix_sizes(df).collect()
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        want[r["source"]] = r["target"]
+    assert len(got) == 12_000 and all(abs(taken[s] - want[s]) <= 5 for s in want) and any(want[s] % 30_000 for s in want)
+    mixed = mix(df)
+    assert mixed.columns == df.columns
+    words = {r["source"]: 10 * r["n"] for r in mixed.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert words == dict(taken)
+    assert {r["_c"] for r in mixed.where("source = 'd'").collect()} == {"0", "1", "2"}
+
+
+def test_many_equal_rows_unfold_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "UNFOLDED", 4)
+    df = spark.createDataFrame([(1, "one two", "a")] * 30 + [(2, "x", "b")], "doc_id long, text string, source string")
+    assert len(mix_sizes(df).collect()) == 31
+    assert mix(df).count() == sum(r["copies"] for r in mix_sizes(df).collect())
+
+
+def test_certain_sizes_take_linear_time(spark):
+    def seconds(n):
+        hist = spark.range(1, n + 1, numPartitions=1).select(F.lit("=a").alias("_key"), F.col("id").alias("size"), F.lit(3).cast("long").alias("n"), F.lit(1e9).alias("extra"))
+        t = time.time()
+        mixing._certain(hist).collect()
+        return time.time() - t
+
+    seconds(1000)
+    few, many = min(seconds(20_000) for _ in range(2)), min(seconds(160_000) for _ in range(2))
+    assert many < 16 * few + 1
