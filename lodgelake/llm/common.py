@@ -55,5 +55,22 @@ def key_of(column: str) -> Column:
     return F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), c))
 
 
+#: A key with more than this part of all rows is hot; there are fewer such keys than 1 / HOT.
+HOT = 1 / 2000
+
+
+def join_counted(rows: DataFrame, small: DataFrame, keys: list[str], counted: str, total: int) -> DataFrame:
+    """``rows`` joined with ``small``, one row per key that says in ``counted`` how many of the ``total`` rows have it.
+
+    Rows of hot keys stay where they are and meet the broadcast rows of those keys, fewer than 1 / HOT; all others are
+    shuffled by key, so no task gets more than its share of one key.
+    """
+    limit = F.lit(max(1, int(total * HOT)))
+    hot = F.broadcast(small.where(F.col(counted) > limit))
+    rest = small.where(F.col(counted) <= limit)
+    others = rows.join(F.broadcast(small.where(F.col(counted) > limit).select(*keys)), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(others.join(rest, keys))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -15,7 +15,8 @@ Windows are compared by Rabin-Karp hashes: with a word's hash h and an odd base
    intervals and looked up where the text lies; texts are never shuffled (``lookups.py``), so ``docs`` must be a
    table of files.
 
-Copies of a passage cost one row each in steps 1 and 4 whatever their number, and no step pairs them.
+Copies of a passage cost one row each in steps 1 and 4 whatever their number, and no step pairs them.  Every join knows
+how many rows a key has: those of hot keys stay where they lie and meet their few keys by broadcast (``join_counted``).
 
 Defined cases: null text has no words; white space is ASCII white space; a text of fewer words than ``width``
 stays whole; rows of equal id are one document here and lose nothing to each other; a null id comes after all
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.anchors import runs_of
-from lodgelake.llm.common import written
+from lodgelake.llm.common import join_counted, written
 from lodgelake.llm.lookups import beside_texts, lay_out, numbered, slices
 
 #: Words of an anchor.
@@ -120,7 +121,7 @@ def window_runs(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _hashed_windows(rows: DataFrame, path: str, width: int) -> DataFrame:
-    """(key, piece, n, least, at, a, b): the windows of looked-up pieces with their 128-bit hashes."""
+    """The windows (at, a, b) of looked-up pieces with their 128-bit hashes, and what is known of the piece."""
     def one(row: dict, doc_id: int | None, text: bytes, got: list[tuple]) -> Iterator[tuple]:
         known = _Hashes()
         numbers = _numbers(text.split(), known)
@@ -129,9 +130,9 @@ def _hashed_windows(rows: DataFrame, path: str, width: int) -> DataFrame:
             first = c["start"] + np.arange(c["n"])
             a, b = (of.hash(k, first, first + width).view(np.int64).tolist() for k in (0, 1))
             for at, x, y in zip(range(c["n"]), a, b):
-                yield c["key"], c["piece"], c["n"], c["least"], at, x, y
+                yield c["key"], c["piece"], c["n"], c["least"], c["most"], c["often"], at, x, y
 
-    return beside_texts(rows, path, "key long, piece long, n int, least long, at int, a long, b long", one, ["cuts"], False)
+    return beside_texts(rows, path, "key long, piece long, n int, least long, most long, often long, at int, a long, b long", one, ["cuts"], False)
 
 
 def _joined(windows: str):
@@ -152,27 +153,30 @@ def _joined(windows: str):
 def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
     """(row, size, spans): half-open word ranges of windows that a document of a smaller id holds as well."""
     every = written(window_runs(rows, width), "window-runs")
-    keys = every.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("key")
-    shared = written(every.join(keys, "key"), "shared-runs")
+    keys = written(every.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("of_key"))
+                   .where("lo < hi").select("key", "of_key"), "shared-anchors")
+    total = every.count()  # from the files' footers
+    shared = written(join_counted(every, keys, ["key"], "of_key", total).drop("of_key"), "shared-runs")
     pieces = written(shared.groupBy("key", "piece", "n").agg(
-        F.min("doc").alias("least"), F.max("doc").alias("most"), F.min(F.struct("row", "size", "start")).alias("at"))
-        .select("key", "piece", "n", "least", "most", "at.*"), "window-pieces")
+        F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("often"), F.min(F.struct("row", "size", "start")).alias("at"))
+        .select("key", "piece", "n", "least", "most", "often", "at.*"), "window-pieces")
     kinds = pieces.groupBy("key").agg(F.count("*").alias("kinds"))
-    judged = pieces.join(kinds, "key")
+    judged = join_counted(pieces, written(kinds, "anchor-kinds"), ["key"], "kinds", pieces.count())
     alone = (judged.where("kinds = 1 and least < most")
-             .select("key", "piece", "n", F.array(F.struct(F.lit(0).alias("at"), "n", "least")).alias("found")))
+             .select("key", "piece", "n", "often", F.array(F.struct(F.lit(0).alias("at"), "n", "least")).alias("found")))
     cuts = lay_out(judged.where("kinds > 1").groupBy("row", "size").agg(
-        F.collect_list(F.struct("key", "piece", "n", "least", "start")).alias("cuts")), "window-cuts")
+        F.collect_list(F.struct("key", "piece", "n", "least", "most", "often", "start")).alias("cuts")), "window-cuts")
     windows = written(_hashed_windows(rows, cuts, width), "windows")
     # a piece's own copies count through its least id
-    least = windows.groupBy("a", "b").agg(F.min("least").alias("_least"))
-    judged = windows.join(least, ["a", "b"]).join(pieces.select("key", "piece", "n", "most"), ["key", "piece", "n"])
-    several = (judged.where("_least < most").groupBy("key", "piece", "n")
+    least = windows.groupBy("a", "b").agg(F.min("least").alias("_least"), F.count("*").alias("of_window"))
+    several = (join_counted(windows, written(least, "least-ids"), ["a", "b"], "of_window", windows.count())
+               .where("_least < most").groupBy("key", "piece", "n", "often")
                .agg(F.collect_list(F.struct("at", F.col("_least").alias("least"))).alias("w"))
-               .select("key", "piece", "n", _joined("w").alias("found")))
+               .select("key", "piece", "n", "often", _joined("w").alias("found")))
     found = written(alone.unionByName(several), "repeated-windows")
     first = F.col("start") + F.col("s.at")
-    return (shared.join(found, ["key", "piece", "n"]).select("row", "size", "doc", "start", F.explode("found").alias("s"))
+    return (join_counted(shared, found, ["key", "piece", "n"], "often", shared.count())
+            .select("row", "size", "doc", "start", F.explode("found").alias("s"))
             .where(F.col("s.least") < F.col("doc")).groupBy("row", "size")
             .agg(F.collect_list(F.struct(first.alias("first"), (first + F.col("s.n") + (width - 1)).alias("last"))).alias("spans")))
 
