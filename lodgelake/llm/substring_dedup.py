@@ -43,7 +43,7 @@ from lodgelake.llm.suffix_array import permuted_lcp, suffix_array
 #: Bytes of an anchor.
 GRAM = 64
 #: Bytes of text worked on at once when anchors are sought, and of pieces in one suffix array.
-SLICE_BYTES, SHARD_BYTES = 2 << 20, 1 << 20
+SLICE_BYTES, SHARD_BYTES = 2 << 20, 1 << 18
 #: Pieces of one anchor that are sorted together; beyond, its strings are dealt one by one.
 HOT_PIECES = 4000
 

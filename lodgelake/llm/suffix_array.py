@@ -101,24 +101,30 @@ def _induce_vector(s: np.ndarray, sa: np.ndarray, smaller: np.ndarray, starts: n
 
 def _induce_scan(s: np.ndarray, sa: np.ndarray, smaller: np.ndarray, starts: np.ndarray) -> None:
     """The same scans, suffix by suffix."""
-    text, kind, out = s.tolist(), smaller.tolist(), sa.tolist()
-    heads = starts[:-1].tolist()
-    n = len(text)
+    n = len(s)
+    # the symbol before a suffix if that one is larger (smaller) than its successor, else -1; place -1 has none
+    before = np.full((2, n + 1), -1, dtype=np.int64)
+    before[0, 1:n] = np.where(smaller[:-1], -1, s[:-1])
+    before[1, 1:n] = np.where(smaller[:-1], s[:-1], -1)
+    up, down = before[0].tolist(), before[1].tolist()
+    heads, tails = starts[:-1].tolist(), starts[1:].tolist()
     placed = [-1] * n
-    for i in range(n):
+    # both loops read a list that they fill ahead of themselves
+    for j, lms in zip(placed, sa.tolist()):
         # larger suffixes lie before the LMS suffixes of their bucket, which only lend their places here
-        j = placed[i] if placed[i] >= 0 else out[i]
-        if j > 0 and not kind[j - 1]:
-            c = text[j - 1]
-            placed[heads[c]] = j - 1
-            heads[c] += 1
-    tails = starts[1:].tolist()
-    for i in range(n - 1, -1, -1):
-        j = placed[i]
-        if j > 0 and kind[j - 1]:
-            c = text[j - 1]
-            tails[c] -= 1
-            placed[tails[c]] = j - 1
+        if j < 0:
+            j = lms
+        c = up[j]
+        if c >= 0:
+            k = heads[c]
+            placed[k] = j - 1
+            heads[c] = k + 1
+    for j in reversed(placed):
+        c = down[j]
+        if c >= 0:
+            k = tails[c] - 1
+            placed[k] = j - 1
+            tails[c] = k
     sa[:] = placed
 
 

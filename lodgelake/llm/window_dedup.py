@@ -40,7 +40,7 @@ from lodgelake.llm.lookups import beside_texts, lay_out, numbered, slices
 #: Words of an anchor.
 GRAM = 16
 #: Bytes of text that one pass over anchors works on.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Words whose hashes a task remembers.
 REMEMBERED = 1 << 20
 #: The id of rows without one: after all others.
