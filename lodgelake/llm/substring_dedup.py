@@ -71,53 +71,65 @@ def text_runs(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(cut, "key long, piece long, row struct<file:long,at:long>, start int, n int")
 
 
-SPANS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
 FOUND = "key long, piece long, n int, spans array<struct<at:int,n:int>>"
 
 
-def repeated_starts(pieces: list[bytes], often: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each piece the starts whose ``length``-byte string occurs again among all, by a suffix array."""
-    sizes = np.array([len(p) for p in pieces])
+def repeated_starts(pieces: pa.LargeBinaryArray, often: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, first start, number of starts) of the runs of starts whose ``length``-byte string occurs again, by a suffix array."""
+    ends = np.frombuffer(pieces.buffers()[1], dtype=np.int64)[pieces.offset:pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(pieces.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]]
+    sizes = np.diff(ends)
     # bytes from 2 on, 1 between pieces, 0 at the end (no UTF-8 byte reaches 254)
-    s = np.zeros(int(sizes.sum()) + len(pieces) + 1, dtype=np.int64)
-    s[:-1] = np.frombuffer(b"\xff".join(pieces) + b"\xff", dtype=np.uint8).astype(np.int64) + 2
+    s = np.ones(len(data) + len(sizes) + 1, dtype=np.int64)
+    s[-1] = 0
     first = np.cumsum(sizes + 1) - sizes - 1
-    s[first + sizes] = 1
+    s[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(np.int64) + 2
     sa = suffix_array(s)
     shares = permuted_lcp(s, sa, length) >= length
     again = shares.copy()
     again[sa[:-1]] |= shares[sa[1:]]
-    out = []
-    for a, size, n in zip(first.tolist(), sizes.tolist(), often.tolist()):
-        count = size - length + 1
-        out.append(np.ones(count, dtype=bool) if n > 1 else again[a:a + count])
-    return out
-
-
-def _as_spans(again: np.ndarray) -> list[dict]:
+    again[:-1] |= np.repeat(often > 1, sizes + 1)
+    # whole strings only: a piece's last length - 1 bytes and the mark after it start none
+    starts = np.zeros(len(s) + 1, dtype=np.int8)
+    starts[first] += 1
+    starts[first + sizes - length + 1] -= 1
+    again &= np.cumsum(starts[:-1]).astype(bool)
     edges = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
-    return [{"at": int(a), "n": int(b - a)} for a, b in zip(edges[::2], edges[1::2])]
+    piece = np.searchsorted(first, edges[::2], side="right") - 1
+    return piece, edges[::2] - first[piece], edges[1::2] - edges[::2]
 
 
 def _sorted_shards(pieces: DataFrame, length: int) -> DataFrame:
     """Repeated strings of (key, piece, n, often, bytes), whole keys to a shard."""
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(held: list[tuple]) -> pa.RecordBatch:
-            again = repeated_starts([x[4] for x in held], np.array([x[3] for x in held]), length)
-            keep = [(x[0], x[1], x[2], _as_spans(a)) for x, a in zip(held, again) if a.any()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in keep], type=t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), SPANS))],
-                names=["key", "piece", "n", "spans"])
-
-        held: list[tuple] = []
-        size = 0
+        def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            column = lambda name: table.column(name).combine_chunks()
+            whole = column("bytes").cast(pa.large_binary())
+            piece, at, n = repeated_starts(whole, column("often").to_numpy(), length)
+            keep, counts = np.unique(piece, return_counts=True)
+            spans = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.StructArray.from_arrays(
+                [pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["at", "n"]))
+            return pa.RecordBatch.from_arrays([*(column(c).take(pa.array(keep)) for c in ("key", "piece", "n")), spans],
+                                              names=["key", "piece", "n", "spans"])
+
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
         for batch in batches:
-            for x in zip(*(c.to_pylist() for c in batch.columns)):
-                if size >= SHARD_BYTES and x[0] != held[-1][0]:
-                    yield solve(held)
-                    held, size = [], 0
-                held.append(x)
-                size += len(x[4])
+            if not batch.num_rows:
+                continue
+            key = batch.column("key").to_numpy()
+            upto = np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy())
+            begin = before = 0
+            # a shard may end where the key changes
+            for i in np.flatnonzero(np.append(last is not None and key[0] != last, key[1:] != key[:-1])).tolist():
+                sofar = int(upto[i - 1]) if i else 0
+                if size + sofar - before >= SHARD_BYTES:
+                    yield solve([*held, batch.slice(begin, i - begin)] if i > begin else held)
+                    held, size, begin, before = [], 0, i, sofar
+            held.append(batch.slice(begin))
+            size += int(upto[-1]) - before
+            last = key[-1]
         if held:
             yield solve(held)
 
