@@ -313,16 +313,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: in
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))
 
 
-def clean(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
-    """The documents that are not contaminated, columns as they came.
-
-    Rows share the fate of their id (any contaminated text removes it; null ids count as one id).
-    """
-    bad = (contamination(docs, items, window, share).where("contaminated")
-           .select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
-
-
 def clean_rows(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """The rows that are not contaminated, columns as they came.
 

@@ -314,20 +314,6 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col:
     return prints.join(of_class, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
-    """One document of each component, the one with the least id; columns as they came.
-
-    Rows that repeat that id all stay (they are one document), and so do rows without an id, which
-    no decision can name.
-    """
-    ids = near_duplicates(docs, width, distance).where("doc_id = component_id").select("doc_id").distinct()
-    names = docs.columns
-    rows = docs.select(F.col("doc_id").alias("_id"), F.struct(*names).alias("_row"))
-    found = rows.where("_id is not null").join(ids.withColumnRenamed("doc_id", "_keep"), F.col("_id") == F.col("_keep"))
-    found = found.select("_row").unionByName(rows.where("_id is null").select("_row"))
-    return found.select(*[F.col("_row").getField(c).alias(c) for c in names])
-
-
 def keep_first(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
     """One row of each component, the first by (id, nulls last, row number); columns as they came.
 

@@ -1,7 +1,7 @@
 import re
 
 from lodgelake.llm import decontaminate
-from lodgelake.llm.decontaminate import clean, contamination, find_items
+from lodgelake.llm.decontaminate import clean_rows, contamination, find_items
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ITEMS = [(1, "shared0 passage0 shared1"), (2, " ".join(f"shared{i} passage{i}" for i in range(5, 15))), (2, "one two"), (10, None),
@@ -42,10 +42,9 @@ def test_awkward_documents_equal_brute_force(spark, awkward, monkeypatch):
 
 
 def test_clean_keeps_clean_rows_and_their_columns(spark, awkward):
-    bad = {r["doc_id"] for r in awkward.collect() if brute(r["text"])[3]}
-    kept = clean(awkward, items(spark))
+    kept = clean_rows(awkward, items(spark))
     assert kept.columns == awkward.columns
-    want = sorted(repr(tuple(r)) for r in awkward.collect() if r["doc_id"] not in bad)
+    want = sorted(repr(tuple(r)) for r in awkward.collect() if not brute(r["text"])[3])
     assert sorted(repr(tuple(r)) for r in kept.collect()) == want
 
 
@@ -61,4 +60,4 @@ def test_empty_tables(spark, awkward, no_documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination(no_documents, items(spark)).collect() == []
     assert not any(r["contaminated"] for r in contamination(awkward, none).collect())
-    assert clean(awkward, none).count() == awkward.count()
+    assert clean_rows(awkward, none).count() == awkward.count()
