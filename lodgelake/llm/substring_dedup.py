@@ -12,8 +12,10 @@ anchors, so a shard holds whole groups of strings with one anchor hash:
    pieces by induced sorting (``suffix_array.py``) and computes the permuted common prefixes; a string is
    repeated if its suffix shares ``length`` bytes with a neighbour in the array or its piece occurs twice.
 4. An anchor with more than ``HOT_PIECES`` different pieces (a passage that a large part of the corpus
-   quotes, each time between other words) would make one large shard.  Its pieces are split further, into
-   single strings dealt by a 128-bit hash of all their bytes, and counted.
+   quotes, each time between other words) would make one large shard.  Its pieces are split by further
+   content: into blocks of neighbouring strings, dealt by the bytes around the anchor that all strings of a
+   block share.  Equal blocks are folded again and the rest are sorted as in 2 and 3; a group still too large
+   is split into smaller blocks, down to single strings, which have nothing left to sort.
 5. Repeated strings go back to their occurrences and are united per document.
 
 Texts are not shuffled: each task looks its own rows up in a table on shared storage that is laid out by
@@ -35,8 +37,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgelake.llm.anchors import runs
-from lodgelake.llm.common import shuffle_parts, written
+from lodgelake.llm.anchors import gram_hashes, runs
+from lodgelake.llm.common import join_counted, shuffle_parts, written
 from lodgelake.llm.lookups import beside_texts, lay_out, numbered, slices
 from lodgelake.llm.suffix_array import permuted_lcp, suffix_array
 
@@ -44,8 +46,10 @@ from lodgelake.llm.suffix_array import permuted_lcp, suffix_array
 GRAM = 64
 #: Bytes of text worked on at once when anchors are sought, and of pieces in one suffix array.
 SLICE_BYTES, SHARD_BYTES = 2 << 20, 1 << 18
-#: Pieces of one anchor that are sorted together; beyond, its strings are dealt one by one.
+#: Pieces of one anchor that are sorted together; beyond, they are split by further content.
 HOT_PIECES = 4000
+#: Strings of the blocks that hot groups are split into, one size after another; the last must be 1.
+BLOCKS = (16, 4, 1)
 
 
 def text_runs(rows: DataFrame, length: int) -> DataFrame:
@@ -137,22 +141,76 @@ def _sorted_shards(pieces: DataFrame, length: int) -> DataFrame:
             .sortWithinPartitions("key").mapInArrow(shards, FOUND))
 
 
-def _counted_strings(pieces: DataFrame, length: int) -> DataFrame:
-    """Repeated strings of the pieces of hot anchors, by counts of each string's 128-bit hash."""
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
+def anchor_place(data: bytes, length: int) -> int:
+    """Where in a piece the anchor lies that its strings have in common."""
+    gram = min(GRAM, length)
+    h = gram_hashes(np.frombuffer(data, dtype=np.uint8), gram)[:length - gram + 1]
+    return int(np.argmin(h >> np.uint64(32)))
+
+
+def blocks_of(n: int, anchor: int, width: int, length: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(number, first string, strings, first and end byte of what they share) of a piece's blocks of at most ``width`` strings.
+
+    A block is the strings that begin so many bytes before the anchor, so equal strings are in equal blocks.
+    """
+    for k in range((anchor - n + 1) // width, anchor // width + 1):
+        last = anchor - k * width  # of the whole block, of which the piece may have a part
+        first = last - width + 1
+        at = max(0, first)
+        yield k, at, min(n - 1, last) - at + 1, last, first + length
+
+
+def _split(pieces: DataFrame, length: int, widths: tuple[int, ...] = BLOCKS) -> DataFrame:
+    """Repeated strings of (key, piece, n, often, anchor, bytes), whose keys have too many pieces for one shard.
+
+    Pieces are cut into blocks of strings and dealt by the bytes that all strings of a block share.  Equal blocks are
+    folded; groups of several go to shards, and those still too large are split into smaller blocks.
+    """
+    width, keys = widths[0], ["group", "part", "m"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
         for batch in batches:
-            for key, piece, n, often, data in zip(*(c.to_pylist() for c in batch.columns)):
+            out = []
+            for key, piece, n, often, anchor, data in zip(*(c.to_pylist() for c in batch.columns)):
+                anchor = anchor_place(data, length) if anchor is None else anchor
+                for k, at, m, first, end in blocks_of(n, anchor, width, length):
+                    group = xxh3_64_intdigest(key.to_bytes(8, "little", signed=True) + k.to_bytes(8, "little", signed=True) + data[first:end])
+                    part = xxh3_64_intdigest(data[at:at + m + length - 1])
+                    out.append((key, piece, n, at, m, anchor - at, often, group, part))
+            if out:
+                *columns, group, part = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxh3_128_digest(data[i:i + length]) for i in range(n)]), pa.array([key] * n), pa.array([piece] * n),
-                     pa.array([n] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([often] * n)],
-                    names=["hash", "key", "piece", "n", "at", "often"])
-
-    each = pieces.select("key", "piece", "n", "often", "bytes").mapInArrow(
-        strings, "hash binary, key long, piece long, n int, at int, often long")
-    again = each.groupBy("hash").agg(F.sum("often").alias("c")).where("c > 1").select("hash")
-    return each.join(again, "hash").groupBy("key", "piece", "n").agg(
-        F.collect_list(F.struct("at", F.lit(1).alias("n"))).alias("spans"))
+                    [*(pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()])),
+                     *(pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in (group, part))],
+                    names=["key", "piece", "n", "at", "m", "anchor", "often", "group", "part"])
+
+    cuts = written(pieces.select("key", "piece", "n", "often", "anchor", "bytes").mapInArrow(
+        cut, "key long, piece long, n int, at int, m int, anchor int, often long, group long, part long"), "blocks")
+    folded = written(cuts.groupBy(*keys).agg(F.sum("often").alias("often"), F.count("*").alias("c"), F.min(F.struct(
+        "key", "piece", "n", "at", "anchor")).alias("one")), "folded-blocks")
+    kinds = folded.groupBy("group").agg(F.count("*").alias("kinds"))
+    alone = folded.where("often > 1").join(kinds.where("kinds = 1"), "group").select(
+        *keys, F.array(F.struct(F.lit(0).alias("at"), F.col("m").alias("n"))).alias("spans"))
+    several = folded.join(kinds.where("kinds > 1"), "group").select(*keys, F.col("often").alias("times"), "kinds", "one.*")
+    held = written(several.join(pieces.select("key", "piece", "n", "bytes"), ["key", "piece", "n"]).select(
+        F.col("group").alias("key"), F.col("part").alias("piece"), F.col("m").alias("n"), F.col("times").alias("often"), "kinds", "anchor",
+        F.substring("bytes", F.col("at") + 1, F.col("m") + (length - 1)).alias("bytes")), "block-bytes")
+    sorted_ = _shards_and_splits(held, length, widths[1:])
+    found = alone.unionByName(sorted_.select(F.col("key").alias("group"), F.col("piece").alias("part"), F.col("n").alias("m"), "spans"))
+    # a block inside a passage that a large part of the corpus quotes is one of very many pieces
+    found = written(found.join(folded.select(*keys, "c"), keys), "repeated-blocks")
+    back = join_counted(cuts.select("key", "piece", "n", "at", *keys), found, keys, "c", cuts.count())
+    return back.select("key", "piece", "n", F.explode(F.transform("spans", lambda s: F.struct(
+        (F.col("at") + s["at"]).alias("at"), s["n"].alias("n")))).alias("s")).groupBy("key", "piece", "n").agg(F.collect_list("s").alias("spans"))
+
+
+def _shards_and_splits(held: DataFrame, length: int, widths: tuple[int, ...]) -> DataFrame:
+    """Repeated strings of (key, piece, n, often, kinds, anchor, bytes) by suffix arrays, in shards of whole keys or split further."""
+    hot = held.where(F.col("kinds") > HOT_PIECES)
+    if not widths or hot.isEmpty():
+        return _sorted_shards(held, length)
+    return _sorted_shards(held.where(F.col("kinds") <= HOT_PIECES), length).unionByName(_split(hot, length, widths))
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text",
@@ -209,8 +267,7 @@ def _repeats(docs: DataFrame, length: int, id_col: str, text_col: str, one, sche
             yield c["key"], c["piece"], c["n"], c["often"], c["kinds"], text[c["start"]:c["start"] + c["n"] + length - 1]
 
     held = written(beside_texts(rows, cuts, "key long, piece long, n int, often long, kinds long, bytes binary", bytes_of, ["cuts"], False), "piece-bytes")
-    found = alone.unionByName(_sorted_shards(held.where(F.col("kinds") <= HOT_PIECES), length)).unionByName(
-        _counted_strings(held.where(F.col("kinds") > HOT_PIECES), length))
+    found = alone.unionByName(_shards_and_splits(held.withColumn("anchor", F.lit(None).cast("int")), length, BLOCKS))
     first = F.col("start") + F.col("s.at")
     spans = (runs_.join(written(found, "repeated-strings"), ["key", "piece", "n"])
              .select("row", "start", F.explode("spans").alias("s"))
