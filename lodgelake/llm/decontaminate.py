@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import written
+from lodgelake.llm.lookups import ROW, row_name, text_size, without_rows
 
 #: Words of the test set that one pass searches.
 BLOCK_WORDS = 2_000_000
@@ -48,9 +49,13 @@ _LOWER[0x41:0x5B] += 0x20
 _WORD = np.zeros(256, dtype=bool)
 _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
 
-SEGMENT = ("segment long, doc_ids array<long>, doc_words array<int>, terms array<int>, counts array<int>, "
+SEGMENT = ("segment long, doc_ids array<{id}>, doc_words array<int>, terms array<int>, counts array<int>, "
            "positions array<int>")
-FOUND = "row long, doc_id long, n_words long, spans array<struct<first:int,last:int>>, items array<string>"
+FOUND = "row long, doc_id {id}, n_words long, spans array<struct<first:int,last:int>>, items array<string>"
+SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+#: Types of document ids: numbers, or names of rows with the size of their text.
+NAMED = "struct<file:long,at:long,size:long>"
+IDS = {"long": pa.int64(), NAMED: pa.struct([*ROW, ("size", pa.int64())])}
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -115,7 +120,7 @@ def phrase_blocks(items: DataFrame, window: int, id_col: str, text_col: str) ->
         yield Phrases.of(rows, window)
 
 
-def build_index(docs: DataFrame, vocabulary: pa.Array, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, vocabulary: pa.Array, id_type: str = "long") -> DataFrame:
     """Postings of the vocabulary's terms, one row per segment (see SEGMENT), on shared storage."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary.to_pylist())
 
@@ -138,15 +143,15 @@ def build_index(docs: DataFrame, vocabulary: pa.Array, id_col: str = "doc_id", t
                 present, each = np.unique(term, return_counts=True)
                 yield pa.RecordBatch.from_pydict({
                     "segment": pa.array([segment], pa.int64()),
-                    "doc_ids": pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
+                    "doc_ids": pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(IDS[id_type])),
                     "doc_words": pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
                     "terms": pa.array([present.astype(np.int32)], pa.list_(pa.int32())),
                     "counts": pa.array([each.astype(np.int32)], pa.list_(pa.int32())),
                     "positions": pa.array([at[order].astype(np.int32)], pa.list_(pa.int32()))})
                 segment += 1
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("t"))
-    return written(source.mapInArrow(segments, SEGMENT), "postings")
+    source = docs.select("doc_id", F.col("text").cast("binary").alias("t"))
+    return written(source.mapInArrow(segments, SEGMENT.format(id=id_type)), "postings")
 
 
 def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
@@ -229,7 +234,7 @@ class Postings:
         return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
-def _search(index: DataFrame, block: Phrases, rank: np.ndarray, reach: int | None) -> DataFrame:
+def _search(index: DataFrame, block: Phrases, rank: np.ndarray, reach: int | None, id_type: str) -> DataFrame:
     sent = index.sparkSession.sparkContext.broadcast((block.items, block.by_length, rank))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,13 +258,12 @@ def _search(index: DataFrame, block: Phrases, rank: np.ndarray, reach: int | Non
                             hits[d].add(items[k])
                 yield pa.RecordBatch.from_pydict({
                     "row": pa.array(row["segment"].as_py() * (1 << 20) + np.arange(n_docs), pa.int64()),
-                    "doc_id": pa.array(postings.doc_ids, pa.int64()),
+                    "doc_id": pa.array(postings.doc_ids, IDS[id_type]),
                     "n_words": pa.array(postings.doc_words, pa.int64()),
-                    "spans": pa.array([[{"first": a, "last": b} for a, b in merged(s)] for s in spans],
-                                      pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
+                    "spans": pa.array([[{"first": a, "last": b} for a, b in merged(s)] for s in spans], SPANS),
                     "items": pa.array([sorted(h) for h in hits], pa.list_(pa.string()))})
 
-    return index.mapInArrow(search, FOUND)
+    return index.mapInArrow(search, FOUND.format(id=id_type))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -274,13 +278,13 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def find_items(docs: DataFrame, items: DataFrame, window: int = 13, reach: int | None = None, id_col: str = "doc_id",
-               item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+               item_col: str = "item_id", text_col: str = "text", id_type: str = "long") -> DataFrame:
     """doc_id, n_words, hit spans (half-open word ranges) and item ids of every document.
 
     With ``reach`` the terms of a window need only lie within so many words of its rarest term, and a
-    span is that term's place.
+    span is that term's place.  ``id_type`` is one of ``IDS``.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(id_col).cast(id_type).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     blocks = phrase_blocks(items, window, item_col, text_col)
     first = next(blocks, None)
     second = next(blocks, None)
@@ -290,8 +294,8 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = 13, reach: int |
         docs = written(docs, "corpus")  # several passes must see the same segments
 
     def one(block: Phrases) -> DataFrame:
-        index = build_index(docs, block.vocabulary)
-        return _search(index, block, term_counts(index, len(block.vocabulary)), reach)
+        index = build_index(docs, block.vocabulary, id_type)
+        return _search(index, block, term_counts(index, len(block.vocabulary)), reach, id_type)
 
     if second is None:
         return one(first).drop("row")
@@ -301,13 +305,19 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = 13, reach: int |
     both = found.groupBy("row", "doc_id", "n_words").agg(
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    join = F.udf(lambda s: merged([(x["first"], x["last"]) for x in s]), "array<struct<first:int,last:int>>")
-    return both.select("doc_id", "n_words", join("spans").alias("spans"), "items")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [[{"first": a, "last": b} for a, b in merged([(x["first"], x["last"]) for x in s])] for s in batch.column("spans").to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("spans"), "spans", pa.array(spans, SPANS))
+
+    return both.drop("row").mapInArrow(join, both.drop("row").schema)
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20, id_col: str = "doc_id",
+                  id_type: str = "long") -> DataFrame:
     """``find_items`` with n_hit words and contaminated: one word in ``share`` or more is hit."""
-    found = find_items(docs, items, window)
+    found = find_items(docs, items, window, id_col=id_col, id_type=id_type)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"])
     return (found.withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))
@@ -316,10 +326,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13, share: in
 def clean_rows(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """The rows that are not contaminated, columns as they came.
 
-    Every row is judged by its own text, whatever its id: a verdict goes back by a 64-bit hash of id and text, so
-    only rows with the same text share one.
+    Every row is judged by its own text and named by file and place (``lookups.py``), so ids may be null or repeat
+    and only the names of rows that go are shuffled.  ``docs`` must be a table of files.
     """
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    bad = (contamination(docs.select(key.alias("doc_id"), "text"), items, window, share).where("contaminated")
-           .select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, key == bad["_bad"], "left_anti")
+    row = row_name(docs)
+    rows = docs.select(F.struct(row["file"].alias("file"), row["at"].alias("at"), text_size().alias("size")).alias("row"), "text")
+    bad = contamination(rows, items, window, share, "row", NAMED).where("contaminated")
+    return without_rows(docs, bad.select(F.struct("doc_id.file", "doc_id.at").alias("row"), "doc_id.size"))

@@ -63,9 +63,8 @@ def lay_out(df: DataFrame, name: str) -> str:
     return path
 
 
-def beside_texts(rows: DataFrame, path: str, schema: str,
-                 one: Callable[[dict, int | None, bytes, list[tuple]], Iterator[tuple]], columns: list[str], every: bool) -> DataFrame:
-    """Run ``one(row, doc_id, text, looked-up tuples)`` where each text lies; with ``every`` also where nothing is found."""
+def finder(path: str, columns: list[str]) -> Callable[[pa.StructArray, dict[int, tuple]], dict[tuple, list[tuple]]]:
+    """A function of a batch's row names (and a cache of folders) to what ``lay_out`` wrote about them: (size, *columns) tuples."""
     local = local_path(path)
 
     def files_of(folder: int) -> tuple[pafs.FileSystem, list[str]]:
@@ -89,14 +88,26 @@ def beside_texts(rows: DataFrame, path: str, schema: str,
                 found.setdefault((file, at), []).append(tuple(values))
         return found
 
+    def find(rows: pa.StructArray, folders: dict[int, tuple]) -> dict[tuple, list[tuple]]:
+        file, at = (rows.field(k).to_numpy() for k in (0, 1))
+        found: dict[tuple, list[tuple]] = {}
+        for f in np.unique(file).tolist():
+            places = at[file == f]
+            found.update(read(f, int(places.min()), int(places.max()), folders))
+        return found
+
+    return find
+
+
+def beside_texts(rows: DataFrame, path: str, schema: str,
+                 one: Callable[[dict, int | None, bytes, list[tuple]], Iterator[tuple]], columns: list[str], every: bool) -> DataFrame:
+    """Run ``one(row, doc_id, text, looked-up tuples)`` where each text lies; with ``every`` also where nothing is found."""
+    find = finder(path, columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folders: dict[int, tuple] = {}
         for batch in batches:
-            file, at = (batch.column("row").field(k).to_numpy() for k in (0, 1))
-            found: dict[tuple, list[tuple]] = {}
-            for f in np.unique(file).tolist():
-                places = at[file == f]
-                found.update(read(f, int(places.min()), int(places.max()), folders))
+            found = find(batch.column("row"), folders)
             for part in slices(iter([batch])):
                 out = []
                 for row, doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
@@ -115,3 +126,35 @@ def beside_texts(rows: DataFrame, path: str, schema: str,
              "array<struct<first:int,last:int>>": pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))}
     types = [kinds[k] for _, k in fields]
     return rows.mapInArrow(run, schema)
+
+
+def text_size(text_col: str = "text") -> Column:
+    """Bytes of a text, -1 for null."""
+    return F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(-1)).cast("long")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``gone`` (row, size as ``text_size`` gives it) names, columns as they came.
+
+    Each task looks up which of its rows go; no text is shuffled.
+    """
+    find = finder(lay_out(gone.select("row", "size"), "gone"), [])
+    names = docs.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folders: dict[int, tuple] = {}
+        for batch in batches:
+            rows, sizes, *columns = batch.columns
+            part = pa.RecordBatch.from_arrays(columns, names=names)
+            found = find(rows, folders)
+            if found:
+                keys = list(zip(*(rows.field(k).to_pylist() for k in (0, 1))))
+                for key, size in zip(keys, sizes.to_pylist()):
+                    if key in found and found[key][0][0] != size:
+                        raise RuntimeError("a file of the documents was replaced between two scans")
+                part = part.filter(pa.array([key not in found for key in keys]))
+            yield part
+
+    # by place, so that no column's name can clash
+    return (docs.select(row_name(docs), text_size(text_col), *[F.col(f"`{c}`") for c in names])
+            .toDF("_row", "_size", *[f"c{k}" for k in range(len(names))]).mapInArrow(keep, docs.schema))

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgelake.llm.common import shuffle_parts, written
+from lodgelake.llm.lookups import row_name, text_size, without_rows
 
 #: Shingles whose bits are counted at once.
 SLICE_SHINGLES = 100_000
@@ -85,19 +86,20 @@ def majority(digests: list[bytes]) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a long) of every row."""
+def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``also`` as they are, and fp (the fingerprint's 64 bits as a long) of every row."""
+    rows = docs.select(F.col(text_col).cast("string").cast("binary").alias("t"), F.col(id_col).cast("long").alias("doc_id"), *also)
+    names = [*rows.columns[1:], "fp"]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = part.column(1).to_pylist()
-                fp = majority([shingle_digests(t or b"", width) for t in texts])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                texts, *columns = batch.slice(at, 512).columns
+                fp = majority([shingle_digests(t or b"", width) for t in texts.to_pylist()])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(fp.view(np.int64))], names=names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").cast("binary").alias("t")).mapInArrow(compute, "doc_id long, fp long")
+    return rows.mapInArrow(compute, rows.drop("t").withColumn("fp", F.lit(0).cast("long")).schema)
 
 
 def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -300,6 +302,12 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def class_roots(classes: DataFrame, distance: int) -> DataFrame:
+    """(fp, root) of every class ``fp``: the least fingerprint of its component."""
+    roots = components(links_of_bands(classes.select("fp"), distance))
+    return classes.select("fp").join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, fp and component_id (the least id that links reach, itself included) of every row."""
@@ -315,21 +323,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col:
 
 
 def keep_first(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
-    """One row of each component, the first by (id, nulls last, row number); columns as they came.
+    """One row of each component, the first by id (nulls last), ties by a hash of the text, then by place; columns as they came.
 
-    Rows are numbered by scan partition and place, so ids may be null or repeat.  ``docs`` must be a table scan;
-    every kept row is checked against the length of its text, and a mismatch fails.
+    Rows are named by file and place (``lookups.py``), so ids may be null or repeat and ``docs`` must be a table of
+    files.  Only fingerprints and names are shuffled; a hot class meets its best row by partial aggregates.
     """
-    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(-1))
-    names = docs.columns
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*names).alias("_all"), size.alias("_now"))
-    numbers = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("id"), size.alias("size")), "rows")
-    found = near_duplicates(docs.select(F.monotonically_increasing_id().alias("row"), "text"), width, distance, "row")
-    # the least row number names a component: row numbers are never null and never repeat
-    order = F.struct(F.col("id").isNull(), "id", "row")
-    kept = (found.select(F.col("doc_id").alias("row"), "component_id").join(numbers, "row")
-            .groupBy("component_id").agg(F.min_by(F.struct("row", "size"), order).alias("_k")).select("_k.*"))
-    both = rows.join(kept, F.col("_row") == F.col("row"))
-    same = F.when(F.col("_now") == F.col("size"), F.lit(True)).otherwise(
-        F.raise_error(F.lit("the documents came in another order than before; pass a table scan")).cast("boolean"))
-    return both.where(same).select(*[F.col("_all").getField(c).alias(c) for c in names])
+    rows = docs.select("doc_id", "text", row_name(docs).alias("row"), text_size().alias("size"),
+                       F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    prints = written(fingerprints(rows, width, also=("row", "size", "hash")), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")
+    classes = written(prints.groupBy("fp").agg(F.min(order).alias("best")), "classes")
+    best = class_roots(classes, distance).join(classes, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("row"))
+    gone = prints.select("row", "size").join(best, "row", "left_anti")
+    return without_rows(docs, gone)
