@@ -74,41 +74,53 @@ def initial(layout: Layout, word_counts: np.ndarray, rare_counts: np.ndarray, se
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-x))
+    x = np.exp(-x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
     """New state and what the gradient needs; ``x`` are the inputs' rows of P plus b."""
     n = STATE
     g = h @ p["U"]
-    z = _sigmoid(x[:, :n] + g[:, :n])
-    r = _sigmoid(x[:, n:2 * n] + g[:, n:2 * n])
+    gates = _sigmoid(x[:, :2 * n] + g[:, :2 * n])
+    z, r = gates[:, :n], gates[:, n:]
     m = g[:, 2 * n:]
     cand = np.tanh(x[:, 2 * n:] + r * m)
-    return cand + z * (h - cand), (z, r, m, cand)
+    return cand + z * (h - cand), (gates, m, cand)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of rows, in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= 1.0 / x.sum(axis=1, keepdims=True)
+    return x
+
+
+def _groups(layout: Layout, classes: np.ndarray):
+    """Rows in order of their classes, and (rows' range in that order, words' range) of every group of several words."""
+    order = np.argsort(classes, kind="stable")
+    edges = np.searchsorted(classes[order], np.arange(layout.n_groups + 1)).tolist()
+    starts = layout.group_starts.tolist()
+    return order, [(slice(i, j), slice(a, b)) for i, j, a, b in zip(edges, edges[1:], starts, starts[1:]) if j > i and b - a > 1]
 
 
 def log_probability(p: dict[str, np.ndarray], layout: Layout, class_of: np.ndarray, states: np.ndarray,
                     targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target symbol after its state."""
-    classes = class_of[targets]
-    logits = states @ p["C"] + p["c"]
-    logits -= logits.max(axis=1, keepdims=True)
-    out = logits[np.arange(len(targets)), classes] - np.log(np.exp(logits).sum(axis=1))
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(layout.n_groups + 1))
-    for g in range(layout.n_groups):
-        rows = order[edges[g]:edges[g + 1]]
-        a, b = layout.group_starts[g], layout.group_starts[g + 1]
-        if len(rows) and b - a > 1:
-            words = states[rows] @ p["W"][a:b].T + p["w"][a:b]
-            words -= words.max(axis=1, keepdims=True)
-            out[rows] += words[np.arange(len(rows)), targets[rows] - a] - np.log(np.exp(words).sum(axis=1))
+    def own(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
+        logits -= logits.max(axis=1, keepdims=True)
+        picked = logits[np.arange(len(which)), which]
+        return picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+    order, groups = _groups(layout, class_of[targets])
+    states, targets = states[order], targets[order]
+    sums = own(states @ p["C"] + p["c"], class_of[targets])
+    for rows, words in groups:
+        sums[rows] += own(states[rows] @ p["W"][words].T + p["w"][words], targets[rows] - words.start)
+    out = np.empty_like(sums)
+    out[order] = sums
     return out
 
 
@@ -143,9 +155,10 @@ class Lanes:
         self.size = np.array([int(lengths[lane].sum()) for lane in lanes], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
 
-    def active(self, t: int) -> int:
-        """Lanes that still have a symbol at step t (the first so many)."""
-        return int(np.searchsorted(-self.size, -t, side="left"))
+    def window(self, t0: int, steps: int) -> list[np.ndarray]:
+        """Places of the symbols at steps t0, t0 + 1, ...: of the lanes that still have one, the first so many."""
+        t = np.arange(t0, min(t0 + steps, int(self.size[0])))
+        return [self.start[:n] + k for k, n in zip(t.tolist(), np.searchsorted(-self.size, -t, side="left").tolist())]
 
 
 def text_scores(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -157,15 +170,14 @@ def text_scores(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, l
     h = np.zeros((len(lanes.size), STATE), dtype=np.float32)
     last = int(lanes.size[0]) if len(lanes.size) else 0
     for t0 in range(0, last, WINDOW):
-        states, places = [], []
-        for t in range(t0, min(t0 + WINDOW, last)):
-            n = lanes.active(t)
-            at = lanes.start[:n] + t
-            before = np.where(lanes.begins[at][:, None], np.float32(0), h[:n])
-            h, _ = step(p, rows[lanes.inputs[at]], before)
-            states.append(h)
-            places.append(at)
+        places = lanes.window(t0, WINDOW)
         at = np.concatenate(places)
+        x, begins, states, k = rows[lanes.inputs[at]], lanes.begins[at], [], 0
+        for n in map(len, places):
+            h = h[:n]
+            h, _ = step(p, x[k:k + n], np.where(begins[k:k + n, None], np.float32(0), h))
+            states.append(h)
+            k += n
         logp[lanes.place[at]] = log_probability(p, layout, class_of, np.concatenate(states), lanes.targets[at])
     return np.add.reduceat(logp, np.cumsum(lengths) - lengths) if len(lengths) else np.zeros(0)
 
@@ -179,58 +191,67 @@ def train(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, lengths
     h = np.zeros((len(lanes.size), STATE), dtype=np.float32)
     last = int(lanes.size[0]) if len(lanes.size) else 0
     for t0 in range(0, last, TRAIN_WINDOW):
-        tape, states, places = [], [], []
-        for t in range(t0, min(t0 + TRAIN_WINDOW, last)):
-            n = lanes.active(t)
-            at = lanes.start[:n] + t
-            begins = lanes.begins[at]
-            before = np.where(begins[:, None], np.float32(0), h[:n])
-            ids = lanes.inputs[at]
-            h, kept = step(p, p["P"][ids] + p["b"], before)
-            tape.append((ids, begins, before, kept))
+        places = lanes.window(t0, TRAIN_WINDOW)
+        at = np.concatenate(places)
+        ids, begins = lanes.inputs[at], lanes.begins[at]
+        x, tape, states, k = p["P"][ids] + p["b"], [], [], 0
+        for n in map(len, places):
+            before = np.where(begins[k:k + n, None], np.float32(0), h[:n])
+            h, kept = step(p, x[k:k + n], before)
+            tape.append((before, *kept))
             states.append(h)
-            places.append(at)
-        _update(p, squares, _gradients(p, layout, class_of, tape, states, lanes.targets[np.concatenate(places)]))
+            k += n
+        _update(p, squares, _gradients(p, layout, class_of, (ids, begins, tape), states, lanes.targets[at]))
     return p
 
 
 def _gradients(p, layout, class_of, tape, states, targets):
-    n_state = STATE
+    """Gradients of a window's mean loss; those of P as (symbols, their rows)."""
+    s, (ids, begins, steps) = STATE, tape
     flat = np.concatenate(states)
-    scale = np.float32(1.0 / len(flat))
-    classes = class_of[targets]
-    soft = np.exp(_log_softmax(flat @ p["C"] + p["c"]))
-    soft[np.arange(len(flat)), classes] -= 1
+    scale = flat.dtype.type(1.0 / len(flat))
+    order, groups = _groups(layout, class_of[targets])
+    those, picked = flat[order], targets[order]
+    soft = _softmax(those @ p["C"] + p["c"])
+    soft[np.arange(len(flat)), class_of[picked]] -= 1
     soft *= scale
-    grad = {"C": flat.T @ soft, "c": soft.sum(axis=0), "U": np.zeros_like(p["U"]), "b": np.zeros_like(p["b"]),
-            "W": np.zeros_like(p["W"]), "w": np.zeros_like(p["w"])}
-    d_flat = soft @ p["C"].T
-    for g in np.unique(classes[classes < layout.n_groups]):
-        a, b = layout.group_starts[g], layout.group_starts[g + 1]
-        if b - a > 1:
-            rows = np.flatnonzero(classes == g)
-            words = np.exp(_log_softmax(flat[rows] @ p["W"][a:b].T + p["w"][a:b]))
-            words[np.arange(len(rows)), targets[rows] - a] -= 1
-            words *= scale
-            grad["W"][a:b] = words.T @ flat[rows]
-            grad["w"][a:b] = words.sum(axis=0)
-            d_flat[rows] += words @ p["W"][a:b]
-    edges = np.cumsum([0, *map(len, states)])
-    carried = np.zeros_like(states[-1])
-    d_inputs, ids_all = [], []
-    for k in range(len(tape) - 1, -1, -1):
-        ids, begins, before, (z, r, m, cand) = tape[k]
-        dh = d_flat[edges[k]:edges[k + 1]].copy()
-        dh[:len(carried)] += carried
-        d_cand = dh * (1 - z) * (1 - cand * cand)
-        d_z = dh * (before - cand) * z * (1 - z)
-        d_r = d_cand * m * r * (1 - r)
-        grad["U"] += before.T @ np.hstack([d_z, d_r, d_cand * r])
-        carried = dh * z + np.hstack([d_z, d_r, d_cand * r]) @ p["U"].T
-        carried[begins] = 0
-        d_inputs.append(np.hstack([d_z, d_r, d_cand]))
-        ids_all.append(ids)
-    d_in, ids = np.concatenate(d_inputs), np.concatenate(ids_all)
+    grad = {"C": those.T @ soft, "c": soft.sum(axis=0), "W": np.zeros_like(p["W"]), "w": np.zeros_like(p["w"])}
+    d_those = soft @ p["C"].T
+    for rows, words in groups:
+        soft = _softmax(those[rows] @ p["W"][words].T + p["w"][words])
+        soft[np.arange(len(soft)), picked[rows] - words.start] -= 1
+        soft *= scale
+        grad["W"][words] = soft.T @ those[rows]
+        grad["w"][words] = soft.sum(axis=0)
+        d_those[rows] += soft @ p["W"][words]
+    d_flat = np.empty_like(d_those)
+    d_flat[order] = d_those
+    # what a state's gradient is multiplied by on its way to the gates, for the whole window at once
+    before, gates, m, cand = map(np.concatenate, zip(*steps))
+    z, r = gates[:, :s], gates[:, s:]
+    to_cand = (1 - z) * (1 - cand * cand)
+    to_z = (before - cand) * z * (1 - z)
+    to_r = m * r * (1 - r)
+    stays = np.where(begins[:, None], np.zeros_like(z), z)
+    d_gates = np.empty((len(flat), 3 * s), dtype=flat.dtype)
+    back = p["U"].T.copy()
+    end, carried = len(flat), None
+    for n in map(len, reversed(states)):
+        here = slice(end - n, end)
+        dh, d = d_flat[here], d_gates[here]
+        if carried is not None:
+            dh[:len(carried)] += carried
+        np.multiply(dh, to_z[here], out=d[:, :s])
+        d_cand = dh * to_cand[here]
+        np.multiply(d_cand, to_r[here], out=d[:, s:2 * s])
+        np.multiply(d_cand, r[here], out=d[:, 2 * s:])
+        carried = d @ back
+        carried[begins[here]] = 0
+        carried += dh * stays[here]
+        end -= n
+    grad["U"] = before.T @ d_gates
+    d_in = d_gates
+    d_in[:, 2 * s:] = d_flat * to_cand
     grad["b"] = d_in.sum(axis=0)
     order = np.argsort(ids, kind="stable")
     ids, first = np.unique(ids[order], return_index=True)
