@@ -14,7 +14,7 @@ Files get a new name in every task attempt and only the attempts that Spark acce
 lost executor or a second attempt leaves no half-written or doubled data in the result.
 
 Defined cases: a null or empty text is just the end id; null ids sort first; rows that repeat an id
-stay separate, ordered by text; an empty table gives no files and no rows; a text longer than a
+stay separate, ordered by text, and are dealt over partitions by how their texts begin; an empty table gives no files and no rows; a text longer than a
 sequence or a batch runs on over as many as it needs.  Only the id and text columns are read.
 """
 
@@ -38,6 +38,8 @@ from lodgelake.llm.common import local_path, scratch, shuffle_parts
 
 #: A worker process keeps the ids of at most so many different pieces, over all its tasks.
 CACHE_PIECES = 1_000_000
+#: Characters of a text that help to cut the range of one id (null ids, say) into partitions.
+RANGE_CHARS = 32
 #: Texts are encoded in slices of about so many bytes (a longer text is one slice).
 SLICE_BYTES = 16 << 20
 
@@ -275,8 +277,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
                 "n_docs": pa.array([writer.n_docs], pa.int64()), "n_tokens": pa.array([writer.n_tokens], pa.int64())})
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    # beginnings are in the order of the whole texts, and short enough for the bounds that the driver holds
+    ranges = [order[0], F.substring("text", 1, RANGE_CHARS).asc_nulls_first()]
     files = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-             .repartitionByRange(shuffle_parts(spark), *order[:1]).sortWithinPartitions(*order)
+             .repartitionByRange(shuffle_parts(spark), *ranges).sortWithinPartitions(*order)
              .mapInArrow(encode, "part int, name string, n_docs long, n_tokens long").collect())
     out, first = [], 0
     for r in sorted(files, key=lambda r: r["part"]):

@@ -52,6 +52,18 @@ def test_files_round_trip(spark, awkward, tokenizer):
     assert np.array_equal(np.concatenate(seen), flat)
 
 
+def test_rows_without_an_id_are_dealt_over_files(spark, tokenizer):
+    texts = [f"{k * 7919 % 1000} words of text {k}" for k in range(400)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(5, t) for t in texts], "doc_id long, text string")
+    files = write_token_files(docs, PATH, seq_len=64)
+    assert len(files) > 2 and max(f["n_docs"] for f in files) < 400
+    got = sorted(read_documents(spark, files).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 400 + [5] * 400
+    ids = [np.array(tokenizer.encode(t, add_special_tokens=False).ids + [0], dtype="<u4") for t in sorted(texts)] * 2
+    assert [r["ids_crc32"] for r in got] == [zlib.crc32(x.tobytes()) for x in ids]
+    assert [r["start"] for r in got] == [0, *np.cumsum([len(x) for x in ids])[:-1].tolist()]
+
+
 def test_no_files_of_no_documents(spark, no_documents):
     assert read_documents(spark, write_token_files(no_documents, PATH)).collect() == []
 
