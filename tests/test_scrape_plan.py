@@ -43,3 +43,21 @@ def test_customers_meet_orders_before_line_items(sort_merge):
     assert moved
     below = plan[plan.index(moved[0]):]
     assert "l_extendedprice" not in below.split("Exchange hashpartitioning(c_custkey")[0]
+
+
+def scans(plan, table):
+    return plan.count(f"{SF0001}/{table}.parquet")
+
+
+@pytest.mark.parametrize("name", ["dm_property_type", "dm_listing_neighbourhood", "dm_host_neighbourhood", "fact_host_as_of",
+                                  "fact_host_version_as_of"])
+def test_supplied_tables_are_joined_once(sort_merge, name):
+    plan = explained(queries.queries()[name](sort_merge, SF0001), "formatted")
+    assert "staged_" in plan and scans(plan, "lineitem") == 0
+
+
+def test_facts_stay_where_they_are_for_the_property_join(sort_merge):
+    sort_merge.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = explained(queries.queries()["dm_property_type"](sort_merge, SF0001), "simple")
+    by_listing = [line for line in plan.splitlines() if "SortMergeJoin [" in line and "_pit_key" in line]
+    assert by_listing and sum("Exchange hashpartitioning(_pit_by" in line for line in plan.splitlines()) == 1  # facts meet hosts
