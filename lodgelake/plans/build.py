@@ -17,7 +17,9 @@ Layout choices for scale:
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +56,14 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], database: str, roo
     root = root.rstrip("/")
     done: dict[str, str] = {}
     observed: dict[str, dict] = {}
+    # two tables of a wave may need the same one that is not in ``tables``: it is written by the first
+    locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
+        with locks[name]:
+            return written(name, df)
+
+    def written(name: str, df: DataFrame) -> DataFrame:
         table = run_table(checked_name(database), run_id, name)
         if spark.catalog.tableExists(table):
             out = spark.table(table).select(*df.columns)
