@@ -47,10 +47,9 @@ SLICE_BYTES = 8 << 20
 #: Weight sets that meet in one averaging task.
 FAN_IN = 16
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[0x20, 9, 10, 11, 12, 13]] = True
+_BLANKS = bytes([0x20, 9, 10, 11, 12, 13])
+_LOWER = bytes(range(256)).lower()
+_INSIDE = bytes(x not in _BLANKS for x in range(256))
 
 
 class Tokens:
@@ -63,23 +62,24 @@ class Tokens:
             self.words, self.counts = pa.array([], pa.large_binary()), np.zeros(len(texts), dtype=np.int64)
             self.rare = np.zeros(0, dtype=np.int64)
             return
-        low = _LOWER[np.frombuffer(texts.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]]]
+        data = memoryview(texts.buffers()[2])[int(ends[0]):int(ends[-1])].tobytes()
         ends = ends - ends[0]
-        inside = ~_BLANK[low]
-        starts = inside.copy()
-        starts[1:] &= ~inside[:-1]
-        edge = ends[:-1][ends[:-1] < len(low)]
-        starts[edge] = inside[edge]
+        inside = np.frombuffer(data.translate(_INSIDE), dtype=bool)
+        edge = np.zeros(len(data) + 1, dtype=bool)  # where a text begins or the last one has ended
+        edge[ends] = True
+        starts, stops = inside.copy(), inside.copy()
+        starts[1:] &= ~inside[:-1] | edge[1:-1]
+        stops[:-1] &= ~inside[1:] | edge[1:-1]
         at = np.flatnonzero(starts)
-        offsets = np.append(np.append(0, np.cumsum(inside))[at], int(inside.sum())).astype(np.int64)
-        kept = np.ascontiguousarray(low[inside])
+        offsets = np.append(0, np.cumsum(np.flatnonzero(stops) + 1 - at))
+        kept = data.translate(_LOWER, _BLANKS)
         self.words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
         self.counts = np.diff(np.searchsorted(at, ends))
-        if len(at):
-            beyond = np.append(0, np.cumsum(kept >= 0x80))
-            self.rare = (kept[offsets[1:] - 1].astype(np.int64) % ENDINGS) * 2 + (beyond[offsets[1:]] > beyond[offsets[:-1]])
-        else:
-            self.rare = np.zeros(0, dtype=np.int64)
+        low = np.frombuffer(kept, dtype=np.uint8)
+        beyond = np.zeros(len(at), dtype=bool)
+        if not data.isascii():
+            beyond[np.searchsorted(offsets, np.flatnonzero(low >= 0x80), side="right") - 1] = True
+        self.rare = low[offsets[1:] - 1].astype(np.int64) % ENDINGS * 2 + beyond
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
@@ -147,7 +147,13 @@ class Vocabulary:
 
     def symbols(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """Model symbol of each word, and its place in the head (-1: not there)."""
-        place = pc.index_in(t.words, self.tokens.cast(pa.large_binary())).fill_null(-1).to_numpy().astype(np.int64)
+        words = t.words.dictionary_encode()
+        # the slice's distinct words are looked for by the head's: a table of the whole head per slice costs more
+        found = pc.index_in(self.tokens.cast(pa.large_binary()), words.dictionary)
+        at = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        places = np.full(len(words.dictionary), -1, dtype=np.int64)
+        places[found.drop_null().to_numpy()] = at
+        place = places[words.indices.to_numpy()]
         known = (place >= 0) & (place < self.frequent)
         return np.where(known, place + 1, self.layout.n_words + t.rare), place
 
@@ -181,16 +187,21 @@ def training_texts(training: DataFrame, sent) -> DataFrame:
                    .sortWithinPartitions("u", "symbols"), "training-texts")
 
 
+def text_slices(symbols: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and lengths of the texts, about SLICE_TOKENS at a time."""
+    ends = np.append(0, np.cumsum(lengths))
+    group = ends[:-1] // SLICE_TOKENS
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield symbols[ends[a]:ends[b]], lengths[a:b]
+
+
 def whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Symbols and lengths of whole texts, about SLICE_TOKENS at a time."""
     for batch in batches:
         column = batch.column(0)
-        ends = column.offsets.to_numpy().astype(np.int64)
-        group = (ends[:-1] - ends[0]) // SLICE_TOKENS
-        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
-        for a, b in zip(edges, edges[1:]):
-            if b > a:
-                yield column.slice(a, b - a).flatten().to_numpy().astype(np.int64), np.diff(ends[a:b + 1])
+        yield from text_slices(column.flatten().to_numpy(), np.diff(column.offsets.to_numpy().astype(np.int64)))
 
 
 def _averaged(parts: DataFrame) -> dict[str, np.ndarray] | None:
@@ -271,7 +282,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             t = Tokens(part.column(1))
             symbols, place = voc.symbols(t)
             whole, lengths = with_ends(symbols, t.counts)
-            model = gru.text_scores(p, voc.layout, whole, lengths) / np.log(10)
+            model = np.concatenate([gru.text_scores(p, voc.layout, s, n) for s, n in text_slices(whole, lengths)]) / np.log(10)
             starts = np.append(0, np.cumsum(t.counts))
 
             def per_text(x: np.ndarray) -> np.ndarray:

@@ -1,8 +1,11 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from lodgelake.llm import gru, lm_score
@@ -126,3 +129,41 @@ def test_awkward_documents_are_scored(awkward, no_documents):
     assert all(np.isfinite(r["score"]) and r["score"] <= 0 for r in rows)
     assert len(lm_score.scores(awkward).collect()) == awkward.count()
     assert lm_score.scores(no_documents).collect() == []
+
+
+def test_great_weights_give_finite_scores_and_the_same_steps():
+    rng = np.random.default_rng(6)
+    layout, p = model(rng)
+    p |= {"W": p["W"] * 400, "w": p["w"] + 300, "C": p["C"] * 400}
+    assert not gru.Output(p).small and gru.Output(model(rng)[1]).small
+    lengths = np.array([30, 1, 9])
+    symbols = rng.integers(1, layout.n_symbols, lengths.sum())
+    symbols[np.cumsum(lengths) - 1] = 0
+    assert np.isfinite(gru.text_scores(p, layout, symbols, lengths)).all()
+    trained = gru.train(p, layout, symbols, lengths)
+    assert all(np.isfinite(v).all() for v in trained.values())
+    # a number added to all words of a group changes no probability
+    moved = {**p, "w": p["w"] - 300}
+    assert gru.text_scores(moved, layout, symbols, lengths) == pytest.approx(gru.text_scores(p, layout, symbols, lengths))
+
+
+def test_tokens_hold_no_numbers_per_byte():
+    texts = pa.array([b"word%d of a Text " % i * 50 for i in range(5000)], pa.binary())
+    size = pc.sum(pc.binary_length(texts)).as_py()
+    tracemalloc.start()
+    found = lm_score.Tokens(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.counts.tolist() == [200] * 5000
+    assert peak < 20 * size
+
+
+def test_words_are_found_in_the_head():
+    class Head:
+        tokens, frequent, layout = pa.array([b"b", b"a", b"unseen", b"c"], pa.binary()), 2, gru.Layout(np.array([0, 1, 3]), lm_score.N_RARE)
+
+    found = lm_score.Tokens(pa.array([b"A x b", None, b"c a a\xc3\xa9"], pa.binary()))
+    symbols, place = lm_score.Vocabulary.symbols(Head, found)
+    assert place.tolist() == [1, -1, 0, 3, 1, -1]
+    rare = [3 + lm_score.rare_class(w) for w in (b"x", b"c", b"a\xc3\xa9")]
+    assert symbols.tolist() == [2, rare[0], 1, rare[1], 2, rare[2]]
