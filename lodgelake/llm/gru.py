@@ -118,7 +118,7 @@ def _with_one(states: np.ndarray) -> np.ndarray:
 
 #: Exponentials of logits of at most this size, and their sums, are far from the limits of single precision.  In
 #: training the sizes are looked at every LOOK windows: no weight moves by more than LEARNING_RATE in one.
-SMALL, LOOK = 60.0, 8
+SMALL, LOOK = 50.0, 8
 
 
 class Output:
