@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 
-#: Size of the state; lanes and steps of a window when scoring and when training.
+#: Size of the state; lanes and steps of a window when scoring (and symbols of texts that wait there) and when training.
 STATE = 24
 LANES, WINDOW = 128, 32
+WAITING = 1 << 20
 TRAIN_LANES, TRAIN_WINDOW = 32, 32
 LEARNING_RATE = 0.08
 
@@ -73,39 +75,73 @@ def initial(layout: Layout, word_counts: np.ndarray, rare_counts: np.ndarray, se
             "W": flat(layout.n_words, h, s=0.01), "w": np.log(word_counts + 0.5).astype(np.float32)}
 
 
-_SIGNS = np.repeat(np.array([-1, -1, 1], dtype=np.float32), STATE)
-
-
-def _negated(rows: np.ndarray) -> np.ndarray:
-    """Rows with the two gates' parts negated, as their sigmoids take them."""
-    return rows * _SIGNS
+def _by_gate(u: np.ndarray) -> np.ndarray:
+    """Columns of U as three matrices: those of the two gates, negated as their sigmoids take them, and the candidate's."""
+    out = np.ascontiguousarray(u.reshape(len(u), 3, STATE).swapaxes(0, 1))
+    np.negative(out[:2], out=out[:2])
+    return out
 
 
-def _advance(u: np.ndarray, x: np.ndarray, before: np.ndarray, g: np.ndarray, cand: np.ndarray, h: np.ndarray) -> None:
-    """One step, written to ``h``; ``g`` (one over each gate, then the candidate's share of the state) and ``cand`` are
-    what the gradient needs.
+class Steps:
+    """Arrays for so many steps of so many lanes, used again by one window after another.
 
-    ``x`` are the inputs' rows of P plus b and ``u`` is U, both as ``_negated`` gives them.
+    A step's numbers lie together, one gate's after another's, so numpy runs over them in one go.  ``tape`` keeps what the
+    gradient needs: ``g`` (one over each gate, the candidate's share of the state, and room), ``cand`` and ``before``.
     """
-    s = STATE
-    np.matmul(before, u, out=g)
-    gates = g[:, :2 * s]
-    gates += x[:, :2 * s]
-    np.exp(gates, out=gates)
-    gates += 1
-    np.divide(g[:, 2 * s:], g[:, s:2 * s], out=cand)
-    cand += x[:, 2 * s:]
-    np.tanh(cand, out=cand)
-    np.subtract(before, cand, out=h)
-    h /= g[:, :s]
-    h += cand
+
+    def __init__(self, steps: int, lanes: int, dtype, tape: bool):
+        kept = steps if tape else 1  # without a tape all steps use the same few arrays, which stay in the cache
+        self.x = np.empty((steps, 3, lanes, STATE), dtype)
+        self.g, self.cand = np.empty((kept, 3 + tape, lanes, STATE), dtype), np.empty((kept, lanes, STATE), dtype)
+        self.states = np.empty((steps, lanes, STATE), dtype)
+        self.before = np.empty_like(self.states) if tape else None
+        self.back = [(g, g[:3], g[3]) for g in self.g] if tape else []
+        one = np.ones((), dtype)
+        self.views = [(g, g[:2], *g, x[:2], x[2], cand, h, one) for x, g, cand, h in
+                      ((self.x[t], self.g[t % kept, :3], self.cand[t % kept], self.states[t]) for t in range(steps))]
+
+    def run(self, u: np.ndarray, rows: np.ndarray, ids: np.ndarray, begins: np.ndarray, h: np.ndarray, bias: np.ndarray | None = None) -> np.ndarray:
+        """States after each step (steps x lanes).  ``rows`` are those of P (plus b, or b is ``bias``), each cut in three;
+        ``u`` is U as ``_by_gate`` gives it, ``h`` the lanes' states before."""
+        rows.take(ids.astype(np.intp)[:, None, :] * 3 + np.arange(3)[:, None], axis=0, out=self.x, mode="clip")
+        if bias is not None:
+            self.x += np.repeat(bias.reshape(3, 1, STATE), ids.shape[1], axis=1)
+        if self.before is not None:
+            self.before[0] = h
+        starts = begins.any(axis=1).tolist()
+        for t, views in enumerate(self.views):
+            if starts[t]:
+                h = h.copy()
+                h[begins[t]] = 0
+            _advance(u, h, views)
+            h = self.states[t]
+        if self.before is not None:
+            self.before[1:] = self.states[:-1]
+            self.before[begins] = 0
+        return self.states
+
+
+def _advance(u: np.ndarray, before: np.ndarray, views: tuple) -> None:
+    """One step; its arrays are a row of ``Steps.views``."""
+    g, gates, z, r, m, x_gates, x_cand, cand, h, one = views
+    np.matmul(before, u, g)
+    np.subtract(gates, x_gates, gates)
+    np.exp(gates, gates)
+    np.add(gates, one, gates)
+    np.divide(m, r, cand)
+    np.add(cand, x_cand, cand)
+    np.tanh(cand, cand)
+    np.subtract(before, cand, h)
+    np.divide(h, z, h)
+    np.add(h, cand, h)
 
 
 def step(p: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
     """New state and what the gradient needs; ``x`` are the inputs' rows of P plus b."""
-    g, cand, out = np.empty((len(h), 3 * STATE), x.dtype), np.empty(h.shape, x.dtype), np.empty(h.shape, x.dtype)
-    _advance(_negated(p["U"]), _negated(x), h.astype(x.dtype), g, cand, out)
-    return out, (g, cand)
+    one = Steps(1, len(h), x.dtype, True)
+    ids = np.arange(len(h))[None]
+    out = one.run(_by_gate(p["U"]), np.ascontiguousarray(x).reshape(-1, STATE), ids, np.zeros(ids.shape, dtype=bool), h)
+    return out[0], (one.g[0, :3], one.cand[0])
 
 
 def _with_one(states: np.ndarray) -> np.ndarray:
@@ -128,8 +164,9 @@ class Output:
     exponentials are taken of the logits as they are, else of each row less its maximum.
     """
 
-    def __init__(self, p: dict[str, np.ndarray]):
+    def __init__(self, p: dict[str, np.ndarray], layout: Layout | None = None):
         self.classes, self.words = np.vstack([p["C"], p["c"]]), np.vstack([p["W"].T, p["w"]])
+        self.blocks, self.groups = (_blocks(layout, self.words.dtype, width) if layout else [] for width in (BLOCK, 0))
         self.look()
 
     def look(self) -> None:
@@ -146,47 +183,89 @@ class Output:
         return x
 
 
-def _groups(layout: Layout, classes: np.ndarray):
-    """Rows in order of their classes, and (rows' range in that order, words' range) of every group of several words."""
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(layout.n_groups + 1)).tolist()
+#: Words of small groups that are worked out side by side.
+BLOCK = 64
+
+
+def _blocks(layout: Layout, dtype, width: int) -> list[tuple[int, int, slice, np.ndarray | None]]:
+    """Neighbouring groups, of ``width`` words at most if there are several: the first group, the one behind the last, their
+    words, and for each group which of these words are its own (None: all).  Single words are certain: blocks begin with none."""
     starts = layout.group_starts.tolist()
-    return order, [(slice(i, j), slice(a, b)) for i, j, a, b in zip(edges, edges[1:], starts, starts[1:]) if j > i and b - a > 1]
+    found: list[tuple[int, int]] = []
+    for k in range(layout.n_groups):
+        if found and starts[k + 1] - starts[found[-1][0]] <= width:
+            found[-1] = (found[-1][0], k + 1)
+        elif starts[k + 1] - starts[k] > 1:
+            found.append((k, k + 1))
+    of = np.repeat(np.arange(layout.n_groups), np.diff(layout.group_starts))
+    return [(a, b, slice(starts[a], starts[b]), (np.arange(a, b)[:, None] == of[starts[a]:starts[b]]).astype(dtype) if b - a > 1 else None)
+            for a, b in found]
 
 
 #: Rows whose class probabilities are worked out at once: they stay in a core's cache.
 CLASS_ROWS = 1024
 
 
+class _WordSofts:
+    """Exponentials of the logits of each row's words, for rows in order of their classes whose group has several words.
+
+    They lie one row after another in one array, so those of all groups are taken at once; small groups lie side by side,
+    each row's words of other groups set to zero.  ``parts`` are the blocks' (rows, words, exponentials), ``rows`` all
+    rows, ``sums`` theirs, ``targets`` the places of their targets in ``soft`` and ``logits`` (on demand) the targets'.
+    """
+
+    def __init__(self, output: Output, layout: Layout, states: np.ndarray, targets: np.ndarray, classes: np.ndarray, logits: bool = False):
+        edges = np.searchsorted(classes, np.arange(layout.n_groups + 1)).tolist()
+        # rows that are shifted by a maximum are shifted by that of their own group's words
+        blocks = [x for x in (output.blocks if output.small else output.groups) if edges[x[1]] > edges[x[0]]]
+        rows = [slice(edges[a], edges[b]) for a, b, *_ in blocks]
+        heights, widths = [x.stop - x.start for x in rows], [words.stop - words.start for _, _, words, _ in blocks]
+        ends = list(accumulate((n * m for n, m in zip(heights, widths)), initial=0))
+        self.soft = np.empty(ends[-1], dtype=states.dtype)
+        self.parts = [(x, block[2], self.soft[i:j].reshape(n, m)) for x, block, n, m, i, j in zip(rows, blocks, heights, widths, ends, ends[1:])]
+        for x, words, part in self.parts:
+            output.logits(states[x], output.words[:, words], part)
+        widths = np.repeat(widths, heights)
+        self.rows = np.concatenate([np.arange(x.start, x.stop) for x in rows]) if rows else np.zeros(0, np.int64)
+        starts = np.cumsum(widths) - widths
+        self.targets = starts + targets[self.rows] - np.repeat([words.start for _, _, words, _ in blocks], heights) if rows else self.rows
+        if logits:
+            self.logits = self.soft[self.targets]
+        np.exp(self.soft, out=self.soft)
+        for (x, _, part), (a, _, _, own) in zip(self.parts, blocks):
+            if own is not None:
+                part *= own.take(classes[x] - a, axis=0)
+        self.sums = np.add.reduceat(self.soft, starts) if rows else self.soft
+
+
 def log_probability(p: dict[str, np.ndarray], layout: Layout, class_of: np.ndarray, states: np.ndarray,
                     targets: np.ndarray, output: Output | None = None) -> np.ndarray:
     """Natural log probability of each target symbol after its state."""
-    output = output or Output(p)
-    ones = np.ones(max(layout.n_classes, layout.n_words), dtype=states.dtype)
-
-    def own(x: np.ndarray, which: np.ndarray) -> np.ndarray:
-        picked = x[np.arange(len(which)), which]
-        return picked - np.log(np.exp(x, out=x) @ ones[:x.shape[1]])
-
+    output = output or Output(p, layout)
     classes = class_of[targets]
-    order, groups = _groups(layout, classes)
-    states, targets, classes = _with_one(states[order]), targets[order], classes[order]
+    order = np.argsort(classes, kind="stable")
+    states, targets, classes = _with_one(states.take(order, axis=0)), targets[order], classes[order]
     sums = np.empty(len(targets), dtype=states.dtype)
+    ones = np.ones(layout.n_classes, dtype=states.dtype)
     for i in range(0, len(targets), CLASS_ROWS):
         rows = slice(i, i + CLASS_ROWS)
-        sums[rows] = own(output.logits(states[rows], output.classes), classes[rows])
-    for rows, words in groups:
-        sums[rows] += own(output.logits(states[rows], output.words[:, words]), targets[rows] - words.start)
+        soft = output.logits(states[rows], output.classes)
+        sums[rows] = soft.ravel()[np.arange(0, soft.size, soft.shape[1]) + classes[rows]]
+        sums[rows] -= np.log(np.exp(soft, out=soft) @ ones)
+    words = _WordSofts(output, layout, states, targets, classes, logits=True)
+    sums[words.rows] += words.logits - np.log(words.sums)
     out = np.empty_like(sums)
     out[order] = sums
     return out
 
 
-def lanes_of(lengths: np.ndarray, n_lanes: int) -> list[list[int]]:
-    """Texts dealt to lanes of near-equal length, longest first; lanes by falling length."""
-    heap = [(0, k) for k in range(min(n_lanes, len(lengths)))]
-    lanes: list[list[int]] = [[] for _ in heap]
-    for i in np.argsort(-lengths, kind="stable").tolist():
+def lanes_of(lengths: np.ndarray, n_lanes: int, begun: int = 0) -> list[list[int]]:
+    """Texts dealt to lanes of near-equal length, longest first; lanes by falling length.  Of the first ``begun`` texts
+    each has a lane of its own, which it begins."""
+    heap = [(int(lengths[k]) if k < begun else 0, k) for k in range(min(n_lanes, len(lengths)))]
+    lanes: list[list[int]] = [[k] if k < begun else [] for k in range(len(heap))]
+    heapq.heapify(heap)
+    for i in (begun + np.argsort(-lengths[begun:], kind="stable")).tolist():
         total, k = heapq.heappop(heap)
         lanes[k].append(i)
         heapq.heappush(heap, (total + int(lengths[i]), k))
@@ -197,14 +276,14 @@ def lanes_of(lengths: np.ndarray, n_lanes: int) -> list[list[int]]:
 class Lanes:
     """Symbols of many texts laid out lane by lane: inputs, targets, and where texts begin."""
 
-    def __init__(self, symbols: np.ndarray, lengths: np.ndarray, n_lanes: int):
+    def __init__(self, symbols: np.ndarray, lengths: np.ndarray, n_lanes: int, begun: int = 0):
         starts = np.cumsum(lengths) - lengths
-        lanes = lanes_of(lengths, n_lanes)
         # in a lane texts come as given, not longest first: training would end on short texts only
-        order = np.array([i for lane in lanes for i in sorted(lane)], dtype=np.int64)
+        self.texts = lanes = [sorted(lane) for lane in lanes_of(lengths, n_lanes, begun)]
+        order = np.array([i for lane in lanes for i in lane], dtype=np.int64)
         n = lengths[order]
-        self.place = np.repeat(starts[order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        self.targets = symbols[self.place].astype(np.int32 if symbols.max(initial=0) > np.iinfo(np.int16).max else np.int16)
+        place = np.repeat(starts[order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        self.targets = symbols[place].astype(np.int32 if symbols.max(initial=0) > np.iinfo(np.int16).max else np.int16)
         first = np.cumsum(n) - n
         self.begins = np.zeros(len(self.targets), dtype=bool)
         self.begins[first] = True
@@ -213,69 +292,105 @@ class Lanes:
         self.size = np.array([int(lengths[lane].sum()) for lane in lanes], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
 
-    def window(self, t0: int, steps: int) -> tuple[np.ndarray, list[int]]:
-        """Places of the symbols at steps t0, t0 + 1, ..., one step after another, and how many there are in each step:
-        those of the lanes that still have one, the first so many."""
-        t = np.arange(t0, min(t0 + steps, int(self.size[0])))
-        lanes = np.searchsorted(-self.size, -t, side="left")
-        within = np.arange(int(lanes.sum())) - np.repeat(np.cumsum(lanes) - lanes, lanes)
-        return self.start[within] + np.repeat(t, lanes), lanes.tolist()
-
-
-class Window:
-    """States of the lanes over a window's steps, and what the gradient needs."""
-
-    def __init__(self, u: np.ndarray, x: np.ndarray, begins: np.ndarray, lanes: list[int], h: np.ndarray):
-        n, dtype = len(begins), x.dtype
-        self.edges = np.append(0, np.cumsum(lanes)).tolist()
-        self.fresh = np.flatnonzero(begins)
-        self.cuts = np.searchsorted(self.fresh, self.edges).tolist()
-        self.before, self.cand, self.states = (np.empty((n, STATE), dtype=dtype) for _ in range(3))
-        self.g = np.empty((n, 3 * STATE), dtype=dtype)
-        for k, end, i, j in zip(self.edges, self.edges[1:], self.cuts, self.cuts[1:]):
-            before = self.before[k:end]
-            before[:] = h[:end - k]
-            if j > i:
-                self.before[self.fresh[i:j]] = 0
-            h = self.states[k:end]
-            _advance(u, x[k:end], before, self.g[k:end], self.cand[k:end], h)
-        self.last = h
+    def window(self, t0: int, steps: int) -> tuple[np.ndarray, np.ndarray | None]:
+        """Places of the symbols at steps t0, t0 + 1, ... (steps x lanes that still have one at t0), and which of them are
+        symbols of their lane (None: all are; the others are any place, of states that nothing is made of)."""
+        t = np.arange(t0, min(t0 + steps, int(self.size[0])))[:, None]
+        lanes = int(np.searchsorted(-self.size, -t0, side="left"))
+        at = self.start[:lanes] + t
+        if self.size[lanes - 1] > t[-1, 0]:
+            return at, None
+        real = t < self.size[:lanes]
+        return np.where(real, at, 0), real
+
+    def begun(self, at: np.ndarray, real: np.ndarray | None) -> np.ndarray:
+        begins = self.begins[at]
+        return begins if real is None else begins & real
+
+
+class Scorer:
+    """Natural log probabilities of texts (each ends with symbol 0) that come slice by slice.
+
+    When few lanes of a slice are left, their texts wait, as far as they were read, and go on beside the next slice's: the
+    longest texts do not run by themselves.  Not more than WAITING symbols wait.
+    """
+
+    def __init__(self, p: dict[str, np.ndarray], layout: Layout):
+        self.p, self.layout, self.class_of, self.output = p, layout, layout.class_of(), Output(p, layout)
+        self.rows, self.u = (p["P"] + p["b"]).reshape(-1, STATE), _by_gate(p["U"])
+        self.steps: dict[tuple[int, int], Steps] = {}
+        self.waiting: list[tuple] = []  # of each: name, symbols left, symbol before them, state, sum so far
+
+    def add(self, symbols: np.ndarray, lengths: np.ndarray, names: list, last: bool = False) -> dict:
+        """Scores of the texts that ended, by name; with ``last`` of all that were added."""
+        waited, self.waiting = self.waiting, []
+        names = [w[0] for w in waited] + list(names)
+        if not names:
+            return {}
+        lengths = np.append(np.array([len(w[1]) for w in waited], dtype=np.int64), lengths)
+        lanes = Lanes(np.concatenate([w[1] for w in waited] + [symbols]), lengths, LANES, len(waited))
+        logp = np.zeros(len(lanes.targets), dtype=np.float64)
+        h = np.zeros((len(lanes.size), STATE), dtype=self.rows.dtype)
+        for lane, texts in enumerate(lanes.texts):
+            if texts[0] < len(waited):
+                h[lane] = waited[texts[0]][3]
+                lanes.inputs[lanes.start[lane]], lanes.begins[lanes.start[lane]] = waited[texts[0]][2], False
+        t0, end = 0, int(lanes.size[0])
+        while t0 < end:
+            left = lanes.size - t0
+            few = left[left > 0]
+            if not last and len(few) < LANES // 2 and few.sum() <= WAITING:
+                break
+            at, real = lanes.window(t0, WINDOW)
+            if at.shape not in self.steps:
+                self.steps = {at.shape: Steps(*at.shape, self.rows.dtype, tape=False)}
+            states = self.steps[at.shape].run(self.u, self.rows, lanes.inputs[at], lanes.begun(at, real), h[:at.shape[1]])
+            h = states[-1]
+            states, at = (states.reshape(-1, STATE), at.ravel()) if real is None else (states[real], at[real])
+            logp[at] = log_probability(self.p, self.layout, self.class_of, states, lanes.targets[at], self.output)
+            t0 += WINDOW
+        found = {}
+        for lane, texts in enumerate(lanes.texts):
+            a = int(lanes.start[lane])
+            read = a + min(t0, int(lanes.size[lane]))
+            for i in texts:
+                b, before = a + int(lengths[i]), waited[i][4] if i < len(waited) else 0.0
+                if b <= read:
+                    found[names[i]] = before + logp[a:b].sum()
+                elif a < read:
+                    self.waiting.append((names[i], lanes.targets[read:b].copy(), lanes.targets[read - 1], h[lane].copy(), before + logp[a:read].sum()))
+                else:  # not begun
+                    self.waiting.append((names[i], lanes.targets[a:b].copy(), 0, np.zeros(STATE, h.dtype), before))
+                a = b
+        return found
 
 
 def text_scores(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log probability of every text (each ends with symbol 0)."""
-    lanes = Lanes(symbols, lengths, LANES)
-    class_of, output = layout.class_of(), Output(p)
-    rows, u = _negated(p["P"] + p["b"]), _negated(p["U"])
-    logp = np.zeros(len(symbols), dtype=np.float64)
-    h = np.zeros((len(lanes.size), STATE), dtype=np.float32)
-    last = int(lanes.size[0]) if len(lanes.size) else 0
-    for t0 in range(0, last, WINDOW):
-        at, n = lanes.window(t0, WINDOW)
-        seen = Window(u, rows.take(lanes.inputs[at], axis=0), lanes.begins[at], n, h)
-        h = seen.last
-        logp[lanes.place[at]] = log_probability(p, layout, class_of, seen.states, lanes.targets[at], output)
-    return np.add.reduceat(logp, np.cumsum(lengths) - lengths) if len(lengths) else np.zeros(0)
+    found = Scorer(p, layout).add(symbols, lengths, range(len(lengths)), last=True)
+    return np.array([found[i] for i in range(len(lengths))])
 
 
 def train(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
     """One pass of truncated backpropagation with per-weight step sizes over whole texts."""
-    output = Output(p)
-    p = {k: v.copy() for k, v in p.items() if k in ("P", "U", "b")} | output.views()  # updated in place
+    output = Output(p, layout)
+    p = {k: v.copy(order="C") for k, v in p.items() if k in ("P", "U", "b")} | output.views()  # updated in place
+    rows = p["P"].reshape(-1, STATE)
     squares = {k: np.full_like(v, 1e-4) for k, v in p.items()}
     lanes = Lanes(symbols, lengths, TRAIN_LANES)
     class_of = layout.class_of()
-    h = np.zeros((len(lanes.size), STATE), dtype=np.float32)
+    h = np.zeros((len(lanes.size), STATE), dtype=rows.dtype)
     last = int(lanes.size[0]) if len(lanes.size) else 0
+    steps = None
     for t0 in range(0, last, TRAIN_WINDOW):
-        at, n = lanes.window(t0, TRAIN_WINDOW)
-        ids, begins = lanes.inputs[at], lanes.begins[at]
-        x = p["P"].take(ids, axis=0)
-        x += p["b"]
-        x *= _SIGNS
-        seen = Window(_negated(p["U"]), x, begins, n, h)
-        h = seen.last
-        _update(p, squares, _gradients(p, layout, class_of, (ids, seen, output), [seen.states], lanes.targets[at]))
+        at, real = lanes.window(t0, TRAIN_WINDOW)
+        ids, begins = lanes.inputs[at], lanes.begun(at, real)
+        if steps is None or steps.states.shape[:2] != at.shape:
+            steps = Steps(*at.shape, rows.dtype, tape=True)
+        states = steps.run(_by_gate(p["U"]), rows, ids, begins, h[:at.shape[1]], p["b"])
+        h = states[-1]
+        flat, targets = (states.reshape(-1, STATE), lanes.targets[at.ravel()]) if real is None else (states[real], lanes.targets[at[real]])
+        _update(p, squares, _gradients(p, layout, class_of, (ids, begins, real, steps, output), [flat], targets))
         if t0 // TRAIN_WINDOW % LOOK == 0:
             output.look()
     return p
@@ -284,42 +399,29 @@ def train(p: dict[str, np.ndarray], layout: Layout, symbols: np.ndarray, lengths
 def _output_gradients(output: Output, layout, class_of, states, targets):
     """Gradients of a window's mean loss for C, c, W and w, and for the states."""
     classes = class_of[targets]
-    order, groups = _groups(layout, classes)
-    those, picked, classes = _with_one(states[order]), targets[order], classes[order]
+    order = np.argsort(classes, kind="stable")
+    those, targets, classes = _with_one(states.take(order, axis=0)), targets[order], classes[order]
     scale = those.dtype.type(1.0 / len(those))
     # a softmax less one at the target, times scale: its exponentials less their sum at the target, times scale / sum,
     # which is put on the states' side of the products
     soft = output.logits(those, output.classes)
     np.exp(soft, out=soft)
     sums = soft @ np.ones(soft.shape[1], dtype=soft.dtype)
-    soft[np.arange(len(soft)), classes] -= sums
+    soft.ravel()[np.arange(0, soft.size, soft.shape[1]) + classes] -= sums
     share = (scale / sums)[:, None]
     grad_c = (those * share).T @ soft
     d_those = soft @ output.classes[:STATE].T
     d_those *= share
-    # word softmaxes lie one row after another in one array: all groups' exponentials and sums are taken at once
-    counts = [(rows.stop - rows.start, words.stop - words.start) for rows, words in groups]
-    ends = np.cumsum([n * m for n, m in counts]).tolist()
-    soft = np.empty(ends[-1] if ends else 0, dtype=those.dtype)
-    parts = [soft[end - n * m:end].reshape(n, m) for end, (n, m) in zip(ends, counts)]
-    grad_w = np.zeros_like(output.words)
-    if groups:
-        for (rows, words), part in zip(groups, parts):
-            output.logits(those[rows], output.words[:, words], part)
-        np.exp(soft, out=soft)
-        widths = np.repeat([m for _, m in counts], [n for n, _ in counts])
-        at = np.concatenate([np.arange(rows.start, rows.stop) for rows, _ in groups])
-        starts = np.cumsum(widths) - widths
-        sums = np.add.reduceat(soft, starts)
-        soft[starts + picked[at] - np.repeat([words.start for _, words in groups], [n for n, _ in counts])] -= sums
-        share = np.zeros((len(those), 1), dtype=those.dtype)
-        share[at, 0] = scale / sums
-        shared, d_words = those * share, np.zeros_like(d_those)
-        for (rows, words), part in zip(groups, parts):
-            np.matmul(shared[rows].T, part, out=grad_w[:, words])
-            np.matmul(part, output.words[:STATE, words].T, out=d_words[rows])
-        d_words *= share
-        d_those += d_words
+    words = _WordSofts(output, layout, those, targets, classes)
+    words.soft[words.targets] -= words.sums
+    share = np.zeros((len(those), 1), dtype=those.dtype)
+    share[words.rows, 0] = scale / words.sums
+    shared, d_words, grad_w = those * share, np.zeros_like(d_those), np.zeros_like(output.words)
+    for rows, which, part in words.parts:
+        np.matmul(shared[rows].T, part, out=grad_w[:, which])
+        np.matmul(part, output.words[:STATE, which].T, out=d_words[rows])
+    d_words *= share
+    d_those += d_words
     d_states = np.empty_like(d_those)
     d_states[order] = d_those
     return {"C": grad_c[:STATE], "c": grad_c[STATE], "W": grad_w[:STATE].T, "w": grad_w[STATE]}, d_states
@@ -327,50 +429,77 @@ def _output_gradients(output: Output, layout, class_of, states, targets):
 
 def _gradients(p, layout, class_of, tape, states, targets):
     """Gradients of a window's mean loss; those of P as (symbols, their rows)."""
-    s, (ids, seen, output) = STATE, tape
-    grad, d_flat = _output_gradients(output, layout, class_of, np.concatenate(states), targets)
-    # what a state's gradient is multiplied by on its way to the gates, for the whole window at once; it takes the place of
-    # the gates, and their gradients then take its place
+    s, (ids, begins, real, seen, output) = STATE, tape
+    grad, d_states = _output_gradients(output, layout, class_of, states[0], targets)
+    d = d_states.reshape(seen.states.shape) if real is None else np.zeros_like(seen.states)
+    if real is not None:
+        d[real] = d_states
+    # what a state's gradient is multiplied by on its way to the gates and to the state before, for the whole window at
+    # once; it takes the place of the gates, and their gradients then take its place
     g = seen.g
-    np.reciprocal(g[:, :2 * s], out=g[:, :2 * s])
-    z, r, m = g[:, :s].copy(), g[:, s:2 * s], g[:, 2 * s:]
+    np.reciprocal(g[:, :2], out=g[:, :2])
+    z, r, m, kept = g.swapaxes(0, 1)
     rest = 1 - z
     to_cand = seen.cand * seen.cand
     np.subtract(1, to_cand, out=to_cand)
     to_cand *= rest
     rest *= z
-    np.subtract(seen.before, seen.cand, out=g[:, :s])
-    g[:, :s] *= rest
+    kept[:] = z
+    kept[begins] = 0  # nothing of a state stays where a text begins
+    np.subtract(seen.before, seen.cand, out=z)
+    z *= rest
     np.multiply(to_cand, r, out=rest)
     np.subtract(1, r, out=r)
     r *= m
     r *= rest
     m[:] = rest
-    z[seen.fresh] = 0  # nothing of a state stays where a text begins
-    d_gates, parts = g, g.reshape(-1, 3, s)
-    back = p["U"].T.copy()
-    carried = None
-    for k, end, i, j in zip(*(reversed(x) for x in (seen.edges[:-1], seen.edges[1:], seen.cuts[:-1], seen.cuts[1:]))):
-        dh, d = d_flat[k:end], d_gates[k:end]
-        if carried is not None:
-            dh[:len(carried)] += carried
-        parts[k:end] *= dh[:, None]
-        carried = d @ back
-        if j > i:
-            carried[seen.fresh[i:j] - k] = 0
-        carried += dh * z[k:end]
-    grad["U"] = seen.before.T @ d_gates
-    d_in = d_gates
-    np.multiply(d_flat, to_cand, out=d_in[:, 2 * s:])
-    grad["b"] = np.ones(len(d_in), dtype=d_in.dtype) @ d_in
+    starts = begins.any(axis=1).tolist()
+    back = np.ascontiguousarray(p["U"].reshape(s, 3, s).transpose(1, 2, 0))
+    ways = np.empty((3, *d.shape[1:]), dtype=d.dtype)
+    way_z, way_r, way_m = ways
+    later = list(d)
+    for t in range(len(later) - 1, -1, -1):
+        dh, (ways_on, d_gates, stays) = later[t], seen.back[t]
+        np.multiply(ways_on, dh, ways_on)
+        if t:
+            np.matmul(d_gates, back, ways)
+            if starts[t]:
+                ways[:, begins[t]] = 0
+            before = later[t - 1]
+            np.add(before, stays, before)
+            np.add(before, way_z, before)
+            np.add(before, way_r, before)
+            np.add(before, way_m, before)
+    # by gate: the candidate's share of the state, the gates, the candidate
+    d_in = np.empty((4, d.size // s, s), dtype=g.dtype)
+    by_step = d_in.reshape(4, *d.shape)
+    by_step[1:3] = g[:, :2].swapaxes(0, 1)
+    by_step[0] = g[:, 2]
+    np.multiply(d, to_cand, out=by_step[3])
+    u = np.matmul(seen.before.reshape(-1, s).T, d_in[:3])
+    grad["U"] = np.concatenate([u[1], u[2], u[0]], axis=1)
+    grad["b"] = np.matmul(np.ones(d_in.shape[1], dtype=g.dtype), d_in[1:]).ravel()
+    grad["P"] = _row_sums(ids.ravel() if real is None else ids[real], d_in[1:], None if real is None else np.flatnonzero(real))
+    return grad
+
+
+def _row_sums(ids: np.ndarray, d_in: np.ndarray, places: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids and the sums of their rows, which lie at ``places`` (None: in order) of three arrays."""
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
     first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-    ids = ids[first]
-    # rows are added up two numbers at a time, as parts of a complex number: half as many inner loops
-    pairs = d_in.take(order, axis=0).view(np.result_type(d_in.dtype, np.complex64))
-    grad["P"] = (ids, np.add.reduceat(pairs, first, axis=0).view(d_in.dtype))
-    return grad
+    n = np.diff(np.append(first, len(ids)))
+    if places is not None:
+        order = places[order]
+    table, parts = d_in.reshape(-1, STATE), np.arange(3) * d_in.shape[1]
+    out = table.take(order[first][:, None] + parts, axis=0).reshape(len(first), -1)
+    several = n > 1
+    if several.any():
+        rows = table.take(order[np.repeat(several, n)][:, None] + parts, axis=0).reshape(-1, 3 * STATE)
+        # rows are added up two numbers at a time, as parts of a complex number: half as many inner loops
+        n = n[several]
+        out[several] = np.add.reduceat(rows.view(np.result_type(rows.dtype, np.complex64)), np.cumsum(n) - n, axis=0).view(rows.dtype)
+    return ids[first], out
 
 
 def _update(p, squares, grad) -> None:
@@ -378,13 +507,14 @@ def _update(p, squares, grad) -> None:
     for k, g in grad.items():
         if isinstance(g, tuple):
             ids, g = g
-            size = squares[k][ids]
+            size = squares[k].take(ids, axis=0)
             size += g * g
             squares[k][ids] = size
             np.sqrt(size, out=size)
             g *= rate
             g /= size
-            p[k][ids] -= g
+            np.subtract(p[k].take(ids, axis=0), g, out=g)
+            p[k][ids] = g
         else:
             change = g * g
             squares[k] += change

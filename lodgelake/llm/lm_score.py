@@ -44,6 +44,8 @@ ROUNDS = 2
 SLICE_TOKENS = 1 << 20
 #: Bytes of text that a task works on at once (a longer text is worked on by itself).
 SLICE_BYTES = 8 << 20
+#: Counted tokens that a task holds before they go out, and rows of them that go out at once.
+PARTIAL, COUNTS = 500_000, 1 << 15
 #: Weight sets that meet in one averaging task.
 FAN_IN = 16
 
@@ -96,18 +98,27 @@ def rare_class(word: bytes) -> int:
     return word[-1] % ENDINGS * 2 + any(x >= 0x80 for x in word)
 
 
+def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, c) of a task's texts: those of its slices summed, about PARTIAL tokens at a time."""
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by("token", use_threads=False).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"}).select(["token", "c"])
+
+    held: list[pa.Table] = []
+    for part in slices(batches, 0):
+        found = pc.value_counts(Tokens(part.column(0)).words)
+        held.append(pa.table({"token": found.field(0).cast(pa.binary()), "c": found.field(1).cast(pa.int64())}))
+        held.append(pa.table({"token": pa.array([b""], pa.binary()), "c": pa.array([part.num_rows], pa.int64())}))
+        if sum(x.num_rows for x in held) > PARTIAL:
+            held = [summed(held)]
+            if held[0].num_rows > PARTIAL // 2:
+                yield from held.pop().to_batches(max_chunksize=COUNTS)
+    if held:
+        yield from summed(held).to_batches(max_chunksize=COUNTS)
+
+
 def token_counts(training: DataFrame) -> DataFrame:
-    """(token, c, rare): all tokens of the training texts; the end is the empty token."""
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 0):
-            t = Tokens(part.column(0))
-            found = pc.value_counts(t.words)
-            values, n = found.field(0), found.field(1)
-            if len(values):
-                yield pa.RecordBatch.from_arrays([values.cast(pa.binary()), n.cast(pa.int64())], names=["token", "c"])
-            yield pa.RecordBatch.from_arrays([pa.array([b""]), pa.array([part.num_rows], pa.int64())], names=["token", "c"])
-
-    counted = training.select("t").mapInArrow(partial, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    """(token, c): all tokens of the training texts; the end is the empty token."""
+    counted = training.select("t").mapInArrow(partial_counts, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
     return written(counted, "token-counts")
 
 
@@ -188,9 +199,10 @@ def training_texts(training: DataFrame, sent) -> DataFrame:
 
 
 def text_slices(symbols: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Symbols and lengths of the texts, about SLICE_TOKENS at a time."""
+    """Symbols and lengths of the texts, about SLICE_TOKENS at a time, in slices of about one size: in a small one the
+    longest texts would run by themselves."""
     ends = np.append(0, np.cumsum(lengths))
-    group = ends[:-1] // SLICE_TOKENS
+    group = ends[:-1] * max(round(int(ends[-1]) / SLICE_TOKENS), 1) // max(int(ends[-1]), 1)
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
     for a, b in zip(edges, edges[1:]):
         if b > a:
@@ -261,6 +273,53 @@ def fit(training: DataFrame, vocabulary: Vocabulary, sent) -> dict[str, np.ndarr
     return weights
 
 
+def scored(batches: Iterator[pa.RecordBatch], row: int, voc: Vocabulary, p: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """What the tasks say of each text (doc_id, text), with its row number from ``row`` on: a row goes out when its last symbol was scored."""
+    rare_norm = np.log10(voc.rare_n + 0.5 * (voc.rare_v + 1))
+    log_c = np.log10(voc.c + 0.5)
+    end = float(np.log10(voc.end + 0.5))
+    scorer, waiting = gru.Scorer(p, voc.layout), []
+
+    def ended(rows: list[pa.RecordBatch], found: dict[int, float]) -> Iterator[pa.RecordBatch]:
+        waiting.clear()
+        for batch in rows:
+            model = np.array([found.get(r, np.nan) for r in batch.column("row").to_pylist()])
+            done = ~np.isnan(model)
+            if done.any():
+                whole = batch if done.all() else batch.filter(pa.array(done))
+                at = whole.schema.get_field_index("model")
+                yield whole.set_column(at, "model", pc.add(whole.column(at), pa.array(model[done] / np.log(10))))
+            if not done.all():
+                waiting.append(batch.filter(pa.array(~done)))
+
+    for part in slices(batches, 1):
+        t = Tokens(part.column(1))
+        symbols, place = voc.symbols(t)
+        whole, lengths = with_ends(symbols, t.counts)
+        starts = np.append(0, np.cumsum(t.counts))
+
+        def per_text(x: np.ndarray) -> np.ndarray:
+            out, some = np.zeros(len(t.counts)), t.counts > 0
+            out[some] = np.add.reduceat(x, starts[:-1][some]) if some.any() else 0.0
+            return out
+
+        head, rare = place >= 0, symbols >= voc.layout.n_words
+        log_head = np.where(head, log_c[np.maximum(place, 0)] if len(log_c) else 0.0, 0.0)
+        norm = np.where(rare, rare_norm[t.rare], 0.0)
+        tail = np.flatnonzero(~head)
+        tail_starts = np.searchsorted(tail, starts).astype(np.int32)
+        rows = row + np.arange(part.num_rows)
+        row += part.num_rows
+        batch = pa.RecordBatch.from_arrays([
+            pa.array(rows), part.column(0), pa.array(lengths),
+            pa.array(per_text(head.astype(float)).astype(np.int64) + (voc.end > 0)),
+            pa.array(per_text(log_head) + end), pa.array(per_text(np.where(rare, log_head, 0.0)) - per_text(norm)),
+            pa.ListArray.from_arrays(tail_starts, t.words.take(pa.array(tail)).cast(pa.binary()))],
+            names=["row", "doc_id", "n_tokens", "known", "log_head", "model", "tail"])
+        yield from ended([*waiting, batch], scorer.add(whole, lengths, rows.tolist()))
+    yield from ended(list(waiting), scorer.add(np.zeros(0, np.int64), np.zeros(0, np.int64), [], last=True))
+
+
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
@@ -273,36 +332,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        row = TaskContext.get().partitionId() << 40
-        voc, p = sent.value, weights.value
-        rare_norm = np.log10(voc.rare_n + 0.5 * (voc.rare_v + 1))
-        log_c = np.log10(voc.c + 0.5)
-        end = float(np.log10(voc.end + 0.5))
-        for part in slices(batches, 1):
-            t = Tokens(part.column(1))
-            symbols, place = voc.symbols(t)
-            whole, lengths = with_ends(symbols, t.counts)
-            model = np.concatenate([gru.text_scores(p, voc.layout, s, n) for s, n in text_slices(whole, lengths)]) / np.log(10)
-            starts = np.append(0, np.cumsum(t.counts))
-
-            def per_text(x: np.ndarray) -> np.ndarray:
-                out, some = np.zeros(len(t.counts)), t.counts > 0
-                out[some] = np.add.reduceat(x, starts[:-1][some]) if some.any() else 0.0
-                return out
-
-            head, rare = place >= 0, symbols >= voc.layout.n_words
-            log_head = np.where(head, log_c[np.maximum(place, 0)] if len(log_c) else 0.0, 0.0)
-            norm = np.where(rare, rare_norm[t.rare], 0.0)
-            tail = np.flatnonzero(~head)
-            tail_starts = np.searchsorted(tail, starts).astype(np.int32)
-            n = part.num_rows
-            yield pa.RecordBatch.from_arrays([
-                pa.array(row + np.arange(n)), part.column(0), pa.array(lengths),
-                pa.array(per_text(head.astype(float)).astype(np.int64) + (voc.end > 0)),
-                pa.array(per_text(log_head) + end), pa.array(model + per_text(np.where(rare, log_head, 0.0)) - per_text(norm)),
-                pa.ListArray.from_arrays(tail_starts, t.words.take(pa.array(tail)).cast(pa.binary()))],
-                names=["row", "doc_id", "n_tokens", "known", "log_head", "model", "tail"])
-            row += n
+        yield from scored(batches, TaskContext.get().partitionId() << 40, sent.value, weights.value)
 
     seen = written(docs.mapInArrow(score, "row long, doc_id long, n_tokens long, known long, log_head double, "
                                           "model double, tail array<binary>"), "scored")

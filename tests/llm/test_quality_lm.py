@@ -167,3 +167,79 @@ def test_words_are_found_in_the_head():
     assert place.tolist() == [1, -1, 0, 3, 1, -1]
     rare = [3 + lm_score.rare_class(w) for w in (b"x", b"c", b"a\xc3\xa9")]
     assert symbols.tolist() == [2, rare[0], 1, rare[1], 2, rare[2]]
+
+
+def test_long_texts_go_on_beside_the_next_slice(monkeypatch):
+    rng = np.random.default_rng(8)
+    layout, p = model(rng)
+    monkeypatch.setattr(gru, "LANES", 8)
+    monkeypatch.setattr(gru, "WINDOW", 4)
+    texts = [np.append(rng.integers(1, layout.n_symbols, n), 0) for _ in range(6) for n in (200, *range(40))]
+    lengths = np.array([len(t) for t in texts])
+    want = gru.text_scores(p, layout, np.concatenate(texts), lengths)
+    steps, advance = [], gru._advance
+    monkeypatch.setattr(gru, "_advance", lambda *a: steps.append(1) or advance(*a))
+    per_slice = [gru.text_scores(p, layout, np.concatenate(texts[i:i + 41]), lengths[i:i + 41]) for i in range(0, len(texts), 41)]
+    alone, scorer, found = len(steps), gru.Scorer(p, layout), {}
+    for i in range(0, len(texts), 41):
+        ended = scorer.add(np.concatenate(texts[i:i + 41]), lengths[i:i + 41], range(i, i + 41))
+        assert not ended.keys() & found.keys()
+        found |= ended
+        assert len(found) + len(scorer.waiting) == i + 41
+    found |= scorer.add(np.zeros(0, np.int64), np.zeros(0, np.int64), [], last=True)
+    assert [found[i] for i in range(len(texts))] == pytest.approx(want.tolist())
+    assert np.concatenate(per_slice) == pytest.approx(want)
+    assert len(steps) - alone < 0.8 * alone
+    assert scorer.waiting == [] and scorer.add(np.zeros(0, np.int64), np.zeros(0, np.int64), [], last=True) == {}
+
+
+def test_slices_of_texts_are_of_about_one_size(monkeypatch):
+    monkeypatch.setattr(lm_score, "SLICE_TOKENS", 100)
+    for total in (1, 50, 101, 149, 151, 260, 1010):
+        lengths = np.ones(total, dtype=np.int64)
+        sizes = [len(s) for s, _ in lm_score.text_slices(np.arange(total), lengths)]
+        assert sum(sizes) == total and max(sizes) <= 150 and (len(sizes) == 1 or min(sizes) >= 66)
+    assert list(lm_score.text_slices(np.zeros(0, np.int64), np.zeros(0, np.int64))) == []
+
+
+def test_a_task_counts_a_token_once(monkeypatch):
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", 8)
+    texts = ["a b A c", None, "b d", "", "e f g h i", "a é"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()).cast(pa.binary())], names=["t"])
+    want = {b"": 6, b"a": 3, b"b": 2, b"c": 1, b"d": 1, b"e": 1, b"f": 1, b"g": 1, b"h": 1, b"i": 1, "é".encode(): 1}
+    rows = [r for b in lm_score.partial_counts(iter([batch])) for r in b.to_pylist()]
+    assert {r["token"]: r["c"] for r in rows} == want and len(rows) == len(want)
+    monkeypatch.setattr(lm_score, "PARTIAL", 3)
+    monkeypatch.setattr(lm_score, "COUNTS", 2)
+    total = Counter()
+    for b in lm_score.partial_counts(iter([batch])):
+        assert b.num_rows <= 2
+        for r in b.to_pylist():
+            total[r["token"]] += r["c"]
+    assert total == want
+
+
+def test_rows_keep_their_numbers_when_texts_wait(monkeypatch):
+    class Counts:
+        tokens, c, end = pa.array([b"a", b"b", b"c", b"d"], pa.binary()), np.array([9, 7, 3, 2]), 5
+        frequent, layout = 2, gru.Layout(np.array([0, 1, 3]), lm_score.N_RARE)
+        rare_n, rare_v = np.full(lm_score.N_RARE, 2.0), np.full(lm_score.N_RARE, 1.0)
+        symbols = lm_score.Vocabulary.symbols
+
+    rng = np.random.default_rng(9)
+    p = gru.initial(Counts.layout, np.array([5.0, 9, 7]), Counts.rare_n)
+    texts = [" ".join(rng.choice(["a", "b", "c", "x", "yé"], n)) for n in (300, 3, 0, 5, 400, 2, 1, 9, 350, 8)]
+    ids = [7, 7, None, 3, 1, 2, 9, 8, 6, 5]
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array(texts[i:j]).cast(pa.binary())], names=["doc_id", "t"])
+               for i, j in ((0, 4), (4, 6), (6, 10))]
+    got = sorted((r for b in lm_score.scored(iter(batches), 40, Counts(), p) for r in b.to_pylist()), key=lambda r: r["row"])
+    assert [(r["row"], r["doc_id"], r["n_tokens"]) for r in got] == [(40 + i, ids[i], len(t.split()) + 1) for i, t in enumerate(texts)]
+    for r, t in zip(got, texts):
+        alone = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([t]).cast(pa.binary())], names=["doc_id", "t"])
+        one, = [x for b in lm_score.scored(iter([alone]), 0, Counts(), p) for x in b.to_pylist()]
+        assert r["model"] == pytest.approx(one["model"], rel=1e-5) and r["tail"] == one["tail"]
+        assert (r["known"], r["log_head"]) == (one["known"], pytest.approx(one["log_head"]))
+    seen, add = [], gru.Scorer.add
+    monkeypatch.setattr(gru.Scorer, "add", lambda self, *a, **k: [seen.append(len(self.waiting)), add(self, *a, **k)][1])
+    list(lm_score.scored(iter(batches), 40, Counts(), p))
+    assert max(seen) > 0  # some did wait
