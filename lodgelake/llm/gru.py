@@ -226,7 +226,10 @@ class _WordSofts:
         for x, words, part in self.parts:
             output.logits(states[x], output.words[:, words], part)
         widths = np.repeat(widths, heights)
-        self.rows = np.concatenate([np.arange(x.start, x.stop) for x in rows]) if rows else np.zeros(0, np.int64)
+        if rows and sum(heights) == rows[-1].stop - rows[0].start:
+            self.rows = np.arange(rows[0].start, rows[-1].stop)
+        else:
+            self.rows = np.concatenate([np.arange(x.start, x.stop) for x in rows]) if rows else np.zeros(0, np.int64)
         starts = np.cumsum(widths) - widths
         self.targets = starts + targets[self.rows] - np.repeat([words.start for _, _, words, _ in blocks], heights) if rows else self.rows
         if logits:

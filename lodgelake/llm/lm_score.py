@@ -118,7 +118,9 @@ def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def token_counts(training: DataFrame) -> DataFrame:
     """(token, c): all tokens of the training texts; the end is the empty token."""
-    counted = training.select("t").mapInArrow(partial_counts, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    # tasks have summed their counts: what is left to sum meets in the shuffle only
+    counted = (training.select("t").mapInArrow(partial_counts, "token binary, c long").repartition("token")
+               .groupBy("token").agg(F.sum("c").alias("c")))
     return written(counted, "token-counts")
 
 
@@ -188,10 +190,10 @@ def training_texts(training: DataFrame, sent) -> DataFrame:
             symbols, lengths = with_ends(vocabulary.symbols(t)[0], t.counts)
             u = part.column(0).to_numpy().view(np.uint64)
             ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array((u % ROUNDS).astype(np.int32)), part.column(0), pa.ListArray.from_arrays(ends, symbols.astype(np.int32))],
+            yield pa.RecordBatch.from_arrays([pa.array((u % ROUNDS).astype(np.int32)), part.column(0), pa.ListArray.from_arrays(ends, symbols.astype(np.int16))],
                                              names=["round", "u", "symbols"])
 
-    dealt = training.select(F.xxhash64("doc_id").alias("u"), "t").mapInArrow(encode, "round int, u long, symbols array<int>")
+    dealt = training.select(F.xxhash64("doc_id").alias("u"), "t").mapInArrow(encode, "round int, u long, symbols array<smallint>")
     # by text and id, so copies of one text are spread as well
     # and in one order, so that reruns train alike
     return written(dealt.repartition(shuffle_parts(training.sparkSession), F.xxhash64("u", "symbols"))
