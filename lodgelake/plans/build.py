@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodgelake.plans import checks
 from lodgelake.plans.model import TABLES, WAVES, RentalModel
+from lodgelake.session import shuffles_freed
 from lodgelake.sources.sinks import checked_name, create_database, layer_of, publish_views, write_table
 
 #: table -> (partition columns, sort columns inside a file)
@@ -78,7 +79,7 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], database: str, roo
         return out
 
     model = RentalModel(spark, sources, materialize=materialize, **model_kw)
-    with ThreadPoolExecutor(max_workers=THREADS) as pool:
+    with shuffles_freed(spark), ThreadPoolExecutor(max_workers=THREADS) as pool:
         for wave in WAVES:
             # the tables of a wave are independent jobs: Spark shares the executors among them
             list(pool.map(lambda name: getattr(model, name), [name for name in wave if name in tables]))
