@@ -2,12 +2,14 @@
 import contextlib
 import datetime as dt
 import io
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodgelake import queries
 from lodgelake.plans import silver
+from lodgelake.plans.build import build
 from lodgelake.plans.model import RentalModel
 from lodgelake.sources.schemas import AIRBNB_RAW, CENSUS_G01, CENSUS_G02, LGA_CODE, LGA_SUBURB
 
@@ -108,3 +110,10 @@ def test_writes_give_their_shuffle_files_back(spark):
     staged = queries.stage(spark, spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
     assert not shuffle_files(spark) - before
     assert staged.count() == 10 and shuffle_files(spark) - before  # other queries keep theirs as the session says
+
+
+def test_a_build_gives_its_shuffle_files_back(spark, scratch):
+    before = shuffle_files(spark)
+    m = build(spark, sources(spark, TIED), f"t_{uuid.uuid4().hex}", scratch, run_id="r", calendar_bounds="data")
+    assert not shuffle_files(spark) - before
+    assert m.observed["fact_listings"]["rows"] == 3
